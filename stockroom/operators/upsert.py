@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from stockroom.session import dynamic_partition_overwrite, work_dir
@@ -50,6 +51,15 @@ def guarded_merge(existing: DataFrame, incoming: DataFrame, keys: Sequence[str],
     )
 
 
+def as_stored(column: str, sql_type: str) -> Column:
+    """The column as the table holds it; fixed-length text is padded, so that it matches stored keys."""
+    fixed = re.fullmatch(r"char\((\d+)\)", sql_type)
+    if not fixed:
+        return F.col(column).cast(sql_type)
+    text, width = F.col(column).cast("string"), int(fixed[1])
+    return F.when(F.length(text) < width, F.rpad(text, width, " ")).otherwise(text)
+
+
 def guarded_upsert(
     spark: SparkSession,
     incoming: DataFrame,
@@ -66,12 +76,12 @@ def guarded_upsert(
     keys = list(keys)
     work_dir(spark)
     target = spark.table(table)
-    types = dict(target.dtypes)
+    types = {row["col_name"]: row["data_type"] for row in spark.sql(f"DESCRIBE TABLE {table}").collect()}
     arrived, kept = Observation(), Observation()
     has_key = F.lit(True)
     for key in keys:
         has_key = has_key & F.col(key).isNotNull()
-    batch = incoming.select(*[F.col(c).cast(types[c]) for c in target.columns])
+    batch = incoming.select(*[as_stored(c, types[c]).alias(c) for c in target.columns])
     batch = batch.observe(arrived, F.count("*").alias("received"), F.count_if(~has_key).alias("without_key"))
     batch = newest_per_key(batch.where(has_key), keys, load_time)
     # Written once: the batch is used to find the dates and again in the merge.

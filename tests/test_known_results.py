@@ -1,0 +1,149 @@
+"""Known results of the 100-item file and of the six literal staging rows (FIXTURES.md).
+
+The item file is not part of this repository: name its ``;`` form in STOCKROOM_ITEMS_CSV, and its ``,`` form in
+STOCKROOM_ITEMS_COMMA_CSV, to run those tests.
+"""
+
+from __future__ import annotations
+
+import datetime as dt
+import os
+
+import pytest
+from conftest import rows_of
+
+from stockroom.operators import daily_report, parse_items, state_counts, typed_items
+from stockroom.plans import jobs
+from stockroom.schemas import ITEM_COLUMNS, ITEM_DELIMITED, ITEM_RAW, REPORTS, STAGING
+from stockroom.sinks import create_table, create_table_as, insert_literals
+from stockroom.sources import folder_topic, scan_delimited, scan_delimited_inferred
+from stockroom.streaming import batch_table_columns, keep_office_totals, office_state
+from stockroom.streaming.admission import UNTIL_DRAINED
+from stockroom.streaming.loading import BATCH_COLUMNS
+
+ITEMS_CSV = os.environ.get("STOCKROOM_ITEMS_CSV")
+COMMA_CSV = os.environ.get("STOCKROOM_ITEMS_COMMA_CSV")
+needs_items = pytest.mark.skipif(not (ITEMS_CSV and COMMA_CSV), reason="item files not given")
+
+# Expected counts of the item file.
+STATE_COUNTS = {
+    "PEP": 36, "WLN": 8, "WPU": 7, "BRA": 6, "FRS": 6, "FOS": 5, "WRP": 5, "OPS": 4, "RSA": 4, "LMB": 3, "WMI": 2,
+    "WPT": 2, "IPS": 1, "LIO": 1, "PFP": 1, "SMS": 1, "WIR": 1, "WOG": 1, "WRD": 1, "WRL": 1, "WSR": 1, "WTP": 1,
+    "WUN": 1, "WWE": 1,
+}
+DAYS = {
+    "2024-02-03": (3, 2, 2, 2, 0, 0),
+    "2023-05-18": (2, 1, 2, 0, 0, 0),
+    "2024-02-12": (2, 2, 0, 1, 0, 0),
+    "2021-12-28": (1, 1, 0, 0, 1, 0),
+    "2024-08-01": (1, 1, 1, 0, 0, 1),
+}
+SUMS = (100, 98, 47, 9, 1, 1)
+
+# The literal staging rows, in the order of columns of the insert, and the totals they give.
+STAGED = [
+    (123456, 372, "2024-06-28 12:05:12", False),
+    (345216, 123, "2024-06-28 12:09:12", True),
+    (123425, 332, "2024-06-28 12:10:12", True),
+    (122231, 123, "2024-06-28 12:11:12", False),
+    (222322, 223, "2024-06-28 12:34:12", True),
+    (332231, 372, "2024-06-28 12:43:12", True),
+]
+OFFICE_TOTALS = [(123, 1, 2), (223, 1, 1), (332, 1, 1), (372, 1, 2)]
+
+
+@pytest.fixture
+def delimited(spark):
+    return scan_delimited(spark, ITEMS_CSV, ITEM_DELIMITED)
+
+
+@needs_items
+def test_both_files_hold_the_same_items(spark, delimited):
+    other = scan_delimited(spark, COMMA_CSV, ITEM_DELIMITED, sep=",")
+    assert delimited.count() == 100
+    assert delimited.exceptAll(other).isEmpty() and other.exceptAll(delimited).isEmpty()
+    assert delimited.where("tare_type = ''").count() == 22
+
+
+@needs_items
+def test_inferred_types_hold_all_values(spark, delimited):
+    inferred = scan_delimited_inferred(spark, COMMA_CSV)
+    assert inferred.columns == ITEM_COLUMNS
+    kinds = dict(inferred.dtypes)
+    assert kinds["shk_id"] == kinds["tare_id"] == kinds["wbsticker_id"] == "bigint"
+    assert kinds["dt"] == "timestamp_ntz"
+    assert inferred.agg({"wbsticker_id": "max"}).first()[0] == 18023180111
+    assert inferred.where("tare_type is null").isEmpty()
+
+
+@needs_items
+def test_state_counts(delimited):
+    found = state_counts(delimited).collect()
+    assert {row.state_id: row.qty for row in found} == STATE_COUNTS
+    assert [row.qty for row in found] == sorted(STATE_COUNTS.values(), reverse=True)
+
+
+@needs_items
+def test_daily_report(delimited):
+    rows = {str(row[0])[:10]: tuple(row)[1:] for row in daily_report(delimited).collect()}
+    assert len(rows) == 90
+    assert {day: rows[day] for day in DAYS} == DAYS
+    assert tuple(map(sum, zip(*rows.values(), strict=True))) == SUMS
+
+
+@needs_items
+def test_file_to_topic_to_table_to_reports(spark, delimited, database, tmp_path):
+    topic = folder_topic(str(tmp_path / "topic"))
+    assert jobs.publish_file(spark, ITEMS_CSV, topic) == 100
+    columns = ", ".join(f"{f.name} STRING" for f in ITEM_RAW.fields)
+    create_table(spark, f"{database}.raw", batch_table_columns(columns), partition_by=BATCH_COLUMNS)
+    jobs.load_items(spark, topic, f"{database}.raw", str(tmp_path / "cp"), UNTIL_DRAINED).awaitTermination()
+    raw = spark.table(f"{database}.raw").select(*ITEM_COLUMNS)
+    assert raw.exceptAll(delimited.select(*[delimited[c].cast("string").alias(c) for c in ITEM_COLUMNS])).isEmpty()
+    typed = typed_items(raw)
+    assert typed.where("shk_id is null or dt is null or isstock is null or correction_dt is null").isEmpty()
+    assert typed.where("isstock").count() == 9 and typed.where("isdeleted").count() == 1
+
+    create_table(spark, f"{database}.reports", REPORTS)
+    as_of = dt.datetime(2024, 8, 6, 8, 18, 4)
+    jobs.report_state_counts(spark, f"{database}.raw", f"{database}.reports", as_of)
+    jobs.create_state_counts_by_day(spark, f"{database}.target")
+    assert jobs.import_reports(spark, f"{database}.reports", f"{database}.target").applied == 24
+    found = {(str(row.dt_date), row.state_id): row.qty for row in spark.table(f"{database}.target").collect()}
+    assert found == {("2024-08-06", state): qty for state, qty in STATE_COUNTS.items()}
+    published = folder_topic(str(tmp_path / "reports"))
+    jobs.publish_table(spark, f"{database}.reports", ["state_id", "qty", "dt"], published)
+    texts = {bytes(row.value).decode() for row in published.read(spark).collect()}
+    assert '{"state_id":"BRA","qty":6,"dt":"2024-08-06 08:18:04"}' in texts
+
+
+@needs_items
+def test_parsed_messages_keep_the_spelling_of_times(spark, delimited, tmp_path):
+    topic = folder_topic(str(tmp_path / "topic"))
+    jobs.publish_file(spark, ITEMS_CSV, topic)
+    create = parse_items(topic.read(spark))
+    assert create.where("dt like '%.0'").count() == 100
+
+
+def test_literal_rows_give_office_totals(spark, database, tmp_path):
+    table = f"{database}.staging"
+    create_table(spark, table, STAGING, sort_key=["shk_id"])
+    insert_literals(spark, table, ["shk_id", "office_id", "dt_load", "is_stock"], STAGED)
+    assert rows_of(spark.table(table)) == sorted(
+        (shk, office, stock, dt.datetime.fromisoformat(load)) for shk, office, load, stock in STAGED
+    )
+    for files in (1, 2, 6):
+        path = str(tmp_path / f"stream{files}")
+        spark.table(table).repartitionByRange(files, "shk_id").write.parquet(path)
+        stream = spark.readStream.schema(STAGING).option("maxFilesPerTrigger", 1).parquet(path)
+        state = office_state(f"{database}.office{files}").create(spark)
+        keep_office_totals(stream, state, str(tmp_path / f"cp{files}"), UNTIL_DRAINED).awaitTermination()
+        assert rows_of(state.current(spark)) == OFFICE_TOTALS
+        state.compact(spark)
+        assert rows_of(state.current(spark)) == OFFICE_TOTALS
+
+
+def test_table_from_rows_keeps_types(spark, database):
+    rows = spark.createDataFrame([(2, "b"), (1, "a")], "shk_id BIGINT, state_id STRING")
+    create_table_as(spark, f"{database}.items", rows, sort_key=["shk_id"])
+    assert rows_of(spark.table(f"{database}.items")) == [(1, "a"), (2, "b")]
