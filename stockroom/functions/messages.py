@@ -37,7 +37,7 @@ def message_text(value: Column | str) -> Column:
 
 def parse_message(text: Column, schema: T.StructType | str, corrupt_column: str | None = None) -> Column:
     """Message text as a struct. A broken message gives NULL fields; with ``corrupt_column`` its text is kept there."""
-    options = {"mode": "PERMISSIVE"}
-    if corrupt_column:
-        options["columnNameOfCorruptRecord"] = corrupt_column
-    return F.from_json(text, schema, options)
+    if corrupt_column is None:
+        # Without options Spark parses only the fields that are used later.
+        return F.from_json(text, schema)
+    return F.from_json(text, schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": corrupt_column})

@@ -14,6 +14,8 @@ from stockroom.schemas import ITEM_COLUMNS, ITEM_FLAGS, ITEM_IDS, ITEM_RAW, ITEM
 # Fixed value: how a bare NaN in a message reads once decoded into a text field.
 DECODED_NAN = '"NaN"'
 
+BROKEN_MESSAGE = "broken_message"
+
 
 def parse_items(messages: DataFrame, schema: T.StructType = ITEM_RAW) -> DataFrame:
     """The fields of every message. A broken message keeps its row, with NULL in all fields."""
@@ -26,10 +28,9 @@ def parse_with_quarantine(messages: DataFrame, schema: T.StructType = ITEM_RAW)
 
     One pass serves both outputs: filter on the column, or write partitioned by whether it is NULL.
     """
-    broken = "broken_message"
     text = message_text("value")
-    with_broken = T.StructType([*schema.fields, T.StructField(broken, T.StringType())])
-    return messages.select(parse_message(text, with_broken, corrupt_column=broken).alias("item")).select("item.*")
+    with_text = T.StructType([*schema.fields, T.StructField(BROKEN_MESSAGE, T.StringType())])
+    return messages.select(parse_message(text, with_text, BROKEN_MESSAGE).alias("item")).select("item.*")
 
 
 def blank_missing_tare_type(items: DataFrame) -> DataFrame:

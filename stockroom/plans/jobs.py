@@ -17,14 +17,24 @@ from stockroom.operators import (
     expand_records,
     guarded_upsert,
     parse_items,
+    parse_with_quarantine,
     record_arrays,
     state_counts,
 )
+from stockroom.operators.items import BROKEN_MESSAGE
 from stockroom.schemas import ITEM_COLUMNS, ITEM_DELIMITED, STAGING, STATE_COUNTS_BY_DAY
 from stockroom.sinks import append_rows, create_table, publish
 from stockroom.sources import Topic, read_back, scan_delimited, scan_table
-from stockroom.streaming import Admission, MergeableState, keep_office_totals, load_into
+from stockroom.streaming import (
+    Admission,
+    MergeableState,
+    batch_table_columns,
+    for_each_batch,
+    keep_office_totals,
+    load_into,
+)
 from stockroom.streaming.admission import EVERY_SECOND
+from stockroom.streaming.loading import BATCH_COLUMNS, overwrite_batch
 
 # Fixed value: the fields of a record set of state counts.
 COUNT_RECORD = "dt_date date, state_id string, qty int, dt_load timestamp_ntz"
@@ -46,9 +56,39 @@ def load_items(
     table: str,
     checkpoint: str,
     trigger: Mapping[str, object] = EVERY_SECOND,
+    quarantine: str | None = None,
 ) -> StreamingQuery:
-    """Stream item messages into a table of raw items, parsed and cleaned on the executors."""
-    return load_into(parse_items(topic.stream(spark)), table, checkpoint, trigger, prepare=blank_missing_tare_type)
+    """Stream item messages into a table of raw items, parsed and cleaned on the executors.
+
+    A broken message becomes a row of NULLs; with a ``quarantine`` table (see :func:`create_quarantine`) its text goes
+    there instead.
+    """
+    if quarantine is None:
+        return load_into(parse_items(topic.stream(spark)), table, checkpoint, trigger, prepare=blank_missing_tare_type)
+
+    def handle(rows: DataFrame, run_id: str, batch_id: int) -> None:
+        # Kept, so that the batch is fetched and parsed once for both tables.
+        rows = blank_missing_tare_type(rows).persist()
+        try:
+            is_broken = F.col(BROKEN_MESSAGE).isNotNull()
+            overwrite_batch(rows.where(is_broken), quarantine, run_id, batch_id)
+            overwrite_batch(rows.where(~is_broken), table, run_id, batch_id)
+        finally:
+            rows.unpersist()
+
+    return for_each_batch(parse_with_quarantine(topic.stream(spark)), handle, checkpoint, trigger)
+
+
+def create_raw_items(spark: SparkSession, table: str) -> None:
+    """The table :func:`load_items` loads into, if it is missing."""
+    columns = ", ".join(f"{name} STRING" for name in ITEM_COLUMNS)
+    create_table(spark, table, batch_table_columns(columns), partition_by=BATCH_COLUMNS, if_not_exists=True)
+
+
+def create_quarantine(spark: SparkSession, table: str) -> None:
+    """A table for the text of broken messages, if it is missing."""
+    columns = batch_table_columns(f"{BROKEN_MESSAGE} STRING")
+    create_table(spark, table, columns, partition_by=BATCH_COLUMNS, if_not_exists=True)
 
 
 def ingest_stock(

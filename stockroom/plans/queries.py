@@ -39,6 +39,7 @@ from stockroom.operators import (
     state_counts,
     typed_items,
 )
+from stockroom.operators.daily_report import CONDITIONS
 from stockroom.plans import jobs
 from stockroom.plans.registry import check, fresh_database
 from stockroom.plans.standin import (
@@ -50,7 +51,7 @@ from stockroom.plans.standin import (
     staging,
     table,
 )
-from stockroom.schemas import ITEM_COLUMNS, ITEM_DELIMITED, ITEM_RAW, OFFICE_TOTALS, REPORTS, STAGING
+from stockroom.schemas import ITEM_COLUMNS, ITEM_DELIMITED, OFFICE_TOTALS, REPORTS, STAGING
 from stockroom.session import fresh_dir
 from stockroom.sinks import (
     append_rows,
@@ -65,9 +66,8 @@ from stockroom.sinks.publish import as_messages
 from stockroom.sources import folder_topic, read_back, scan_delimited, scan_delimited_inferred, scan_table
 from stockroom.streaming import (
     Admission,
+    DailyReportState,
     batch_table_columns,
-    current_daily_report,
-    daily_report_state,
     keep_daily_report,
     keep_office_totals,
     latest_totals,
@@ -169,14 +169,10 @@ def text_conditions(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def approx_distinct_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Estimates next to exact counts: true where they differ by at most 5 percent."""
-    events = table(spark, sf_dir, "events").groupBy(start_of_day("ts").alias("dt_day"))
-    counts = events.agg(
-        approx_unique("event_id").alias("shk_estimate"),
-        approx_unique("user_id").alias("tare_estimate"),
-        unique("event_id").alias("shk"),
-        unique("user_id").alias("tare"),
-    )
-    return counts.select("dt_day", _close("shk"), _close("tare"))
+    days = table(spark, sf_dir, "events").groupBy(start_of_day("ts").alias("dt_day"))
+    estimates = days.agg(approx_unique("event_id").alias("shk_estimate"), approx_unique("user_id").alias("tare_estimate"))
+    exact = days.agg(unique("event_id").alias("shk"), unique("user_id").alias("tare"))
+    return estimates.join(exact, "dt_day").select("dt_day", _close("shk"), _close("tare"))
 
 
 def _close(name: str):
@@ -258,10 +254,7 @@ def sentinel_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def quarantine_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Messages of one state lose their closing brace."""
-    sent = items(spark, sf_dir)
-    whole = F.to_json(F.struct(*ITEM_COLUMNS))
-    cut = F.when(F.col("state_id") == "WWE", F.substring(whole, F.lit(1), F.length(whole) - 1)).otherwise(whole)
-    parsed = parse_with_quarantine(sent.select(cut.cast("binary").alias("value")))
+    parsed = parse_with_quarantine(_cut_messages(items(spark, sf_dir)))
     return parsed.select("shk_id", "state_id", F.col("broken_message").isNotNull().alias("is_broken"))
 
 
@@ -350,7 +343,7 @@ def sorted_layout_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_shipdate")
     columns = "l_quantity DOUBLE, l_orderkey BIGINT, l_linenumber INT, l_shipdate TIMESTAMP_NTZ"
     create_table(spark, name, columns, sort_key=["l_orderkey"])
-    append_rows(spark, name, lines, ranges=int(spark.conf.get("spark.sql.shuffle.partitions")))
+    append_rows(spark, name, lines, clustered=True)
     return scan_table(spark, name)
 
 
@@ -607,12 +600,28 @@ def office_stock_running(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @check("AGG6 AGG7 AGG9 AGG10 JOB6 SNK4", f"{DAILY_REPORT_SQL} group by 1")
 def daily_report_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
-    states = daily_report_state(f"{fresh_database(spark)}.daily")
-    for state in states:
-        state.create(spark)
+    report = DailyReportState(f"{fresh_database(spark)}.daily").create(spark)
     rows = _folder_stream(spark, items(spark, sf_dir), "state_id")
-    keep_daily_report(rows, states, fresh_dir(spark, "checkpoint"), UNTIL_DRAINED).awaitTermination()
-    return current_daily_report(spark, states)
+    keep_daily_report(rows, report, fresh_dir(spark, "checkpoint"), UNTIL_DRAINED).awaitTermination()
+    return report.current(spark)
+
+
+@check(
+    "AGG4 AGG6 AGG7 AGG10 JOB6",
+    f"""select dt_day, true as shk_close, true as tare_close, qty_shk_without_tare, qty_shk_stock, qty_shk_wwe,
+               qty_shk_without_pc
+        from ({DAILY_REPORT_SQL} group by 1)""",
+)
+def daily_report_sketched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report kept by a stream with sketches, next to the exact distinct counts of the whole table."""
+    report = DailyReportState(f"{fresh_database(spark)}.daily", approximate=True).create(spark)
+    rows = items(spark, sf_dir)
+    stream = _folder_stream(spark, rows, "state_id")
+    keep_daily_report(stream, report, fresh_dir(spark, "checkpoint"), UNTIL_DRAINED).awaitTermination()
+    kept = report.current(spark).withColumnsRenamed({"qty_shk": "shk_estimate", "qty_tare": "tare_estimate"})
+    days = rows.groupBy(start_of_day(best_effort_timestamp("dt")).alias("dt_day"))
+    exact = days.agg(unique("shk_id").alias("shk"), unique("tare_id").alias("tare"))
+    return kept.join(exact, "dt_day").select("dt_day", _close("shk"), _close("tare"), *CONDITIONS)
 
 
 @check("SNK8 LIM1 STR2 SNK4", "select event_id, ts, value from events")
@@ -668,7 +677,38 @@ def stream_item_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     topic = folder_topic(fresh_dir(spark, "topic"))
     topic.append(messages)
     name = f"{fresh_database(spark)}.raw_items"
-    columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in ITEM_RAW.fields)
-    create_table(spark, name, batch_table_columns(columns), partition_by=BATCH_COLUMNS)
+    jobs.create_raw_items(spark, name)
     jobs.load_items(spark, topic, name, fresh_dir(spark, "checkpoint"), UNTIL_DRAINED).awaitTermination()
     return scan_table(spark, name, ITEM_COLUMNS)
+
+
+@check(
+    "FLT5 SNK3 SNK4 JOB2",
+    f"""select case when state_id <> 'WWE' then cast(shk_id as varchar) end as shk_id, state_id = 'WWE' as is_broken
+        from ({ITEMS_SQL})""",
+)
+def stream_item_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Item messages streamed into the raw item table, and those cut short into the quarantine."""
+    topic = folder_topic(fresh_dir(spark, "topic"))
+    topic.append(_cut_messages(items(spark, sf_dir)))
+    database = fresh_database(spark)
+    jobs.create_raw_items(spark, f"{database}.raw_items")
+    jobs.create_quarantine(spark, f"{database}.broken")
+    jobs.load_items(
+        spark,
+        topic,
+        f"{database}.raw_items",
+        fresh_dir(spark, "checkpoint"),
+        UNTIL_DRAINED,
+        quarantine=f"{database}.broken",
+    ).awaitTermination()
+    loaded = spark.table(f"{database}.raw_items").select("shk_id", F.lit(False).alias("is_broken"))
+    broken = spark.table(f"{database}.broken").select(F.lit(None).cast("string").alias("shk_id"), F.lit(True))
+    return loaded.union(broken)
+
+
+def _cut_messages(sent: DataFrame) -> DataFrame:
+    """Items as messages, of which those of one state lack their closing brace."""
+    whole = F.to_json(F.struct(*ITEM_COLUMNS))
+    cut = F.when(F.col("state_id") == "WWE", F.substring(whole, F.lit(1), F.length(whole) - 1)).otherwise(whole)
+    return sent.select(cut.cast("binary").alias("value"))

@@ -48,26 +48,25 @@ def create_table_as(spark: SparkSession, table: str, rows: DataFrame, sort_key:
     append_rows(spark, table, rows)
 
 
-def sorted_for(rows: DataFrame, sort_key: Sequence[str], ranges: int | None = None) -> DataFrame:
+def sorted_for(rows: DataFrame, sort_key: Sequence[str], clustered: bool = False) -> DataFrame:
     """Rows sorted by the key within every output file.
 
-    Without ``ranges`` nothing moves between tasks: each file covers all keys but its row groups do not. With
-    ``ranges`` each file also holds only its own key range, at the price of one shuffle; a hash of the whole row
+    Normally nothing moves between tasks: each file covers all keys but its row groups do not. With ``clustered`` each
+    file also holds only its own key range, at the price of a sampling pass and a shuffle; a hash of the whole row
     follows the key in the range order, so that one hot key is cut into several ranges.
     """
     if not sort_key:
         return rows
-    if ranges is None:
-        return rows.sortWithinPartitions(*sort_key)
-    spread = F.xxhash64(*rows.columns)
-    return rows.repartitionByRange(ranges, *sort_key, spread).sortWithinPartitions(*sort_key)
+    if clustered:
+        rows = rows.repartitionByRange(*sort_key, F.xxhash64(*rows.columns))
+    return rows.sortWithinPartitions(*sort_key)
 
 
-def append_rows(spark: SparkSession, table: str, rows: DataFrame, ranges: int | None = None) -> None:
+def append_rows(spark: SparkSession, table: str, rows: DataFrame, clustered: bool = False) -> None:
     """Append by column name, whatever order the columns have. Executors write; nothing passes through the driver."""
     target = spark.table(table)
     names = [f"`{name}`" for name in target.columns]
-    sorted_for(rows.select(*names), _sort_key(spark, table), ranges).write.insertInto(table)
+    sorted_for(rows.select(*names), _sort_key(spark, table), clustered).write.insertInto(table)
 
 
 def _sort_key(spark: SparkSession, table: str) -> list[str]:

@@ -1,12 +1,10 @@
 """Structured Streaming jobs: replay-safe loading and incremental state."""
 
 from stockroom.streaming.admission import Admission
+from stockroom.streaming.daily import DailyReportState, keep_daily_report
 from stockroom.streaming.loading import batch_table_columns, for_each_batch, load_into
 from stockroom.streaming.state import MergeableState
 from stockroom.streaming.totals import (
-    current_daily_report,
-    daily_report_state,
-    keep_daily_report,
     keep_office_totals,
     latest_totals,
     office_state,
@@ -15,10 +13,9 @@ from stockroom.streaming.totals import (
 
 __all__ = [
     "Admission",
+    "DailyReportState",
     "MergeableState",
     "batch_table_columns",
-    "current_daily_report",
-    "daily_report_state",
     "for_each_batch",
     "keep_daily_report",
     "keep_office_totals",

@@ -33,6 +33,8 @@ def for_each_batch(
 
     def on_batch(rows: DataFrame, batch_id: int) -> None:
         run_id = rows.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        if not run_id:
+            raise RuntimeError("the stream's identity is unknown, so its batches could not be replayed safely")
         handle(rows, run_id, batch_id)
 
     return (

@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from stockroom.operators.daily_report import CONDITIONS, condition_counts, with_day
 from stockroom.operators.totals import office_partials, office_totals
 from stockroom.streaming.admission import EVERY_SECOND
 from stockroom.streaming.loading import BATCH_COLUMNS, for_each_batch, overwrite_batch
@@ -56,70 +55,11 @@ def running_office_totals(
     )
 
 
-def latest_totals(spark: SparkSession, table: str) -> DataFrame:
-    """The newest totals of every office, of the one run that wrote the table."""
+def latest_totals(spark: SparkSession, table: str, run_id: str | None = None) -> DataFrame:
+    """The newest totals of every office. Name the run if streams with different checkpoints wrote to the table."""
     rows = spark.table(table)
+    if run_id is not None:
+        rows = rows.where(F.col("run_id") == run_id)
     values = [c for c in rows.columns if c not in ("office_id", *BATCH_COLUMNS)]
     newest = F.max_by(F.struct(*values), "batch_id").alias("newest")
     return rows.groupBy("office_id").agg(newest).select("office_id", "newest.*")
-
-
-# The item fields the daily report uses.
-REPORT_FIELDS = ["shk_id", "dt", *dict.fromkeys(field for field, _ in CONDITIONS.values())]
-
-
-def daily_report_state(table: str) -> tuple[MergeableState, MergeableState]:
-    """The daily report as two mergeable states: conditional counts, and the set of ids seen per day."""
-    counts = MergeableState(
-        f"{table}_counts", {"dt_day": "TIMESTAMP_NTZ"}, {name: ("BIGINT", "sum") for name in CONDITIONS}
-    )
-    ids = MergeableState(f"{table}_ids", {"dt_day": "TIMESTAMP_NTZ", "kind": "STRING", "id": "STRING"})
-    return counts, ids
-
-
-def daily_partials(items: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """A batch's rows for the two states of :func:`daily_report_state`."""
-    placed = with_day(items)
-    counts = placed.groupBy("dt_day").agg(*condition_counts())
-    kinds = [
-        F.struct(F.lit(kind).alias("kind"), F.col(f"{kind}_id").cast("string").alias("id")) for kind in ("shk", "tare")
-    ]
-    seen = placed.select("dt_day", F.inline(F.array(*kinds))).where(F.col("id").isNotNull())
-    return counts, seen.distinct()
-
-
-def keep_daily_report(
-    items: DataFrame,
-    states: tuple[MergeableState, MergeableState],
-    checkpoint: str,
-    trigger: Mapping[str, object] = EVERY_SECOND,
-) -> StreamingQuery:
-    """Add each batch of items to the daily report's states."""
-
-    def handle(rows: DataFrame, run_id: str, batch_id: int) -> None:
-        # Both states read the batch; kept, it is fetched and parsed once.
-        rows = rows.select(*REPORT_FIELDS).persist()
-        try:
-            for state, partials in zip(states, daily_partials(rows), strict=True):
-                state.add(partials, run_id, batch_id)
-        finally:
-            rows.unpersist()
-
-    return for_each_batch(items, handle, checkpoint, trigger)
-
-
-def current_daily_report(spark: SparkSession, states: tuple[MergeableState, MergeableState]) -> DataFrame:
-    """The daily report from its stored states; same columns and values as the batch report."""
-    counts, ids = (state.current(spark) for state in states)
-    seen = ids.groupBy("dt_day").agg(
-        F.count_if(F.col("kind") == "shk").alias("qty_shk"),
-        F.count_if(F.col("kind") == "tare").alias("qty_tare"),
-    )
-    # The NULL day is a group like any other, so it has to match itself. Both sides hold one row per day.
-    days = counts.withColumnRenamed("dt_day", "day").join(seen, F.col("day").eqNullSafe(F.col("dt_day")), "left")
-    return days.select(
-        F.col("day").alias("dt_day"),
-        F.coalesce("qty_shk", F.lit(0)).alias("qty_shk"),
-        F.coalesce("qty_tare", F.lit(0)).alias("qty_tare"),
-        *CONDITIONS,
-    )

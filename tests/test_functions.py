@@ -96,6 +96,7 @@ def test_conditions(spark):
     found = rows.select(text_is("a", "0"), flag_is_set("b")).collect()
     assert [tuple(r) for r in found] == [(True, True), (False, None), (None, None), (False, False)]
     assert rows.select(F.lit(0).alias("n")).where(text_is("n", "0")).count() == 4
+    assert rows.select(F.lit(True).alias("f")).where(text_is("f", "1")).count() == 4
 
 
 def as_values(spark, *texts):

@@ -14,12 +14,11 @@ from conftest import rows_of
 
 from stockroom.operators import daily_report, parse_items, state_counts, typed_items
 from stockroom.plans import jobs
-from stockroom.schemas import ITEM_COLUMNS, ITEM_DELIMITED, ITEM_RAW, REPORTS, STAGING
+from stockroom.schemas import ITEM_COLUMNS, ITEM_DELIMITED, REPORTS, STAGING
 from stockroom.sinks import create_table, create_table_as, insert_literals
 from stockroom.sources import folder_topic, scan_delimited, scan_delimited_inferred
-from stockroom.streaming import batch_table_columns, keep_office_totals, office_state
+from stockroom.streaming import keep_office_totals, office_state
 from stockroom.streaming.admission import UNTIL_DRAINED
-from stockroom.streaming.loading import BATCH_COLUMNS
 
 ITEMS_CSV = os.environ.get("STOCKROOM_ITEMS_CSV")
 COMMA_CSV = os.environ.get("STOCKROOM_ITEMS_COMMA_CSV")
@@ -95,8 +94,7 @@ def test_daily_report(delimited):
 def test_file_to_topic_to_table_to_reports(spark, delimited, database, tmp_path):
     topic = folder_topic(str(tmp_path / "topic"))
     assert jobs.publish_file(spark, ITEMS_CSV, topic) == 100
-    columns = ", ".join(f"{f.name} STRING" for f in ITEM_RAW.fields)
-    create_table(spark, f"{database}.raw", batch_table_columns(columns), partition_by=BATCH_COLUMNS)
+    jobs.create_raw_items(spark, f"{database}.raw")
     jobs.load_items(spark, topic, f"{database}.raw", str(tmp_path / "cp"), UNTIL_DRAINED).awaitTermination()
     raw = spark.table(f"{database}.raw").select(*ITEM_COLUMNS)
     assert raw.exceptAll(delimited.select(*[delimited[c].cast("string").alias(c) for c in ITEM_COLUMNS])).isEmpty()
@@ -121,8 +119,8 @@ def test_file_to_topic_to_table_to_reports(spark, delimited, database, tmp_path)
 def test_parsed_messages_keep_the_spelling_of_times(spark, delimited, tmp_path):
     topic = folder_topic(str(tmp_path / "topic"))
     jobs.publish_file(spark, ITEMS_CSV, topic)
-    create = parse_items(topic.read(spark))
-    assert create.where("dt like '%.0'").count() == 100
+    parsed = parse_items(topic.read(spark))
+    assert parsed.where("dt like '%.0'").count() == 100
 
 
 def test_literal_rows_give_office_totals(spark, database, tmp_path):

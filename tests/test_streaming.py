@@ -12,10 +12,9 @@ from stockroom.sinks import create_table, publish
 from stockroom.sources import folder_topic, kafka_connection, kafka_topic
 from stockroom.streaming import (
     Admission,
+    DailyReportState,
     MergeableState,
     batch_table_columns,
-    current_daily_report,
-    daily_report_state,
     keep_daily_report,
     keep_office_totals,
     latest_totals,
@@ -25,7 +24,6 @@ from stockroom.streaming import (
 )
 from stockroom.streaming.admission import UNTIL_DRAINED
 from stockroom.streaming.loading import BATCH_COLUMNS, overwrite_batch
-from stockroom.streaming.totals import daily_partials
 
 
 @pytest.fixture
@@ -157,28 +155,26 @@ DAY_ITEMS = [
 ]
 
 
-def test_incremental_daily_report_with_repeated_ids(spark, database):
+@pytest.mark.parametrize("approximate", [False, True])
+def test_incremental_daily_report_with_repeated_ids(spark, database, approximate):
     columns = "shk_id STRING, dt STRING, tare_id STRING, isstock STRING, state_id STRING, place_cod STRING"
-    states = daily_report_state(f"{database}.daily")
-    for state in states:
-        state.create(spark)
+    report = DailyReportState(f"{database}.daily{approximate}", approximate).create(spark)
     for number, row in enumerate(DAY_ITEMS):
-        batch = spark.createDataFrame([row, row], columns)
-        for state, partials in zip(states, daily_partials(batch), strict=True):
-            state.add(partials, "run", number)
+        report.add(spark.createDataFrame([row, row], columns), "run", number)
+        report.compact(spark)
     whole = spark.createDataFrame([row for row in DAY_ITEMS for _ in range(2)], columns)
-    assert rows_of(current_daily_report(spark, states)) == rows_of(daily_report(whole))
+    assert rows_of(report.current(spark)) == rows_of(daily_report(whole))
+    report.discard_covered(spark)
+    assert rows_of(report.current(spark)) == rows_of(daily_report(whole))
 
 
 def test_daily_report_stream(spark, database, tmp_path):
     columns = "shk_id STRING, dt STRING, tare_id STRING, isstock STRING, state_id STRING, place_cod STRING"
     items = spark.createDataFrame(DAY_ITEMS, columns)
-    states = daily_report_state(f"{database}.daily")
-    for state in states:
-        state.create(spark)
+    report = DailyReportState(f"{database}.daily").create(spark)
     stream = stream_of(spark, items, str(tmp_path / "in"), 3)
-    keep_daily_report(stream, states, str(tmp_path / "cp"), UNTIL_DRAINED).awaitTermination()
-    assert rows_of(current_daily_report(spark, states)) == rows_of(daily_report(items))
+    keep_daily_report(stream, report, str(tmp_path / "cp"), UNTIL_DRAINED).awaitTermination()
+    assert rows_of(report.current(spark)) == rows_of(daily_report(items))
 
 
 def test_kafka_topic_options():

@@ -92,11 +92,15 @@ def test_appends_sort_within_files(spark, database):
     assert spark.table(name).exceptAll(rows).isEmpty() and spark.table(name).count() == 1000
 
 
-def test_ranges_split_a_hot_key(spark):
-    rows = spark.range(6000).select(F.when(F.col("id") < 3000, 7).otherwise(F.col("id")).alias("k"), "id")
-    laid_out = sorted_for(rows, ["k"], ranges=6)
-    sizes = laid_out.groupBy(F.spark_partition_id()).count().collect()
-    assert max(r["count"] for r in sizes) < 2000
+def test_clustering_splits_a_hot_key(spark):
+    rows = spark.range(6000).select(F.when(F.col("id") < 4000, 7).otherwise(F.col("id")).alias("k"), "id")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        laid_out = sorted_for(rows, ["k"], clustered=True)
+        sizes = [r["count"] for r in laid_out.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert len(sizes) == 4 and max(sizes) < 2000
     assert laid_out.exceptAll(rows).isEmpty() and laid_out.count() == 6000
 
 
