@@ -23,11 +23,8 @@ def message(columns: Sequence[Column | str]) -> Column:
 
 def iso_record(columns: Sequence[Column | str]) -> Column:
     """One row as JSON text with ISO times of millisecond precision, for record-set hand-over."""
-    return F.to_json(F.struct(*columns), iso_options())
-
-
-def iso_options() -> dict[str, str]:
-    return {"ignoreNullFields": "false", "timestampNTZFormat": ISO_MILLIS, "timestampFormat": ISO_MILLIS}
+    options = {"ignoreNullFields": "false", "timestampNTZFormat": ISO_MILLIS, "timestampFormat": ISO_MILLIS}
+    return F.to_json(F.struct(*columns), options)
 
 
 def message_text(value: Column | str) -> Column:
@@ -36,8 +33,10 @@ def message_text(value: Column | str) -> Column:
 
 
 def parse_message(text: Column, schema: T.StructType | str, corrupt_column: str | None = None) -> Column:
-    """Message text as a struct. A broken message gives NULL fields; with ``corrupt_column`` its text is kept there."""
+    """Message text as a struct. A broken message gives NULL fields; with ``corrupt_column`` its text is kept there.
+
+    A schema with only the fields that are needed makes parsing cheaper.
+    """
     if corrupt_column is None:
-        # Without options Spark parses only the fields that are used later.
         return F.from_json(text, schema)
     return F.from_json(text, schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": corrupt_column})

@@ -8,12 +8,11 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 DATE_TIME = r"^\d{4}-\d{2}-\d{2}[ T]\d{2}:\d{2}:\d{2}(\.\d*)?$"
+UNIX_SECONDS = r"^\d{9,10}$"
 DATE_MINUTE = r"^\d{4}-\d{2}-\d{2}([ T]\d{2}:\d{2})?$"
-ZONED = r"^(\d{4}-\d{2}-\d{2}[ T]\d{2}:\d{2}:\d{2})(?:\.\d*)? ?(?:Z|([+-])(\d{2}):?(\d{2}))$"
 DAY_FIRST = r"^(\d{2})[/.-](\d{2})[/.-](\d{4})(?: (\d{2}:\d{2}(?::\d{2})?))?$"
-COMPACT = r"^(\d{4})(\d{2})(\d{2})(\d{2})(\d{2})(\d{2})$"
-COMPACT_DAY = r"^(\d{4})(\d{2})(\d{2})$"
-UNIX_SECONDS = r"^\d{9,10}$"
+COMPACT = r"^(\d{4})(\d{2})(\d{2})(?:(\d{2})(\d{2})(\d{2}))?$"
+ZONED = r"^(\d{4}-\d{2}-\d{2}[ T]\d{2}:\d{2}:\d{2})(?:\.\d*)? ?(?:Z|([+-])(\d{2}):?(\d{2}))$"
 
 
 def _time(text: Column) -> Column:
@@ -35,13 +34,11 @@ def best_effort_timestamp(c: Column | str) -> Column:
         sign * F.coalesce(F.regexp_extract(text, ZONED, 4).try_cast("int"), F.lit(0)),
     )
     epoch = F.expr("timestamp_ntz'1970-01-01 00:00:00'")
+    year_first = F.regexp_replace(F.regexp_replace(text, DAY_FIRST, "$3-$2-$1 $4"), COMPACT, "$1-$2-$3 $4:$5:$6")
     return (
         F.when(text.rlike(DATE_TIME), _time(F.substring(text, 1, 19)))
-        .when(text.rlike(DATE_MINUTE), _time(text))
         .when(text.rlike(UNIX_SECONDS), epoch + F.make_dt_interval(secs=text.try_cast("decimal(18,6)")))
-        .when(text.rlike(DAY_FIRST), _time(F.rtrim(F.regexp_replace(text, DAY_FIRST, "$3-$2-$1 $4"))))
-        .when(text.rlike(COMPACT), _time(F.regexp_replace(text, COMPACT, "$1-$2-$3 $4:$5:$6")))
-        .when(text.rlike(COMPACT_DAY), _time(F.regexp_replace(text, COMPACT_DAY, "$1-$2-$3")))
+        .when(text.rlike("|".join([DATE_MINUTE, DAY_FIRST, COMPACT])), _time(F.rtrim(year_first, F.lit(" :"))))
         .when(text.rlike(ZONED), _time(F.regexp_extract(text, ZONED, 1)) - offset)
     )
 

@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 
 
 def bitmap_state(rows: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
-    """Exact state for dense, non-negative integer ids: one bitmap of 4 KB per key and block of 32,768 ids.
+    """Exact state for dense integer ids: one bitmap of 4 KB per key and block of 32,768 ids.
 
-    A hot key is split over its id blocks. For sparse ids keep the distinct (key, id) rows instead.
+    Tasks combine their bitmaps before the shuffle, and a hot key is split over its id blocks. For sparse ids keep the
+    distinct (key, id) rows instead.
     """
     return (
         rows.where(F.col(value).isNotNull())

@@ -2,24 +2,29 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stockroom.functions.messages import iso_options
+from stockroom.functions import iso_record
 
 
 def record_arrays(rows: DataFrame, columns: Sequence[str], max_records: int = 1000) -> DataFrame:
     """JSON arrays of at most ``max_records`` records each, in the column ``records``.
 
-    Runs of neighbouring rows of one input partition share an array, whatever keys they have, so a hot key cannot
-    make an array grow.
+    Neighbouring rows of one input partition share an array, whatever keys they have: nothing is shuffled, a hot key
+    cannot make an array grow, and a task that is run again packs exactly its own rows again.
     """
-    run = F.floor(F.monotonically_increasing_id() / max_records)
-    packed = rows.select(F.struct(*columns).alias("record"), run.alias("run"))
-    arrays = packed.groupBy("run").agg(F.collect_list("record").alias("records"))
-    return arrays.select(F.to_json("records", iso_options()).alias("records"))
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            records = batch.column(0).to_pylist()
+            runs = [records[start : start + max_records] for start in range(0, len(records), max_records)]
+            yield pa.RecordBatch.from_pydict({"records": [f"[{','.join(run)}]" for run in runs]})
+
+    return rows.select(iso_record(columns).alias("record")).mapInArrow(pack, "records STRING")
 
 
 def expand_records(arrays: DataFrame, schema: str, column: str = "records") -> DataFrame:

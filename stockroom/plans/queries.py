@@ -170,7 +170,9 @@ def text_conditions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def approx_distinct_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Estimates next to exact counts: true where they differ by at most 5 percent."""
     days = table(spark, sf_dir, "events").groupBy(start_of_day("ts").alias("dt_day"))
-    estimates = days.agg(approx_unique("event_id").alias("shk_estimate"), approx_unique("user_id").alias("tare_estimate"))
+    estimates = days.agg(
+        approx_unique("event_id").alias("shk_estimate"), approx_unique("user_id").alias("tare_estimate")
+    )
     exact = days.agg(unique("event_id").alias("shk"), unique("user_id").alias("tare"))
     return estimates.join(exact, "dt_day").select("dt_day", _close("shk"), _close("tare"))
 
@@ -556,10 +558,9 @@ def _folder_stream(spark: SparkSession, rows: DataFrame, split: str, batches: in
 def _messages_by_type(spark: SparkSession, sf_dir: str) -> str:
     """Staging rows as messages, in one folder per type."""
     rows = staging(spark, sf_dir)
-    messages = F.to_json(F.struct(rows.shk_id, rows.office_id, rows.is_stock, datetime_text("dt_load").alias("dt_load")))
-    return spread_over_files(
-        spark, rows.select(messages.cast("binary").alias("value"), "is_stock"), "is_stock", "topic"
-    )
+    fields = ["shk_id", "office_id", "is_stock", datetime_text("dt_load").alias("dt_load")]
+    messages = F.to_json(F.struct(*fields)).cast("binary").alias("value")
+    return spread_over_files(spark, rows.select(messages, "is_stock"), "is_stock", "topic")
 
 
 @check("AGG6 AGG7 SNK4 STR1 STR2 STR3 STR5", OFFICE_TOTALS_SQL)

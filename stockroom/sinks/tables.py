@@ -21,7 +21,7 @@ def create_layers(spark: SparkSession, location: str | None = None, prefix: str
     names = [f"{prefix}{layer}" for layer in LAYERS]
     for name in names:
         place = f" LOCATION '{location.rstrip('/')}/{name}'" if location else ""
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}{place}")
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}`{place}")
     return names
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from stockroom.sinks.partitions import drop_partitions, partition_values
 from stockroom.sinks.tables import create_table
-from stockroom.streaming.loading import BATCH_COLUMNS, overwrite_batch
+from stockroom.streaming.loading import BATCH_COLUMNS, batch_table_columns, overwrite_batch
 
 COMBINE = {
     "sum": F.sum,
@@ -50,21 +50,23 @@ class MergeableState:
     def columns(self) -> list[str]:
         return [*self.keys, *self.measures]
 
-    def create(self, spark: SparkSession) -> MergeableState:
+    @property
+    def column_list(self) -> str:
         types = {**self.keys, **{name: kind for name, (kind, _) in self.measures.items()}}
-        columns = ", ".join(f"`{name}` {kind}" for name, kind in types.items())
-        create_table(
-            spark, self.parts, f"{columns}, run_id STRING, batch_id BIGINT",
-            partition_by=BATCH_COLUMNS, if_not_exists=True,
-        )
-        create_table(
-            spark, self.merged, f"{columns}, fold_id STRING", partition_by=["fold_id"], if_not_exists=True
-        )
-        create_table(
-            spark, self.folds, "fold_no BIGINT, fold_id STRING, run_id STRING, upto BIGINT", if_not_exists=True
-        )
+        return ", ".join(f"`{name}` {kind}" for name, kind in types.items())
+
+    def create(self, spark: SparkSession) -> MergeableState:
+        """Create the table of parts if it is missing; the others come with the first compaction."""
+        columns = batch_table_columns(self.column_list)
+        create_table(spark, self.parts, columns, partition_by=BATCH_COLUMNS, if_not_exists=True)
         return self
 
+    def _create_merged(self, spark: SparkSession) -> None:
+        columns = f"{self.column_list}, fold_id STRING"
+        create_table(spark, self.merged, columns, partition_by=["fold_id"], if_not_exists=True)
+        columns = "fold_no BIGINT, fold_id STRING, run_id STRING, upto BIGINT"
+        create_table(spark, self.folds, columns, if_not_exists=True)
+
     def combine(self, rows: DataFrame) -> DataFrame:
         """Partial rows combined to one row per key."""
         if not self.measures:
@@ -82,6 +84,8 @@ class MergeableState:
 
     def _latest_fold(self, spark: SparkSession) -> tuple[int, str, dict[str, int]]:
         """Number, id and covered batches of the latest published compaction: one small row per run."""
+        if not spark.catalog.tableExists(self.folds):
+            return 0, "", {}
         spark.catalog.refreshTable(self.folds)
         folds = spark.table(self.folds)
         latest = folds.agg(F.max(F.struct("fold_no", "fold_id")).alias("f")).collect()[0]["f"]
@@ -120,6 +124,7 @@ class MergeableState:
         fresh = sum(covered.get(run, -1) < i <= upto[run] for run, ids in batches.items() for i in ids)
         if not fresh:
             return 0
+        self._create_merged(spark)
         fold_id = uuid.uuid4().hex
         state = self.combine(self._stored(spark, upto)).withColumn("fold_id", F.lit(fold_id))
         state.select(*self.columns, "fold_id").write.insertInto(self.merged)

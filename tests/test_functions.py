@@ -152,7 +152,8 @@ def test_typed_layer_and_losses(spark):
 
 
 def test_messages_keep_nulls_and_microseconds(spark):
-    rows = spark.createDataFrame([(1, dt.datetime(2024, 1, 1, 0, 0, 0, 123456), None)], "a INT, t TIMESTAMP_NTZ, s STRING")
+    time = dt.datetime(2024, 1, 1, 0, 0, 0, 123456)
+    rows = spark.createDataFrame([(1, time, None)], "a INT, t TIMESTAMP_NTZ, s STRING")
     text = as_messages(rows).select(F.col("value").cast("string")).first()[0]
     assert text == '{"a":1,"t":"2024-01-01 00:00:00.123456","s":null}'
     assert rows.select(message(["a"]).cast("string")).first()[0] == '{"a":1}'

@@ -69,7 +69,8 @@ def target(spark, database):
 
 
 def stored(spark, target):
-    return rows_of(spark.table(target).withColumn("state_id", F.rtrim("state_id")), "dt_date", "state_id", "qty", "dt_load")
+    rows = spark.table(target).withColumn("state_id", F.rtrim("state_id"))
+    return rows_of(rows, "dt_date", "state_id", "qty", "dt_load")
 
 
 def test_upsert_rules_and_replay(spark, target):
@@ -121,9 +122,7 @@ def test_empty_upsert_changes_nothing(spark, target):
 def test_upsert_with_one_hot_key(spark, target):
     third = spark.range(30_000).select(
         F.lit(DAY).alias("dt_date"),
-        F.when(F.col("id") < 10_000, "HOT").otherwise(F.concat(F.lit("S"), F.pmod("id", F.lit(50)).cast("string"))).alias(
-            "state_id"
-        ),
+        F.when(F.col("id") < 10_000, "HOT").otherwise(F.format_string("S%d", F.pmod("id", F.lit(50)))).alias("state_id"),
         F.col("id").cast("int").alias("qty"),
         (F.lit(at(0).isoformat()).cast("timestamp_ntz") + F.make_dt_interval(secs=F.col("id"))).alias("dt_load"),
     )
@@ -167,7 +166,8 @@ def test_daily_report_nulls(spark):
         (dt.datetime(2024, 2, 3), 1, 2, 2, 1, 1, 1),
         (dt.datetime(2024, 2, 4), 1, 0, 0, 0, 0, 0),
     ]
-    assert rows_of(daily_report(items(spark, DAY_ROWS), approximate=True)) == rows_of(daily_report(items(spark, DAY_ROWS)))
+    estimated = daily_report(items(spark, DAY_ROWS), approximate=True)
+    assert rows_of(estimated) == rows_of(daily_report(items(spark, DAY_ROWS)))
 
 
 def test_daily_report_of_last_days_pushes_the_bound_down(spark, tmp_path):
@@ -200,7 +200,8 @@ def test_record_arrays_are_bounded_and_complete(spark):
 
 
 def test_expand_records_fields(spark):
-    arrays = spark.createDataFrame([('[{"a": 1, "x": 2}, {"b": "2024-08-06T08:18:04.000"}]',), ("[]",)], "records STRING")
+    texts = ['[{"a": 1, "x": 2}, {"b": "2024-08-06T08:18:04.000"}]', "[]"]
+    arrays = spark.createDataFrame([(text,) for text in texts], "records STRING")
     assert rows_of(expand_records(arrays, "a int, b timestamp_ntz, c date")) == [
         (None, dt.datetime(2024, 8, 6, 8, 18, 4), None),
         (1, None, None),

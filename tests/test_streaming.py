@@ -106,6 +106,7 @@ def test_unpublished_compaction_is_not_read(spark, database, staged):
         state.add(office_totals(staged.where(F.pmod("shk_id", F.lit(3)) == number)), "run", number)
     expected = rows_of(office_totals(staged))
     # What a compaction leaves behind when it is lost before publishing.
+    state._create_merged(spark)
     state.current(spark).withColumn("fold_id", F.lit("lost")).write.insertInto(state.merged)
     assert rows_of(state.current(spark)) == expected
     assert state.compact(spark) == 2

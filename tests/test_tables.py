@@ -7,7 +7,7 @@ from conftest import rows_of
 from pyspark.sql import functions as F
 
 from stockroom import fresh_dir, work_dir
-from stockroom.schemas import ITEM_COLUMNS, ITEM_DELIMITED, ITEM_RAW, ITEM_TYPED, STAGING
+from stockroom.schemas import ITEM_COLUMNS, ITEM_DELIMITED, ITEM_RAW, ITEM_TYPED, OFFICE_TOTALS, STAGING
 from stockroom.sinks import (
     append_jdbc,
     append_rows,
@@ -42,8 +42,10 @@ def test_schemas_agree_on_names():
 
 def test_delimited_file_with_byte_order_mark(spark, item_file):
     rows = scan_delimited(spark, item_file, ITEM_DELIMITED).orderBy("shk_id").collect()
-    assert [(r.shk_id, r.tare_type, r.isstock, r.wbsticker_id) for r in rows] == [(2, "CON", 0, 17553486756), (23, "", 1, 23)]
-    assert scan_delimited(spark, item_file, ITEM_DELIMITED, empty_as_text=False).where("tare_type is null").count() == 1
+    found = [(r.shk_id, r.tare_type, r.isstock, r.wbsticker_id) for r in rows]
+    assert found == [(2, "CON", 0, 17553486756), (23, "", 1, 23)]
+    with_nulls = scan_delimited(spark, item_file, ITEM_DELIMITED, empty_as_text=False)
+    assert with_nulls.where("tare_type is null").count() == 1
 
 
 def test_inferred_file_has_no_nulls(spark, tmp_path):
@@ -58,9 +60,13 @@ def test_inferred_file_has_no_nulls(spark, tmp_path):
 
 def test_layers_are_idempotent(spark, tmp_path):
     for _ in range(2):
-        names = create_layers(spark, str(tmp_path), prefix="layer_")
-    assert names == ["layer_staging", "layer_current", "layer_history", "layer_log"]
+        names = create_layers(spark, str(tmp_path))
+    assert names == ["staging", "current", "history", "log"]
     assert set(names) <= {row[0] for row in spark.sql("SHOW DATABASES").collect()}
+    create_table(spark, "current.`table`", OFFICE_TOTALS, sort_key=["office_id"])
+    insert_literals(spark, "current.`table`", ["total", "office_id", "is_stock_count"], [(3, 1, 2)])
+    assert rows_of(spark.table("current.`table`")) == [(1, 2, 3)]
+    assert create_layers(spark, str(tmp_path), prefix="other_")[0] == "other_staging"
 
 
 def test_create_if_not_exists_keeps_rows(spark, database):
@@ -109,11 +115,15 @@ def test_scan_selects_in_order(spark, database):
     assert scan_table(spark, f"{database}.t", ["c", "a"]).columns == ["c", "a"]
 
 
+def numbered(spark, times):
+    return spark.createDataFrame([(t, i) for i, t in enumerate(times)], "t TIMESTAMP_NTZ, i INT")
+
+
 def test_month_partitions_prune(spark, database):
     name = f"{database}.log"
     times = [dt.datetime(2024, 1, 31, 23), dt.datetime(2024, 2, 1), dt.datetime(2024, 2, 29), None]
-    write_by_month(spark, name, spark.createDataFrame([(t, i) for i, t in enumerate(times)], "t TIMESTAMP_NTZ, i INT"), "t")
-    write_by_month(spark, name, spark.createDataFrame([(times[0], 9)], "t TIMESTAMP_NTZ, i INT"), "t")
+    write_by_month(spark, name, numbered(spark, times), "t")
+    write_by_month(spark, name, numbered(spark, times[:1]), "t")
     february = spark.table(name).where("yyyymm = 202402")
     assert rows_of(february, "i") == [(1,), (2,)]
     assert "PartitionFilters: [isnotnull(yyyymm" in february._jdf.queryExecution().toString()
@@ -134,7 +144,7 @@ def test_expiry_keeps_the_boundary_day(spark, database, as_of, kept, dropped):
     times = [
         dt.datetime(2024, 1, 31), dt.datetime(2024, 2, 9, 23, 59), dt.datetime(2024, 2, 10), dt.datetime(2024, 3, 1), None,
     ]
-    write_by_month(spark, name, spark.createDataFrame([(t, i) for i, t in enumerate(times)], "t TIMESTAMP_NTZ, i INT"), "t")
+    write_by_month(spark, name, numbered(spark, times), "t")
     assert expire_months(spark, name, "t", 30, as_of) == dropped
     assert rows_of(spark.table(name), "i") == [(i,) for i in kept]
 
