@@ -40,15 +40,15 @@ def work_dir(spark: SparkSession) -> str:
     A cluster names it in ``spark.checkpoint.dir``. Only a local master may fall back to a temporary folder, because
     executors on other machines could not read one.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured is None:
-        if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if folder is None:
+        if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors can reach")
-        configured = tempfile.mkdtemp(prefix="stockroom-")
-        spark.conf.set("spark.checkpoint.dir", configured)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(configured)
-    return configured
+        folder = tempfile.mkdtemp(prefix="stockroom-")
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(folder)
+    return folder
 
 
 def fresh_dir(spark: SparkSession, label: str) -> str:
