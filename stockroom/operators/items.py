@@ -24,13 +24,16 @@ def parse_items(messages: DataFrame, schema: T.StructType = ITEM_RAW) -> DataFra
 
 
 def parse_with_quarantine(messages: DataFrame, schema: T.StructType = ITEM_RAW) -> DataFrame:
-    """Like :func:`parse_items`, plus ``broken_message``: the text of a message that does not parse, else NULL.
+    """Like :func:`parse_items`, plus ``broken_message``: the text of a message that is no record, else NULL.
 
-    One pass serves both outputs: filter on the column, or write partitioned by whether it is NULL.
+    An empty message is broken too, with empty text. One pass serves both outputs: filter on the column, or write
+    partitioned by whether it is NULL.
     """
     text = message_text("value")
     with_text = T.StructType([*schema.fields, T.StructField(BROKEN_MESSAGE, T.StringType())])
-    return messages.select(parse_message(text, with_text, BROKEN_MESSAGE).alias("item")).select("item.*")
+    parsed = messages.select(text.alias("text"), parse_message(text, with_text, BROKEN_MESSAGE).alias("item"))
+    broken = F.when(F.col("item").isNull(), F.coalesce("text", F.lit(""))).otherwise(F.col(f"item.{BROKEN_MESSAGE}"))
+    return parsed.select(*[F.col(f"item.{name}").alias(name) for name in schema.names], broken.alias(BROKEN_MESSAGE))
 
 
 def blank_missing_tare_type(items: DataFrame) -> DataFrame:

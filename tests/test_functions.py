@@ -125,12 +125,11 @@ def test_parse_edge_messages(spark):
 
 
 def test_quarantine_keeps_the_text_of_broken_messages(spark):
-    texts = ['{"shk_id": 7}', "{bad", "", '{"shk_id": 1', "[]", "5", "{}"]
-    rows = parse_with_quarantine(as_values(spark, *texts)).select("shk_id", "broken_message").collect()
-    assert rows[0] == ("7", None)
-    assert [r.broken_message for r in rows[1:4]] == ["{bad", None, '{"shk_id": 1']
-    assert rows[5].broken_message == "5"
-    assert rows[6] == (None, None)
+    texts = ['{"shk_id": 7}', "{}", "{bad", "", '{"shk_id": 1', "[]", "5"]
+    messages = as_values(spark, *texts).union(spark.sql("SELECT CAST(NULL AS BINARY)"))
+    rows = parse_with_quarantine(messages).select("shk_id", "broken_message").collect()
+    assert [tuple(r) for r in rows[:2]] == [("7", None), (None, None)]
+    assert [r.broken_message for r in rows[2:]] == [*texts[2:], ""]
 
 
 def test_typed_layer_and_losses(spark):
