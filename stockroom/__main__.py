@@ -44,6 +44,7 @@ def arguments() -> argparse.ArgumentParser:
     for command in (load, ingest):
         command.add_argument("--until-drained", action="store_true", help="stop when all present messages are loaded")
     compact = job("compact-stock", "combine the stored totals' batches", "state")
+    compact.add_argument("--full", action="store_true", help="also combine the results of earlier compactions")
     compact.add_argument("--discard", action="store_true", help="also delete what was combined")
     job("stock-totals", "totals per office", "state").add_argument("--out")
     for name, about in (
@@ -107,7 +108,7 @@ def run(spark: SparkSession, options: argparse.Namespace) -> None:
                 spark, _topic(options), options.staging, state, options.checkpoint, Admission(), trigger
             ).awaitTermination()
         case "compact-stock":
-            print(office_state(options.state).compact(spark), "batches combined")
+            print(office_state(options.state).compact(spark, options.full), "batches combined")
             if options.discard:
                 office_state(options.state).discard_covered(spark)
         case "stock-totals":

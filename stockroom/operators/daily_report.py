@@ -35,7 +35,7 @@ def with_day(items: DataFrame, last_days: int | None = None, as_of: dt.date | No
 
     A ``dt`` that is a time already is used as it is, and then the filter is pushed down to the scan.
     """
-    time = F.col("dt") if dict(items.dtypes)["dt"].startswith("timestamp") else best_effort_timestamp("dt")
+    time = best_effort_timestamp("dt") if dict(items.dtypes)["dt"] == "string" else F.col("dt")
     if last_days is not None:
         items = items.where(since_days(time, last_days, as_of))
     return items.withColumn("dt_day", start_of_day(time))

@@ -403,8 +403,9 @@ def publish_accounting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @check(
     "SRC2 JOB7 FN1 FN2",
-    """select cast(extract(hour from ts) as integer) as "partition", event_id as "offset", event_type as state_id,
-              user_id as qty from events""",
+    """select cast(extract(hour from ts) as integer) as topic_partition, event_id as topic_offset,
+              event_type as state_id, user_id as qty
+       from events""",
 )
 def topic_read_back(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Messages of a topic that is partitioned by hour, with their positions."""
@@ -416,7 +417,8 @@ def topic_read_back(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.to_json(F.struct(*fields)).cast("binary").alias("value"),
     ).write.parquet(path)
     topic = folder_topic(path, "partition INT, offset BIGINT, value BINARY")
-    return jobs.read_topic(spark, topic, "state_id STRING, qty BIGINT")
+    decoded = jobs.read_topic(spark, topic, "state_id STRING, qty BIGINT")
+    return decoded.withColumnsRenamed({"partition": "topic_partition", "offset": "topic_offset"})
 
 
 @check("SRC3 SRC2 JOB1 JOB7", ITEMS_SQL)
@@ -517,7 +519,7 @@ def guarded_upsert_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
 @check(
     "SNK12 FN12",
     """select cast(strftime(o_orderdate, '%Y%m') as integer) as yyyymm, count(*) as orders,
-              min(o_orderdate) as first, max(o_orderdate) as last
+              min(o_orderdate) as first_order, max(o_orderdate) as last_order
        from orders group by 1""",
 )
 def month_partitioned_log(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -526,7 +528,11 @@ def month_partitioned_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
         spark.table(name)
         .groupBy("yyyymm")
-        .agg(F.count("*").alias("orders"), F.min("o_orderdate").alias("first"), F.max("o_orderdate").alias("last"))
+        .agg(
+            F.count("*").alias("orders"),
+            F.min("o_orderdate").alias("first_order"),
+            F.max("o_orderdate").alias("last_order"),
+        )
     )
 
 

@@ -52,9 +52,9 @@ class DailyReportState:
             state.create(spark)
         return self
 
-    def compact(self, spark: SparkSession) -> None:
+    def compact(self, spark: SparkSession, full: bool = False) -> None:
         for state in self.states:
-            state.compact(spark)
+            state.compact(spark, full)
 
     def discard_covered(self, spark: SparkSession) -> None:
         for state in self.states:

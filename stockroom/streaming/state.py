@@ -20,14 +20,23 @@ COMBINE = {
 }
 
 
+@dataclass(frozen=True)
+class Compaction:
+    """A published compaction: the merged row sets in use, and the last batch of each run that they cover."""
+
+    number: int = 0
+    active: tuple[str, ...] = ()
+    covered: Mapping[str, int] = field(default_factory=dict)
+
+
 @dataclass(frozen=True)
 class MergeableState:
     """State rows per key whose measures combine in any order and grouping; without measures, a set of keys.
 
     Batches add partial rows to ``<table>_parts``, each in its own partition, so a replayed batch replaces itself.
-    :meth:`compact` combines closed batches into ``<table>_merged`` and then publishes that with one row set in
-    ``<table>_folds``, which says which batches it covers: a reader sees the state either before or after, never
-    both. Many streams may add; one compaction runs at a time.
+    :meth:`compact` writes combined rows to ``<table>_merged`` and then publishes them with a few rows in
+    ``<table>_compactions``, which say what they cover: a reader sees the state either before or after, never both.
+    Many streams may add; one compaction runs at a time.
     """
 
     table: str
@@ -43,8 +52,8 @@ class MergeableState:
         return f"{self.table}_merged"
 
     @property
-    def folds(self) -> str:
-        return f"{self.table}_folds"
+    def compactions(self) -> str:
+        return f"{self.table}_compactions"
 
     @property
     def columns(self) -> list[str]:
@@ -62,10 +71,10 @@ class MergeableState:
         return self
 
     def _create_merged(self, spark: SparkSession) -> None:
-        columns = f"{self.column_list}, fold_id STRING"
-        create_table(spark, self.merged, columns, partition_by=["fold_id"], if_not_exists=True)
-        columns = "fold_no BIGINT, fold_id STRING, run_id STRING, upto BIGINT"
-        create_table(spark, self.folds, columns, if_not_exists=True)
+        columns = f"{self.column_list}, set_id STRING"
+        create_table(spark, self.merged, columns, partition_by=["set_id"], if_not_exists=True)
+        columns = "number BIGINT, active ARRAY<STRING>, run_id STRING, upto BIGINT"
+        create_table(spark, self.compactions, columns, if_not_exists=True)
 
     def combine(self, rows: DataFrame) -> DataFrame:
         """Partial rows combined to one row per key."""
@@ -80,62 +89,74 @@ class MergeableState:
 
     def current(self, spark: SparkSession) -> DataFrame:
         """The combined state of all batches stored so far."""
-        return self.combine(self._stored(spark))
-
-    def _latest_fold(self, spark: SparkSession) -> tuple[int, str, dict[str, int]]:
-        """Number, id and covered batches of the latest published compaction: one small row per run."""
-        if not spark.catalog.tableExists(self.folds):
-            return 0, "", {}
-        spark.catalog.refreshTable(self.folds)
-        folds = spark.table(self.folds)
-        latest = folds.agg(F.max(F.struct("fold_no", "fold_id")).alias("f")).collect()[0]["f"]
-        if latest is None:
-            return 0, "", {}
-        covered = folds.where(F.col("fold_id") == latest["fold_id"]).collect()
-        return latest["fold_no"], latest["fold_id"], {row["run_id"]: row["upto"] for row in covered}
-
-    def _stored(self, spark: SparkSession, upto: Mapping[str, int] | None = None) -> DataFrame:
-        """Merged rows and the parts they do not cover, the latter up to the given batches. Prunes partitions."""
-        _, fold_id, covered = self._latest_fold(spark)
+        latest = self._latest(spark)
+        rows = self._uncovered(spark, latest)
+        if latest.active:
+            rows = rows.unionByName(self._merged_rows(spark, latest))
+        return self.combine(rows)
+
+    def _latest(self, spark: SparkSession) -> Compaction:
+        """The latest published compaction: one small row per run."""
+        if not spark.catalog.tableExists(self.compactions):
+            return Compaction()
+        spark.catalog.refreshTable(self.compactions)
+        published = spark.table(self.compactions)
+        number = published.agg(F.max("number")).first()[0]
+        rows = published.where(F.col("number") == number).collect() if number else []
+        if not rows:
+            return Compaction()
+        return Compaction(number, tuple(rows[0]["active"]), {row["run_id"]: row["upto"] for row in rows})
+
+    def _merged_rows(self, spark: SparkSession, latest: Compaction) -> DataFrame:
+        spark.catalog.refreshTable(self.merged)
+        return spark.table(self.merged).where(F.col("set_id").isin(*latest.active)).select(*self.columns)
+
+    def _uncovered(self, spark: SparkSession, latest: Compaction, upto: Mapping[str, int] | None = None) -> DataFrame:
+        """Parts the merged rows do not cover, at most up to the given batches. Prunes partitions."""
         spark.catalog.refreshTable(self.parts)
         parts = spark.table(self.parts)
-        for run_id, last in covered.items():
+        for run_id, last in latest.covered.items():
             parts = parts.where((F.col("run_id") != run_id) | (F.col("batch_id") > last))
         if upto is not None:
             wanted = F.lit(False)
             for run_id, last in upto.items():
                 wanted = wanted | ((F.col("run_id") == run_id) & (F.col("batch_id") <= last))
             parts = parts.where(wanted)
-        parts = parts.select(*self.columns)
-        if not fold_id:
-            return parts
-        spark.catalog.refreshTable(self.merged)
-        merged = spark.table(self.merged).where(F.col("fold_id") == fold_id)
-        return merged.select(*self.columns).unionByName(parts)
+        return parts.select(*self.columns)
+
+    def compact(self, spark: SparkSession, full: bool = False) -> int:
+        """Combine all batches but each run's newest, which may still be replayed; return how many became covered.
 
-    def compact(self, spark: SparkSession) -> int:
-        """Combine all batches but each run's newest, which may still be replayed; return how many became covered."""
-        number, _, covered = self._latest_fold(spark)
+        Costs as much as the new batches are large, and leaves one more merged row set to read. ``full`` also combines
+        the earlier row sets into the new one.
+        """
+        latest = self._latest(spark)
         batches: dict[str, list[int]] = {}
         for part in partition_values(spark, self.parts):
             batches.setdefault(part["run_id"], []).append(int(part["batch_id"]))
-        upto = {run_id: max(ids) - 1 for run_id, ids in batches.items()}
-        upto = {run_id: max(upto.get(run_id, -1), covered.get(run_id, -1)) for run_id in {*upto, *covered}}
+        covered = latest.covered
+        closed = {run_id: max(ids) - 1 for run_id, ids in batches.items()}
+        upto = {run_id: max(closed.get(run_id, -1), covered.get(run_id, -1)) for run_id in {*closed, *covered}}
         fresh = sum(covered.get(run, -1) < i <= upto[run] for run, ids in batches.items() for i in ids)
-        if not fresh:
+        if not fresh and not (full and len(latest.active) > 1):
             return 0
         self._create_merged(spark)
-        fold_id = uuid.uuid4().hex
-        state = self.combine(self._stored(spark, upto)).withColumn("fold_id", F.lit(fold_id))
-        state.select(*self.columns, "fold_id").write.insertInto(self.merged)
-        published = [(number + 1, fold_id, run_id, last) for run_id, last in upto.items()]
-        spark.createDataFrame(published, spark.table(self.folds).schema).coalesce(1).write.insertInto(self.folds)
+        rows = self._uncovered(spark, latest, upto)
+        if full and latest.active:
+            rows = rows.unionByName(self._merged_rows(spark, latest))
+        set_id = uuid.uuid4().hex
+        self.combine(rows).select(*self.columns, F.lit(set_id)).write.insertInto(self.merged)
+        active = [set_id] if full else [*latest.active, set_id]
+        published = [(latest.number + 1, active, run_id, last) for run_id, last in upto.items()]
+        schema = spark.table(self.compactions).schema
+        spark.createDataFrame(published, schema).coalesce(1).write.insertInto(self.compactions)
         return fresh
 
     def discard_covered(self, spark: SparkSession) -> int:
-        """Delete batches and merged rows that the latest compaction replaced. Run while nobody reads the old ones."""
-        _, fold_id, covered = self._latest_fold(spark)
-        if not fold_id:
+        """Delete batches and merged rows that compactions replaced. Run while nobody reads the old ones."""
+        latest = self._latest(spark)
+        if not latest.active:
             return 0
-        old = drop_partitions(spark, self.parts, lambda p: int(p["batch_id"]) <= covered.get(p["run_id"], -1))
-        return old + drop_partitions(spark, self.merged, lambda p: p["fold_id"] != fold_id)
+        covered = latest.covered
+        dropped = drop_partitions(spark, self.parts, lambda p: int(p["batch_id"]) <= covered.get(p["run_id"], -1))
+        return dropped + drop_partitions(spark, self.merged, lambda p: p["set_id"] not in latest.active)

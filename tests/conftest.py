@@ -16,7 +16,7 @@ def spark(tmp_path_factory):
     folder = tmp_path_factory.mktemp("spark")
     session = build_session(
         "stockroom-tests",
-        "local[4]",
+        "local[4,3]",
         {
             "spark.sql.shuffle.partitions": "4",
             "spark.sql.warehouse.dir": str(folder / "warehouse"),
@@ -36,6 +36,20 @@ def database(spark, tmp_path):
     return name
 
 
+def with_lost_tasks(rows):
+    """The same rows, from tasks that each fail once after their first rows."""
+
+    def lose_first_attempt(batches):
+        from pyspark import TaskContext
+
+        for batch in batches:
+            yield batch
+            if TaskContext.get().attemptNumber() == 0:
+                raise RuntimeError("lost")
+
+    return rows.mapInArrow(lose_first_attempt, rows.schema)
+
+
 def rows_of(df, *columns):
     """The rows as sorted tuples; NULL sorts first."""
     rows = [tuple(row) for row in (df.select(*columns) if columns else df).collect()]

@@ -3,12 +3,12 @@ from __future__ import annotations
 import random
 
 import pytest
-from conftest import rows_of
+from conftest import rows_of, with_lost_tasks
 from pyspark.sql import functions as F
 
-from stockroom.operators import daily_report, office_totals
+from stockroom.operators import daily_report, expand_records, office_totals, record_arrays
 from stockroom.schemas import OFFICE_TOTALS, STAGING
-from stockroom.sinks import create_table, publish
+from stockroom.sinks import append_rows, create_table, publish
 from stockroom.sources import folder_topic, kafka_connection, kafka_topic
 from stockroom.streaming import (
     Admission,
@@ -69,6 +69,37 @@ def test_replayed_batch_is_not_counted_twice(spark, database, staged, tmp_path,
     assert len(attempts) == 5
 
 
+def test_lost_tasks_leave_whole_results(spark, database, staged, tmp_path):
+    shaky = with_lost_tasks(staged.repartition(3))
+    create_table(spark, f"{database}.items", batch_table_columns(STAGING), partition_by=BATCH_COLUMNS)
+    overwrite_batch(shaky, f"{database}.items", "run", 0)
+    assert rows_of(spark.table(f"{database}.items").drop(*BATCH_COLUMNS)) == rows_of(staged)
+    create_table(spark, f"{database}.sorted", STAGING, sort_key=["office_id"])
+    append_rows(spark, f"{database}.sorted", shaky, clustered=True)
+    assert rows_of(spark.table(f"{database}.sorted")) == rows_of(staged)
+    topic = folder_topic(str(tmp_path / "topic"))
+    assert publish(shaky, topic) == 3000
+    assert topic.read(spark).count() == 3000
+    arrays = record_arrays(shaky, ["shk_id", "office_id"], max_records=100)
+    records = expand_records(arrays, "shk_id bigint, office_id bigint")
+    assert rows_of(records) == rows_of(staged.select("shk_id", "office_id"))
+
+
+def test_running_stream_picks_up_later_messages(spark, database, staged, tmp_path):
+    create_table(spark, f"{database}.items", batch_table_columns(STAGING), partition_by=BATCH_COLUMNS)
+    path = str(tmp_path / "in")
+    stream = stream_of(spark, staged.where("shk_id < 100"), path, 1)
+    query = load_into(stream, f"{database}.items", str(tmp_path / "cp"))
+    try:
+        query.processAllAvailable()
+        assert spark.table(f"{database}.items").count() == 100
+        stream_of(spark, staged.where("shk_id >= 100"), path, 1)
+        query.processAllAvailable()
+        assert spark.table(f"{database}.items").count() == 3000
+    finally:
+        query.stop()
+
+
 def test_new_checkpoint_does_not_overwrite_earlier_batches(spark, database, staged, tmp_path):
     create_table(spark, f"{database}.items", batch_table_columns(STAGING), partition_by=BATCH_COLUMNS)
     for name, part in (("a", staged.where("shk_id < 10")), ("b", staged.where("shk_id >= 10"))):
@@ -90,13 +121,15 @@ def test_any_split_and_compaction_gives_the_batch_totals(spark, database, staged
         part = staged.where((F.col("shk_id") >= low) & (F.col("shk_id") < high))
         state.add(office_totals(part), f"run{number % 2}", number)
         if chance.random() < 0.6:
-            state.compact(spark)
+            state.compact(spark, full=chance.random() < 0.3)
         if chance.random() < 0.5:
             state.discard_covered(spark)
     assert rows_of(state.current(spark)) == expected
     state.compact(spark)
     assert rows_of(state.current(spark)) == expected
+    state.compact(spark, full=True)
     state.discard_covered(spark)
+    assert spark.table(state.merged).select("set_id").distinct().count() == 1
     assert rows_of(state.current(spark)) == expected
 
 
@@ -107,7 +140,7 @@ def test_unpublished_compaction_is_not_read(spark, database, staged):
     expected = rows_of(office_totals(staged))
     # What a compaction leaves behind when it is lost before publishing.
     state._create_merged(spark)
-    state.current(spark).withColumn("fold_id", F.lit("lost")).write.insertInto(state.merged)
+    state.current(spark).withColumn("set_id", F.lit("lost")).write.insertInto(state.merged)
     assert rows_of(state.current(spark)) == expected
     assert state.compact(spark) == 2
     assert state.compact(spark) == 0
