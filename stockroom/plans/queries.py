@@ -607,10 +607,20 @@ def office_stock_running(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @check("AGG6 AGG7 AGG9 AGG10 JOB6 SNK4", f"{DAILY_REPORT_SQL} group by 1")
 def daily_report_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
-    report = DailyReportState(f"{fresh_database(spark)}.daily").create(spark)
-    rows = _folder_stream(spark, items(spark, sf_dir), "state_id")
-    keep_daily_report(rows, report, fresh_dir(spark, "checkpoint"), UNTIL_DRAINED).awaitTermination()
-    return report.current(spark)
+    return _kept_report(spark, items(spark, sf_dir), "set").current(spark)
+
+
+@check("AGG6 AGG7 AGG10 JOB6", f"{DAILY_REPORT_SQL} group by 1")
+def daily_report_bitmaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _kept_report(spark, items(spark, sf_dir), "bitmap").current(spark)
+
+
+def _kept_report(spark: SparkSession, rows: DataFrame, ids: str) -> DailyReportState:
+    """The report's state after a stream of the rows."""
+    report = DailyReportState(f"{fresh_database(spark)}.daily", ids).create(spark)
+    stream = _folder_stream(spark, rows, "state_id")
+    keep_daily_report(stream, report, fresh_dir(spark, "checkpoint"), UNTIL_DRAINED).awaitTermination()
+    return report
 
 
 @check(
@@ -621,11 +631,9 @@ def daily_report_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def daily_report_sketched(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The report kept by a stream with sketches, next to the exact distinct counts of the whole table."""
-    report = DailyReportState(f"{fresh_database(spark)}.daily", approximate=True).create(spark)
     rows = items(spark, sf_dir)
-    stream = _folder_stream(spark, rows, "state_id")
-    keep_daily_report(stream, report, fresh_dir(spark, "checkpoint"), UNTIL_DRAINED).awaitTermination()
-    kept = report.current(spark).withColumnsRenamed({"qty_shk": "shk_estimate", "qty_tare": "tare_estimate"})
+    kept = _kept_report(spark, rows, "sketch").current(spark)
+    kept = kept.withColumnsRenamed({"qty_shk": "shk_estimate", "qty_tare": "tare_estimate"})
     days = rows.groupBy(start_of_day(best_effort_timestamp("dt")).alias("dt_day"))
     exact = days.agg(unique("shk_id").alias("shk"), unique("tare_id").alias("tare"))
     return kept.join(exact, "dt_day").select("dt_day", _close("shk"), _close("tare"), *CONDITIONS)

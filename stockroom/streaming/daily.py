@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from stockroom.operators.daily_report import CONDITIONS, condition_counts, with_day
+from stockroom.operators.distinct import bitmap_state
 from stockroom.streaming.admission import EVERY_SECOND
 from stockroom.streaming.loading import for_each_batch
 from stockroom.streaming.state import MergeableState
@@ -19,7 +20,8 @@ REPORT_FIELDS = ["shk_id", "dt", *dict.fromkeys(field for field, _ in CONDITIONS
 
 DAY = {"dt_day": "TIMESTAMP_NTZ"}
 COUNTS = {name: ("BIGINT", "sum") for name in CONDITIONS}
-SKETCHES = {name: ("BINARY", "hll_union") for name in ("shk", "tare")}
+KINDS = ("shk", "tare")
+SKETCHES = {name: ("BINARY", "hll_union") for name in KINDS}
 LG_K = 14
 
 
@@ -27,25 +29,34 @@ LG_K = 14
 class DailyReportState:
     """The report's stored state.
 
-    The conditional counts add up. Different ids do not, so the exact state also keeps the set of ids seen per day,
-    which is as large as the data has different (day, id) pairs. ``approximate`` keeps two sketches per day instead:
-    a few kilobytes, however many items there are.
+    Conditional counts add up; numbers of different ids do not, so their state is one of
+
+    * ``set``: the ids seen per day. Exact for any ids; as large as the data has different (day, id) pairs.
+    * ``bitmap``: a bit per id, in blocks of 32,768 ids and 4 KB. Exact for integer ids; small if they are dense.
+    * ``sketch``: two sketches per day. Approximate; a few kilobytes per day, however many items there are.
     """
 
     table: str
-    approximate: bool = False
+    ids: str = "set"
+
+    def __post_init__(self):
+        if self.ids not in ("set", "bitmap", "sketch"):
+            raise ValueError(f"unknown kind of id state {self.ids!r}")
 
     @property
     def days(self) -> MergeableState:
-        return MergeableState(f"{self.table}_days", DAY, COUNTS | SKETCHES if self.approximate else COUNTS)
+        return MergeableState(f"{self.table}_days", DAY, COUNTS | SKETCHES if self.ids == "sketch" else COUNTS)
 
     @property
-    def ids(self) -> MergeableState:
-        return MergeableState(f"{self.table}_ids", {**DAY, "kind": "STRING", "id": "STRING"})
+    def seen(self) -> MergeableState:
+        if self.ids == "bitmap":
+            keys = {**DAY, "kind": "STRING", "block": "BIGINT"}
+            return MergeableState(f"{self.table}_seen", keys, {"bits": ("BINARY", "bitmap_or")})
+        return MergeableState(f"{self.table}_seen", {**DAY, "kind": "STRING", "id": "STRING"})
 
     @property
     def states(self) -> list[MergeableState]:
-        return [self.days] if self.approximate else [self.days, self.ids]
+        return [self.days] if self.ids == "sketch" else [self.days, self.seen]
 
     def create(self, spark: SparkSession) -> DailyReportState:
         for state in self.states:
@@ -63,46 +74,42 @@ class DailyReportState:
     def add(self, items: DataFrame, run_id: str, batch_id: int) -> None:
         """Add a batch of items."""
         placed = with_day(items.select(*REPORT_FIELDS))
-        if self.approximate:
-            sketches = [F.hll_sketch_agg(f"{name}_id", LG_K).alias(name) for name in SKETCHES]
+        if self.ids == "sketch":
+            sketches = [F.hll_sketch_agg(f"{name}_id", LG_K).alias(name) for name in KINDS]
             self.days.add(placed.groupBy("dt_day").agg(*condition_counts(), *sketches), run_id, batch_id)
             return
         # Both states read the batch; kept, it is fetched and parsed once.
         placed = placed.persist()
         try:
             self.days.add(placed.groupBy("dt_day").agg(*condition_counts()), run_id, batch_id)
-            self.ids.add(_ids_seen(placed), run_id, batch_id)
+            self.seen.add(self._ids_seen(placed), run_id, batch_id)
         finally:
             placed.unpersist()
 
+    def _ids_seen(self, placed: DataFrame) -> DataFrame:
+        id_type = "bigint" if self.ids == "bitmap" else "string"
+        pairs = [F.struct(F.lit(name).alias("kind"), F.col(f"{name}_id").cast(id_type).alias("id")) for name in KINDS]
+        ids = placed.select("dt_day", F.inline(F.array(*pairs)))
+        if self.ids == "bitmap":
+            return bitmap_state(ids, ["dt_day", "kind"], "id")
+        return ids.where(F.col("id").isNotNull()).distinct()
+
     def current(self, spark: SparkSession) -> DataFrame:
-        """The report so far: the columns of the batch report, and its values unless approximate."""
+        """The report so far: the columns of the batch report, and its values unless sketched."""
         days = self.days.current(spark)
-        if self.approximate:
-            estimates = [F.hll_sketch_estimate(name).alias(f"qty_{name}") for name in SKETCHES]
+        if self.ids == "sketch":
+            estimates = [F.hll_sketch_estimate(name).alias(f"qty_{name}") for name in KINDS]
             return days.select("dt_day", *estimates, *CONDITIONS)
-        seen = (
-            self.ids.current(spark)
-            .groupBy(F.col("dt_day").alias("day"))
-            .agg(
-                F.count_if(F.col("kind") == "shk").alias("qty_shk"),
-                F.count_if(F.col("kind") == "tare").alias("qty_tare"),
-            )
-        )
+        size = F.bitmap_count("bits") if self.ids == "bitmap" else F.lit(1).cast("bigint")
+        sizes = [F.sum(F.when(F.col("kind") == name, size)).alias(f"qty_{name}") for name in KINDS]
+        seen = self.seen.current(spark).groupBy(F.col("dt_day").alias("day")).agg(*sizes)
         # The NULL day is a group like any other, so it has to match itself. Both sides hold one row per day.
-        quantities = [F.coalesce(name, F.lit(0)).alias(name) for name in ("qty_shk", "qty_tare")]
+        quantities = [F.coalesce(f"qty_{name}", F.lit(0)).alias(f"qty_{name}") for name in KINDS]
         return days.join(seen, F.col("day").eqNullSafe(F.col("dt_day")), "left").select(
             "dt_day", *quantities, *CONDITIONS
         )
 
 
-def _ids_seen(placed: DataFrame) -> DataFrame:
-    kinds = [
-        F.struct(F.lit(kind).alias("kind"), F.col(f"{kind}_id").cast("string").alias("id")) for kind in ("shk", "tare")
-    ]
-    return placed.select("dt_day", F.inline(F.array(*kinds))).where(F.col("id").isNotNull()).distinct()
-
-
 def keep_daily_report(
     items: DataFrame,
     report: DailyReportState,

@@ -180,7 +180,8 @@ def test_daily_report_of_last_days_pushes_the_bound_down(spark, tmp_path):
 
 
 def test_distinct_states_unite(spark):
-    rows = spark.range(70_000).select((F.col("id") % 3).alias("k"), (F.col("id") % 40_000).alias("v"))
+    rows = spark.range(70_000).select((F.col("id") % 3).alias("k"), (F.col("id") % 40_000 - 35_000).alias("v"))
+    rows = rows.union(spark.sql("SELECT 1, v FROM VALUES (18023180111), (0), (0), (NULL) AS t(v)"))
     parts = [rows.where("v % 2 = 0"), rows.where("v % 2 = 1"), rows]
     exact = {r.k: r.n for r in rows.groupBy("k").agg(F.count_distinct("v").alias("n")).collect()}
     bitmaps = [bitmap_state(part, ["k"], "v") for part in parts]

@@ -189,10 +189,10 @@ DAY_ITEMS = [
 ]
 
 
-@pytest.mark.parametrize("approximate", [False, True])
-def test_incremental_daily_report_with_repeated_ids(spark, database, approximate):
+@pytest.mark.parametrize("ids", ["set", "bitmap", "sketch"])
+def test_incremental_daily_report_with_repeated_ids(spark, database, ids):
     columns = "shk_id STRING, dt STRING, tare_id STRING, isstock STRING, state_id STRING, place_cod STRING"
-    report = DailyReportState(f"{database}.daily{approximate}", approximate).create(spark)
+    report = DailyReportState(f"{database}.daily", ids).create(spark)
     for number, row in enumerate(DAY_ITEMS):
         report.add(spark.createDataFrame([row, row], columns), "run", number)
         report.compact(spark)
