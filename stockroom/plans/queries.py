@@ -724,6 +724,6 @@ def stream_item_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _cut_messages(sent: DataFrame) -> DataFrame:
     """Items as messages, of which those of one state lack their closing brace."""
-    whole = F.to_json(F.struct(*ITEM_COLUMNS))
-    cut = F.when(F.col("state_id") == "WWE", F.substring(whole, F.lit(1), F.length(whole) - 1)).otherwise(whole)
-    return sent.select(cut.cast("binary").alias("value"))
+    whole = sent.select("state_id", F.to_json(F.struct(*ITEM_COLUMNS)).alias("whole"))
+    cut = F.when(F.col("state_id") == "WWE", F.expr("substring(whole, 1, length(whole) - 1)")).otherwise(F.col("whole"))
+    return whole.select(cut.cast("binary").alias("value"))

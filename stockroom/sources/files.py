@@ -10,8 +10,12 @@ from pyspark.sql import types as T
 def scan_delimited(
     spark: SparkSession, path: str, schema: T.StructType | str, sep: str = ";", empty_as_text: bool = True
 ) -> DataFrame:
-    """Read with a given schema: one pass, split by byte range. Empty text fields become ``''`` rather than NULL."""
-    rows = spark.read.schema(schema).option("sep", sep).option("header", True).csv(path)
+    """Read with a given schema: one pass, split by byte range. Empty text fields become ``''`` rather than NULL.
+
+    The header has to name the schema's columns in their order, or the read fails.
+    """
+    reader = spark.read.schema(schema).option("sep", sep).option("header", True).option("enforceSchema", False)
+    rows = reader.csv(path)
     return rows.na.fill("") if empty_as_text else rows
 
 

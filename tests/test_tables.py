@@ -48,6 +48,13 @@ def test_delimited_file_with_byte_order_mark(spark, item_file):
     assert with_nulls.where("tare_type is null").count() == 1
 
 
+def test_other_header_is_refused(spark, tmp_path):
+    path = tmp_path / "items.csv"
+    path.write_text("\n".join([HEADER.replace("tare_id;tare_type", "tare_type;tare_id"), *LINES]) + "\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        scan_delimited(spark, str(path), ITEM_DELIMITED).collect()
+
+
 def test_inferred_file_has_no_nulls(spark, tmp_path):
     path = tmp_path / "t.csv"
     path.write_text("﻿id,t,n,s,b\n1,2024-01-01 00:00:00.0,1.5,x,true\n,,,,\n3,2024-01-02 00:00:00.0,2,,false\n")
