@@ -16,7 +16,7 @@ from stockroom.operators.items import (
 )
 from stockroom.operators.records import expand_records, record_arrays
 from stockroom.operators.rollup import RollupRule, age_rollup
-from stockroom.operators.totals import office_partials, office_totals, state_counts
+from stockroom.operators.totals import office_totals, state_counts
 from stockroom.operators.upsert import UpsertReport, guarded_merge, guarded_upsert
 
 __all__ = [
@@ -31,7 +31,6 @@ __all__ = [
     "guarded_merge",
     "guarded_upsert",
     "lost_values",
-    "office_partials",
     "office_totals",
     "parse_items",
     "parse_with_quarantine",

@@ -22,13 +22,8 @@ def state_counts(items: DataFrame, as_of: dt.datetime | None = None, stamped: bo
 
 
 def office_totals(staging: DataFrame) -> DataFrame:
-    """Items in stock and all items, per office."""
+    """Items in stock and all items, per office. The totals of parts of the rows add up to the totals of all."""
     return staging.groupBy("office_id").agg(
         count_if(F.col("is_stock")).alias("is_stock_count"),
         F.count("*").alias("total"),
     )
-
-
-def office_partials(batch: DataFrame) -> DataFrame:
-    """One row of summable counts per office of this batch; adding them up over batches gives the totals."""
-    return office_totals(batch)

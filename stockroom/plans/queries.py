@@ -51,7 +51,7 @@ from stockroom.plans.standin import (
     staging,
     table,
 )
-from stockroom.schemas import ITEM_COLUMNS, ITEM_DELIMITED, OFFICE_TOTALS, REPORTS, STAGING
+from stockroom.schemas import ITEM_COLUMNS, ITEM_DELIMITED, REPORTS, STAGING
 from stockroom.session import fresh_dir
 from stockroom.sinks import (
     append_rows,
@@ -74,6 +74,7 @@ from stockroom.streaming import (
     load_into,
     office_state,
     running_office_totals,
+    running_state,
 )
 from stockroom.streaming.admission import UNTIL_DRAINED
 from stockroom.streaming.loading import BATCH_COLUMNS
@@ -598,11 +599,10 @@ def office_stock_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
 @check("STR5 AGG7", OFFICE_TOTALS_SQL)
 def office_stock_running(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Totals in Spark's state store, written by change."""
-    name = f"{fresh_database(spark)}.office_running"
-    create_table(spark, name, batch_table_columns(OFFICE_TOTALS), partition_by=BATCH_COLUMNS)
+    state = running_state(f"{fresh_database(spark)}.office_running").create(spark)
     rows = _folder_stream(spark, staging(spark, sf_dir), "is_stock", batches=2)
-    running_office_totals(rows, name, fresh_dir(spark, "checkpoint"), UNTIL_DRAINED).awaitTermination()
-    return latest_totals(spark, name)
+    running_office_totals(rows, state, fresh_dir(spark, "checkpoint"), UNTIL_DRAINED).awaitTermination()
+    return latest_totals(spark, state)
 
 
 @check("AGG6 AGG7 AGG9 AGG10 JOB6 SNK4", f"{DAILY_REPORT_SQL} group by 1")

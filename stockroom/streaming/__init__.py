@@ -9,6 +9,7 @@ from stockroom.streaming.totals import (
     latest_totals,
     office_state,
     running_office_totals,
+    running_state,
 )
 
 __all__ = [
@@ -23,4 +24,5 @@ __all__ = [
     "load_into",
     "office_state",
     "running_office_totals",
+    "running_state",
 ]

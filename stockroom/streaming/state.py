@@ -15,6 +15,7 @@ from stockroom.streaming.loading import BATCH_COLUMNS, batch_table_columns, over
 
 COMBINE = {
     "sum": F.sum,
+    "max": F.max,
     "bitmap_or": F.bitmap_or_agg,
     "hll_union": F.hll_union_agg,
 }

@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from stockroom.operators.totals import office_partials, office_totals
+from stockroom.operators.totals import office_totals
 from stockroom.streaming.admission import EVERY_SECOND
-from stockroom.streaming.loading import BATCH_COLUMNS, for_each_batch, overwrite_batch
+from stockroom.streaming.loading import for_each_batch, overwrite_batch
 from stockroom.streaming.state import MergeableState
 
 
@@ -34,32 +35,35 @@ def keep_office_totals(
             overwrite_batch(rows, staging_table, run_id, batch_id)
             stored = (F.col("run_id") == run_id) & (F.col("batch_id") == batch_id)
             rows = rows.sparkSession.table(staging_table).where(stored)
-        state.add(office_partials(rows), run_id, batch_id)
+        state.add(office_totals(rows), run_id, batch_id)
 
     return for_each_batch(staging, handle, checkpoint, trigger)
 
 
+def running_state(table: str) -> MergeableState:
+    """State of :func:`running_office_totals`: of several totals of an office the newest counts."""
+    newest = "STRUCT<started: TIMESTAMP, batch: BIGINT, is_stock_count: BIGINT, total: BIGINT>"
+    return MergeableState(table, {"office_id": "BIGINT"}, {"newest": (newest, "max")})
+
+
 def running_office_totals(
-    staging: DataFrame, table: str, checkpoint: str, trigger: Mapping[str, object] = EVERY_SECOND
+    staging: DataFrame, state: MergeableState, checkpoint: str, trigger: Mapping[str, object] = EVERY_SECOND
 ) -> StreamingQuery:
-    """Totals in Spark's own state store: each batch writes the offices it changed, with their new totals.
+    """Totals in Spark's own state store: each batch adds the offices it changed, with their new totals.
 
-    State grows with the number of offices only. Read the table with :func:`latest_totals`.
+    The state store grows with the number of offices only. Read the totals with :func:`latest_totals`. A stream that
+    starts over with a new checkpoint supersedes the totals of the one before, office by office.
     """
-    return for_each_batch(
-        office_totals(staging),
-        lambda rows, run_id, batch_id: overwrite_batch(rows, table, run_id, batch_id),
-        checkpoint,
-        trigger,
-        output_mode="update",
-    )
+    started = F.lit(dt.datetime.now(dt.timezone.utc))
+
+    def handle(rows: DataFrame, run_id: str, batch_id: int) -> None:
+        totals = [F.lit(batch_id).cast("bigint").alias("batch"), "is_stock_count", "total"]
+        newest = F.struct(started.alias("started"), *totals).alias("newest")
+        state.add(rows.select("office_id", newest), run_id, batch_id)
+
+    return for_each_batch(office_totals(staging), handle, checkpoint, trigger, output_mode="update")
 
 
-def latest_totals(spark: SparkSession, table: str, run_id: str | None = None) -> DataFrame:
-    """The newest totals of every office. Name the run if streams with different checkpoints wrote to the table."""
-    rows = spark.table(table)
-    if run_id is not None:
-        rows = rows.where(F.col("run_id") == run_id)
-    values = [c for c in rows.columns if c not in ("office_id", *BATCH_COLUMNS)]
-    newest = F.max_by(F.struct(*values), "batch_id").alias("newest")
-    return rows.groupBy("office_id").agg(newest).select("office_id", "newest.*")
+def latest_totals(spark: SparkSession, state: MergeableState) -> DataFrame:
+    """The newest totals of every office."""
+    return state.current(spark).select("office_id", "newest.is_stock_count", "newest.total")

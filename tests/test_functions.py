@@ -21,7 +21,7 @@ from stockroom.functions import (
     year_month,
 )
 from stockroom.operators import blank_missing_tare_type, lost_values, parse_items, parse_with_quarantine, typed_items
-from stockroom.schemas import ITEM_COLUMNS
+from stockroom.schemas import ITEM_COLUMNS, ITEM_TYPED
 from stockroom.sinks.publish import as_messages
 
 SIX = dt.datetime(2024, 4, 25, 6, 22, 32)
@@ -143,6 +143,7 @@ def test_typed_layer_and_losses(spark):
         "state_id": "WMI",
     }
     items = spark.createDataFrame([tuple(raw.values())], ", ".join(f"{c} STRING" for c in raw))
+    assert [(f.name, f.dataType) for f in typed_items(items).schema] == [(f.name, f.dataType) for f in ITEM_TYPED]
     row = typed_items(items).first()
     assert (row.shk_id, row.tare_id, row.dt, row.correction_dt) == (None, 3541337019, SIX, None)
     assert (row.isstock, row.isdeleted, row.state_id) == (True, False, "WMI")

@@ -122,7 +122,7 @@ def test_empty_upsert_changes_nothing(spark, target):
 def test_upsert_with_one_hot_key(spark, target):
     third = spark.range(30_000).select(
         F.lit(DAY).alias("dt_date"),
-        F.when(F.col("id") < 10_000, "HOT").otherwise(F.format_string("S%d", F.pmod("id", F.lit(50)))).alias("state_id"),
+        F.when(F.col("id") < 10_000, "HOT").otherwise(F.format_string("S%d", F.col("id") % 50)).alias("state_id"),
         F.col("id").cast("int").alias("qty"),
         (F.lit(at(0).isoformat()).cast("timestamp_ntz") + F.make_dt_interval(secs=F.col("id"))).alias("dt_load"),
     )

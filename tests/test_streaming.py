@@ -7,7 +7,7 @@ from conftest import rows_of, with_lost_tasks
 from pyspark.sql import functions as F
 
 from stockroom.operators import daily_report, expand_records, office_totals, record_arrays
-from stockroom.schemas import OFFICE_TOTALS, STAGING
+from stockroom.schemas import STAGING
 from stockroom.sinks import append_rows, create_table, publish
 from stockroom.sources import folder_topic, kafka_connection, kafka_topic
 from stockroom.streaming import (
@@ -21,6 +21,7 @@ from stockroom.streaming import (
     load_into,
     office_state,
     running_office_totals,
+    running_state,
 )
 from stockroom.streaming.admission import UNTIL_DRAINED
 from stockroom.streaming.loading import BATCH_COLUMNS, overwrite_batch
@@ -171,12 +172,19 @@ def test_incremental_totals_stage_the_rows_too(spark, database, staged, tmp_path
 
 
 def test_running_totals_continue_after_restart(spark, database, staged, tmp_path):
-    create_table(spark, f"{database}.running", batch_table_columns(OFFICE_TOTALS), partition_by=BATCH_COLUMNS)
+    state = running_state(f"{database}.running").create(spark)
     path, checkpoint = str(tmp_path / "in"), str(tmp_path / "cp")
     for part in (staged.where("shk_id < 1200"), staged.where("shk_id >= 1200")):
         stream = stream_of(spark, part, path, 2)
-        running_office_totals(stream, f"{database}.running", checkpoint, UNTIL_DRAINED).awaitTermination()
-    assert rows_of(latest_totals(spark, f"{database}.running")) == rows_of(office_totals(staged))
+        running_office_totals(stream, state, checkpoint, UNTIL_DRAINED).awaitTermination()
+    assert rows_of(latest_totals(spark, state)) == rows_of(office_totals(staged))
+    state.compact(spark)
+    state.discard_covered(spark)
+    assert rows_of(latest_totals(spark, state)) == rows_of(office_totals(staged))
+    # Starting over, from a corrected topic.
+    stream = stream_of(spark, staged.withColumn("is_stock", F.lit(True)), str(tmp_path / "again"), 2)
+    running_office_totals(stream, state, str(tmp_path / "cp2"), UNTIL_DRAINED).awaitTermination()
+    assert [row[1] == row[2] for row in rows_of(latest_totals(spark, state))] == [True] * 40
 
 
 DAY_ITEMS = [

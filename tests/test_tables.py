@@ -149,9 +149,8 @@ def test_month_partitions_prune(spark, database):
 )
 def test_expiry_keeps_the_boundary_day(spark, database, as_of, kept, dropped):
     name = f"{database}.log"
-    times = [
-        dt.datetime(2024, 1, 31), dt.datetime(2024, 2, 9, 23, 59), dt.datetime(2024, 2, 10), dt.datetime(2024, 3, 1), None,
-    ]
+    days = [dt.datetime(2024, 1, 31), dt.datetime(2024, 2, 9, 23, 59), dt.datetime(2024, 2, 10)]
+    times = [*days, dt.datetime(2024, 3, 1), None]
     write_by_month(spark, name, numbered(spark, times), "t")
     assert expire_months(spark, name, "t", 30, as_of) == dropped
     assert rows_of(spark.table(name), "i") == [(i,) for i in kept]
