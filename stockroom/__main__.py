@@ -9,13 +9,12 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from stockroom.plans import jobs
-from stockroom.schemas import REPORTS, STAGING
+from stockroom.schemas import REPORTS
 from stockroom.session import build_session
 from stockroom.sinks import create_layers, create_table
 from stockroom.sources import Topic, folder_topic, kafka_topic
-from stockroom.streaming import Admission, batch_table_columns, office_state
+from stockroom.streaming import Admission, office_state
 from stockroom.streaming.admission import EVERY_SECOND, UNTIL_DRAINED
-from stockroom.streaming.loading import BATCH_COLUMNS
 
 
 def arguments() -> argparse.ArgumentParser:
@@ -43,9 +42,13 @@ def arguments() -> argparse.ArgumentParser:
     ingest = job("ingest-stock", "buffered ingest with totals", "staging", "state", "checkpoint", topic=True)
     for command in (load, ingest):
         command.add_argument("--until-drained", action="store_true", help="stop when all present messages are loaded")
-    compact = job("compact-stock", "combine the stored totals' batches", "state")
-    compact.add_argument("--full", action="store_true", help="also combine the results of earlier compactions")
-    compact.add_argument("--discard", action="store_true", help="also delete what was combined")
+    for compact in (
+        job("compact-stock", "combine the stored totals' batches", "state"),
+        job("compact-items", "gather the loaded items' batches", "table"),
+        job("compact-staging", "gather the staged rows' batches", "table"),
+    ):
+        compact.add_argument("--full", action="store_true", help="also combine the results of earlier compactions")
+        compact.add_argument("--discard", action="store_true", help="also delete what was combined")
     job("stock-totals", "totals per office", "state").add_argument("--out")
     for name, about in (
         ("report-states", "count items by state into the reports"),
@@ -99,18 +102,20 @@ def run(spark: SparkSession, options: argparse.Namespace) -> None:
                 spark, topic, options.table, options.checkpoint, trigger, options.quarantine
             ).awaitTermination()
         case "ingest-stock":
-            create_table(
-                spark, options.staging, batch_table_columns(STAGING), partition_by=BATCH_COLUMNS, if_not_exists=True
-            )
+            jobs.staged_rows(options.staging).create(spark)
             state = office_state(options.state).create(spark)
             trigger = UNTIL_DRAINED if options.until_drained else None
             jobs.ingest_stock(
                 spark, _topic(options), options.staging, state, options.checkpoint, Admission(), trigger
             ).awaitTermination()
-        case "compact-stock":
-            print(office_state(options.state).compact(spark, options.full), "batches combined")
+        case "compact-stock" | "compact-items" | "compact-staging":
+            if options.job == "compact-stock":
+                stored = office_state(options.state)
+            else:
+                stored = (jobs.raw_items if options.job == "compact-items" else jobs.staged_rows)(options.table)
+            print(stored.compact(spark, options.full), "batches combined")
             if options.discard:
-                office_state(options.state).discard_covered(spark)
+                stored.discard_covered(spark)
         case "stock-totals":
             _deliver(office_state(options.state).current(spark), options.out)
         case "report-states" | "state-report":

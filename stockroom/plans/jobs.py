@@ -22,11 +22,12 @@ from stockroom.operators import (
     state_counts,
 )
 from stockroom.operators.items import BROKEN_MESSAGE
-from stockroom.schemas import ITEM_COLUMNS, ITEM_DELIMITED, STAGING, STATE_COUNTS_BY_DAY
+from stockroom.schemas import ITEM_COLUMNS, ITEM_DELIMITED, STAGING, STAGING_COLUMNS, STATE_COUNTS_BY_DAY
 from stockroom.sinks import append_rows, create_table, publish
 from stockroom.sources import Topic, read_back, scan_delimited, scan_table
 from stockroom.streaming import (
     Admission,
+    BatchedRows,
     MergeableState,
     batch_table_columns,
     for_each_batch,
@@ -79,10 +80,27 @@ def load_items(
     return for_each_batch(parse_with_quarantine(topic.stream(spark)), handle, checkpoint, trigger)
 
 
+def raw_items(table: str) -> BatchedRows:
+    """The table :func:`load_items` loads into, with its compactions."""
+    return BatchedRows(table, dict.fromkeys(ITEM_COLUMNS, "STRING"), sort_key=("shk_id",))
+
+
+def staged_rows(table: str) -> BatchedRows:
+    """The staging table :func:`ingest_stock` loads into, with its compactions."""
+    return BatchedRows(table, STAGING_COLUMNS, sort_key=("shk_id",))
+
+
 def create_raw_items(spark: SparkSession, table: str) -> None:
-    """The table :func:`load_items` loads into, if it is missing."""
-    columns = ", ".join(f"{name} STRING" for name in ITEM_COLUMNS)
-    create_table(spark, table, batch_table_columns(columns), partition_by=BATCH_COLUMNS, if_not_exists=True)
+    """The table of raw items, if it is missing."""
+    raw_items(table).create(spark)
+
+
+def read_items(spark: SparkSession, table: str) -> DataFrame:
+    """All items of a table, whether it is a plain one or one that was loaded in batches and compacted."""
+    loaded = raw_items(table)
+    if spark.catalog.tableExists(loaded.compactions):
+        return loaded.current(spark)
+    return scan_table(spark, table, ITEM_COLUMNS)
 
 
 def create_quarantine(spark: SparkSession, table: str) -> None:
@@ -110,7 +128,7 @@ def report_state_counts(
     spark: SparkSession, items_table: str, reports_table: str, as_of: dt.datetime | None = None
 ) -> None:
     """Count the items of every state and append the counts, with one load time, to the reports."""
-    items = scan_table(spark, items_table, ITEM_COLUMNS)
+    items = read_items(spark, items_table)
     append_rows(spark, reports_table, state_counts(items, as_of, stamped=True))
 
 
@@ -146,7 +164,7 @@ def quality_report(
     spark: SparkSession, items_table: str, last_days: int | None = None, as_of: dt.date | None = None
 ) -> DataFrame:
     """The daily quality report of a table, for all days or the last ones."""
-    return daily_report(spark.table(items_table), last_days=last_days, as_of=as_of)
+    return daily_report(read_items(spark, items_table), last_days=last_days, as_of=as_of)
 
 
 def read_topic(spark: SparkSession, topic: Topic, schema: T.StructType | str) -> DataFrame:

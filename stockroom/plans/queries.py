@@ -664,7 +664,7 @@ def stock_ingest_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole ingest: messages to staging rows and totals, with the staged rows counted beside the totals."""
     database = fresh_database(spark)
     state = office_state(f"{database}.office").create(spark)
-    create_table(spark, f"{database}.staged", batch_table_columns(STAGING), partition_by=BATCH_COLUMNS)
+    jobs.staged_rows(f"{database}.staged").create(spark)
     path = _messages_by_type(spark, sf_dir)
     admission = Admission(max_files=files_per_batch(spark, path, 2))
     jobs.ingest_stock(
@@ -722,6 +722,24 @@ def stream_item_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return loaded.union(broken)
 
 
+@check(
+    "JOB2 SNK4 SNK8 SRT1",
+    "select " + ", ".join(f"cast({c} as varchar) as {c}" for c in ITEM_COLUMNS) + f" from ({ITEMS_SQL})",
+)
+def stream_item_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Item messages loaded in several batches, of which all but the newest are gathered into one sorted row set."""
+    sent = items(spark, sf_dir)
+    messages = sent.select("state_id", F.to_json(F.struct(*ITEM_COLUMNS)).cast("binary").alias("value"))
+    path = spread_over_files(spark, messages, "state_id", "topic")
+    topic = Admission(max_files=files_per_batch(spark, path, 3)).apply(folder_topic(path))
+    name = f"{fresh_database(spark)}.raw_items"
+    jobs.create_raw_items(spark, name)
+    jobs.load_items(spark, topic, name, fresh_dir(spark, "checkpoint"), UNTIL_DRAINED).awaitTermination()
+    jobs.raw_items(name).compact(spark)
+    jobs.raw_items(name).discard_covered(spark)
+    return jobs.read_items(spark, name)
+
+
 def _cut_messages(sent: DataFrame) -> DataFrame:
     """Items as messages, of which those of one state lack their closing brace."""
     whole = sent.select("state_id", F.to_json(F.struct(*ITEM_COLUMNS)).alias("whole"))

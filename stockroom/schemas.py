@@ -50,7 +50,8 @@ ITEM_DELIMITED = _item(T.LongType(), T.StringType(), T.LongType())
 ITEM_TYPED = _item(T.LongType(), T.TimestampNTZType(), T.BooleanType())
 
 # Names and types of the remaining tables.
-STAGING = "shk_id BIGINT, office_id BIGINT, is_stock BOOLEAN, dt_load TIMESTAMP_NTZ"
+STAGING_COLUMNS = {"shk_id": "BIGINT", "office_id": "BIGINT", "is_stock": "BOOLEAN", "dt_load": "TIMESTAMP_NTZ"}
+STAGING = ", ".join(f"{name} {kind}" for name, kind in STAGING_COLUMNS.items())
 OFFICE_TOTALS = "office_id BIGINT, is_stock_count BIGINT, total BIGINT"
 REPORTS = "state_id STRING, qty BIGINT, dt TIMESTAMP_NTZ"
 STATE_COUNTS_BY_DAY = "dt_date DATE, state_id CHAR(3), qty INT, dt_load TIMESTAMP_NTZ"

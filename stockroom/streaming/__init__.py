@@ -3,7 +3,7 @@
 from stockroom.streaming.admission import Admission
 from stockroom.streaming.daily import DailyReportState, keep_daily_report
 from stockroom.streaming.loading import batch_table_columns, for_each_batch, load_into
-from stockroom.streaming.state import MergeableState
+from stockroom.streaming.state import BatchedRows, MergeableState
 from stockroom.streaming.totals import (
     keep_office_totals,
     latest_totals,
@@ -14,6 +14,7 @@ from stockroom.streaming.totals import (
 
 __all__ = [
     "Admission",
+    "BatchedRows",
     "DailyReportState",
     "MergeableState",
     "batch_table_columns",

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stockroom.sinks.partitions import drop_partitions, partition_values
-from stockroom.sinks.tables import create_table
+from stockroom.sinks.tables import create_table, sorted_for
 from stockroom.streaming.loading import BATCH_COLUMNS, batch_table_columns, overwrite_batch
 
 COMBINE = {
@@ -84,6 +84,10 @@ class MergeableState:
         measures = [COMBINE[how](F.col(name)).alias(name) for name, (_, how) in self.measures.items()]
         return rows.groupBy(*self.keys).agg(*measures)
 
+    def layout(self, rows: DataFrame) -> DataFrame:
+        """Combined rows as a compaction writes them."""
+        return rows
+
     def add(self, partials: DataFrame, run_id: str, batch_id: int) -> None:
         """Store a batch's partial rows, of which there is one per key."""
         overwrite_batch(partials, self.parts, run_id, batch_id)
@@ -146,7 +150,7 @@ class MergeableState:
         if full and latest.active:
             rows = rows.unionByName(self._merged_rows(spark, latest))
         set_id = uuid.uuid4().hex
-        self.combine(rows).select(*self.columns, F.lit(set_id)).write.insertInto(self.merged)
+        self.layout(self.combine(rows)).select(*self.columns, F.lit(set_id)).write.insertInto(self.merged)
         active = [set_id] if full else [*latest.active, set_id]
         published = [(latest.number + 1, active, run_id, last) for run_id, last in upto.items()]
         schema = spark.table(self.compactions).schema
@@ -161,3 +165,25 @@ class MergeableState:
         covered = latest.covered
         dropped = drop_partitions(spark, self.parts, lambda p: int(p["batch_id"]) <= covered.get(p["run_id"], -1))
         return dropped + drop_partitions(spark, self.merged, lambda p: p["set_id"] not in latest.active)
+
+
+@dataclass(frozen=True)
+class BatchedRows(MergeableState):
+    """Rows loaded in batches, all of them kept; ``keys`` are the columns.
+
+    Streams load into ``<table>`` itself. Compaction gathers closed batches into one sorted row set, so that partitions
+    and files do not grow with the number of batches. Once :meth:`discard_covered` has run, read :meth:`current`
+    instead of the table.
+    """
+
+    sort_key: tuple[str, ...] = ()
+
+    @property
+    def parts(self) -> str:
+        return self.table
+
+    def combine(self, rows: DataFrame) -> DataFrame:
+        return rows.select(*self.columns)
+
+    def layout(self, rows: DataFrame) -> DataFrame:
+        return sorted_for(rows, self.sort_key)
