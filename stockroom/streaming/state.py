@@ -44,17 +44,21 @@ class MergeableState:
     keys: Mapping[str, str]
     measures: Mapping[str, tuple[str, str]] = field(default_factory=dict)
 
+    def _beside(self, suffix: str) -> str:
+        """The name of a table next to this one; the name may be quoted."""
+        return f"{self.table[:-1]}{suffix}`" if self.table.endswith("`") else f"{self.table}{suffix}"
+
     @property
     def parts(self) -> str:
-        return f"{self.table}_parts"
+        return self._beside("_parts")
 
     @property
     def merged(self) -> str:
-        return f"{self.table}_merged"
+        return self._beside("_merged")
 
     @property
     def compactions(self) -> str:
-        return f"{self.table}_compactions"
+        return self._beside("_compactions")
 
     @property
     def columns(self) -> list[str]:

@@ -153,7 +153,7 @@ def test_unpublished_compaction_is_not_read(spark, database, staged):
 
 
 def test_state_without_measures_is_a_set(spark, database):
-    state = MergeableState(f"{database}.ids", {"k": "STRING"}).create(spark)
+    state = MergeableState(f"{database}.`table`", {"k": "STRING"}).create(spark)
     for number, keys in enumerate((["a", "b"], ["b", None], ["a"])):
         state.add(spark.createDataFrame([(k,) for k in keys], "k STRING"), "run", number)
         state.compact(spark)
