@@ -5,6 +5,8 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -23,6 +25,11 @@ class UpsertReport:
     applied: int
 
 
+def has_whole_key(keys: Sequence[str]) -> Column:
+    """True for rows without a NULL in their key. The negation selects the rows an upsert leaves out."""
+    return reduce(and_, [F.col(key).isNotNull() for key in keys])
+
+
 def newest_per_key(rows: DataFrame, keys: Sequence[str], load_time: str) -> DataFrame:
     """One row per key: the latest load time, ties broken by the other columns' order.
 
@@ -67,21 +74,23 @@ def guarded_upsert(
     keys: Sequence[str] = ("dt_date", "state_id"),
     load_time: str = "dt_load",
     partition: str = "dt_date",
+    rejected: str | None = None,
 ) -> UpsertReport:
     """Merge ``incoming`` into the table partitioned by ``partition``, reading and rewriting only the dates it touches.
 
-    Rows with a NULL key are counted and left out. Of several rows with one key the newest is used. One writer at a
-    time; a reader that is scanning a date while it is replaced has to repeat its query.
+    Rows with a NULL key match nothing and have no date to be stored under: they are counted, and with
+    ``rejected`` appended to that table. Of several rows with one key the newest is used. One writer at a time; a
+    reader that is scanning a date while it is replaced has to repeat its query.
     """
     keys = list(keys)
     work_dir(spark)
     target = spark.table(table)
     types = {row["col_name"]: row["data_type"] for row in spark.sql(f"DESCRIBE TABLE {table}").collect()}
     arrived, kept = Observation(), Observation()
-    has_key = F.lit(True)
-    for key in keys:
-        has_key = has_key & F.col(key).isNotNull()
+    has_key = has_whole_key(keys)
     batch = incoming.select(*[as_stored(c, types[c]).alias(c) for c in target.columns])
+    if rejected:
+        batch.where(~has_key).select(*spark.table(rejected).columns).write.insertInto(rejected)
     batch = batch.observe(arrived, F.count("*").alias("received"), F.count_if(~has_key).alias("without_key"))
     batch = newest_per_key(batch.where(has_key), keys, load_time)
     # Written once: the batch is used to find the dates and again in the merge.

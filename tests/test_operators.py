@@ -91,8 +91,11 @@ def test_upsert_duplicates_and_missing_keys(spark, target):
         (DAY, "A", 1, 1), (DAY, "A", 2, 3), (DAY, "A", 3, 2), (DAY, "A", 9, None),
         (None, "A", 5, 1), (DAY, None, 5, 1),
     )
-    report = guarded_upsert(spark, batch, target)
+    rejected = f"{target}_rejected"
+    create_table(spark, rejected, "dt_date DATE, state_id STRING, qty INT, dt_load TIMESTAMP_NTZ")
+    report = guarded_upsert(spark, batch, target, rejected=rejected)
     assert (report.received, report.without_key, report.superseded, report.applied) == (6, 2, 3, 1)
+    assert rows_of(spark.table(rejected), "dt_date", "qty") == [(None, 5), (DAY, 5)]
     assert stored(spark, target) == [(DAY, "A", 2, at(3))]
 
 
