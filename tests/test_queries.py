@@ -49,6 +49,8 @@ def test_query_equals_sql(spark, duck, name):
     rows = [tuple(row) for row in found.select(*[f"`{c}`" for c in columns]).collect()]
     assert len(rows) == len(expected) > 0
     assert in_order(rows) == in_order(expected)
+    plan = found._jdf.queryExecution().toString()
+    assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
 
 
 def test_entry_returns_rows(spark):
