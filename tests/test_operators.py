@@ -107,6 +107,13 @@ def test_upsert_rewrites_only_touched_dates(spark, target):
     assert stored(spark, target) == [(DAY, "A", 1, at(1)), (NEXT, "A", 2, at(2))]
 
 
+def test_listed_dates_prune_partitions(spark, target):
+    guarded_upsert(spark, counts(spark, (DAY, "A", 1, 1), (NEXT, "A", 1, 1)), target)
+    touched = spark.table(target).where(F.col("dt_date").isin([NEXT]))
+    assert "PartitionFilters: [isnotnull(dt_date" in touched._jdf.queryExecution().toString()
+    assert len(touched.inputFiles()) == 1
+
+
 def test_upsert_with_more_dates_than_listed(spark, target, monkeypatch):
     days = [DAY + dt.timedelta(days=i) for i in range(8)]
     guarded_upsert(spark, counts(spark, *[(day, "A", 1, 1) for day in days]), target)

@@ -237,6 +237,12 @@ def test_kafka_topic_options():
     assert kafka_connection({})["kafka.bootstrap.servers"] == "localhost:9092"
 
 
+def test_broker_topic_needs_the_connector(spark):
+    for use in (kafka_topic("items", {}).stream, kafka_topic("items", {}).read):
+        with pytest.raises(Exception, match="(?i)kafka"):
+            use(spark)
+
+
 def test_admission_limits():
     kafka = Admission().apply(kafka_topic("items", {}))
     assert kafka.stream_options == {
