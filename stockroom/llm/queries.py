@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stockroom.llm.fingerprints import edited_and_next
 from stockroom.llm.registry import CHECKS, check, table
 from stockroom.llm.url_filters import Rule, filter_urls
 
@@ -23,3 +24,8 @@ URL_RULES = (
 def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     return filter_urls(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict", "block_score")
+
+
+@check()
+def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edited_and_next(table(spark, sf_dir, "documents").select("doc_id", "text"))
