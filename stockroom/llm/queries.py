@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stockroom.llm.fingerprints import edited_and_next
+from stockroom.llm.licences import find_licences, licence_sql
 from stockroom.llm.personal_data import find_personal_data
 from stockroom.llm.registry import CHECKS, check, table
 from stockroom.llm.url_filters import Rule, filter_urls
@@ -35,3 +36,8 @@ def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 @check()
 def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_personal_data(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@check(licence_sql())
+def op7_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_licences(table(spark, sf_dir, "documents").select("doc_id", "text"))
