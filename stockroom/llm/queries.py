@@ -2,17 +2,23 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stockroom.llm.fingerprints import edited_and_next
 from stockroom.llm.licences import find_licences, licence_sql
+from stockroom.llm.packing import pack_documents
 from stockroom.llm.personal_data import find_personal_data
 from stockroom.llm.registry import CHECKS, check, table
 from stockroom.llm.url_filters import Rule, filter_urls
 
 __all__ = ["CHECKS"]
 
+#: Where the vocabularies lie; the driver reads them.
+WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+BYTE_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+
 URL_RULES = (
     Rule("allow", "org/"),
     Rule("block", "example.org/es/"),
@@ -41,3 +47,10 @@ def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 @check(licence_sql())
 def op7_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_licences(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@check()
+def op6_pack_along_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
+    with open(WORD_TOKENIZER, encoding="utf-8") as file:
+        definition = file.read()
+    return pack_documents(table(spark, sf_dir, "documents").select("doc_id", "text"), definition)
