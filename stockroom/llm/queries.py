@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stockroom.llm.byte_bpe import encode_and_decode
 from stockroom.llm.fingerprints import edited_and_next
 from stockroom.llm.licences import find_licences, licence_sql
 from stockroom.llm.packing import pack_documents
@@ -54,3 +55,11 @@ def op6_pack_along_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
     with open(WORD_TOKENIZER, encoding="utf-8") as file:
         definition = file.read()
     return pack_documents(table(spark, sf_dir, "documents").select("doc_id", "text"), definition)
+
+
+@check()
+def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    with open(BYTE_RANKS, "rb") as file:
+        ranks = file.read()
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return encode_and_decode(documents, ranks, public_tokenizers.PATTERN)

@@ -12,8 +12,9 @@ from stockroom.session import fresh_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-#: Rows of one Arrow batch. Texts may have millions of characters, so batches have few rows.
-ARROW_ROWS = 256
+#: Rows and bytes of one Arrow batch. Texts may have millions of characters, so batches are bounded by size.
+ARROW_ROWS = 1024
+ARROW_BYTES = 8 << 20
 
 
 @dataclass(frozen=True)
@@ -42,8 +43,9 @@ def check(sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Let Python workers get few rows at a time."""
+    """Let Python workers get a few megabytes at a time."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", ARROW_BYTES)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
