@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from stockroom.llm.byte_bpe import encode_and_decode
 from stockroom.llm.fingerprints import edited_and_next
 from stockroom.llm.licences import find_licences, licence_sql
+from stockroom.llm.near_duplicates import near_duplicates
 from stockroom.llm.packing import pack_documents
 from stockroom.llm.personal_data import find_personal_data
 from stockroom.llm.registry import CHECKS, check, table
@@ -63,3 +64,8 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         ranks = file.read()
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     return encode_and_decode(documents, ranks, public_tokenizers.PATTERN)
+
+
+@check()
+def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), shingle=3, percent=85)
