@@ -10,6 +10,7 @@ from stockroom.llm.byte_bpe import encode_and_decode
 from stockroom.llm.fingerprints import edited_and_next
 from stockroom.llm.licences import find_licences, licence_sql
 from stockroom.llm.near_duplicates import near_duplicates
+from stockroom.llm.neighbours import nearest_neighbours
 from stockroom.llm.packing import pack_documents
 from stockroom.llm.personal_data import find_personal_data
 from stockroom.llm.registry import CHECKS, check, table
@@ -69,3 +70,9 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 @check()
 def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), shingle=3, percent=85)
+
+
+@check()
+def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return nearest_neighbours(vectors, F.col("vec_id") % 20 == 0)
