@@ -14,6 +14,7 @@ from stockroom.llm.neighbours import nearest_neighbours
 from stockroom.llm.packing import pack_documents
 from stockroom.llm.personal_data import find_personal_data
 from stockroom.llm.registry import CHECKS, check, table
+from stockroom.llm.repeats import remove_repeats
 from stockroom.llm.url_filters import Rule, filter_urls
 
 __all__ = ["CHECKS"]
@@ -76,3 +77,8 @@ def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     return nearest_neighbours(vectors, F.col("vec_id") % 20 == 0)
+
+
+@check()
+def op9_remove_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
