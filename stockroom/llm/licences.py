@@ -127,13 +127,13 @@ def find_licences(
     prepared = {name: numbered_bigrams_of(text) for name, text in sorted(templates.items())}
     prepared = {name: found for name, found in prepared.items() if found}
     fitting = [
-        (n, name, found)
+        (n, name, found, sorted({pair.rsplit("#", 1)[0] for pair in found}))
         for name, found in prepared.items()
         for n in range(size_bounds(len(found), least)[0], size_bounds(len(found), least)[1] + 1)
     ]
-    sizes = F.broadcast(spark.createDataFrame(fitting, "n_bigrams long, licence string, wanted array<string>"))
-    smallest = min((n for n, _, _ in fitting), default=1)
-    largest = max((n for n, _, _ in fitting), default=0)
+    sizes = F.broadcast(spark.createDataFrame(fitting, "n_bigrams long, licence string, wanted array<string>, any_of array<string>"))
+    smallest = min((n for n, *_ in fitting), default=1)
+    largest = max((n for n, *_ in fitting), default=0)
     units = (
         documents.where(F.col(text_column).isNotNull())
         .select(F.col(id_column).alias("doc_id"), F.inline(units_of(F.col(text_column))))
@@ -141,12 +141,10 @@ def find_licences(
         .where(F.col("n_bigrams").between(smallest, largest))
     )
     shared = F.size(F.array_intersect(F.col("found"), F.col("wanted")))
-    rows = once(
-        units.join(sizes, "n_bigrams"),
-        "words",
-        F.regexp_extract_all(F.translate("part", UPPER, LOWER), F.lit(WORD), F.lit(0)),
-    )
-    rows = once(rows, "pairs", bigrams(F.col("words")))
+    words = F.regexp_extract_all(F.translate("part", UPPER, LOWER), F.lit(WORD), F.lit(0))
+    rows = once(once(units, "words", words), "pairs", bigrams(F.col("words")))
+    # Most units share no bigram with a template of their size; repetitions are told apart in the others only.
+    rows = rows.join(sizes, "n_bigrams").where(F.arrays_overlap("pairs", "any_of"))
     rows = once(rows, "found", numbered(F.col("pairs")))
     rows = once(rows, "dice", 2.0 * shared / (F.size("found") + F.size("wanted")))
     return rows.where(F.col("dice") >= least).select("doc_id", "unit", "unit_no", "licence", "n_bigrams", "dice")
