@@ -128,6 +128,8 @@ def _train(
     ]
     first, second = [np.zeros_like(w) for w in weights], [np.zeros_like(w) for w in weights]
     batches, step = max(1, len(unlabelled) // 512), 0
+    # Few rows make short epochs; train as many steps as with many.
+    epochs = max(epochs, -(-800 // batches))
     for epoch in range(epochs):
         p, u = draw.permutation(len(positive)), draw.permutation(len(unlabelled))
         for i in range(batches):
@@ -172,3 +174,91 @@ def fit_quality(positive: np.ndarray, unlabelled: np.ndarray, hidden: int = 16,
         sides = QualityModel(mean, width, _train(p[::2], u[::2], None, hidden, max(4, epochs // 4), seed), 0.5)
         prior = estimate_prior(sides.scores(positive[1::2]), sides.scores(unlabelled[1::2]))
     return QualityModel(mean, width, _train(p, u, prior, hidden, epochs, seed), prior)
+
+
+def in_held_out(doc_id: Column) -> Column:
+    """A third of the ids, by their checksum."""
+    return F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1
+
+
+def _collected(rows: DataFrame, text: str) -> np.ndarray:
+    """Features of a sample, whose size the caller bounds."""
+
+    def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = features(batch.column(0))
+            yield pa.RecordBatch.from_arrays([pa.array([x.tobytes() for x in found], pa.binary())], names=["row"])
+
+    raw = rows.select(text).mapInArrow(extract, "row binary").collect()
+    # Sorted, so that the fit does not depend on the order in which tasks end.
+    return np.array([np.frombuffer(row["row"], np.float32) for row in sorted(raw)])
+
+
+def scorer(model: QualityModel, names: list[str]) -> Callable:
+    """For mapInArrow: appends the scores of the texts in the last column, which is dropped."""
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = model.scores(features(batch.column(batch.num_columns - 1)))
+            columns = [batch.column(i) for i in range(len(names))]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(found, pa.float64())], names=[*names, "score"])
+
+    return score
+
+
+def fit_on_tables(
+    documents: DataFrame,
+    labels: DataFrame,
+    most_positives: int = 8_000,
+    most_unlabelled: int = 16_000,
+    id_column: str = "doc_id",
+) -> QualityModel | None:
+    """Learn from documents labelled 1 outside the held-out third, and from documents without regard to labels.
+
+    The fit uses samples of about these sizes, drawn by hashes of ids; with less data it uses all. Without positives or
+    documents there is no model.
+    """
+    texts = documents.select(F.col(id_column).alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
+    trusted = (
+        labels.where((F.col("quality") == 1) & F.col("doc_id").isNotNull() & ~in_held_out(F.col("doc_id")))
+        .select("doc_id")
+        .distinct()
+    )
+    draw = F.pmod(F.xxhash64(F.coalesce(F.col("doc_id"), F.lit(-1)), F.lit(17)), F.lit(1_000_000))
+
+    def drawn(rows: DataFrame, most: int) -> DataFrame:
+        count = rows.count()
+        return rows.where(draw < int(1_000_000 * min(1.0, most / max(count, 1))))
+
+    # The ids of the sample, of which there are about ``most_positives``, go to all tasks.
+    positive = _collected(texts.join(F.broadcast(drawn(trusted, most_positives)), "doc_id", "left_semi"), "text")
+    unlabelled = _collected(drawn(texts, most_unlabelled), "text")
+    if not len(positive) or not len(unlabelled):
+        return None
+    return fit_quality(positive, unlabelled)
+
+
+def score_quality(
+    documents: DataFrame,
+    labels: DataFrame,
+    most_positives: int = 8_000,
+    most_unlabelled: int = 16_000,
+    id_column: str = "doc_id",
+) -> DataFrame:
+    """The documents with ``score`` (0 to 1, higher: good text is likelier) and ``predicted`` (1 from 0.5 on).
+
+    Scores see the whole text and nothing else. A NULL text is scored as an empty one, and those are scored like any text.
+    If nothing can be learnt, all scores are 0.5. Labels that are NULL or name no document teach nothing; repeated rows and
+    labels count once per row. An empty table gives no rows; other columns are kept, unless named like a result.
+    """
+    columns = [c for c in documents.columns if c.lower() not in ("score", "predicted")]
+    kept = [F.col(f"`{c}`") for c in columns]
+    model = fit_on_tables(documents, labels, most_positives, most_unlabelled, id_column)
+    if model is None:
+        scored = documents.select(*kept, F.lit(0.5).alias("score"))
+    else:
+        schema = documents.select(*kept).schema.add("score", "double")
+        scored = documents.select(*kept, F.coalesce(F.col("text"), F.lit("")).alias("scored_text")).mapInArrow(
+            scorer(model, columns), schema
+        )
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))

@@ -13,6 +13,7 @@ from stockroom.llm.near_duplicates import near_duplicates
 from stockroom.llm.neighbours import nearest_neighbours
 from stockroom.llm.packing import pack_documents
 from stockroom.llm.personal_data import find_personal_data
+from stockroom.llm.quality import in_held_out, score_quality
 from stockroom.llm.registry import CHECKS, check, table
 from stockroom.llm.repeats import remove_repeats
 from stockroom.llm.url_filters import Rule, filter_urls
@@ -82,3 +83,10 @@ def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 @check()
 def op9_remove_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@check()
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
+    scored = score_quality(table(spark, sf_dir, "documents").select("doc_id", "text"), labels)
+    return scored.select("doc_id", in_held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")

@@ -1,0 +1,138 @@
+from __future__ import annotations
+
+import random
+import re
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import functions as F
+
+from stockroom.llm.components import connected_components
+from stockroom.llm.near_duplicates import block_linker, near_duplicates
+from stockroom.llm.shingles import shingle_sets, word_hashes
+
+
+def shingles(text, size):
+    lower = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+    words = re.findall(r"[^\x20\x09-\x0D]+", lower)
+    if len(words) < size:
+        return frozenset([tuple(words)]) if words else frozenset()
+    return frozenset(tuple(words[i : i + size]) for i in range(len(words) - size + 1))
+
+
+def expected(rows, size, percent):
+    sets = [(doc_id, shingles(text, size)) for doc_id, text in rows]
+    root = {doc_id: doc_id for doc_id, _ in sets}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for at, (a, one) in enumerate(sets):
+        for b, other in sets[:at]:
+            if one and other and 100 * len(one & other) >= percent * len(one | other):
+                x, y = sorted((find(a), find(b)))
+                root[y] = x
+    return {doc_id: (len(found), find(doc_id), find(doc_id) == doc_id) for doc_id, found in sets}
+
+
+def answers(documents, size, percent, **settings):
+    found = near_duplicates(documents, size, percent, **settings).collect()
+    return {r["doc_id"]: (r["n_shingles"], r["component_id"], r["kept"]) for r in found}
+
+
+def edited(base, draw, most):
+    words = base.split()
+    for _ in range(draw.randint(0, most)):
+        words[draw.randrange(len(words))] = f"x{draw.randint(0, 10**6)}"
+    return " ".join(words)
+
+
+TRICKY = ["", None, "  \n", "a", "A", "a b", "A  B", "a b c", "c", "é b", "É b", "a b c d e f g", "\x1c a\x0bb", "q" * 50_000]
+
+
+def test_equals_brute_force(texts, prose):
+    draw = random.Random(4)
+    rows = TRICKY + [prose(i, 80) for i in range(15)] + [prose(3, 80)] * 5 + [prose(99, 4000)] * 2
+    for seed in (200, 201):
+        rows += [edited(prose(seed, 150), draw, 9) for _ in range(70)]
+    draw.shuffle(rows)
+    assert answers(texts(rows), 3, 85) == expected(list(enumerate(rows)), 3, 85)
+    assert answers(texts(rows), 5, 80) == expected(list(enumerate(rows)), 5, 80)
+
+
+def test_chains_that_hubs_miss_are_found_in_blocks(texts):
+    # Each text is linked with its neighbours only; small blocks make several block pairs.
+    words = [f"w{i}" for i in range(400)]
+    rows = [" ".join(words[4 * i : 4 * i + 100]) for i in range(60)]
+    wanted = expected(list(enumerate(rows)), 3, 85)
+    assert len({component for _, component, _ in wanted.values()}) == 1
+    assert answers(texts(rows), 3, 85, block=8) == wanted
+
+
+def test_block_links_equal_all_pairs(prose):
+    draw = random.Random(8)
+    sets = shingle_sets(pa.array([edited(prose(1, 200), draw, 12) for _ in range(60)]), 3)
+    table = pa.table(
+        {
+            "node": list(range(60)),
+            "component": [i % 7 for i in range(60)],
+            "shingles": [x.tobytes() for x in sets],
+        }
+    )
+    found = block_linker(85)(table.slice(0, 25), table)
+    wanted = set()
+    for i in range(25):
+        for j in range(60):
+            shared = len(np.intersect1d(sets[i], sets[j]))
+            if i % 7 != j % 7 and 100 * shared >= 85 * (len(sets[i]) + len(sets[j]) - shared):
+                wanted.add((i, j))
+    assert set(zip(*(found.column(c).to_pylist() for c in "uv"), strict=True)) == wanted and wanted
+
+
+def test_components(spark):
+    draw = random.Random(2)
+    edges = [(i, i + 1) for i in range(100, 160)] + [(7, i) for i in range(200, 400)] + [(5, 5), (3, 3)]
+    edges += [(draw.randint(500, 900), draw.randint(500, 900)) for _ in range(250)]
+    root = {}
+
+    def find(x):
+        while root.setdefault(x, x) != x:
+            x = root[x]
+        return x
+
+    for a, b in edges:
+        if a != b:
+            x, y = sorted((find(a), find(b)))
+            root[y] = x
+    found = connected_components(spark.createDataFrame(edges, "u long, v long")).collect()
+    assert sorted(map(tuple, found)) == sorted((node, find(node)) for node in root)
+    assert connected_components(spark.createDataFrame([], "u long, v long")).count() == 0
+
+
+def test_hashes_do_not_depend_on_the_batch(prose):
+    rows = ["a b c", None, "", " x ", prose(1), "A b\tc", "abc"]
+    whole, starts = word_hashes(pa.array(rows))
+    for at, text in enumerate(rows):
+        alone, _ = word_hashes(pa.array([text], pa.string()))
+        assert whole[starts[at] : starts[at + 1]].tolist() == alone.tolist()
+    assert whole[starts[0] : starts[1]].tolist() == whole[starts[5] : starts[6]].tolist()
+    assert word_hashes(pa.array(rows).slice(4, 2))[1].tolist()[1] == 120
+
+
+def test_repeated_ids_null_ids_empty_tables_and_clashing_columns(texts, prose):
+    same = prose(1)
+    rows = texts([(4, same), (4, same), (2, same), (None, same), (None, "other words stand here"), (9, prose(2))])
+    clash = rows.withColumns({"digest": F.lit(1), "bands": F.lit("x"), "kept": F.lit(False)})
+    found = sorted(
+        ((r["doc_id"], r["component_id"], r["kept"]) for r in near_duplicates(clash).collect()), key=str
+    )
+    assert found == [(2, 2, True), (4, 2, False), (4, 2, False), (9, 9, True), (None, None, True), (None, None, True)]
+    assert near_duplicates(texts([])).count() == 0
+    assert answers(texts(["", None]), 3, 85) == {0: (0, 0, True), 1: (0, 1, True)}
+
+
+def test_no_pairs_are_listed(texts, prose):
+    plan = near_duplicates(texts([prose(i) for i in range(3)]))._jdf.queryExecution().toString()
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan

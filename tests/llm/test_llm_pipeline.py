@@ -1,0 +1,104 @@
+from __future__ import annotations
+
+import random
+import re
+from collections import defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+import __spark_entry__ as entry_points
+import corpus_pipeline
+
+
+@pytest.fixture
+def tables(spark, tmp_path, prose):
+    """A small corpus with junk, copies, near copies, a shared passage and personal data."""
+    draw = random.Random(1)
+    rows = []
+    for i in range(200):
+        words = prose(i, 150)
+        if i % 10 == 3:
+            words = " ".join(w.upper() + "!!" for w in words.split())
+        if i % 10 == 4:
+            words = prose(i - 4, 150)
+        if i % 10 == 5:
+            words = prose(i - 5, 150) + " more words"
+        if i % 10 == 6:
+            words = "First words here. " + prose(999, 77) + " Last words here."
+        if i % 10 == 7:
+            words += f" write to u{i}@mail.example.com or 10.0.{i}.7"
+        rows.append((i, words, "en", f"src{i % 3}", len(words)))
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/documents.parquet")
+    labels = [(i, int(i % 10 != 3), 0) for i in range(200) if draw.random() < 0.6]
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    return str(tmp_path), {row[0]: row for row in rows}
+
+
+def test_every_stage_takes_effect(spark, tables):
+    folder, first = tables
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    columns = docs.columns
+    seen = []
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, folder)
+        assert docs.columns == columns
+        seen.append({row["doc_id"]: row for row in docs.collect()})
+        docs = spark.createDataFrame(list(seen[-1].values()), docs.schema)
+    good, single, unrepeated, masked = seen
+    junk = {i for i in first if i % 10 == 3}
+    assert len(junk & set(good)) <= 1 and len(set(first) - junk - set(good)) <= 2
+    copies = {i for i in good if i % 10 in (4, 5) and i - i % 10 in good}
+    assert copies and not copies & set(single) and set(good) - copies - set(single) <= {i for i in good if i % 10 == 6}
+    passage = [row["doc_id"] for row in unrepeated.values() if len(row["text"]) > 200 and row["doc_id"] % 10 == 6]
+    assert passage == [min(i for i in single if i % 10 == 6)]
+    assert set(unrepeated) == set(single) == set(masked)
+    for doc_id, row in masked.items():
+        assert row["n_chars"] == len(row["text"])
+        assert not re.search(r"@mail|10\.0\.", row["text"])
+        if doc_id % 10 not in (6, 7):
+            assert row["text"] == first[doc_id][1] and row["source"] == first[doc_id][3]
+
+
+def test_run_packs_what_the_stages_keep(spark, tables):
+    folder, _ = tables
+    found = corpus_pipeline.run(spark, folder).collect()
+    sizes = defaultdict(int)
+    for row in found:
+        sizes[row["sequence_id"]] += row["length"]
+    assert all(size == 2048 or size & (size - 1) == 0 for size in sizes.values())
+    assert 100 < len({row["doc_id"] for row in found}) < 200
+
+
+def test_near_copies_with_repeated_and_missing_ids(spark, tables, prose):
+    folder, _ = tables
+    rows = [(1, prose(1)), (1, prose(1)), (2, prose(1)), (None, prose(1)), (None, prose(1)), (5, None)]
+    docs = spark.createDataFrame([(i, t, "en", None, None) for i, t in rows], _schema(spark, folder))
+    kept = corpus_pipeline.keep_one_of_near_copies(spark, docs, folder).collect()
+    assert sorted(str(row["doc_id"]) for row in kept) == ["1", "5", "None", "None"]
+
+
+def test_stages_take_empty_tables_nulls_and_more_columns(spark, tables):
+    folder, _ = tables
+    schema = _schema(spark, folder)
+    for docs in (
+        spark.createDataFrame([], schema),
+        spark.createDataFrame([(None, None, None, None, None), (1, "", None, None, 0)], schema),
+    ):
+        docs = docs.withColumns({"score": F.lit(1), "removed": F.lit("x"), "pii_spans": F.lit(2), "kept": F.lit(3)})
+        for _, stage in corpus_pipeline.STAGES[:-1]:
+            assert stage(spark, docs, folder).columns == docs.columns
+            stage(spark, docs, folder).collect()
+        assert corpus_pipeline.pack(spark, docs, folder).count() == docs.count()
+
+
+def test_queries_are_registered():
+    names = list(entry_points.queries())
+    assert "pipeline" in names
+    for number in range(1, 11):
+        assert sum(name.startswith(f"op{number}_") for name in names) == 1
+
+
+def _schema(spark, folder):
+    return spark.read.parquet(f"{folder}/documents.parquet").schema
