@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from stockroom.llm.registry import stored
 
 #: Words that a worker keeps with their ids; beyond that it starts anew.
-CACHE_WORDS = 300_000
+CACHE_WORDS = 500_000
 #: Marks that end a word without changing how the word itself is cut.
 TRAILING = ".,!?;:%$&*#|"
 
@@ -42,6 +42,10 @@ class WordIds(dict):
         self.tokenizer.encode_special_tokens = True
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.parts: dict[str, bytes] = {"": b""}
+        # The printable character that byte-level tokenizers write for each byte.
+        shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+        others = iter(range(0x100, 0x200))
+        self.byte = [chr(b) if b in shown else chr(next(others)) for b in range(0x100)]
 
     def __missing__(self, word: str) -> bytes:
         stem = word.rstrip(TRAILING)
@@ -53,12 +57,18 @@ class WordIds(dict):
         return found
 
     def part(self, word: str) -> bytes:
-        # Up to here in the code table, lower case is one letter each and nothing combines.
-        if word.isalpha() and max(word) < "İ":
+        # Up to here in the code table, lower case is one letter each and nothing combines, so letters alone are
+        # one unit that goes to the tokenizer's merges as it is.
+        plain = word.isalpha() and max(word) < "İ"
+        if plain:
             word = word.lower()
         found = self.parts.get(word)
         if found is None:
-            ids = self.tokenizer.encode(word, add_special_tokens=False).ids
+            if plain:
+                shown = word if word.isascii() else "".join([self.byte[b] for b in word.encode()])
+                ids = [token.id for token in self.tokenizer.model.tokenize(shown)]
+            else:
+                ids = self.tokenizer.encode(word, add_special_tokens=False).ids
             found = self.parts[word] = np.array(ids, self.dtype).tobytes()
         return found
 
