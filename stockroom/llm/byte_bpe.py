@@ -1,9 +1,9 @@
 """Byte-level BPE over a global shuffle of distinct words.
 
 Texts are cut into blocks; a block lists its distinct pre-tokens and, for each of its documents, the places of their
-occurrences in that list. The lists of all blocks are shuffled by word, each distinct word is encoded once, and its ids go
-back to the blocks that hold it, where documents are put together again by position. Decoding looks every id up in the
-table of token bytes, which has the size of the vocabulary.
+occurrences in that list. The lists of all blocks are shuffled by word: a block's words of one hash bucket travel as one
+packed row. Each distinct word is encoded once, and its ids go back to the blocks that hold it, where documents are put
+together again by position. Decoding looks every id up in the table of token bytes, which has the size of the vocabulary.
 """
 
 from __future__ import annotations
@@ -11,6 +11,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import uuid
+import zlib
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
@@ -84,28 +85,59 @@ class Block:
         self.documents.append(found)
         self.characters += len(text)
 
-    def row(self, number: int) -> pa.RecordBatch:
+    def row(self, number: int, buckets: int) -> pa.RecordBatch:
         places = np.frombuffer(b"".join(self.documents), "<u4")
         # Frequent words first, so that the upper bytes of most places are zero.
         order = np.argsort(-np.bincount(places, minlength=len(self.words)), kind="stable")
         rank = np.empty(len(order), "<u4")
         rank[order] = np.arange(len(order), dtype="<u4")
         planes = np.ascontiguousarray(rank[places].view("u1").reshape(-1, 4).T).tobytes()
-        words = list(self.words)
+        words = [word.encode() for word in self.words]
+        words = [words[i] for i in order]
+        bucket = np.array([zlib.crc32(word) % buckets for word in words], "<u4")
+        by_bucket = np.argsort(bucket, kind="stable")
+        edges = np.searchsorted(bucket[by_bucket], np.arange(buckets + 1))
+        lists = [
+            {"bucket": at, "words": pack_words([words[i] for i in by_bucket[low:high].tolist()])}
+            for at, (low, high) in enumerate(zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True))
+            if high > low
+        ]
+        kind = pa.list_(pa.struct([("bucket", pa.int32()), ("words", pa.binary())]))
         columns = [
             pa.array([number], pa.int64()),
             pa.array([self.ids], pa.list_(pa.int64())),
             pa.array([self.counts], pa.list_(pa.int64())),
             pa.array([pa.compress(planes, "zstd", asbytes=True)], pa.binary()),
-            pa.array([[words[i] for i in order]], pa.list_(pa.string())),
+            pa.array([pa.compress(bucket.tobytes(), "zstd", asbytes=True)], pa.binary()),
+            pa.array([len(words)], pa.int32()),
+            pa.array([lists], kind),
         ]
-        return pa.RecordBatch.from_arrays(columns, names=["block", "ids", "counts", "places", "words"])
+        return pa.RecordBatch.from_arrays(
+            columns, names=["block", "ids", "counts", "places", "buckets", "n_words", "lists"]
+        )
+
+
+BLOCKS = (
+    "block long, ids array<long>, counts array<long>, places binary, buckets binary, n_words int, "
+    "lists array<struct<bucket:int,words:binary>>"
+)
+
 
+def pack_words(words: list[bytes]) -> bytes:
+    """Their number, lengths and bytes."""
+    head = np.array([len(words), *map(len, words)], "<u4").tobytes()
+    whole = head + b"".join(words)
+    return len(whole).to_bytes(4, "little") + pa.compress(whole, "zstd", asbytes=True)
 
-BLOCKS = "block long, ids array<long>, counts array<long>, places binary, words array<string>"
 
+def unpack_words(packed: bytes) -> list[bytes]:
+    whole = pa.decompress(packed[4:], int.from_bytes(packed[:4], "little"), "zstd", asbytes=True)
+    count = int(np.frombuffer(whole, "<u4", 1)[0])
+    ends = (4 + 4 * count + np.cumsum(np.frombuffer(whole, "<u4", count, 4))).tolist()
+    return [whole[start:end] for start, end in zip([4 + 4 * count, *ends], ends, strict=False)]
 
-def blocker(pattern: str, characters: int) -> Callable:
+
+def blocker(pattern: str, characters: int, buckets: int) -> Callable:
     """For mapInArrow: documents to blocks of about so many characters."""
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -115,10 +147,10 @@ def blocker(pattern: str, characters: int) -> Callable:
             for document, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
                 block.add(document, text.as_py())
                 if block.characters >= characters:
-                    yield block.row(number)
+                    yield block.row(number, buckets)
                     block, number = Block(compiled), number + 1
         if block.ids:
-            yield block.row(number)
+            yield block.row(number, buckets)
 
     return blocks
 
@@ -138,21 +170,32 @@ def word_encoder(ranks: bytes) -> Callable[[str], list[int]]:
     return tiktoken.Encoding("words", pat_str=r"(?s:.+)", mergeable_ranks=merges, special_tokens={}).encode_ordinary
 
 
-def word_runs(ranks: bytes) -> Callable:
-    """For mapInArrow over rows sorted by word: encodes each distinct word once, for all blocks that hold it."""
+#: Words whose ids a worker keeps while it goes through a bucket; beyond that it starts anew.
+KEPT_WORDS = 500_000
+
+
+def bucket_encoder(ranks: bytes) -> Callable:
+    """For mapInArrow over lists sorted by bucket: encodes each distinct word of a bucket once, for all its blocks."""
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids_of = word_encoder(ranks)
-        last, ids = None, []
+        known: dict[bytes, bytes] = {}
+        last = None
         for batch in batches:
-            found = []
-            for word in batch.column("word").to_pylist():
-                if word != last:
-                    last, ids = word, ids_of(word)
-                found.append(ids)
+            packed = []
+            for bucket, words in zip(batch.column("bucket").to_pylist(), batch.column("words"), strict=True):
+                if bucket != last or len(known) > KEPT_WORDS:
+                    last, known = bucket, {}
+                found = []
+                for word in unpack_words(words.as_py()):
+                    ids = known.get(word)
+                    if ids is None:
+                        ids = known[word] = np.array(ids_of(word.decode()), "<u4").tobytes()
+                    found.append(ids)
+                packed.append(pack_words(found))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("block"), batch.column("place"), pa.array(found, pa.list_(pa.int32()))],
-                names=["block", "place", "word_ids"],
+                [batch.column("block"), batch.column("bucket"), pa.array(packed, pa.binary())],
+                names=["block", "bucket", "word_ids"],
             )
 
     return encode
@@ -166,15 +209,19 @@ def reassembler(ranks: bytes) -> Callable:
         decimal = {number: b"%d" % number for number in table}
         for batch in batches:
             for at in range(batch.num_rows):
-                entries = batch.column("entries")[at].values
-                places = entries.field("place").to_numpy() if entries is not None else np.empty(0, np.int64)
-                listed = entries.field("word_ids").to_pylist() if entries is not None else []
-                size = len(listed)
+                size = batch.column("n_words")[at].as_py()
                 encoded, decoded, lengths = [b""] * size, [b""] * size, np.zeros(size, np.int64)
-                for place, ids in zip(places.tolist(), listed, strict=True):
-                    encoded[place] = b",".join([decimal[i] for i in ids])
-                    decoded[place] = b"".join([table[i] for i in ids])
-                    lengths[place] = len(ids)
+                buckets = pa.decompress(batch.column("buckets")[at].as_py(), 4 * size, "zstd", asbytes=True)
+                by_bucket = np.argsort(np.frombuffer(buckets, "<u4"), kind="stable")
+                ordered = np.frombuffer(buckets, "<u4")[by_bucket]
+                for entry in batch.column("entries")[at].as_py() or []:
+                    first = np.searchsorted(ordered, entry["bucket"])
+                    found = unpack_words(entry["word_ids"])
+                    for place, packed_ids in zip(by_bucket[first : first + len(found)].tolist(), found, strict=True):
+                        ids = np.frombuffer(packed_ids, "<u4").tolist()
+                        encoded[place] = b",".join([decimal[i] for i in ids])
+                        decoded[place] = b"".join([table[i] for i in ids])
+                        lengths[place] = len(ids)
                 counts = batch.column("counts")[at].as_py()
                 packed = batch.column("places")[at].as_py()
                 total = sum(counts)
@@ -205,14 +252,14 @@ def encode_and_decode(
     documents: DataFrame,
     ranks: bytes,
     pattern: str,
-    block_characters: int = 32_000_000,
+    block_characters: int = 8_000_000,
     id_column: str = "doc_id",
 ) -> DataFrame:
     """Per document: how many ids its whole text has, and digests of the ids and of the bytes they decode to.
 
     ``ranks`` is the content of a rank file, ``pattern`` cuts texts into pre-tokens. Blocks are written once, bucketed by
-    block, so what moves is one row for each distinct word of a block, and its ids back. A word that stands in every text
-    has one row per block. A block's word list is no longer than its text.
+    block, so what moves is each distinct word of a block once, and its ids back. A word that stands in every text travels once
+    per block. A block's word list is no longer than its text.
 
     A NULL or empty text has no ids. Rows with a repeated id are separate documents; a NULL id is kept. An empty table
     gives no rows; further columns are ignored.
@@ -224,18 +271,19 @@ def encode_and_decode(
     )
     name = f"token_blocks_{uuid.uuid4().hex[:12]}"
     path = fresh_dir(spark, "token-blocks")
-    blocked = rows.mapInArrow(blocker(pattern, block_characters), BLOCKS)
+    buckets = 4 * parts
+    blocked = rows.mapInArrow(blocker(pattern, block_characters, buckets), BLOCKS)
     blocked.write.bucketBy(parts, "block").option("path", path).saveAsTable(name)
     blocks = spark.table(name)
-    words = blocks.select("block", F.posexplode("words").alias("place", "word"))
+    words = blocks.select("block", F.inline("lists"))
     encoded = (
-        words.repartition(parts, "word")
-        .sortWithinPartitions("word")
-        .mapInArrow(word_runs(ranks), "block long, place int, word_ids array<int>")
+        words.repartition(parts, "bucket")
+        .sortWithinPartitions("bucket")
+        .mapInArrow(bucket_encoder(ranks), "block long, bucket int, word_ids binary")
     )
-    entries = encoded.groupBy("block").agg(F.collect_list(F.struct("place", "word_ids")).alias("entries"))
+    entries = encoded.groupBy("block").agg(F.collect_list(F.struct("bucket", "word_ids")).alias("entries"))
     # Never broadcast: the entries grow with the texts.
-    whole = blocks.select("block", "ids", "counts", "places").join(entries.hint("merge"), "block", "left")
-    return whole.select("ids", "counts", "places", "entries").mapInArrow(
+    whole = blocks.drop("lists").join(entries.hint("merge"), "block", "left")
+    return whole.select("ids", "counts", "places", "buckets", "n_words", "entries").mapInArrow(
         reassembler(ranks), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
     )
