@@ -8,12 +8,13 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
+from stockroom.operators.upsert import BATCH_KEY, rejected_columns
 from stockroom.plans import jobs
-from stockroom.schemas import REPORTS
+from stockroom.schemas import REPORTS, STATE_COUNTS_BY_DAY
 from stockroom.session import build_session
 from stockroom.sinks import create_layers, create_table
 from stockroom.sources import Topic, folder_topic, kafka_topic
-from stockroom.streaming import Admission, office_state
+from stockroom.streaming import Admission, DailyReportState, office_state
 from stockroom.streaming.admission import EVERY_SECOND, UNTIL_DRAINED
 
 
@@ -35,13 +36,25 @@ def arguments() -> argparse.ArgumentParser:
     job("create-layers", "create the layer databases").add_argument("--location")
     job("publish-file", "publish a delimited item file", "path", topic=True).add_argument("--sep", default=";")
     job("publish-table", "publish columns of a table", "table", "columns", topic=True)
-    job("read-topic", "decode all messages of a topic", "schema", topic=True).add_argument("--out")
+    job("read-topic", "decode all messages of a topic", "schema", "out", topic=True)
     load = job("load-items", "stream item messages into a table", "table", "checkpoint", topic=True)
-    load.add_argument("--quarantine", help="table for broken messages")
-    load.add_argument("--max-offsets", type=int, help="messages per micro-batch")
     ingest = job("ingest-stock", "buffered ingest with totals", "staging", "state", "checkpoint", topic=True)
-    for command in (load, ingest):
+    keep = job("keep-report", "stream items into the daily report's state", "state", "checkpoint", topic=True)
+    show = job("kept-report", "the daily report from its state", "state", "out")
+    for command in (keep, show):
+        command.add_argument("--ids", choices=["sketch", "bitmap", "set"], default="sketch", help="how ids are kept")
+    usual = Admission()
+    for command in (load, ingest, keep):
         command.add_argument("--until-drained", action="store_true", help="stop when all present messages are loaded")
+        command.add_argument("--max-rows", type=int, default=usual.max_rows, help="messages per batch, of a broker")
+        command.add_argument("--max-bytes", type=int, default=usual.max_bytes, help="bytes per batch, of a folder")
+        command.add_argument("--max-files", type=int, help="files per batch, of a folder, instead of bytes")
+        command.add_argument("--compact-every", type=int, default=100, help="batches between compactions, 0 for none")
+    for command in (load, ingest):
+        command.add_argument("--quarantine", help="table for broken messages")
+    ingest.add_argument("--min-rows", type=int, default=usual.min_rows, help="messages a batch waits for")
+    ingest.add_argument("--max-seconds", type=int, default=usual.max_seconds, help="how long it waits at most")
+    ingest.add_argument("--every-seconds", type=int, default=usual.every_seconds, help="how often it looks")
     for compact in (
         job("compact-stock", "combine the stored totals' batches", "state"),
         job("compact-items", "gather the loaded items' batches", "table"),
@@ -49,7 +62,11 @@ def arguments() -> argparse.ArgumentParser:
     ):
         compact.add_argument("--full", action="store_true", help="also combine the results of earlier compactions")
         compact.add_argument("--discard", action="store_true", help="also delete what was combined")
-    job("stock-totals", "totals per office", "state").add_argument("--out")
+    job("stock-totals", "totals per office", "state", "out")
+    typed = job("type-items", "raw items as typed ones, by day", "items", "typed")
+    job("export-reports", "the reports as record arrays", "reports", "out")
+    records = job("import-records", "merge record arrays into the counts by day", "records", "target")
+    records.add_argument("--rejected", help="table for rows without a key")
     for name, about in (
         ("report-states", "count items by state into the reports"),
         ("state-report", "count by state, then merge the reports"),
@@ -59,27 +76,29 @@ def arguments() -> argparse.ArgumentParser:
         if name == "state-report":
             command.add_argument("--target", required=True)
     job("import-reports", "merge the reports into the counts by day", "reports", "target")
-    report = job("quality-report", "the daily quality report", "items")
-    report.add_argument("--last-days", type=int)
-    report.add_argument("--as-of", type=dt.date.fromisoformat)
-    report.add_argument("--out")
+    report = job("quality-report", "the daily quality report", "items", "out")
+    report.add_argument("--approximate", action="store_true", help="estimate the numbers of different ids")
+    for command in (report, typed):
+        command.add_argument("--last-days", type=int)
+        command.add_argument("--as-of", type=dt.date.fromisoformat)
     return parser
 
 
 def _topic(options: argparse.Namespace) -> Topic:
     if options.topic_folder:
         return folder_topic(options.topic_folder)
-    return kafka_topic(
-        options.topic, group_id=options.group_id, max_offsets_per_trigger=getattr(options, "max_offsets", None)
-    )
+    return kafka_topic(options.topic, group_id=options.group_id)
+
+
+def _admission(options: argparse.Namespace) -> Admission:
+    own = {name: getattr(options, name) for name in ("max_rows", "max_bytes", "max_files")}
+    more = {name: getattr(options, name) for name in ("min_rows", "max_seconds", "every_seconds") if name in options}
+    return Admission(**own, **more)
 
 
-def _deliver(rows: DataFrame, out: str | None) -> None:
-    """Write the result as a Parquet folder, or print its first rows."""
-    if out:
-        rows.write.mode("overwrite").parquet(out)
-    else:
-        rows.show(truncate=False)
+def _deliver(rows: DataFrame, out: str) -> None:
+    """Write the whole result as a Parquet folder."""
+    rows.write.mode("overwrite").parquet(out)
 
 
 def run(spark: SparkSession, options: argparse.Namespace) -> None:
@@ -97,16 +116,39 @@ def run(spark: SparkSession, options: argparse.Namespace) -> None:
             if options.quarantine:
                 jobs.create_quarantine(spark, options.quarantine)
             trigger = UNTIL_DRAINED if options.until_drained else EVERY_SECOND
-            topic = _topic(options)
+            topic = _admission(options).limit(_topic(options))
             jobs.load_items(
-                spark, topic, options.table, options.checkpoint, trigger, options.quarantine
+                spark,
+                topic,
+                options.table,
+                options.checkpoint,
+                trigger,
+                options.quarantine,
+                options.compact_every or None,
             ).awaitTermination()
+        case "keep-report":
+            report = DailyReportState(options.state, options.ids).create(spark)
+            trigger = UNTIL_DRAINED if options.until_drained else EVERY_SECOND
+            topic = _admission(options).limit(_topic(options))
+            jobs.keep_report(
+                spark, topic, report, options.checkpoint, trigger, options.compact_every or None
+            ).awaitTermination()
+        case "kept-report":
+            _deliver(DailyReportState(options.state, options.ids).current(spark), options.out)
         case "ingest-stock":
             jobs.staged_rows(options.staging).create(spark)
             state = office_state(options.state).create(spark)
             trigger = UNTIL_DRAINED if options.until_drained else None
             jobs.ingest_stock(
-                spark, _topic(options), options.staging, state, options.checkpoint, Admission(), trigger
+                spark,
+                _topic(options),
+                options.staging,
+                state,
+                options.checkpoint,
+                _admission(options),
+                trigger,
+                options.quarantine,
+                options.compact_every or None,
             ).awaitTermination()
         case "compact-stock" | "compact-items" | "compact-staging":
             if options.job == "compact-stock":
@@ -127,8 +169,21 @@ def run(spark: SparkSession, options: argparse.Namespace) -> None:
         case "import-reports":
             jobs.create_state_counts_by_day(spark, options.target)
             print(jobs.import_reports(spark, options.reports, options.target))
+        case "export-reports":
+            _deliver(jobs.export_reports(spark, options.reports), options.out)
+        case "import-records":
+            jobs.create_state_counts_by_day(spark, options.target)
+            if options.rejected:
+                columns = rejected_columns(STATE_COUNTS_BY_DAY)
+                create_table(spark, options.rejected, columns, partition_by=[BATCH_KEY], if_not_exists=True)
+            records = spark.read.parquet(options.records)
+            print(jobs.import_records(spark, records, options.target, options.rejected))
+        case "type-items":
+            jobs.create_typed_items(spark, options.typed)
+            print(jobs.type_items(spark, options.items, options.typed, options.last_days, options.as_of))
         case "quality-report":
-            _deliver(jobs.quality_report(spark, options.items, options.last_days, options.as_of), options.out)
+            report = jobs.quality_report(spark, options.items, options.last_days, options.as_of, options.approximate)
+            _deliver(report, options.out)
 
 
 def main(argv: Sequence[str] | None = None) -> None:

@@ -24,13 +24,6 @@ class RollupRule:
             raise ValueError("a rule needs a step for age 0")
 
 
-# The example rules; the last one is the default for every other series.
-EXAMPLE_RULES = (
-    RollupRule("click_cost", "any", ((0, 3600), (86400, 60))),
-    RollupRule("", "max", ((0, 60), (3600, 300), (86400, 3600))),
-)
-
-
 def age_rollup(
     points: DataFrame,
     rules: Sequence[RollupRule],

@@ -8,21 +8,32 @@ from dataclasses import dataclass
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stockroom.session import dynamic_partition_overwrite, work_dir
+from stockroom.session import work_dir
+from stockroom.sinks.partitions import replace_partitions
 
-# Up to this many different dates go into the scan as a literal list, which prunes partitions at planning time.
-LISTED_DATES = 2000
+# The column that tells batches of rejected rows apart.
+BATCH_KEY = "batch_key"
 
 
 @dataclass(frozen=True)
 class UpsertReport:
+    """What became of the rows that arrived: the rest of ``received`` were the newest of their keys and were inserted,
+    updated a stored row, were equal to it, or were stale."""
+
     received: int
     without_key: int
     superseded: int
-    applied: int
+    inserted: int
+    updated: int
+    unchanged: int
+    stale: int
+
+    @property
+    def applied(self) -> int:
+        return self.inserted + self.updated
 
 
 def has_whole_key(keys: Sequence[str]) -> Column:
@@ -46,15 +57,28 @@ def guarded_merge(existing: DataFrame, incoming: DataFrame, keys: Sequence[str],
     An incoming row replaces the existing one only if ``existing.load_time <= incoming.load_time``; an unknown time on
     either side keeps the existing row. Presence is marked explicitly, so NULL values cannot be mistaken for absence.
     """
+    return merged_with_outcome(existing, incoming, keys, load_time).drop("outcome")
+
+
+def merged_with_outcome(existing: DataFrame, incoming: DataFrame, keys: Sequence[str], load_time: str) -> DataFrame:
+    """:func:`guarded_merge` with what happened to each row: kept, inserted, updated, unchanged or stale."""
     values = [c for c in existing.columns if c not in keys]
     before = existing.select(*keys, F.struct(*values).alias("before"), F.lit(True).alias("is_stored"))
     after = incoming.select(*keys, F.struct(*values).alias("after"), F.lit(True).alias("has_arrived"))
     fresh = F.coalesce(F.col(f"before.{load_time}") <= F.col(f"after.{load_time}"), F.lit(False))
-    replaces = F.col("has_arrived").isNotNull() & (F.col("is_stored").isNull() | fresh)
+    outcome = (
+        F.when(F.col("has_arrived").isNull(), "kept")
+        .when(F.col("is_stored").isNull(), "inserted")
+        .when(F.col("before").eqNullSafe(F.col("after")), "unchanged")
+        .when(fresh, "updated")
+        .otherwise("stale")
+    )
+    replaces = F.col("outcome").isin("inserted", "updated")
     return (
         before.join(after, list(keys), "full_outer")
-        .select(*keys, F.when(replaces, F.col("after")).otherwise(F.col("before")).alias("row"))
-        .select(*[F.col(c) if c in keys else F.col(f"row.{c}").alias(c) for c in existing.columns])
+        .withColumn("outcome", outcome)
+        .select(*keys, F.when(replaces, F.col("after")).otherwise(F.col("before")).alias("row"), "outcome")
+        .select(*[F.col(c) if c in keys else F.col(f"row.{c}").alias(c) for c in existing.columns], "outcome")
     )
 
 
@@ -64,7 +88,12 @@ def as_stored(column: str, sql_type: str) -> Column:
     if not fixed:
         return F.col(column).cast(sql_type)
     text, width = F.col(column).cast("string"), int(fixed[1])
-    return F.when(F.length(text) < width, F.rpad(text, width, " ")).otherwise(text)
+    too_long = F.raise_error(F.concat(F.lit(f"EXCEED_LIMIT_LENGTH: more than {width} characters: "), text))
+    return (
+        F.when(F.length(text) < width, F.rpad(text, width, " "))
+        .when(F.length(F.rtrim(text)) > width, too_long)
+        .otherwise(F.substring(text, 1, width))
+    )
 
 
 def guarded_upsert(
@@ -76,41 +105,47 @@ def guarded_upsert(
     partition: str = "dt_date",
     rejected: str | None = None,
 ) -> UpsertReport:
-    """Merge ``incoming`` into the table partitioned by ``partition``, reading and rewriting only the dates it touches.
+    """Merge ``incoming`` into the table partitioned by ``partition``, which must be one of the keys.
 
-    Rows with a NULL key match nothing and have no date to be stored under: they are counted, and with
-    ``rejected`` appended to that table. Of several rows with one key the newest is used. One writer at a time; a
-    reader that is scanning a date while it is replaced has to repeat its query.
+    Reads the stored dates between the first and the last that arrived, and rewrites only dates in which a row really
+    changes. Rows with a NULL key match nothing and have no date to be stored under: they are counted, and with
+    ``rejected`` kept in that table (see :func:`rejected_columns`), where a batch that is sent again replaces itself. Of
+    several rows with one key the newest is used. One writer at a time; a reader that is scanning a date while it is
+    replaced has to repeat its query.
     """
     keys = list(keys)
+    if partition not in keys:
+        raise ValueError(f"{partition} has to be one of the keys, or a row could be stored under two of its values")
     work_dir(spark)
     target = spark.table(table)
     types = {row["col_name"]: row["data_type"] for row in spark.sql(f"DESCRIBE TABLE {table}").collect()}
-    arrived, kept = Observation(), Observation()
     has_key = has_whole_key(keys)
-    batch = incoming.select(*[as_stored(c, types[c]).alias(c) for c in target.columns])
-    if rejected:
-        batch.where(~has_key).select(*spark.table(rejected).columns).write.insertInto(rejected)
-    batch = batch.observe(arrived, F.count("*").alias("received"), F.count_if(~has_key).alias("without_key"))
-    batch = newest_per_key(batch.where(has_key), keys, load_time)
-    # Written once: the batch is used to find the dates and again in the merge.
-    batch = batch.observe(kept, F.count("*").alias("applied")).checkpoint()
-
-    dates = batch.select(partition).distinct()
-    listed = [row[0] for row in dates.limit(LISTED_DATES + 1).collect()]
-    if len(listed) <= LISTED_DATES:
-        touched = target.where(F.col(partition).isin(listed)) if listed else target.where(F.lit(False))
-    else:
-        touched = target.join(dates, partition, "left_semi")
-
-    merged = guarded_merge(touched, batch, keys, load_time)
-    with dynamic_partition_overwrite(spark):
+    # Written once: everything below reads the same batch, whatever is run again.
+    batch = incoming.select(*[as_stored(c, types[c]).alias(c) for c in target.columns]).checkpoint()
+    arrived = batch.agg(F.count("*").alias("received"), F.count_if(~has_key).alias("without_key")).first()
+    if rejected and arrived["without_key"]:
+        refused = batch.where(~has_key)
+        content = refused.agg(F.bit_xor(F.xxhash64(*refused.columns)), F.sum(F.hash(*refused.columns)), F.count("*"))
+        key = "-".join(str(part) for part in content.first())
+        replace_partitions(refused.withColumn(BATCH_KEY, F.lit(key)), rejected)
+
+    newest = newest_per_key(batch.where(has_key), keys, load_time).checkpoint()
+    first, last = newest.agg(F.min(partition), F.max(partition)).first()
+    # The bounds are literals, which prune partitions at planning time; the dates between them that did not arrive go.
+    near = target.where(F.col(partition).between(F.lit(first), F.lit(last)))
+    touched = near.join(newest.select(partition).distinct(), partition, "left_semi").select(*target.columns)
+    merged = merged_with_outcome(touched, newest, keys, load_time).checkpoint()
+    outcomes = {row["outcome"]: row["count"] for row in merged.groupBy("outcome").count().collect()}
+    counts = [outcomes.get(name, 0) for name in ("inserted", "updated", "unchanged", "stale")]
+    if counts[0] + counts[1]:
+        changed = merged.where(F.col("outcome").isin("inserted", "updated")).select(partition).distinct()
+        rewritten = merged.join(changed, partition, "left_semi").select(*target.columns)
         # Rebalancing gathers a date's rows into few files and lets Spark split a date that is too large for one task.
-        merged.hint("rebalance", partition).select(*target.columns).write.insertInto(table, overwrite=True)
-    counts = {**arrived.get, **kept.get}
-    return UpsertReport(
-        counts["received"],
-        counts["without_key"],
-        counts["received"] - counts["without_key"] - counts["applied"],
-        counts["applied"],
-    )
+        replace_partitions(rewritten.hint("rebalance", partition), table)
+    superseded = arrived["received"] - arrived["without_key"] - sum(counts)
+    return UpsertReport(arrived["received"], arrived["without_key"], superseded, *counts)
+
+
+def rejected_columns(columns: str) -> str:
+    """The column list of a table of rejected rows, to be partitioned by ``batch_key``."""
+    return f"{columns}, {BATCH_KEY} STRING"

@@ -3,42 +3,57 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from stockroom.functions import since_days
 from stockroom.operators import (
     UpsertReport,
     blank_missing_tare_type,
     daily_report,
     expand_records,
     guarded_upsert,
+    lost_values,
     parse_items,
     parse_with_quarantine,
     record_arrays,
     state_counts,
+    typed_items,
 )
 from stockroom.operators.items import BROKEN_MESSAGE
-from stockroom.schemas import ITEM_COLUMNS, ITEM_DELIMITED, STAGING, STAGING_COLUMNS, STATE_COUNTS_BY_DAY
-from stockroom.sinks import append_rows, create_table, publish
+from stockroom.schemas import (
+    ITEM_COLUMNS,
+    ITEM_DELIMITED,
+    ITEM_TYPED,
+    STAGING,
+    STAGING_COLUMNS,
+    STATE_COUNTS_BY_DAY,
+)
+from stockroom.sinks import append_rows, create_table, publish, replace_partitions
 from stockroom.sources import Topic, read_back, scan_delimited, scan_table
 from stockroom.streaming import (
     Admission,
     BatchedRows,
+    DailyReportState,
     MergeableState,
+    add_office_totals,
     batch_table_columns,
+    compact_now_and_then,
     for_each_batch,
-    keep_office_totals,
-    load_into,
+    keep_daily_report,
 )
 from stockroom.streaming.admission import EVERY_SECOND
 from stockroom.streaming.loading import BATCH_COLUMNS, overwrite_batch
 
+# The partition column of typed items.
+DAY_PARTITION = "dt_date"
+
 # Fixed value: the fields of a record set of state counts.
-COUNT_RECORD = "dt_date date, state_id string, qty int, dt_load timestamp_ntz"
+COUNT_RECORD = "dt_date date, state_id string, qty bigint, dt_load timestamp_ntz"
 
 
 def publish_file(spark: SparkSession, path: str, topic: Topic, sep: str = ";") -> int:
@@ -58,35 +73,54 @@ def load_items(
     checkpoint: str,
     trigger: Mapping[str, object] = EVERY_SECOND,
     quarantine: str | None = None,
+    compact_every: int | None = None,
 ) -> StreamingQuery:
     """Stream item messages into a table of raw items, parsed and cleaned on the executors.
 
     A broken message becomes a row of NULLs; with a ``quarantine`` table (see :func:`create_quarantine`) its text goes
-    there instead.
+    there instead. With ``compact_every`` the table is compacted after every so many batches.
     """
-    if quarantine is None:
-        return load_into(parse_items(topic.stream(spark)), table, checkpoint, trigger, prepare=blank_missing_tare_type)
+    target = raw_items(table)
+    after_batch = compact_now_and_then(target, every=compact_every)
 
     def handle(rows: DataFrame, run_id: str, batch_id: int) -> None:
-        # Kept, so that the batch is fetched and parsed once for both tables.
-        rows = blank_missing_tare_type(rows).persist()
-        try:
-            is_broken = F.col(BROKEN_MESSAGE).isNotNull()
-            overwrite_batch(rows.where(is_broken), quarantine, run_id, batch_id)
-            overwrite_batch(rows.where(~is_broken), table, run_id, batch_id)
-        finally:
-            rows.unpersist()
-
-    return for_each_batch(parse_with_quarantine(topic.stream(spark)), handle, checkpoint, trigger)
+        if quarantine is None:
+            overwrite_batch(blank_missing_tare_type(rows), target.parts, run_id, batch_id)
+        else:
+            _with_quarantine(
+                blank_missing_tare_type(rows),
+                lambda whole: overwrite_batch(whole, target.parts, run_id, batch_id),
+                quarantine,
+                run_id,
+                batch_id,
+            )
+        after_batch(rows.sparkSession, batch_id)
+
+    parse = parse_items if quarantine is None else parse_with_quarantine
+    return for_each_batch(parse(topic.stream(spark)), handle, checkpoint, trigger)
+
+
+def _with_quarantine(
+    rows: DataFrame, store: Callable[[DataFrame], None], quarantine: str, run_id: str, batch_id: int
+) -> None:
+    """Keep the text of broken messages in the quarantine, and hand the other rows on."""
+    # Kept, so that the batch is fetched and parsed once for both tables.
+    rows = rows.persist()
+    try:
+        is_broken = F.col(BROKEN_MESSAGE).isNotNull()
+        overwrite_batch(rows.where(is_broken), quarantine, run_id, batch_id)
+        store(rows.where(~is_broken).drop(BROKEN_MESSAGE))
+    finally:
+        rows.unpersist()
 
 
 def raw_items(table: str) -> BatchedRows:
-    """The table :func:`load_items` loads into, with its compactions."""
+    """The table :func:`load_items` loads into: its batches and what they are compacted to."""
     return BatchedRows(table, dict.fromkeys(ITEM_COLUMNS, "STRING"), sort_key=("shk_id",))
 
 
 def staged_rows(table: str) -> BatchedRows:
-    """The staging table :func:`ingest_stock` loads into, with its compactions."""
+    """The staging table :func:`ingest_stock` loads into: its batches and what they are compacted to."""
     return BatchedRows(table, STAGING_COLUMNS, sort_key=("shk_id",))
 
 
@@ -95,12 +129,26 @@ def create_raw_items(spark: SparkSession, table: str) -> None:
     raw_items(table).create(spark)
 
 
-def read_items(spark: SparkSession, table: str) -> DataFrame:
-    """All items of a table, whether it is a plain one or one that was loaded in batches and compacted."""
-    loaded = raw_items(table)
-    if spark.catalog.tableExists(loaded.compactions):
-        return loaded.current(spark)
-    return scan_table(spark, table, ITEM_COLUMNS)
+def create_typed_items(spark: SparkSession, table: str) -> None:
+    """The table of typed items, partitioned by day, if it is missing."""
+    columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in ITEM_TYPED.fields)
+    create_table(spark, table, f"{columns}, {DAY_PARTITION} DATE", partition_by=[DAY_PARTITION], if_not_exists=True)
+
+
+def type_items(
+    spark: SparkSession, items_table: str, typed_table: str, last_days: int | None = None, as_of: dt.date | None = None
+) -> dict[str, int]:
+    """Turn raw items into typed ones, and return how many values of each column do not convert.
+
+    The days that the items have are replaced, so doing it again changes nothing; ``last_days`` leaves older days as
+    they are. Items without a readable time are kept in a partition of their own, which ``last_days`` leaves out.
+    """
+    raw = scan_table(spark, items_table, ITEM_COLUMNS)
+    typed = typed_items(raw).withColumn(DAY_PARTITION, F.col("dt").cast("date"))
+    if last_days is not None:
+        typed = typed.where(since_days("dt", last_days, as_of))
+    replace_partitions(typed.hint("rebalance", DAY_PARTITION), typed_table)
+    return raw.agg(*lost_values(raw)).first().asDict()
 
 
 def create_quarantine(spark: SparkSession, table: str) -> None:
@@ -117,18 +165,39 @@ def ingest_stock(
     checkpoint: str,
     admission: Admission = Admission(),
     trigger: Mapping[str, object] | None = None,
+    quarantine: str | None = None,
+    compact_every: int | None = None,
 ) -> StreamingQuery:
-    """Buffered ingest of staging rows, which also keeps the totals per office current."""
+    """Buffered ingest of staging rows, which also keeps the totals per office current.
+
+    A message that is no staging row, or has a value of another type, is no stock: its text goes to the quarantine table,
+    which is ``<staging_table>_broken`` unless named, and nothing of it is counted.
+    """
+    staged = staged_rows(staging_table)
+    quarantine = quarantine or staged.beside("_broken")
+    create_quarantine(spark, quarantine)
+    after_batch = compact_now_and_then(staged, state, every=compact_every)
+
+    def handle(rows: DataFrame, run_id: str, batch_id: int) -> None:
+        _with_quarantine(
+            rows,
+            lambda whole: add_office_totals(whole, state, run_id, batch_id, staged.parts),
+            quarantine,
+            run_id,
+            batch_id,
+        )
+        after_batch(rows.sparkSession, batch_id)
+
     messages = admission.apply(topic).stream(spark)
-    rows = read_back(messages.select("value"), STAGING)
-    return keep_office_totals(rows, state, checkpoint, trigger or admission.trigger(), staging_table)
+    rows = parse_with_quarantine(messages.select("value"), T.StructType.fromDDL(STAGING))
+    return for_each_batch(rows, handle, checkpoint, trigger or admission.trigger())
 
 
 def report_state_counts(
     spark: SparkSession, items_table: str, reports_table: str, as_of: dt.datetime | None = None
 ) -> None:
     """Count the items of every state and append the counts, with one load time, to the reports."""
-    items = read_items(spark, items_table)
+    items = scan_table(spark, items_table, ITEM_COLUMNS)
     append_rows(spark, reports_table, state_counts(items, as_of, stamped=True))
 
 
@@ -144,14 +213,16 @@ def export_reports(spark: SparkSession, reports_table: str, max_records: int = 1
     return record_arrays(reports, reports.columns, max_records)
 
 
-def import_records(spark: SparkSession, records: DataFrame, target: str) -> UpsertReport:
-    """Merge JSON record arrays into the table of state counts by day."""
-    return guarded_upsert(spark, expand_records(records, COUNT_RECORD), target)
+def import_records(
+    spark: SparkSession, records: DataFrame, target: str, rejected: str | None = None
+) -> UpsertReport:
+    """Merge JSON record arrays into the table of state counts by day. A value that does not convert fails the job."""
+    return guarded_upsert(spark, expand_records(records, COUNT_RECORD, strict=True), target, rejected=rejected)
 
 
 def _by_day(reports: DataFrame) -> DataFrame:
     return reports.select(
-        F.col("dt").cast("date").alias("dt_date"), "state_id", F.col("qty").cast("int"), F.col("dt").alias("dt_load")
+        F.col("dt").cast("date").alias("dt_date"), "state_id", "qty", F.col("dt").alias("dt_load")
     )
 
 
@@ -161,10 +232,33 @@ def create_state_counts_by_day(spark: SparkSession, table: str) -> None:
 
 
 def quality_report(
-    spark: SparkSession, items_table: str, last_days: int | None = None, as_of: dt.date | None = None
+    spark: SparkSession,
+    items_table: str,
+    last_days: int | None = None,
+    as_of: dt.date | None = None,
+    approximate: bool = False,
 ) -> DataFrame:
-    """The daily quality report of a table, for all days or the last ones."""
-    return daily_report(read_items(spark, items_table), last_days=last_days, as_of=as_of)
+    """The daily quality report of a table, for all days or the last ones.
+
+    Of a table made by :func:`type_items` the last days are read alone; raw items have to be read whole.
+    """
+    items = spark.table(items_table)
+    if last_days is not None and DAY_PARTITION in items.columns:
+        items = items.where(since_days(DAY_PARTITION, last_days, as_of))
+    return daily_report(items.select(*ITEM_COLUMNS), approximate, last_days, as_of)
+
+
+def keep_report(
+    spark: SparkSession,
+    topic: Topic,
+    report: DailyReportState,
+    checkpoint: str,
+    trigger: Mapping[str, object] = EVERY_SECOND,
+    compact_every: int | None = None,
+) -> StreamingQuery:
+    """Stream item messages into the state of the daily quality report."""
+    items = blank_missing_tare_type(parse_items(topic.stream(spark)))
+    return keep_daily_report(items, report, checkpoint, trigger, compact_every)
 
 
 def read_topic(spark: SparkSession, topic: Topic, schema: T.StructType | str) -> DataFrame:

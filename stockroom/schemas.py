@@ -54,5 +54,6 @@ STAGING_COLUMNS = {"shk_id": "BIGINT", "office_id": "BIGINT", "is_stock": "BOOLE
 STAGING = ", ".join(f"{name} {kind}" for name, kind in STAGING_COLUMNS.items())
 OFFICE_TOTALS = "office_id BIGINT, is_stock_count BIGINT, total BIGINT"
 REPORTS = "state_id STRING, qty BIGINT, dt TIMESTAMP_NTZ"
-STATE_COUNTS_BY_DAY = "dt_date DATE, state_id CHAR(3), qty INT, dt_load TIMESTAMP_NTZ"
+# Quantities are long: a frequent state has more items than 32 bits count.
+STATE_COUNTS_BY_DAY = "dt_date DATE, state_id CHAR(3), qty BIGINT, dt_load TIMESTAMP_NTZ"
 LAYERS = ["staging", "current", "history", "log"]

@@ -1,6 +1,6 @@
 """Tables and writes."""
 
-from stockroom.sinks.partitions import drop_partitions, expire_months, write_by_month
+from stockroom.sinks.partitions import drop_partitions, expire_months, replace_partitions, write_by_month
 from stockroom.sinks.publish import publish
 from stockroom.sinks.tables import (
     append_jdbc,
@@ -22,6 +22,7 @@ __all__ = [
     "expire_months",
     "insert_literals",
     "publish",
+    "replace_partitions",
     "sorted_for",
     "write_by_month",
 ]

@@ -3,17 +3,20 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stockroom.functions import year_month
-from stockroom.session import dynamic_partition_overwrite
 from stockroom.sinks.tables import create_table
 
 MONTH = "yyyymm"
 
+# Fixed value: how the catalog and the file system write a missing partition value.
+HIVE_NULL = "__HIVE_DEFAULT_PARTITION__"
+
 
 def write_by_month(spark: SparkSession, table: str, rows: DataFrame, time: str) -> None:
     """Append to a table partitioned by the month of ``time``; the table is created if missing.
@@ -43,6 +46,22 @@ def drop_partitions(spark: SparkSession, table: str, drop: Callable[[dict[str, s
     return len(doomed)
 
 
+def replace_partitions(rows: DataFrame, table: str) -> None:
+    """Overwrite the partitions of ``table`` that ``rows`` has rows of, and no others.
+
+    The files are written by path, with the overwrite mode as an option of this write, and then made known to the
+    catalog: a table insert takes the mode from the session, where other writes would see it.
+    """
+    spark = rows.sparkSession
+    described = json.loads(spark.sql(f"DESCRIBE TABLE EXTENDED {table} AS JSON").first()[0])
+    rows = rows.select(*[F.col(f"`{name}`") for name in spark.table(table).columns])
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+        *described["partition_columns"]
+    ).parquet(described["location"])
+    spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
+    spark.catalog.refreshTable(table)
+
+
 def expire_months(spark: SparkSession, table: str, time: str, days: int, as_of: dt.date) -> int:
     """Remove rows whose day is more than ``days`` days before ``as_of``; return the number of months dropped whole.
 
@@ -60,6 +79,5 @@ def expire_months(spark: SparkSession, table: str, time: str, days: int, as_of:
     if kept.isEmpty():
         drop_partitions(spark, table, lambda part: part[MONTH] == str(boundary))
     elif first_kept.day > 1:
-        with dynamic_partition_overwrite(spark):
-            kept.write.insertInto(table, overwrite=True)
+        replace_partitions(kept, table)
     return dropped

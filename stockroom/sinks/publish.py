@@ -2,19 +2,31 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stockroom.functions import datetime_text, message
 from stockroom.sources.topics import Topic
 
 
 def as_messages(rows: DataFrame) -> DataFrame:
-    """One JSON message per row in the column ``value``; times as text, so that no digit is lost."""
-    times = {name for name, kind in rows.dtypes if kind.startswith("timestamp") or kind == "date"}
-    return rows.select(
-        message([datetime_text(c).alias(c) if c in times else F.col(c) for c in rows.columns]).alias("value")
-    )
+    """One JSON message per row in the column ``value``; times as text, so that no digit is lost, nested ones too."""
+    fields = [_with_time_text(F.col(f"`{f.name}`"), f.dataType).alias(f.name) for f in rows.schema.fields]
+    return rows.select(message(fields).alias("value"))
+
+
+def _with_time_text(value: Column, kind: T.DataType) -> Column:
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType, T.DateType)):
+        return datetime_text(value)
+    if isinstance(kind, T.StructType):
+        fields = [_with_time_text(value[f.name], f.dataType).alias(f.name) for f in kind.fields]
+        return F.when(value.isNotNull(), F.struct(*fields))
+    if isinstance(kind, T.ArrayType):
+        return F.transform(value, lambda x: _with_time_text(x, kind.elementType))
+    if isinstance(kind, T.MapType):
+        return F.transform_values(value, lambda _, x: _with_time_text(x, kind.valueType))
+    return value
 
 
 def publish(rows: DataFrame, topic: Topic) -> int:

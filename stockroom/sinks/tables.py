@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from stockroom.schemas import LAYERS
 
 SORT_KEY = "stockroom.sort_key"
-PLACE = "place_in_task"
+PLACE = "read_by_task"
 
 
 def create_layers(spark: SparkSession, location: str | None = None, prefix: str = "") -> list[str]:
@@ -56,15 +56,12 @@ def sorted_for(rows: DataFrame, sort_key: Sequence[str], clustered: bool = False
     file also holds only its own key range, at the price of a sampling pass and a shuffle.
 
     A hot key, even one whose rows are all copies, is cut into several ranges: the range order continues with the
-    row's place in its task. Sorting the task's rows first makes that place the same when the task is run again, up to
-    rows that are equal, so no row is lost or doubled by a retry.
+    number of the task that read the row, which is the same when the task is run again.
     """
     if not sort_key:
         return rows
     if clustered:
-        columns = rows.columns
-        rows = rows.sortWithinPartitions(*sort_key, F.xxhash64(*columns), *columns)
-        rows = rows.withColumn(PLACE, F.pmod(F.monotonically_increasing_id(), F.lit(10_007)))
+        rows = rows.withColumn(PLACE, F.spark_partition_id())
         rows = rows.repartitionByRange(*sort_key, PLACE).drop(PLACE)
     return rows.sortWithinPartitions(*sort_key)
 

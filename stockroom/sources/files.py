@@ -7,28 +7,54 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+BROKEN_LINE = "broken_line"
+
+
 def scan_delimited(
-    spark: SparkSession, path: str, schema: T.StructType | str, sep: str = ";", empty_as_text: bool = True
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType | str,
+    sep: str = ";",
+    empty_as_text: bool = True,
+    multi_line: bool = False,
+    keep_broken: bool = False,
 ) -> DataFrame:
-    """Read with a given schema: one pass, split by byte range. Empty text fields become ``''`` rather than NULL.
+    """Read with a given schema. Empty text fields become ``''`` rather than NULL.
 
-    The header has to name the schema's columns in their order, or the read fails.
+    The header has to name the schema's columns in their order, or the read fails. A quote inside a quoted field is
+    doubled. A row with too few or too many fields, or with a value that its column cannot hold, fails the read; with
+    ``keep_broken`` its text is kept in ``broken_line``, which is NULL for all other rows. All columns are read, so that
+    no bad value stays unnoticed. Files are split by byte range, unless fields may have line breaks (``multi_line``).
     """
-    reader = spark.read.schema(schema).option("sep", sep).option("header", True).option("enforceSchema", False)
-    rows = reader.csv(path)
-    return rows.na.fill("") if empty_as_text else rows
+    schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    reader = _reader(spark, sep, multi_line).option("enforceSchema", False)
+    if keep_broken:
+        schema = T.StructType([*schema.fields, T.StructField(BROKEN_LINE, T.StringType())])
+        reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", BROKEN_LINE)
+    else:
+        reader = reader.option("mode", "FAILFAST")
+    rows = reader.schema(schema).csv(path)
+    # Holds for every row, and needs all its columns.
+    rows = rows.where(F.bit_count(F.xxhash64(*[F.col(f"`{f.name}`") for f in schema.fields])) >= 0)
+    if not empty_as_text:
+        return rows
+    return rows.na.fill("", [f.name for f in schema.fields if f.name != BROKEN_LINE])
+
+
+def _reader(spark: SparkSession, sep: str, multi_line: bool):
+    return spark.read.option("sep", sep).option("header", True).option("escape", '"').option("multiLine", multi_line)
 
 
-def scan_delimited_inferred(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
+def scan_delimited_inferred(spark: SparkSession, path: str, sep: str = ",", multi_line: bool = False) -> DataFrame:
     """Read with inferred types and no NULLs: a missing value becomes its type's zero value.
 
     Integers are widened to long because ids outgrow 32 bits. Inference is an extra pass over the input: pass a
     schema to :func:`scan_delimited` for large files.
     """
     rows = (
-        spark.read.option("sep", sep)
-        .option("header", True)
+        _reader(spark, sep, multi_line)
         .option("inferSchema", True)
+        .option("mode", "FAILFAST")
         .option("timestampFormat", "yyyy-MM-dd HH:mm:ss[.SSSSSS]")
         .csv(path)
     )

@@ -48,7 +48,10 @@ class Topic:
 
 
 def kafka_connection(env: Mapping[str, str] = os.environ, client_id: str | None = None) -> dict[str, str]:
-    """Broker address and SASL/PLAIN credentials from the environment."""
+    """Broker address and SASL/PLAIN credentials from the environment.
+
+    Names of options, login module and environment variables are fixed values of the connector and of the deployment.
+    """
     options = {"kafka.bootstrap.servers": env.get("KAFKA_BOOTSTRAP_SERVERS", "localhost:9092")}
     client_id = client_id or env.get("KAFKA_CLIENT_ID")
     if client_id:
@@ -71,13 +74,15 @@ def kafka_topic(
     retries: int = 3,
     max_offsets_per_trigger: int | None = None,
 ) -> Topic:
-    """A broker topic, read from its earliest offset and tolerant of messages the broker has already dropped."""
+    """A broker topic, read from its earliest offset. A stream goes on where the broker has already dropped messages; a
+    bounded read fails there, as its result would not be whole."""
     connection = dict(kafka_connection() if connection is None else connection)
-    reading = {**connection, "subscribe": name, "startingOffsets": "earliest", "failOnDataLoss": "false"}
+    # The connector's option names.
+    reading = {**connection, "subscribe": name, "startingOffsets": "earliest"}
     if group_id:
         reading["kafka.group.id"] = group_id
     writing = {**connection, "topic": name, "kafka.retries": str(retries)}
-    topic = Topic("kafka", reading, writing)
+    topic = Topic("kafka", reading, writing).limited(failOnDataLoss="false")
     return topic.limited(maxOffsetsPerTrigger=max_offsets_per_trigger) if max_offsets_per_trigger else topic
 
 

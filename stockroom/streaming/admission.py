@@ -34,6 +34,12 @@ class Admission:
             return topic.limited(maxFilesPerTrigger=self.max_files)
         return topic.limited(maxBytesPerTrigger=self.max_bytes) if self.max_bytes else topic
 
+    def limit(self, topic: Topic) -> Topic:
+        """Only what a batch takes at most; it does not wait for more to arrive."""
+        if topic.format == "kafka":
+            return topic.limited(maxOffsetsPerTrigger=self.max_rows)
+        return self.apply(topic)
+
     def trigger(self) -> dict[str, str]:
         return {"processingTime": f"{self.every_seconds} seconds"}
 

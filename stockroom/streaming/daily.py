@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -13,7 +13,7 @@ from stockroom.operators.daily_report import CONDITIONS, condition_counts, with_
 from stockroom.operators.distinct import bitmap_state
 from stockroom.streaming.admission import EVERY_SECOND
 from stockroom.streaming.loading import for_each_batch
-from stockroom.streaming.state import MergeableState
+from stockroom.streaming.state import MergeableState, compact_now_and_then
 
 # The item fields the report uses.
 REPORT_FIELDS = ["shk_id", "dt", *dict.fromkeys(field for field, _ in CONDITIONS.values())]
@@ -23,6 +23,7 @@ COUNTS = {name: ("BIGINT", "sum") for name in CONDITIONS}
 KINDS = ("shk", "tare")
 SKETCHES = {name: ("BINARY", "hll_union") for name in KINDS}
 LG_K = 14
+LOST = "lost_ids"
 
 
 @dataclass(frozen=True)
@@ -32,7 +33,8 @@ class DailyReportState:
     Conditional counts add up; numbers of different ids do not, so their state is one of
 
     * ``set``: the ids seen per day. Exact for any ids; as large as the data has different (day, id) pairs.
-    * ``bitmap``: a bit per id, in blocks of 32,768 ids and 4 KB. Exact for integer ids; small if they are dense.
+    * ``bitmap``: a bit per id, in blocks of 32,768 ids and 4 KB. Exact for integer ids; small if they are dense. Ids that
+      are no integers are left out and counted (:meth:`lost_ids`).
     * ``sketch``: two sketches per day. Approximate; a few kilobytes per day, however many items there are.
     """
 
@@ -45,7 +47,8 @@ class DailyReportState:
 
     @property
     def days(self) -> MergeableState:
-        return MergeableState(f"{self.table}_days", DAY, COUNTS | SKETCHES if self.ids == "sketch" else COUNTS)
+        more = {"sketch": SKETCHES, "bitmap": {LOST: ("BIGINT", "sum")}}.get(self.ids, {})
+        return MergeableState(f"{self.table}_days", DAY, COUNTS | more)
 
     @property
     def seen(self) -> MergeableState:
@@ -81,19 +84,26 @@ class DailyReportState:
         # Both states read the batch; kept, it is fetched and parsed once.
         placed = placed.persist()
         try:
-            self.days.add(placed.groupBy("dt_day").agg(*condition_counts()), run_id, batch_id)
+            counts = [*condition_counts(), *([_lost_ids().alias(LOST)] if self.ids == "bitmap" else [])]
+            self.days.add(placed.groupBy("dt_day").agg(*counts), run_id, batch_id)
             self.seen.add(self._ids_seen(placed), run_id, batch_id)
         finally:
             placed.unpersist()
 
     def _ids_seen(self, placed: DataFrame) -> DataFrame:
         id_type = "bigint" if self.ids == "bitmap" else "string"
-        pairs = [F.struct(F.lit(name).alias("kind"), F.col(f"{name}_id").cast(id_type).alias("id")) for name in KINDS]
+        pairs = [
+            F.struct(F.lit(name).alias("kind"), F.col(f"{name}_id").try_cast(id_type).alias("id")) for name in KINDS
+        ]
         ids = placed.select("dt_day", F.inline(F.array(*pairs)))
         if self.ids == "bitmap":
             return bitmap_state(ids, ["dt_day", "kind"], "id")
         return ids.where(F.col("id").isNotNull()).distinct()
 
+    def lost_ids(self, spark: SparkSession) -> int:
+        """How many ids the bitmaps could not take."""
+        return self.days.current(spark).agg(F.sum(LOST)).first()[0] or 0 if self.ids == "bitmap" else 0
+
     def current(self, spark: SparkSession) -> DataFrame:
         """The report so far: the columns of the batch report, and its values unless sketched."""
         days = self.days.current(spark)
@@ -110,11 +120,26 @@ class DailyReportState:
         )
 
 
+def _lost_ids() -> Column:
+    """Rows' ids that are there but are no integers."""
+    lost = [
+        F.count_if(F.col(f"{name}_id").isNotNull() & F.col(f"{name}_id").try_cast("bigint").isNull()) for name in KINDS
+    ]
+    return lost[0] + lost[1]
+
+
 def keep_daily_report(
     items: DataFrame,
     report: DailyReportState,
     checkpoint: str,
     trigger: Mapping[str, object] = EVERY_SECOND,
+    compact_every: int | None = None,
 ) -> StreamingQuery:
-    """Add each batch of items to the report's state."""
-    return for_each_batch(items, report.add, checkpoint, trigger)
+    """Add each batch of items to the report's state, and compact it after every so many batches."""
+    after_batch = compact_now_and_then(*report.states, every=compact_every)
+
+    def handle(rows: DataFrame, run_id: str, batch_id: int) -> None:
+        report.add(rows, run_id, batch_id)
+        after_batch(rows.sparkSession, batch_id)
+
+    return for_each_batch(items, handle, checkpoint, trigger)

@@ -31,15 +31,22 @@ def keep_office_totals(
     """Add each batch's totals per office to the state, and the batch itself to ``staging_table`` if given."""
 
     def handle(rows: DataFrame, run_id: str, batch_id: int) -> None:
-        if staging_table:
-            overwrite_batch(rows, staging_table, run_id, batch_id)
-            stored = (F.col("run_id") == run_id) & (F.col("batch_id") == batch_id)
-            rows = rows.sparkSession.table(staging_table).where(stored)
-        state.add(office_totals(rows), run_id, batch_id)
+        add_office_totals(rows, state, run_id, batch_id, staging_table)
 
     return for_each_batch(staging, handle, checkpoint, trigger)
 
 
+def add_office_totals(
+    rows: DataFrame, state: MergeableState, run_id: str, batch_id: int, staging_table: str | None = None
+) -> None:
+    """Add one batch; with a staging table it is stored first, and what was stored is counted."""
+    if staging_table:
+        overwrite_batch(rows, staging_table, run_id, batch_id)
+        stored = (F.col("run_id") == run_id) & (F.col("batch_id") == batch_id)
+        rows = rows.sparkSession.table(staging_table).where(stored)
+    state.add(office_totals(rows), run_id, batch_id)
+
+
 def running_state(table: str) -> MergeableState:
     """State of :func:`running_office_totals`: of several totals of an office the newest counts."""
     newest = "STRUCT<started: TIMESTAMP, batch: BIGINT, is_stock_count: BIGINT, total: BIGINT>"

@@ -41,6 +41,16 @@ SPELLINGS = {
     "20240425062232": SIX,
     "20240425": dt.datetime(2024, 4, 25),
     "1714026152": SIX,
+    "1714026152000": SIX,
+    "1714026152999": SIX,
+    "2024/04/25 06:22:32": SIX,
+    "2024/04/25": dt.datetime(2024, 4, 25),
+    "20240425T062232": SIX,
+    "25 Apr 2024 06:22:32": SIX,
+    "25 april 2024 06:22": SIX.replace(second=0),
+    "5 MAY 2024": dt.datetime(2024, 5, 5),
+    "31 Feb 2024": None,
+    "25 Abc 2024": None,
     "999999999": dt.datetime(2001, 9, 9, 1, 46, 39),
     "2024-02-30 00:00:00": None,
     "2024-04-25 25:00:00": None,

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 from conftest import rows_of
@@ -20,6 +21,7 @@ from stockroom.operators import (
     sketch_totals,
     state_counts,
 )
+from stockroom.operators.upsert import BATCH_KEY, rejected_columns
 from stockroom.sinks import create_table
 
 DAY, NEXT = dt.date(2024, 8, 6), dt.date(2024, 8, 7)
@@ -92,8 +94,11 @@ def test_upsert_duplicates_and_missing_keys(spark, target):
         (None, "A", 5, 1), (DAY, None, 5, 1),
     )
     rejected = f"{target}_rejected"
-    create_table(spark, rejected, "dt_date DATE, state_id STRING, qty INT, dt_load TIMESTAMP_NTZ")
+    columns = rejected_columns("dt_date DATE, state_id STRING, qty INT, dt_load TIMESTAMP_NTZ")
+    create_table(spark, rejected, columns, partition_by=[BATCH_KEY])
     report = guarded_upsert(spark, batch, target, rejected=rejected)
+    # Sent again, the batch keeps its rejected rows once.
+    guarded_upsert(spark, batch.repartition(3), target, rejected=rejected)
     assert (report.received, report.without_key, report.superseded, report.applied) == (6, 2, 3, 1)
     assert rows_of(spark.table(rejected), "dt_date", "qty") == [(None, 5), (DAY, 5)]
     assert stored(spark, target) == [(DAY, "A", 2, at(3))]
@@ -114,12 +119,50 @@ def test_listed_dates_prune_partitions(spark, target):
     assert len(touched.inputFiles()) == 1
 
 
-def test_upsert_with_more_dates_than_listed(spark, target, monkeypatch):
+def test_upsert_scans_only_the_dates_between_the_bounds(spark, target):
     days = [DAY + dt.timedelta(days=i) for i in range(8)]
     guarded_upsert(spark, counts(spark, *[(day, "A", 1, 1) for day in days]), target)
-    monkeypatch.setattr("stockroom.operators.upsert.LISTED_DATES", 3)
-    guarded_upsert(spark, counts(spark, *[(day, "A", 2, 2) for day in days[2:]]), target)
-    assert stored(spark, target) == [(day, "A", 1 if i < 2 else 2, at(1 if i < 2 else 2)) for i, day in enumerate(days)]
+    before = set(spark.table(target).where(F.col("dt_date").isin(days[0], days[4])).inputFiles())
+    report = guarded_upsert(spark, counts(spark, *[(day, "A", 2, 2) for day in days[2:4] + days[5:]]), target)
+    assert (report.inserted, report.updated, report.stale) == (0, 5, 0)
+    assert set(spark.table(target).where(F.col("dt_date").isin(days[0], days[4])).inputFiles()) == before
+    changed = {days[i] for i in (2, 3, 5, 6, 7)}
+    expected = [(day, "A", 2 if day in changed else 1, at(2 if day in changed else 1)) for day in days]
+    assert stored(spark, target) == expected
+
+
+def test_upserts_of_two_threads_keep_all_rows(spark, database):
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "static")
+    columns = "state_id CHAR(3), qty INT, dt_load TIMESTAMP_NTZ, dt_date DATE"
+    targets = [f"{database}.one", f"{database}.two"]
+    for name in targets:
+        create_table(spark, name, columns, partition_by=["dt_date"])
+
+    def load(name):
+        for i in range(4):
+            guarded_upsert(spark, counts(spark, (DAY + dt.timedelta(days=i), "A", i, 1)), name)
+
+    with ThreadPoolExecutor(2) as pool:
+        list(pool.map(load, targets))
+    for name in targets:
+        assert rows_of(spark.table(name), "qty") == [(0,), (1,), (2,), (3,)]
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode") == "static"
+
+
+def test_upsert_report_tells_what_happened(spark, target):
+    guarded_upsert(spark, counts(spark, (DAY, "A", 1, 5), (DAY, "B", 1, 5), (DAY, "C", 1, 5)), target)
+    files = set(spark.table(target).inputFiles())
+    stale = guarded_upsert(spark, counts(spark, (DAY, "A", 9, 1), (DAY, "B", 1, 5)), target)
+    assert (stale.applied, stale.stale, stale.unchanged) == (0, 1, 1)
+    # Nothing changed, so nothing was written.
+    assert set(spark.table(target).inputFiles()) == files
+    mixed = guarded_upsert(spark, counts(spark, (DAY, "A", 9, 6), (DAY, "D", 1, 1), (DAY, "C", 9, None)), target)
+    assert (mixed.inserted, mixed.updated, mixed.stale) == (1, 1, 1)
+
+
+def test_the_partition_is_part_of_the_key(spark, target):
+    with pytest.raises(ValueError, match="dt_date"):
+        guarded_upsert(spark, counts(spark, (DAY, "A", 1, 1)), target, keys=["state_id"])
 
 
 def test_empty_upsert_changes_nothing(spark, target):
@@ -219,6 +262,18 @@ def test_expand_records_fields(spark):
     ]
 
 
+def test_strict_records_lose_nothing(spark):
+    def records(text, schema="a int, b date"):
+        return expand_records(spark.createDataFrame([(text,)], "records STRING"), schema, strict=True)
+
+    assert rows_of(records('[{"a": 1, "b": null}, {"x": 5}]')) == [(None, None), (1, None)]
+    for text in ('[{"a": 3000000000}]', '[{"b": "soon"}]', "[{"):
+        with pytest.raises(Exception, match="(?i)lost|not an array"):
+            records(text).collect()
+    assert rows_of(records('[{"a": 3000000000}]', "a bigint")) == [(3_000_000_000,)]
+    assert records(None).count() == 0
+
+
 def test_iso_time_decodes_as_date(spark):
     arrays = spark.createDataFrame([('[{"d": "2024-08-06T08:18:04.000"}]',)], "records STRING")
     assert rows_of(expand_records(arrays, "d date")) == [(DAY,)]
