@@ -12,7 +12,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stockroom.llm.registry import stored
@@ -57,10 +57,11 @@ def hasher(planes: np.ndarray, trees: int, longest: float, kind: str) -> Callabl
                 [
                     batch.column("vec_id"),
                     batch.column("vector"),
+                    batch.column("asked"),
                     pa.array(list(hash_bits(lifted(vectors, longest), planes, trees)), pa.list_(pa.int64())),
                     pa.array(list(hash_bits(as_query, planes, trees)), pa.list_(pa.int64())),
                 ],
-                names=["vec_id", "vector", "codes", "query_codes"],
+                names=["vec_id", "vector", "asked", "codes", "query_codes"],
             )
 
     return hashed
@@ -197,7 +198,7 @@ def comparer(count: int, kind: str) -> Callable:
     """For a cogroup of a branch's block and its queries: the nearest of the rows that each query meets there."""
 
     def compare(rows: pa.Table, queries: pa.Table) -> pa.Table:
-        out: list[list] = [[], [], []]
+        asked, ids_of, scores_of = [], [], []
         if rows.num_rows and queries.num_rows:
             codes = rows.column("code").to_numpy()
             order = np.argsort(codes, kind="stable")
@@ -205,7 +206,7 @@ def comparer(count: int, kind: str) -> Callable:
             vectors = _matrix(rows.column("vector").combine_chunks(), kind)[order]
             for query, vector, code, depth in zip(
                 queries.column("query_id").to_pylist(),
-                queries.column("vector").to_pylist(),
+                queries.column("query_vector").to_pylist(),
                 queries.column("code").to_pylist(),
                 queries.column("depth").to_pylist(),
                 strict=True,
@@ -216,18 +217,40 @@ def comparer(count: int, kind: str) -> Callable:
                 found, scores = best(
                     ids[first:last][other], vectors[first:last][other], np.frombuffer(vector, kind).astype(float), count
                 )
-                out[0].extend([query] * len(found)), out[1].extend(found.tolist()), out[2].extend(scores.tolist())
+                asked.append(query), ids_of.append(found), scores_of.append(scores)
         return pa.table(
             {
-                "query_id": pa.array(out[0], pa.int64()),
-                "vec_id": pa.array(out[1], pa.int64()),
-                "score": pa.array(out[2], pa.float64()),
+                "query_id": pa.array(asked, pa.int64()),
+                "ids": pa.array(ids_of, pa.list_(pa.int64())),
+                "scores": pa.array(scores_of, pa.list_(pa.float64())),
             }
         )
 
     return compare
 
 
+def ranker(count: int) -> Callable:
+    """For a query's nearest rows of each branch's block, of which there are few: the nearest of all."""
+
+    def rank(found: pa.Table) -> pa.Table:
+        ids = found.column("ids").combine_chunks().flatten().to_numpy()
+        scores = found.column("scores").combine_chunks().flatten().to_numpy()
+        # Trees meet the same rows again.
+        ids, first = np.unique(ids, return_index=True)
+        scores = scores[first]
+        order = np.lexsort((ids, -scores))[:count]
+        return pa.table(
+            {
+                "query_id": pa.array([found.column("query_id")[0].as_py()] * len(order), pa.int64()),
+                "rank": pa.array(range(1, len(order) + 1), pa.int32()),
+                "vec_id": pa.array(ids[order], pa.int64()),
+                "score": pa.array(scores[order], pa.float64()),
+            }
+        )
+
+    return rank
+
+
 def nearest_neighbours(
     vectors: DataFrame,
     is_query: F.Column,
@@ -281,19 +304,22 @@ def nearest_neighbours(
         usable.where(F.size("given") == common["size"])
         .select("vec_id", "given", "asked")
         .mapInArrow(to_bytes, "vec_id long, vector binary, asked boolean")
-        .dropDuplicates(["vec_id", "vector"])
+        .groupBy("vec_id", "vector")
+        .agg(F.max("asked").alias("asked"))
     )
-    hashed = packed.select("vec_id", "vector").mapInArrow(
+    hashed = packed.mapInArrow(
         hasher(planes, trees, longest, kind),
-        "vec_id long, vector binary, codes array<long>, query_codes array<long>",
+        "vec_id long, vector binary, asked boolean, codes array<long>, query_codes array<long>",
     )
     index = stored(hashed, "forest")
-    asked = stored(packed.where("asked").select(F.col("vec_id").alias("query_id")).distinct(), "asked")
-    queries = stored(
-        index.join(asked, index["vec_id"] == asked["query_id"])
-        .select("query_id", "vector", F.col("query_codes").alias("codes"))
-        .dropDuplicates(["query_id"]),
-        "queries",
+    queries = (
+        index.where("asked")
+        .select(
+            F.col("vec_id").alias("query_id"),
+            F.col("vector").alias("query_vector"),
+            F.col("query_codes").alias("codes"),
+        )
+        .dropDuplicates(["query_id"])
     )
     sample = queries.orderBy(F.xxhash64("query_id"), "query_id").limit(sampled_queries).collect()
     if not sample:
@@ -307,22 +333,15 @@ def nearest_neighbours(
     while True:
         part, pending = _search(index, pending, trees, top, wanted, count, block, kind)
         found = part if found is None else found.unionByName(part)
-        if top == 0 or pending.isEmpty():
+        if pending is None:
             break
         top = max(0, top - 3)
-    place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return (
-        found.groupBy("query_id", "vec_id")
-        .agg(F.max("score").alias("score"))
-        .withColumn("rank", place)
-        .where(F.col("rank") <= count)
-        .select("query_id", "rank", "vec_id", "score")
-    )
+    return found.groupBy("query_id").applyInArrow(ranker(count), result)
 
 
 def _calibrate(index: DataFrame, sample: list, trees: int, count: int, kind: str, recall: float) -> tuple[int, int]:
     """How many rows a query has to meet, and about how long the prefixes are at which sampled ascents end."""
-    asked = [(row["query_id"], bytes(row["vector"]), list(row["codes"])) for row in sample]
+    asked = [(row["query_id"], bytes(row["query_vector"]), list(row["codes"])) for row in sample]
     observed = index.select("vec_id", "vector", "codes").mapInArrow(
         observer(asked, trees, count, kind),
         "query long, met array<long>, ids array<long>, scores array<double>, shared array<long>",
@@ -367,17 +386,18 @@ def _search(
     count: int,
     block: int,
     kind: str,
-) -> tuple[DataFrame, DataFrame]:
+) -> tuple[DataFrame, DataFrame | None]:
     """The nearest rows of the queries that meet enough below the branches at length ``top``, and the other queries."""
     branch = F.shiftright("code", BITS - top) if top else F.lit(0).cast("long")
     rows = index.select("vec_id", "vector", F.posexplode("codes").alias("tree", "code")).withColumn("branch", branch)
     sizes = rows.groupBy("tree", "branch").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
-    sizes = stored(sizes, "branches")
+    # A row for each branch, which is little beside the rows.
+    sizes = stored(sizes.coalesce(8), "branches")
     dealt = rows.join(sizes, ["tree", "branch"]).withColumn(
         "block", F.pmod(F.xxhash64("vec_id", "tree"), F.col("blocks")).cast("int")
     )
     asked = (
-        queries.select("query_id", "vector", F.posexplode("codes").alias("tree", "code"))
+        queries.select("query_id", "query_vector", F.posexplode("codes").alias("tree", "code"))
         .withColumn("branch", branch)
         .join(sizes, ["tree", "branch"])
         .withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
@@ -401,8 +421,9 @@ def _search(
     found = (
         dealt.select(*key, "code", "vec_id", "vector")
         .groupBy(*key)
-        .cogroup(going.select(*key, "query_id", "vector", "code", "depth").groupBy(*key))
-        .applyInArrow(comparer(count, kind), "query_id long, vec_id long, score double")
+        .cogroup(going.select(*key, "query_id", "query_vector", "code", "depth").groupBy(*key))
+        .applyInArrow(comparer(count, kind), "query_id long, ids array<long>, scores array<double>")
     )
-    waiting = queries.join(ends.where("reached"), "query_id", "left_anti")
-    return stored(found, "met-rows"), stored(waiting, "waiting")
+    if top == 0 or ends.where("not reached").isEmpty():
+        return found, None
+    return found, queries.join(ends.where("reached"), "query_id", "left_anti")
