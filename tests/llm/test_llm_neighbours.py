@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 from stockroom.llm import neighbours
 from stockroom.llm.neighbours import BITS, common_prefix, needed_rows, nearest_neighbours, stop_depths
 
-QUERY = F.col("vec_id") % 20 == 0
+def by_twenties():
+    return F.col("vec_id") % 20 == 0
+
 
 
 def exact(vectors, query, count=20):
@@ -46,21 +48,21 @@ def made(seed, count, dimensions=16):
 def test_recall_and_exact_scores(spark):
     vectors = made(1, 1500)
     rows = [(i, [float(x) for x in v]) for i, v in enumerate(vectors)]
-    found = nearest_neighbours(table(spark, rows), QUERY).collect()
+    found = nearest_neighbours(table(spark, rows), by_twenties()).collect()
     check(found, {i: v.astype(float) for i, v in enumerate(vectors)}, 0.9)
 
 
 def test_largest_inner_product_not_smallest_angle(spark):
     vectors = made(2, 600) * np.linspace(0.1, 5, 600, dtype=np.float32)[:, None]
     rows = [(i, [float(x) for x in v]) for i, v in enumerate(vectors)]
-    found = nearest_neighbours(table(spark, rows, "double"), QUERY).collect()
+    found = nearest_neighbours(table(spark, rows, "double"), by_twenties()).collect()
     check(found, {i: v.astype(float) for i, v in enumerate(vectors)}, 0.9)
 
 
 def test_many_copies_ties_and_blocks(spark):
     vectors = np.concatenate([made(3, 300), np.repeat(made(4, 1), 500, axis=0)])
     rows = [(i, [float(x) for x in v]) for i, v in enumerate(vectors)]
-    found = nearest_neighbours(table(spark, rows), QUERY, block=64).collect()
+    found = nearest_neighbours(table(spark, rows), by_twenties(), block=64).collect()
     check(found, {i: v.astype(float) for i, v in enumerate(vectors)}, 0.9)
     copies = [r["vec_id"] for r in sorted(found, key=lambda r: r["rank"]) if r["query_id"] == 400]
     assert copies == list(range(300, 320))
@@ -80,14 +82,23 @@ def test_vectors_that_take_no_part(spark):
     vectors = made(5, 30, 8)
     rows = [(i, [float(x) for x in v]) for i, v in enumerate(vectors)]
     given = table(spark, rows + odd + rows[:3]).withColumns({"score": F.lit("x"), "codes": F.lit(1), "asked": F.lit(2)})
-    check(nearest_neighbours(given, QUERY).collect(), {i: v.astype(float) for i, v in enumerate(vectors)}, 1.0)
+    found = nearest_neighbours(given, by_twenties(), recall=1.0).collect()
+    check(found, {i: v.astype(float) for i, v in enumerate(vectors)}, 1.0)
+
+
+@pytest.mark.parametrize("number", [5, 20, 21, 22, 60])
+def test_as_many_rows_as_asked_for_or_all(spark, number):
+    vectors = made(7, number)
+    rows = [(i, [float(x) for x in v]) for i, v in enumerate(vectors)]
+    found = nearest_neighbours(table(spark, rows), by_twenties(), recall=0.1).collect()
+    check(found, {i: v.astype(float) for i, v in enumerate(vectors)}, 0.1 if number > 21 else 1.0)
 
 
 def test_few_rows_and_empty_tables(spark):
-    assert nearest_neighbours(table(spark, []), QUERY).count() == 0
-    assert nearest_neighbours(table(spark, [(1, [1.0, 0.0])]), QUERY).count() == 0
-    assert nearest_neighbours(table(spark, [(20, [1.0, 0.0])]), QUERY).count() == 0
-    pair = nearest_neighbours(table(spark, [(20, [1.0, 0.0]), (3, [-1.0, 0.5])]), QUERY).collect()
+    assert nearest_neighbours(table(spark, []), by_twenties()).count() == 0
+    assert nearest_neighbours(table(spark, [(1, [1.0, 0.0])]), by_twenties()).count() == 0
+    assert nearest_neighbours(table(spark, [(20, [1.0, 0.0])]), by_twenties()).count() == 0
+    pair = nearest_neighbours(table(spark, [(20, [1.0, 0.0]), (3, [-1.0, 0.5])]), by_twenties()).collect()
     assert [tuple(row) for row in pair] == [(20, 1, 3, -1.0)]
 
 
@@ -96,7 +107,7 @@ def test_ascent_from_low_branches_reaches_the_root(spark, monkeypatch):
     rows = [(i, [float(x) for x in v]) for i, v in enumerate(vectors)]
     calibrate = neighbours._calibrate
     monkeypatch.setattr(neighbours, "_calibrate", lambda *a: (calibrate(*a)[0], 9))
-    found = nearest_neighbours(table(spark, rows), QUERY).collect()
+    found = nearest_neighbours(table(spark, rows), by_twenties()).collect()
     check(found, {i: v.astype(float) for i, v in enumerate(vectors)}, 0.9)
 
 

@@ -103,10 +103,10 @@ def test_redaction_leaves_clean_texts_alone(texts, prose):
 
 def test_overlapping_spans_become_one(texts):
     # The base phone and the base card share digits.
-    text = "see +4111111111111 111 1 then"
+    text = "see +378282246310005 then"
     (row,) = redact(texts([text])).collect()
-    spans = expected_spans(text)
-    assert row["text"] == text[: spans[0][0]] + f"<{KINDS[spans[0][1]]}>" + text[max(s[2] for s in spans) :]
+    assert [KINDS[kind] for _, kind, _ in expected_spans(text)] == ["phone", "card"]
+    assert row["text"] == "see <phone> then"
 
 
 def test_reliabilities_tell_good_labelers_from_bad_ones():
