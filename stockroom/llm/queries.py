@@ -9,13 +9,13 @@ from pyspark.sql import functions as F
 from stockroom.llm.byte_bpe import encode_and_decode
 from stockroom.llm.fingerprints import edited_and_next
 from stockroom.llm.licences import find_licences, licence_sql
-from stockroom.llm.near_duplicates import near_duplicates
+from stockroom.llm.near_duplicates import near_duplicates, near_duplicates_sql
 from stockroom.llm.neighbours import nearest_neighbours
 from stockroom.llm.packing import pack_documents
 from stockroom.llm.personal_data import find_personal_data
 from stockroom.llm.quality import in_held_out, score_quality
 from stockroom.llm.registry import CHECKS, check, table
-from stockroom.llm.repeats import remove_repeats
+from stockroom.llm.repeats import remove_repeats, repeats_sql
 from stockroom.llm.url_filters import Rule, filter_urls
 
 __all__ = ["CHECKS"]
@@ -69,7 +69,7 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_and_decode(documents, ranks, public_tokenizers.PATTERN)
 
 
-@check()
+@check(near_duplicates_sql(3, 85))
 def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), shingle=3, percent=85)
 
@@ -80,7 +80,7 @@ def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest_neighbours(vectors, F.col("vec_id") % 20 == 0)
 
 
-@check()
+@check(repeats_sql())
 def op9_remove_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
 

@@ -205,3 +205,49 @@ def remove_repeats(
     return rows.select(*[F.col(f"`{c}`") for c in columns], "repeated").mapInArrow(
         cutter(least_words, least_run, columns), schema
     )
+
+
+def repeats_sql(least_words: int = 3, least_run: int = 30) -> str:
+    """SQL that gives the same columns doc_id, text and removed from the table ``documents``, if ids are unique."""
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    words = rf"regexp_extract_all(translate(part, '{upper}', '{lower}'), '[^\x20\x09-\x0D]+')"
+    return rf"""
+with cut as (
+  select doc_id, regexp_extract_all(text, '[^\n]*?(?:[.!?] |\n)|[^\n]+') as parts from documents where text is not null
+),
+placed as (select doc_id, unnest(range(len(parts))) as nth, unnest(parts) as part from cut),
+units as (
+  select doc_id, nth, part, array_to_string({words}, ' ') as said, len({words}) as n_words,
+    coalesce(sum(length(part)) over (partition by doc_id order by nth rows between unbounded preceding and 1 preceding), 0)
+      as start
+  from placed
+),
+counted as (
+  select *, row_number() over (partition by doc_id order by nth) as unit_no,
+    min(doc_id) over (partition by said) as first_id,
+    row_number() over (partition by doc_id, said order by nth) as time
+  from units where n_words >= {least_words}
+),
+runs as (
+  select doc_id, min(nth) as low, max(nth) as high
+  from (select *, unit_no - row_number() over (partition by doc_id order by nth) as run
+        from counted where first_id < doc_id or time > 1)
+  group by doc_id, run
+),
+removed as (
+  select r.doc_id, r.low, r.high, min(u.start) as start, max(u.start + length(u.part)) as stop
+  from runs r join units u on u.doc_id = r.doc_id and u.nth between r.low and r.high
+  group by all having sum(u.n_words) >= {least_run}
+),
+kept as (
+  select doc_id, string_agg(part, '' order by nth) as text from units u
+  where not exists (select 1 from removed r where r.doc_id = u.doc_id and u.nth between r.low and r.high)
+  group by doc_id
+),
+spans as (
+  select doc_id, string_agg(cast(start as bigint) || ':' || cast(stop as bigint), ',' order by start) as removed
+  from removed group by doc_id
+)
+select d.doc_id, case when d.text is not null then coalesce(k.text, '') end as text, coalesce(s.removed, '') as removed
+from documents d left join kept k using (doc_id) left join spans s using (doc_id)
+"""

@@ -1,14 +1,18 @@
 from __future__ import annotations
 
+import os
 import random
 import re
+from collections import Counter
 
+import duckdb
 import numpy as np
 import pyarrow as pa
+import pytest
 from pyspark.sql import functions as F
 
 from stockroom.llm.components import connected_components
-from stockroom.llm.near_duplicates import block_linker, near_duplicates
+from stockroom.llm.near_duplicates import block_linker, near_duplicates, near_duplicates_sql
 from stockroom.llm.shingles import shingle_sets, word_hashes
 
 
@@ -136,3 +140,14 @@ def test_repeated_ids_null_ids_empty_tables_and_clashing_columns(texts, prose):
 def test_no_pairs_are_listed(texts, prose):
     plan = near_duplicates(texts([prose(i) for i in range(3)]))._jdf.queryExecution().toString()
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+@pytest.mark.skipif(not os.path.exists("/root/testdata/sf0.001"), reason="no test tables")
+@pytest.mark.parametrize(("shingle", "percent"), [(3, 85), (5, 80)])
+def test_sql_gives_the_same(spark, shingle, percent):
+    connection = duckdb.connect()
+    connection.execute("create view documents as from read_parquet('/root/testdata/sf0.001/documents.parquet')")
+    columns = "doc_id, n_shingles, component_id, kept"
+    wanted = connection.execute(f"select {columns} from ({near_duplicates_sql(shingle, percent)})").fetchall()
+    documents = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    assert Counter(wanted) == Counter(map(tuple, near_duplicates(documents, shingle, percent).collect())) and wanted

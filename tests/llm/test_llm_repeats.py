@@ -1,12 +1,15 @@
 from __future__ import annotations
 
+import os
 import re
 from collections import Counter
 
+import duckdb
 import pyarrow as pa
+import pytest
 from pyspark.sql import functions as F
 
-from stockroom.llm.repeats import remove_repeats, units_of
+from stockroom.llm.repeats import remove_repeats, repeats_sql, units_of
 
 LEAST_WORDS, LEAST_RUN = 3, 30
 
@@ -121,3 +124,13 @@ def test_repeated_rows_null_ids_empty_tables_and_clashing_columns(texts, prose):
     same = sorted(r["text"] for r in remove_repeats(texts([(1, passage), (1, passage)])).collect())
     assert same == [passage, passage]
     assert remove_repeats(texts([])).count() == 0
+
+
+@pytest.mark.skipif(not os.path.exists("/root/testdata/sf0.001"), reason="no test tables")
+def test_sql_gives_the_same(spark):
+    connection = duckdb.connect()
+    connection.execute("create view documents as from read_parquet('/root/testdata/sf0.001/documents.parquet')")
+    wanted = connection.execute(f"select doc_id, text, removed from ({repeats_sql()})").fetchall()
+    documents = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    assert Counter(wanted) == Counter(map(tuple, remove_repeats(documents).collect()))
+    assert any(row[2] for row in wanted)
