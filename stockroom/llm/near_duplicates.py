@@ -330,3 +330,40 @@ def _block_links(
     key = ["bucket", "left_block", "right_block"]
     found = left.groupBy(*key).cogroup(right.groupBy(*key)).applyInArrow(block_linker(percent), "u long, v long")
     return stored(found, "block-links")
+
+
+def near_duplicates_sql(shingle: int, percent: int) -> str:
+    """SQL that gives the same rows from the table ``documents``, if ids are unique. It lists all pairs that share a
+    shingle, so it is for small tables."""
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    return rf"""
+with recursive words as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), '{upper}', '{lower}'), '[^\x20\x09-\x0D]+') as w
+  from documents
+),
+shingles as (
+  select distinct doc_id, said from (
+    select doc_id, unnest(case when len(w) = 0 then [] when len(w) < {shingle} then [array_to_string(w, ' ')]
+      else list_transform(range(1, len(w) - {shingle} + 2), lambda i: array_to_string(w[i:i + {shingle - 1}], ' ')) end)
+      as said
+    from words)
+),
+sizes as (select doc_id, count(*) as n from shingles group by doc_id),
+pairs as (
+  select a.doc_id as one, b.doc_id as other, count(*) as shared
+  from shingles a join shingles b on a.said = b.said and a.doc_id < b.doc_id group by all
+),
+links as (
+  select one, other from pairs join sizes x on x.doc_id = one join sizes y on y.doc_id = other
+  where 100 * shared >= {percent} * (x.n + y.n - shared)
+),
+both_ways as (select one, other from links union all select other, one from links),
+reached as (
+  select doc_id, doc_id as reach from documents
+  union
+  select r.doc_id, b.other from reached r join both_ways b on b.one = r.reach
+),
+components as (select doc_id, min(reach) as component_id from reached group by doc_id)
+select d.doc_id, coalesce(s.n, 0) as n_shingles, c.component_id, d.doc_id = c.component_id as kept
+from documents d join components c using (doc_id) left join sizes s using (doc_id)
+"""
