@@ -19,8 +19,8 @@ from pyspark.sql import functions as F
 
 from stockroom.llm.registry import stored
 
-#: Words that a worker keeps with their ids; beyond that it starts anew.
-CACHE_WORDS = 500_000
+#: Words, and parts of words, that a task keeps with their ids; beyond that it starts anew.
+CACHE_WORDS, CACHE_PARTS = 200_000, 400_000
 #: Marks that end a word without changing how the word itself is cut.
 TRAILING = ".,!?;:%$&*#|"
 
@@ -76,13 +76,13 @@ class WordIds(dict):
         found = np.frombuffer(b"".join(map(self.__getitem__, text.replace("\n", " ").split(" "))), self.dtype)
         if len(self) > CACHE_WORDS:
             self.clear()
-        if len(self.parts) > CACHE_WORDS:
+        if len(self.parts) > CACHE_PARTS:
             self.parts.clear()
         return found
 
 
 def word_ids(definition: str) -> WordIds:
-    """One encoder per Python worker, kept between its tasks."""
+    """One tokenizer per Python worker, kept between its tasks."""
     if definition not in _tokenizers:
         _tokenizers.clear()
         _tokenizers[definition] = WordIds(definition)
@@ -115,6 +115,8 @@ def encoder(definition: str, end_id: int, dimensions: int, buckets: int, seed: i
                 ],
                 names=["doc_id", "doc_tokens", "ids", *[f"place_{i}" for i in range(dimensions)]],
             )
+        # The worker stays for other work.
+        words.clear(), words.parts.clear()
 
     return encode
 

@@ -20,6 +20,7 @@ from stockroom.llm.shingles import text_bytes, word_hashes
 #: Bytes are counted one by one up to here, those of other scripts by their upper bits.
 _BYTE_CLASS = np.array([b if b < 128 else 128 + (b >> 4) - 8 for b in range(256)])
 _CLASSES = 136
+BYTES_AT_A_TIME = 1 << 19
 
 
 def features(texts: pa.Array) -> np.ndarray:
@@ -27,18 +28,25 @@ def features(texts: pa.Array) -> np.ndarray:
     count = len(texts)
     data, starts = text_bytes(texts)
     sizes = np.diff(starts)
-    text = np.repeat(np.arange(count), sizes)
     scale = np.maximum(sizes, 1)[:, None]
-    shares = np.bincount(text * _CLASSES + _BYTE_CLASS[data], minlength=count * _CLASSES).reshape(count, _CLASSES) / scale
     # Kinds: lower case, upper case, number, space, line break, mark, other script.
     kind = np.full(256, 6)
     kind[:128] = 5
     kind[ord("a") : ord("z") + 1], kind[ord("A") : ord("Z") + 1], kind[ord("0") : ord("9") + 1] = 0, 1, 2
     kind[[0x20, 0x09]], kind[[0x0A, 0x0D]] = 3, 4
-    kinds = kind[data]
-    pairs = np.bincount(
-        (text[1:] * 49 + kinds[:-1] * 7 + kinds[1:])[text[1:] == text[:-1]], minlength=count * 49
-    ).reshape(count, 49) / scale
+    shares, pairs = np.zeros(count * _CLASSES), np.zeros(count * 49)
+    # Some bytes at a time, as each needs several numbers.
+    for low in range(0, len(data), BYTES_AT_A_TIME):
+        high = min(low + BYTES_AT_A_TIME, len(data))
+        # One byte more to the left, for the pair that crosses.
+        left = max(low - 1, 0)
+        text = np.repeat(np.arange(count), np.diff(np.clip(starts, left, high)))
+        part, kinds = data[left:high], kind[data[left:high]]
+        own = slice(low - left, None)
+        shares += np.bincount(text[own] * _CLASSES + _BYTE_CLASS[part[own]], minlength=count * _CLASSES)
+        within = text[1:] == text[:-1]
+        pairs += np.bincount((text[1:] * 49 + kinds[:-1] * 7 + kinds[1:])[within], minlength=count * 49)
+    shares, pairs = shares.reshape(count, _CLASSES) / scale, pairs.reshape(count, 49) / scale
     hashes, first = word_hashes(texts)
     words = np.diff(first)
     of_text = np.repeat(np.arange(count), words)

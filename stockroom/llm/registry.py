@@ -14,7 +14,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 #: Rows and bytes of one Arrow batch. Texts may have millions of characters, so batches are bounded by size.
 ARROW_ROWS = 1024
-ARROW_BYTES = 8 << 20
+ARROW_BYTES = 2 << 20
 
 
 @dataclass(frozen=True)

@@ -9,6 +9,7 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
+WORDS_AT_A_TIME = 50_000
 _draw = np.random.default_rng(20)
 _BYTE = _draw.integers(1, 1 << 63, 256, dtype=np.uint64)
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
@@ -49,15 +50,19 @@ def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     first = np.flatnonzero(begins)
     if not len(first):
         return np.empty(0, np.uint64), np.zeros(len(texts) + 1, np.int64)
-    places = np.flatnonzero(inside)
-    # Of each byte inside a word: which word, and how far from its start.
-    word = np.cumsum(begins[places]) - 1
-    far = places - first[word]
-    powers = np.ones(int(far.max()) + 1, np.uint64)
-    powers[1:] = _BASE
-    powers = np.multiply.accumulate(powers)
-    values = _BYTE[data[places]] * powers[far]
-    sums = np.add.reduceat(values, np.flatnonzero(begins[places]))
+    ends = np.append(first[1:], len(data))
+    sums = np.empty(len(first), np.uint64)
+    # Some words at a time, as each byte needs several numbers.
+    for low in range(0, len(first), WORDS_AT_A_TIME):
+        high = min(low + WORDS_AT_A_TIME, len(first))
+        part = slice(first[low], ends[high - 1])
+        bytes_, starting = data[part][inside[part]], begins[part][inside[part]]
+        heads = np.flatnonzero(starting)
+        far = np.arange(len(bytes_)) - np.repeat(heads, np.diff(np.append(heads, len(bytes_))))
+        powers = np.ones(int(far.max()) + 1, np.uint64)
+        powers[1:] = _BASE
+        powers = np.multiply.accumulate(powers)
+        sums[low:high] = np.add.reduceat(_BYTE[bytes_] * powers[far], heads)
     return mixed(sums), np.searchsorted(first, starts).astype(np.int64)
 
 
