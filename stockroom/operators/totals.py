@@ -13,12 +13,17 @@ from pyspark.sql import functions as F
 from stockroom.functions import count_if, now
 
 
-def state_counts(items: DataFrame, as_of: dt.datetime | None = None, stamped: bool = False) -> DataFrame:
-    """Items per non-NULL state, most frequent first. ``stamped`` adds the column ``dt`` with one load time."""
+def state_counts(
+    items: DataFrame, as_of: dt.datetime | None = None, stamped: bool = False, ordered: bool = True
+) -> DataFrame:
+    """Items per non-NULL state, most frequent first. ``stamped`` adds the column ``dt`` with one load time.
+
+    A table keeps no order of its rows, so on the way into one there is no need to sort (``ordered=False``).
+    """
     counts = items.where(F.col("state_id").isNotNull()).groupBy("state_id").agg(F.count("*").alias("qty"))
     if stamped:
         counts = counts.withColumn("dt", now(as_of)).select("state_id", "qty", "dt")
-    return counts.orderBy(F.desc("qty"), "state_id")
+    return counts.orderBy(F.desc("qty"), "state_id") if ordered else counts
 
 
 def office_totals(staging: DataFrame) -> DataFrame:

@@ -198,7 +198,7 @@ def report_state_counts(
 ) -> None:
     """Count the items of every state and append the counts, with one load time, to the reports."""
     items = scan_table(spark, items_table, ITEM_COLUMNS)
-    append_rows(spark, reports_table, state_counts(items, as_of, stamped=True))
+    append_rows(spark, reports_table, state_counts(items, as_of, stamped=True, ordered=False))
 
 
 def import_reports(spark: SparkSession, reports_table: str, target: str) -> UpsertReport:
