@@ -10,7 +10,7 @@ from stockroom.llm.near_duplicates import near_duplicates
 from stockroom.llm.packing import pack_documents
 from stockroom.llm.personal_data import redact
 from stockroom.llm.quality import score_quality
-from stockroom.llm.registry import Check, small_batches, stored, table
+from stockroom.llm.registry import ROW, Check, packed, small_batches, stored, table, unpacked
 from stockroom.llm.repeats import remove_repeats
 
 #: The vocabulary's file; the driver reads it.
@@ -31,9 +31,10 @@ def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -
     """
     small_batches(spark)
     kept = near_duplicates(docs).where("kept and doc_id is not null").select("doc_id").distinct()
-    place = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("text"), F.hash(*docs.columns)))
-    chosen = docs.join(kept, "doc_id", "left_semi").withColumn("row_of_id", place).where("row_of_id = 1")
-    return chosen.select(*docs.columns).unionByName(docs.where("doc_id is null"))
+    rows = docs.select(packed(docs), "doc_id", F.xxhash64("text").alias("order")).join(kept, "doc_id", "left_semi")
+    place = F.row_number().over(Window.partitionBy("doc_id").orderBy("order", F.xxhash64(ROW)))
+    chosen = rows.withColumn("place", place).where("place = 1")
+    return chosen.select(*unpacked(docs, {})).unionByName(docs.where("doc_id is null"))
 
 
 def remove_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stockroom.llm.registry import stored
+from stockroom.llm.registry import packed, stored, unpacked
 
 KINDS = ("email", "ip", "card", "phone")
 
@@ -387,8 +387,7 @@ def redact(documents: DataFrame, text: str = "text") -> DataFrame:
 
     A text without personal data stays as it is, a NULL text NULL. The texts are searched twice, once for the votes.
     """
-    columns = documents.columns
-    found = candidate_spans(documents, text)
+    found = candidate_spans(documents.select(packed(documents, text), F.col(f"`{text}`").alias("text")))
     model = fit_span_model(vote_counts(found))
     names = F.array(*[F.lit(f"<{kind}>") for kind in KINDS])
     # Spans in order of start; one that begins before an earlier one's end belongs to it.
@@ -405,14 +404,10 @@ def redact(documents: DataFrame, text: str = "text") -> DataFrame:
         "pii_reached",
         lambda s: F.when(
             s["start"] >= s["so"],
-            F.concat(F.substr(text, s["so"] + 1, s["start"] - s["so"]), F.get(names, s["kind"])),
+            F.concat(F.substr("text", s["so"] + 1, s["start"] - s["so"]), F.get(names, s["kind"])),
         ).otherwise(F.lit("")),
     )
     last = F.coalesce(F.array_max(F.transform("pii_spans", lambda s: s["end"])), F.lit(0))
-    clean = F.concat(F.concat_ws("", pieces), F.substr(text, last + 1, F.length(text)))
-    return (
-        decide(found, model)
-        .withColumn("pii_reached", reached)
-        .withColumn(text, F.when(F.size("pii_spans") > 0, clean).otherwise(F.col(text)))
-        .select(*[F.col(f"`{c}`") for c in columns])
-    )
+    clean = F.concat(F.concat_ws("", pieces), F.substr("text", last + 1, F.length("text")))
+    masked = F.when(F.size("pii_spans") > 0, clean).otherwise(F.col("text"))
+    return decide(found, model).withColumn("pii_reached", reached).select(*unpacked(documents, {text: masked}))

@@ -14,7 +14,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from stockroom.llm.registry import ROW, packed, unpacked
 from stockroom.llm.shingles import text_bytes, word_hashes
 
 #: Bytes are counted one by one up to here, those of other scripts by their upper bits.
@@ -202,14 +204,13 @@ def _collected(rows: DataFrame, text: str) -> np.ndarray:
     return np.array([np.frombuffer(row["row"], np.float32) for row in sorted(raw)])
 
 
-def scorer(model: QualityModel, names: list[str]) -> Callable:
-    """For mapInArrow: appends the scores of the texts in the last column, which is dropped."""
+def scorer(model: QualityModel) -> Callable:
+    """For mapInArrow: the packed columns and the scores of the texts."""
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = model.scores(features(batch.column(batch.num_columns - 1)))
-            columns = [batch.column(i) for i in range(len(names))]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(found, pa.float64())], names=[*names, "score"])
+            found = model.scores(features(batch.column("text")))
+            yield pa.RecordBatch.from_arrays([batch.column(ROW), pa.array(found, pa.float64())], names=[ROW, "score"])
 
     return score
 
@@ -259,14 +260,12 @@ def score_quality(
     If nothing can be learnt, all scores are 0.5. Labels that are NULL or name no document teach nothing; repeated rows and
     labels count once per row. An empty table gives no rows; other columns are kept, unless named like a result.
     """
-    columns = [c for c in documents.columns if c.lower() not in ("score", "predicted")]
-    kept = [F.col(f"`{c}`") for c in columns]
     model = fit_on_tables(documents, labels, most_positives, most_unlabelled, id_column)
+    rows = documents.select(packed(documents), F.coalesce(F.col("text"), F.lit("")).alias("text"))
     if model is None:
-        scored = documents.select(*kept, F.lit(0.5).alias("score"))
+        scored = rows.select(ROW, F.lit(0.5).alias("score"))
     else:
-        schema = documents.select(*kept).schema.add("score", "double")
-        scored = documents.select(*kept, F.coalesce(F.col("text"), F.lit("")).alias("scored_text")).mapInArrow(
-            scorer(model, columns), schema
-        )
-    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+        schema = T.StructType([rows.schema[ROW], T.StructField("score", T.DoubleType())])
+        scored = rows.mapInArrow(scorer(model), schema)
+    predicted = (F.col("score") >= 0.5).cast("int")
+    return scored.select(*unpacked(documents, {"score": F.col("score"), "predicted": predicted}))

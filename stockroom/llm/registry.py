@@ -5,13 +5,15 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stockroom.session import fresh_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+ROW = "whole_row"
+
 #: Rows and bytes of one Arrow batch. Texts may have millions of characters, so batches are bounded by size.
 ARROW_ROWS = 1024
 ARROW_BYTES = 2 << 20
@@ -60,5 +62,16 @@ def stored(rows: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(rows.schema).parquet(path)
 
 
-def text_or_empty(column: str = "text") -> F.Column:
-    return F.coalesce(F.col(column), F.lit(""))
+def packed(rows: DataFrame, without: str | None = None) -> Column:
+    """All columns as one, so that their names meet no others while something is worked out beside them."""
+    kept = [F.col(f"`{name}`").alias(f"c{at}") for at, name in enumerate(rows.columns) if name != without]
+    return F.struct(F.lit(0).alias("none"), *kept).alias(ROW)
+
+
+def unpacked(rows: DataFrame, replaced: dict[str, Column]) -> list[Column]:
+    """The columns of ``rows`` again, some of them replaced or, if new, added."""
+    own = [
+        replaced[name].alias(name) if name in replaced else F.col(f"{ROW}.c{at}").alias(name)
+        for at, name in enumerate(rows.columns)
+    ]
+    return [*own, *[value.alias(name) for name, value in replaced.items() if name not in rows.columns]]

@@ -13,8 +13,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from stockroom.llm.registry import stored
+from stockroom.llm.registry import ROW, packed, stored, unpacked
 from stockroom.llm.shingles import mixed, text_bytes, word_hashes
 
 _MARKS = np.zeros(256, dtype=bool)
@@ -137,17 +138,15 @@ def runs_of(repeated: np.ndarray, units: Units, at: int, least_words: int, least
     return spans
 
 
-def cutter(least_words: int, least_run: int, names: list[str]) -> Callable:
-    """For mapInArrow: texts without their repeated runs, and where these were. Other columns pass through."""
+def cutter(least_words: int, least_run: int) -> Callable:
+    """For mapInArrow: texts without their repeated runs, and where these were; the packed columns pass through."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, removed = batch.column("text"), []
-            lists = batch.column("repeated")
+            texts, lists = batch.column("text"), batch.column("repeated")
             at_all = [i for i in range(batch.num_rows) if lists[i].is_valid]
             units = units_of(texts.take(pa.array(at_all, pa.int64()))) if at_all else None
-            new = texts.to_pylist()
-            removed = [""] * batch.num_rows
+            new, removed = texts.to_pylist(), [""] * batch.num_rows
             for place, at in enumerate(at_all):
                 repeated = np.sort(np.array(lists[at].as_py()))
                 spans = runs_of(repeated, units, place, least_words, least_run)
@@ -158,8 +157,10 @@ def cutter(least_words: int, least_run: int, names: list[str]) -> Callable:
                         last = end
                     new[at] = "".join(kept) + text[last:]
                     removed[at] = ",".join(f"{start}:{end}" for start, end in spans)
-            columns = [pa.array(new, pa.string()) if n == "text" else batch.column(n) for n in names]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(removed, pa.string())], names=[*names, "removed"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(ROW), pa.array(new, pa.string()), pa.array(removed, pa.string())],
+                names=[ROW, "text", "removed"],
+            )
 
     return cut
 
@@ -177,8 +178,6 @@ def remove_repeats(
     A NULL text stays NULL, an empty one empty. Rows with one id are of one rank: they don't take units from each other. A
     row without an id ranks first. An empty table gives no rows. Other columns are kept, unless named like a result.
     """
-    own = ["removed", "text_key", "repeated"]
-    columns = [c for c in documents.columns if c.lower() not in own]
     ranked = F.coalesce(F.col(f"`{id_column}`").cast("long"), F.lit(-(1 << 63)))
     texts = documents.select(ranked.alias("doc_id"), F.xxhash64("text").alias("text_key"), "text")
     units = texts.where("text is not null").mapInArrow(unit_rows(least_words), UNITS)
@@ -199,11 +198,14 @@ def remove_repeats(
         "repeated-places",
     )
     rows = documents.select(
-        *[F.col(f"`{c}`") for c in columns], ranked.alias("rank_id"), F.xxhash64("text").alias("text_key")
-    ).join(lists.withColumnRenamed("doc_id", "rank_id"), ["rank_id", "text_key"], "left")
-    schema = documents.select(*[F.col(f"`{c}`") for c in columns]).schema.add("removed", "string")
-    return rows.select(*[F.col(f"`{c}`") for c in columns], "repeated").mapInArrow(
-        cutter(least_words, least_run, columns), schema
+        packed(documents, "text"), "text", ranked.alias("rank_id"), F.xxhash64("text").alias("text_key")
+    )
+    found = rows.join(lists.withColumnRenamed("doc_id", "rank_id"), ["rank_id", "text_key"], "left")
+    schema = T.StructType([rows.schema[ROW], T.StructField("text", T.StringType()), T.StructField("removed", T.StringType())])
+    return (
+        found.select(ROW, "text", "repeated")
+        .mapInArrow(cutter(least_words, least_run), schema)
+        .select(*unpacked(documents, {"text": F.col("text"), "removed": F.col("removed")}))
     )
 
 

@@ -14,11 +14,10 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stockroom.llm.registry import stored
+from stockroom.llm.registry import packed, stored, unpacked
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
-#: Columns of the operator's own; a clashing input column is replaced.
 FEATURES = [
     "f_length",
     "f_host_length",
@@ -134,12 +133,10 @@ def filter_urls(
     A NULL URL, or one without ``://``, has an empty host and path and is judged by the trees. Repeated rows are judged
     alike; an empty table gives no rows; further columns are kept, except those named like a result, which is replaced.
     """
-    result = ["host", "path", "rule", "verdict", "block_score"]
-    kept = [c for c in pages.columns if c.lower() not in result]
     url = F.coalesce(F.col("url_text"), F.lit(""))
     verdict_of = F.create_map(*[F.lit(x) for rule in rules for x in (rule.name, rule.verdict)])
     judged = (
-        pages.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{url_column}`").alias("url_text"))
+        pages.select(packed(pages), F.col(f"`{url_column}`").alias("url_text"))
         .withColumns({"host": url_host(url), "path": url_path(url)})
         .withColumn("rule", matching_rule(F.col("host"), F.col("path"), rules))
     )
@@ -150,9 +147,8 @@ def filter_urls(
     ruled = F.when(F.col("rule").isNotNull(), verdict_of[F.col("rule")])
     if len(kinds) < 2:
         only = "block" if set(kinds) == {1} else "allow"
-        return judged.withColumns(
-            {"verdict": F.coalesce(ruled, F.lit(only)), "block_score": F.lit(float(only == "block"))}
-        ).select(*[F.col(f"`{c}`") for c in kept], *result)
+        verdict, score = F.coalesce(ruled, F.lit(only)), F.lit(float(only == "block"))
+        return judged.select(*unpacked(pages, _result(verdict, score)))
 
     tables = [
         (
@@ -194,10 +190,9 @@ def filter_urls(
     scored = model.transform(vector.transform(with_features(judged)))
     predicted = F.when(F.col("url_class") == 1.0, F.lit("block")).otherwise(F.lit("allow"))
     return scored.select(
-        *[F.col(f"`{c}`") for c in kept],
-        "host",
-        "path",
-        "rule",
-        F.coalesce(ruled, predicted).alias("verdict"),
-        vector_to_array("url_probability")[1].alias("block_score"),
+        *unpacked(pages, _result(F.coalesce(ruled, predicted), vector_to_array("url_probability")[1]))
     )
+
+
+def _result(verdict: Column, score: Column) -> dict[str, Column]:
+    return {**{name: F.col(name) for name in ("host", "path", "rule")}, "verdict": verdict, "block_score": score}

@@ -102,6 +102,6 @@ def test_nothing_to_learn_from_nulls_repeats_and_clashing_columns(spark, corpus,
     more = documents.unionByName(texts([(None, None), (None, "x"), (1, ""), (1, "")]))
     clash = more.withColumns({"score": F.lit("old"), "row": F.lit(1)})
     found = score_quality(clash, labels.unionByName(odd))
-    assert found.columns == ["doc_id", "text", "row", "score", "predicted"]
+    assert found.columns == ["doc_id", "text", "score", "row", "predicted"]
     rows = found.where("doc_id = 1 and text = ''").collect()
     assert len(rows) == 2 and rows[0]["score"] == rows[1]["score"] and found.count() == 604

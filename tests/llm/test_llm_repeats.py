@@ -118,7 +118,7 @@ def test_repeated_rows_null_ids_empty_tables_and_clashing_columns(texts, prose):
     rows = texts([(1, passage), (1, passage), (1, "Other. " + passage), (None, passage), (2, passage)])
     clash = rows.withColumns({"removed": F.lit("old"), "one": F.lit(1), "unit_no": F.lit("x"), "rank": F.lit(2)})
     found = remove_repeats(clash)
-    assert found.columns == ["doc_id", "text", "one", "unit_no", "rank", "removed"]
+    assert found.columns == ["doc_id", "text", "removed", "one", "unit_no", "rank"]
     kept = sorted((str(r["doc_id"]), r["text"]) for r in found.collect())
     assert kept == [("1", ""), ("1", ""), ("1", "Other. "), ("2", ""), ("None", passage)]
     same = sorted(r["text"] for r in remove_repeats(texts([(1, passage), (1, passage)])).collect())

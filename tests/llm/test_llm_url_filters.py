@@ -93,7 +93,7 @@ def test_one_kind_of_label_empty_tables_and_clashing_columns(spark):
     assert filter_urls(only.limit(0), URL_RULES).count() == 0
     clash = only.withColumns({"verdict": F.lit("old"), "host": F.lit(1), "note": F.lit("kept")})
     found = filter_urls(clash, URL_RULES)
-    assert found.columns == ["page_id", "url", "note", "host", "path", "rule", "verdict", "block_score"]
+    assert found.columns == ["page_id", "url", "verdict", "host", "note", "path", "rule", "block_score"]
     assert {row["verdict"] for row in found.collect()} == {"allow"}
 
 
