@@ -325,6 +325,8 @@ def nearest_neighbours(
     if not sample:
         return spark.createDataFrame([], result)
     wanted, depth = _calibrate(index, sample, trees, count, kind, recall)
+    # A row can be met once per tree, so this many are ``count`` others at least, or all there are.
+    wanted = max(wanted, trees * (count + 1))
 
     found = None
     pending = queries
