@@ -16,17 +16,19 @@ def connected_components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     Only minima are gathered by node, so a node with very many links is no burden. Each round's links are written.
     """
     links = stored(
-        edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "links"
+        edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(),
+        "links",
+        few=True,
     )
     state = _state(links)
     for _ in range(most_rounds):
         both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
         smallest = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.join(smallest, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        large = stored(large, "large-stars")
+        large = stored(large, "large-stars", few=True)
         smallest = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(smallest, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        links = stored(small.unionByName(smallest.select("u", F.col("m").alias("v"))).distinct(), "small-stars")
+        links = stored(small.unionByName(smallest.select("u", F.col("m").alias("v"))).distinct(), "small-stars", few=True)
         before, state = state, _state(links)
         if state == before:
             return links.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(

@@ -173,7 +173,7 @@ def near_duplicates(
     bands: int = 30,
     rows: int = 4,
     seed: int = 3,
-    block: int = 512,
+    block: int = 128,
     id_column: str = "doc_id",
     text_column: str = "text",
 ) -> DataFrame:
@@ -204,9 +204,9 @@ def near_duplicates(
     )
     members = stored(_bucket_members(chosen), "bucket-members")
     links, sets = _star_links(members, chosen, source, shingle, percent, bands * rows)
-    components = stored(connected_components(links), "components")
+    components = connected_components(links)
     more = _block_links(members, components, sets, percent, block)
-    components = stored(connected_components(links.unionByName(more)), "components")
+    components = connected_components(links.unionByName(more))
     groups = (
         chosen.select("digest", "node")
         .join(components, "node", "left")
@@ -214,7 +214,7 @@ def near_duplicates(
     )
     return (
         signed.select("doc_id", "n_shingles", "digest")
-        .join(stored(groups, "groups"), "digest", "left")
+        .join(groups, "digest", "left")
         .select(
             "doc_id",
             "n_shingles",
@@ -258,7 +258,9 @@ def _star_links(
     # Five standard deviations below what a linked pair agrees in.
     least_equal = int(hashes * (share - 5 * (share * (1 - share) / hashes) ** 0.5))
     likely = stored(
-        sized.select("a", "b", "signature_a", "signature_b").mapInArrow(sifter(least_equal), "a long, b long"), "likely"
+        sized.select("a", "b", "signature_a", "signature_b").mapInArrow(sifter(least_equal), "a long, b long"),
+        "likely",
+        few=True,
     )
     wanted = members.select("node").distinct().join(chosen.select("node", "digest"), "node")
     texts = source.join(wanted.select(F.col("node").alias("doc_id")).distinct(), "doc_id", "left_semi")
@@ -289,6 +291,7 @@ def _block_links(
         .join(components, "node", "left")
         .select("bucket", "node", F.coalesce("component", "node").alias("component")),
         "placed-members",
+        few=True,
     )
     sizes = placed.groupBy("bucket", "component").agg(F.count("*").alias("size"))
     open_ = (
@@ -302,7 +305,7 @@ def _block_links(
         .select("bucket", "n", F.col("largest.size").alias("held"), F.col("largest.component").alias("largest"))
     )
     rows = stored(
-        placed.join(stored(open_, "open-buckets"), "bucket")
+        placed.join(stored(open_, "open-buckets", few=True), "bucket")
         .join(sets, "node")
         .withColumn("outside", F.col("component") != F.col("largest"))
         .withColumn("left_blocks", F.ceil((F.col("n") - F.col("held")) / block).cast("int"))

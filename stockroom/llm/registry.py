@@ -54,10 +54,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stored(rows: DataFrame, label: str) -> DataFrame:
-    """The rows, written once to the shared folder and read from there, so that no later loss recomputes them."""
+def stored(rows: DataFrame, label: str, few: bool = False) -> DataFrame:
+    """The rows, written once to the shared folder and read from there, so that no later loss recomputes them.
+
+    ``few`` is for rows that are little beside the documents, such as links: an eighth of the usual files hold them.
+    """
     spark = rows.sparkSession
     path = fresh_dir(spark, label)
+    if few:
+        rows = rows.coalesce(max(1, int(spark.conf.get("spark.sql.shuffle.partitions")) // 8))
     rows.write.parquet(path)
     return spark.read.schema(rows.schema).parquet(path)
 
