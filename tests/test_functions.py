@@ -169,3 +169,14 @@ def test_messages_keep_nulls_and_microseconds(spark):
     assert rows.select(message(["a"]).cast("string")).first()[0] == '{"a":1}'
     assert rows.select(datetime_text("t")).first()[0] == "2024-01-01 00:00:00.123456"
     assert rows.select(iso_record(["a", "t"])).first()[0] == '{"a":1,"t":"2024-01-01T00:00:00.123"}'
+
+
+def test_nested_times_keep_their_digits(spark):
+    time = dt.datetime(2024, 4, 25, 6, 22, 32, 123456)
+    schema = "a STRUCT<t: TIMESTAMP_NTZ, n: INT>, b ARRAY<TIMESTAMP_NTZ>, c MAP<STRING, DATE>, d STRUCT<t: TIMESTAMP_NTZ>"
+    rows = spark.createDataFrame([((time, 1), [time, None], {"k": time.date()}, None)], schema)
+    text = as_messages(rows).select(F.col("value").cast("string")).first()[0]
+    assert text == (
+        '{"a":{"t":"2024-04-25 06:22:32.123456","n":1},"b":["2024-04-25 06:22:32.123456",null],'
+        '"c":{"k":"2024-04-25"},"d":null}'
+    )
