@@ -1,8 +1,8 @@
 """Document fingerprints by Order MinHash, in DataFrame functions only.
 
 A text is cut into units (words, long ones into pieces); the k-mers of its units are numbered by their occurrence, so that
-a repeated k-mer counts each time. Every slot of a fingerprint selects the numbered k-mers that are minimal under a few
-hash orders, puts them back into text order and hashes that tuple. Two texts share a slot if they share the selected
+a repeated k-mer counts each time. There are as many hash orders as slots; a slot selects the numbered k-mers that are
+minimal under its order and the ones after it, puts them back into text order and hashes that tuple. Two texts share a slot if they share the selected
 k-mers and have them in the same order, so the share of equal slots falls with their edit distance.
 """
 
@@ -66,10 +66,11 @@ def fingerprint_slots(
 ) -> DataFrame:
     """One row per combination of ``keys``, which must tell the rows apart, with ``slot_values`` as array of longs.
 
-    The k-mers become rows that are reduced at once to ``slots * size`` minima, so no array is searched repeatedly.
+    The k-mers become rows that are reduced at once to one minimum per hash order, so no array is searched repeatedly. A
+    slot's tuple has the minima of ``size`` neighbouring orders.
     """
     draw = random.Random(seed)
-    masks = [[draw.getrandbits(HASH_BITS) for _ in range(size)] for _ in range(slots)]
+    masks = [draw.getrandbits(HASH_BITS) for _ in range(slots)]
     rows = (
         texts.withColumn("fp_units", F.regexp_extract_all(text, F.lit(UNIT), F.lit(0)))
         .select(*keys, numbered_kmers(F.col("fp_units"), k).alias("fp_kmers"))
@@ -86,19 +87,18 @@ def fingerprint_slots(
         F.when(F.col("fp_kmers").isNotNull(), F.shiftleft(numbered, PLACE_BITS).bitwiseOR(place)).alias("fp_entry"),
     )
     minima = [
-        F.min(F.col("fp_entry").bitwiseXOR(F.lit(mask << PLACE_BITS))).alias(f"fp_{slot}_{i}")
-        for slot, of_slot in enumerate(masks)
-        for i, mask in enumerate(of_slot)
+        F.min(F.col("fp_entry").bitwiseXOR(F.lit(mask << PLACE_BITS))).alias(f"fp_{order}")
+        for order, mask in enumerate(masks)
     ]
     reduced = rows.groupBy(*keys).agg(*minima)
 
     def slot_value(slot: int) -> Column:
         chosen = [
             F.struct(
-                F.col(f"fp_{slot}_{i}").bitwiseAND(F.lit((1 << PLACE_BITS) - 1)).alias("place"),
-                F.shiftright(f"fp_{slot}_{i}", PLACE_BITS).bitwiseXOR(F.lit(mask)).alias("kmer"),
+                F.col(f"fp_{order}").bitwiseAND(F.lit((1 << PLACE_BITS) - 1)).alias("place"),
+                F.shiftright(f"fp_{order}", PLACE_BITS).bitwiseXOR(F.lit(masks[order])).alias("kmer"),
             )
-            for i, mask in enumerate(masks[slot])
+            for order in ((slot + i) % slots for i in range(size))
         ]
         first, last = (chosen[0], chosen[-1])
         if size == 1:
@@ -124,7 +124,7 @@ def as_text(slots: Column) -> Column:
 
 
 def edited_and_next(
-    documents: DataFrame, slots: int = 32, size: int = 2, k: int = 2, seed: int = 11, id_column: str = "doc_id"
+    documents: DataFrame, slots: int = 64, size: int = 2, k: int = 2, seed: int = 11, id_column: str = "doc_id"
 ) -> DataFrame:
     """Fingerprints of every text, of its edited text, and their likeness to each other and to the next document's.
 
