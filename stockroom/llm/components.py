@@ -24,6 +24,8 @@ def connected_components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     for _ in range(most_rounds):
         both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
         smallest = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        # Written, so that the join deals both sides out anew and Spark can split a node of very many links.
+        smallest = stored(smallest, "smallest", few=True)
         large = both.join(smallest, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         large = stored(large, "large-stars", few=True)
         smallest = large.groupBy("u").agg(F.min("v").alias("m"))
