@@ -19,8 +19,8 @@ from pyspark.sql import functions as F
 
 from stockroom.llm.registry import stored
 
-#: Words, and parts of words, that a task keeps with their ids; beyond that it starts anew.
-CACHE_WORDS, CACHE_PARTS = 200_000, 400_000
+#: Words that a task, and parts of words that a worker keeps with their ids; beyond that they start anew.
+CACHE_WORDS, CACHE_PARTS = 200_000, 500_000
 #: Marks that end a word without changing how the word itself is cut.
 TRAILING = ".,!?;:%$&*#|"
 
@@ -115,8 +115,8 @@ def encoder(definition: str, end_id: int, dimensions: int, buckets: int, seed: i
                 ],
                 names=["doc_id", "doc_tokens", "ids", *[f"place_{i}" for i in range(dimensions)]],
             )
-        # The worker stays for other work.
-        words.clear(), words.parts.clear()
+        # The worker stays for other work; it keeps the parts, which cost most.
+        words.clear()
 
     return encode
 
