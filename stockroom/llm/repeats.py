@@ -1,7 +1,7 @@
 """Repeated passages: units of text are hashed, counted over all documents, and only their earliest occurrence stays.
 
 A unit is a line, or a sentence of a line. What is removed are runs of repeated units that are long enough to be a
-passage; single short sentences that happen to recur stay.
+passage; single short sentences that happen to recur stay. On request repeated whole lines go as well, however short.
 """
 
 from __future__ import annotations
@@ -39,10 +39,18 @@ def units_of(texts: pa.Array) -> Units:
 
     Hashes see words only: what stands between ASCII white space, with A-Z in lower case.
     """
+    return units_and_lines(texts, False)[0]
+
+
+def units_and_lines(texts: pa.Array, lines: bool = True) -> tuple[Units, Units | None]:
+    """The units, and the whole lines if asked for, whose hashes differ from those of units with the same words."""
     data, starts = text_bytes(texts)
     hashes, word_first, word_at = _placed_words(texts, data, starts)
+    points = np.zeros(len(data) + 1, np.int64)
+    np.cumsum((data & 0xC0) != 0x80, out=points[1:])
     begins = np.zeros(len(data) + 1, dtype=bool)
     begins[1 : len(data) + 1] = data == 0x0A
+    line_begins = begins.copy() if lines else None
     if len(data) > 1:
         begins[2 : len(data) + 1] |= (data[1:] == 0x20) & _MARKS[data[:-1]]
     # A mark and a space of different texts are no sentence end, and a text's end begins nothing.
@@ -52,17 +60,32 @@ def units_of(texts: pa.Array) -> Units:
     after_first = inner[(data[inner - 1] != 0x0A)] if len(inner) else inner
     for place in after_first[_MARKS[data[after_first - 1]] & (data[np.minimum(after_first, len(data) - 1)] == 0x20)]:
         begins[place + 1] = False
-    begin = np.flatnonzero(begins[: len(data)])
+    units = _hashed(np.flatnonzero(begins[: len(data)]), starts, points, hashes, word_at, (1, 2))
+    if line_begins is None:
+        return units, None
+    line_begins[starts] = False
+    line_begins[starts[:-1][np.diff(starts) > 0]] = True
+    return units, _hashed(np.flatnonzero(line_begins[: len(data)]), starts, points, hashes, word_at, (3, 4))
+
+
+def _hashed(
+    begin: np.ndarray,
+    starts: np.ndarray,
+    points: np.ndarray,
+    hashes: np.ndarray,
+    word_at: np.ndarray,
+    salts: tuple[int, int],
+) -> Units:
+    """The units that begin at these bytes."""
+    size = len(points) - 1
     first = np.searchsorted(begin, starts)
-    points = np.zeros(len(data) + 1, np.int64)
-    np.cumsum((data & 0xC0) != 0x80, out=points[1:])
     text = np.searchsorted(starts, begin, side="right") - 1
-    stop = np.append(begin[1:], len(data))
+    stop = np.append(begin[1:], size)
     base = points[starts[text]] if len(begin) else np.empty(0, np.int64)
-    edges = np.searchsorted(word_at, np.append(begin, len(data)))
+    edges = np.searchsorted(word_at, np.append(begin, size))
     counts = np.diff(edges)
     sums = []
-    for salt in (1, 2):
+    for salt in salts:
         powers = np.ones(int(counts.max(initial=0)) + 1, np.uint64)
         powers[1:] = mixed(np.array([salt], np.uint64))[0] | np.uint64(1)
         powers = np.multiply.accumulate(powers)
@@ -90,19 +113,30 @@ def _placed_words(texts: pa.Array, data: np.ndarray, starts: np.ndarray) -> tupl
 UNITS = "doc_id long, text_key long, unit_no int, one long, other long, again boolean"
 
 
-def unit_rows(least_words: int) -> Callable:
-    """For mapInArrow: the numbered units of at least so many words; ``again`` marks those that their text had before."""
+def unit_rows(least_words: int, whole_lines: bool) -> Callable:
+    """For mapInArrow: the numbered units of at least so many words; ``again`` marks those that their text had before.
+
+    Whole lines with at least one word are numbered from -1 downwards.
+    """
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            units = units_of(batch.column("text"))
+            units, lines = units_and_lines(batch.column("text"), whole_lines)
             ids, keys = batch.column("doc_id"), batch.column("text_key")
             text = np.repeat(np.arange(batch.num_rows), np.diff(units.first))
             long_ = np.flatnonzero(units.words >= least_words)
             text, one, other = text[long_], units.one[long_], units.other[long_]
             numbers = np.arange(len(long_)) - np.searchsorted(text, text)
+            if lines is not None:
+                of_line = np.repeat(np.arange(batch.num_rows), np.diff(lines.first))
+                said = np.flatnonzero(lines.words)
+                of_line = of_line[said]
+                text = np.concatenate([text, of_line])
+                one = np.concatenate([one, lines.one[said]])
+                other = np.concatenate([other, lines.other[said]])
+                numbers = np.concatenate([numbers, lines.first[of_line] - said - 1])
             # Sorted by text, hashes and place, all but the first of equal ones recur.
-            order = np.lexsort((numbers, other, one, text))
+            order = np.lexsort((np.abs(numbers), other, one, text))
             same = np.zeros(len(order), dtype=bool)
             if len(order) > 1:
                 a, b = order[1:], order[:-1]
@@ -138,18 +172,36 @@ def runs_of(repeated: np.ndarray, units: Units, at: int, least_words: int, least
     return spans
 
 
-def cutter(least_words: int, least_run: int) -> Callable:
-    """For mapInArrow: texts without their repeated runs, and where these were; the packed columns pass through."""
+def joined(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The spans in order, those that meet or overlap as one."""
+    found: list[tuple[int, int]] = []
+    for start, end in sorted(spans):
+        if found and start <= found[-1][1]:
+            found[-1] = found[-1][0], max(end, found[-1][1])
+        else:
+            found.append((start, end))
+    return found
+
+
+def cutter(least_words: int, least_run: int, whole_lines: bool) -> Callable:
+    """For mapInArrow: texts without their repeated runs and lines, and where these were; the packed columns pass through."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, lists = batch.column("text"), batch.column("repeated")
             at_all = [i for i in range(batch.num_rows) if lists[i].is_valid]
-            units = units_of(texts.take(pa.array(at_all, pa.int64()))) if at_all else None
+            units = lines = None
+            if at_all:
+                units, lines = units_and_lines(texts.take(pa.array(at_all, pa.int64())), whole_lines)
             new, removed = texts.to_pylist(), [""] * batch.num_rows
             for place, at in enumerate(at_all):
                 repeated = np.sort(np.array(lists[at].as_py()))
-                spans = runs_of(repeated, units, place, least_words, least_run)
+                inner = repeated[repeated >= 0]
+                spans = runs_of(inner, units, place, least_words, least_run) if len(inner) else []
+                if lines is not None:
+                    at_lines = lines.first[place] - repeated[repeated < 0] - 1
+                    places = zip(lines.start[at_lines].tolist(), lines.end[at_lines].tolist(), strict=True)
+                    spans = joined([*spans, *places])
                 if spans:
                     kept, last, text = [], 0, new[at]
                     for start, end in spans:
@@ -166,7 +218,11 @@ def cutter(least_words: int, least_run: int) -> Callable:
 
 
 def remove_repeats(
-    documents: DataFrame, least_words: int = 3, least_run: int = 30, id_column: str = "doc_id"
+    documents: DataFrame,
+    least_words: int = 3,
+    least_run: int = 30,
+    id_column: str = "doc_id",
+    whole_lines: bool = False,
 ) -> DataFrame:
     """The documents with ``text`` shortened and ``removed``, the spans taken out as ``start:end`` of the original text.
 
@@ -175,12 +231,15 @@ def remove_repeats(
     consecutive repeated units is removed if it has ``least_run`` words or more; the earliest occurrence of a unit is none
     of these and stays. Offsets are code points of the text as it was, the end exclusive.
 
+    With ``whole_lines`` a line that repeats an earlier whole line goes too, with its line break, if it has any word; spans
+    that meet are given as one. A repeated paragraph is a row of such lines. Lines without words stay.
+
     A NULL text stays NULL, an empty one empty. Rows with one id are of one rank: they don't take units from each other. A
     row without an id ranks first. An empty table gives no rows. Other columns are kept, unless named like a result.
     """
     ranked = F.coalesce(F.col(f"`{id_column}`").cast("long"), F.lit(-(1 << 63)))
     texts = documents.select(ranked.alias("doc_id"), F.xxhash64("text").alias("text_key"), "text")
-    units = texts.where("text is not null").mapInArrow(unit_rows(least_words), UNITS)
+    units = texts.where("text is not null").mapInArrow(unit_rows(least_words, whole_lines), UNITS)
     # Two passes over the texts, so that the units need not be stored: first the units that several documents have.
     several = stored(
         units.where("not again")
@@ -204,7 +263,7 @@ def remove_repeats(
     schema = T.StructType([rows.schema[ROW], T.StructField("text", T.StringType()), T.StructField("removed", T.StringType())])
     return (
         found.select(ROW, "text", "repeated")
-        .mapInArrow(cutter(least_words, least_run), schema)
+        .mapInArrow(cutter(least_words, least_run, whole_lines), schema)
         .select(*unpacked(documents, {"text": F.col("text"), "removed": F.col("removed")}))
     )
 

@@ -102,3 +102,19 @@ def test_queries_are_registered():
 
 def _schema(spark, folder):
     return spark.read.parquet(f"{folder}/documents.parquet").schema
+
+
+def test_short_repeated_lines_and_inner_passages_go(spark, tables):
+    folder, _ = tables
+    inner = "One two three four five six seven eight nine ten. Eleven words stand in this sentence and then it ends. "
+    texts = ["Start of it, " + inner + "End of one.", "Header here\nA text.", "Other " + inner + "Tail.", "Header here\nB text."]
+    docs = spark.createDataFrame([(i, t, "en", None, len(t)) for i, t in enumerate(texts)], _schema(spark, folder))
+    kept = {r["doc_id"]: r["text"] for r in corpus_pipeline.remove_repeated_passages(spark, docs, folder).collect()}
+    assert kept[0] == texts[0] and kept[1] == texts[1]
+    assert kept[3] == "B text."
+    assert "Eleven words" in kept[2]  # 11 words alone are no passage
+    long_ = "Of these twenty words none is missing when the sentence is said again by a text that comes after it. "
+    texts = ["Start. " + long_ + "End of one.", "Other. " + long_ + "Tail."]
+    docs = spark.createDataFrame([(i, t, "en", None, len(t)) for i, t in enumerate(texts)], _schema(spark, folder))
+    kept = {r["doc_id"]: r["text"] for r in corpus_pipeline.remove_repeated_passages(spark, docs, folder).collect()}
+    assert kept == {0: texts[0], 1: "Other. Tail."}

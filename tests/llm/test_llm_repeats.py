@@ -134,3 +134,59 @@ def test_sql_gives_the_same(spark):
     documents = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
     assert Counter(wanted) == Counter(map(tuple, remove_repeats(documents).collect()))
     assert any(row[2] for row in wanted)
+
+
+def lines_expected(rows):
+    """Of each whole line with any word the earliest occurrence stays, and all that is no such line."""
+    lines = {at: re.findall(r"[^\n]*\n|[^\n]+", text or "") for at, (_, text) in enumerate(rows)}
+    first = {}
+    for at, (doc_id, _) in enumerate(rows):
+        for line in lines[at]:
+            first[words_of(line)] = min(first.get(words_of(line), doc_id), doc_id)
+    found = []
+    for at, (doc_id, text) in enumerate(rows):
+        seen, kept = set(), []
+        for line in lines[at]:
+            words = words_of(line)
+            if not words or (first[words] == doc_id and words not in seen):
+                kept.append(line)
+            seen.add(words)
+        found.append((doc_id, None if text is None else "".join(kept)))
+    return Counter(found)
+
+
+def test_repeated_whole_lines_go_however_short(texts, prose):
+    passage = prose(1, 66)
+    rows = [
+        None,
+        "",
+        "Menu\nHome page\n\n" + prose(2, 20) + "\nMenu",
+        "home  PAGE\n\n" + prose(3, 20) + "\n\n\nMenu\nHome page\nlast é",
+        "Menu. Home page",
+        "x Menu\nMenu x\n \n \n日本\n日本",
+        "日本\nMenu\nlast é\n",
+        "a b c. d e f\na b c.  d e f\nd e f\n",
+        "\n".join([passage, "between", passage, "between"]),
+    ]
+    rows += [f"Header line\n{prose(i, 15)}\nFooter\n" for i in range(40, 60)]
+    pairs = [(i * 5 % len(rows), text) for i, text in enumerate(rows)]
+    found = remove_repeats(texts(pairs), least_run=1000, whole_lines=True).collect()
+    assert Counter((r["doc_id"], r["text"]) for r in found) == lines_expected(pairs)
+    for row in found:
+        text = dict(pairs)[row["doc_id"]]
+        if text is not None:
+            spans = [tuple(map(int, span.split(":"))) for span in row["removed"].split(",") if span]
+            assert all(a[1] < b[0] for a, b in zip(spans, spans[1:], strict=False))
+            for low, high in reversed(spans):
+                text = text[:low] + text[high:]
+        assert row["text"] == text
+
+
+def test_whole_lines_and_runs_together(texts, prose):
+    passage = prose(1, 66)
+    rows = [(1, passage + "\nShort line"), (2, "Mine. " + passage + "\nSHORT line\nkept"), (3, "Short line. Mine too.")]
+    found = {r["doc_id"]: (r["text"], r["removed"]) for r in remove_repeats(texts(rows), whole_lines=True).collect()}
+    assert found[1] == (rows[0][1], "") and found[3] == (rows[2][1], "")
+    assert found[2] == ("Mine. kept", f"6:{6 + len(passage) + 1 + 11}")
+    plain = {r["doc_id"]: r["text"] for r in remove_repeats(texts(rows)).collect()}
+    assert plain[2] == "Mine. SHORT line\nkept"
