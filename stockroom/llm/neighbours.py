@@ -426,6 +426,8 @@ def _search(
         .cogroup(going.select(*key, "query_id", "query_vector", "code", "depth").groupBy(*key))
         .applyInArrow(comparer(count, kind), "query_id long, ids array<long>, scores array<double>")
     )
-    if top == 0 or ends.where("not reached").isEmpty():
+    if top == 0:
         return found, None
-    return found, queries.join(ends.where("reached"), "query_id", "left_anti")
+    # A query whose branches are empty in all trees has no row in ``ends``; it has not met enough either.
+    rest = queries.join(ends.where("reached"), "query_id", "left_anti")
+    return found, None if rest.isEmpty() else rest

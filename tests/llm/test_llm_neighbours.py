@@ -111,6 +111,18 @@ def test_ascent_from_low_branches_reaches_the_root(spark, monkeypatch):
     check(found, {i: v.astype(float) for i, v in enumerate(vectors)}, 0.9)
 
 
+def test_query_without_rows_in_any_branch_is_found_further_up(spark):
+    draw = np.random.default_rng(8)
+    vectors = (np.ones((800, 8)) + draw.normal(0, 1e-7, (800, 8))).astype(np.float64)
+    vectors[400] = -0.01
+    rows = [(i, [float(x) for x in v]) for i, v in enumerate(vectors)]
+    found = nearest_neighbours(table(spark, rows, "double"), by_twenties(), trees=4, recall=0.5).collect()
+    per_query = {i: [r["rank"] for r in found if r["query_id"] == i] for i in range(0, 800, 20)}
+    assert all(sorted(ranks) == list(range(1, 21)) for ranks in per_query.values())
+    wanted = dict(exact(dict(enumerate(vectors)), 400))
+    assert {r["vec_id"]: r["score"] for r in found if r["query_id"] == 400} == pytest.approx(wanted, abs=1e-12)
+
+
 def test_prefixes_and_stops():
     codes = np.array([0, 1, 1 << 31, 5])
     assert common_prefix(codes, np.array([0, 0, 0, 4])).tolist() == [BITS, BITS - 1, 0, BITS - 1]
