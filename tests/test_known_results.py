@@ -10,7 +10,7 @@ import datetime as dt
 import os
 
 import pytest
-from conftest import rows_of
+from helpers import rows_of
 
 from stockroom.operators import daily_report, parse_items, state_counts, typed_items
 from stockroom.plans import jobs

@@ -4,7 +4,7 @@ import datetime as dt
 from concurrent.futures import ThreadPoolExecutor
 
 import pytest
-from conftest import rows_of
+from helpers import rows_of
 from pyspark.sql import functions as F
 
 from stockroom.operators import (

@@ -3,7 +3,7 @@ from __future__ import annotations
 import random
 
 import pytest
-from conftest import rows_of, with_lost_tasks
+from helpers import rows_of, with_lost_tasks
 from pyspark.sql import functions as F
 
 from stockroom.operators import daily_report, expand_records, office_totals, record_arrays
