@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stockroom.llm.byte_bpe import encode_and_decode
+from stockroom.llm.exact_duplicates import exact_duplicates, exact_duplicates_sql
 from stockroom.llm.fingerprints import edited_and_next
 from stockroom.llm.licences import find_licences, licence_sql
 from stockroom.llm.near_duplicates import near_duplicates, near_duplicates_sql
@@ -90,3 +91,8 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
     scored = score_quality(table(spark, sf_dir, "documents").select("doc_id", "text"), labels)
     return scored.select("doc_id", in_held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
+@check(exact_duplicates_sql())
+def op13_exact_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))

@@ -67,6 +67,14 @@ def stored(rows: DataFrame, label: str, few: bool = False) -> DataFrame:
     return spark.read.schema(rows.schema).parquet(path)
 
 
+def discard(spark: SparkSession, *paths: str) -> None:
+    """Delete folders that :func:`stored` or a table has written, when nothing reads them any more."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for path in paths:
+        folder = jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(conf).delete(folder, True)
+
+
 def packed(rows: DataFrame, without: str | None = None) -> Column:
     """All columns as one, so that their names meet no others while something is worked out beside them."""
     kept = [F.col(f"`{name}`").alias(f"c{at}") for at, name in enumerate(rows.columns) if name != without]
