@@ -17,6 +17,7 @@ from stockroom.llm.personal_data import find_personal_data
 from stockroom.llm.quality import in_held_out, score_quality
 from stockroom.llm.registry import CHECKS, check, table
 from stockroom.llm.repeats import remove_repeats, repeats_sql
+from stockroom.llm.spelling import count_words, spelling_variants, spelling_variants_sql
 from stockroom.llm.url_filters import Rule, filter_urls
 
 __all__ = ["CHECKS"]
@@ -96,3 +97,8 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 @check(exact_duplicates_sql())
 def op13_exact_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@check(spelling_variants_sql())
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(count_words(table(spark, sf_dir, "documents").select("doc_id", "text"), damaged=31))
