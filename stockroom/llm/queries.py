@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stockroom.llm.alignment import Definitions, alignment_figures
 from stockroom.llm.byte_bpe import encode_and_decode
 from stockroom.llm.exact_duplicates import exact_duplicates, exact_duplicates_sql
 from stockroom.llm.fingerprints import edited_and_next
@@ -24,6 +25,8 @@ __all__ = ["CHECKS"]
 
 #: Where the vocabularies lie; the driver reads them.
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+BYTE_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+PIECE_TOKENIZER = public_tokenizers.path("piece_bpe_32k.model")
 BYTE_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 URL_RULES = (
@@ -102,3 +105,10 @@ def op13_exact_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 @check(spelling_variants_sql())
 def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_variants(count_words(table(spark, sf_dir, "documents").select("doc_id", "text"), damaged=31))
+
+
+@check()
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    with open(BYTE_TOKENIZER, encoding="utf-8") as a, open(PIECE_TOKENIZER, "rb") as b:
+        definitions = Definitions(a.read(), b.read())
+    return alignment_figures(table(spark, sf_dir, "documents").select("doc_id", "text"), definitions)
