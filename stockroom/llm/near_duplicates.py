@@ -1,8 +1,10 @@
 """Near-duplicates: MinHash bands propose, signatures sift, full shingle sets decide, components group.
 
-Documents with the same shingle set are one from the start. Within a band's bucket no pairs are listed: every member is
-compared with one member, the hub, which connects most of a group. Buckets that then still hold several components are
-compared in blocks, each member outside the largest component with all others, so no link between them is lost.
+Documents with the same shingle set are one from the start. Within a band's bucket every member is compared with one member,
+the hub, which connects most of a group: pairs whose signatures agree in far fewer minima than linked ones would (five
+standard deviations, about one linked pair in a million) go before whole sets are compared. Buckets of three and more that
+then still hold several components are compared in blocks by whole sets, each member outside the largest component with all
+others, whatever their signatures say.
 """
 
 from __future__ import annotations
@@ -121,9 +123,26 @@ def confirmer(percent: int) -> Callable:
     return confirm
 
 
+class Joined(dict):
+    """Which components of a block are one by the links found so far."""
+
+    def root(self, component: int) -> int:
+        while (above := self.get(component, component)) != component:
+            self[component] = component = self.get(above, above)
+        return component
+
+    def join(self, one: int, other: int) -> bool:
+        """Whether they were not one before."""
+        one, other = self.root(one), self.root(other)
+        if one != other:
+            self[max(one, other)] = min(one, other)
+        return one != other
+
+
 def block_linker(percent: int) -> Callable:
-    """For a cogroup of two blocks of one bucket: links between members of different components, one for each member and
-    component at most, by a product of their membership matrices."""
+    """For a cogroup of two blocks of one bucket: links between members of different components, by a product of their
+    membership matrices. Of the links found only those are returned that join components not yet joined by the others, so
+    they are fewer than the members."""
 
     def link(left: pa.Table, right: pa.Table) -> pa.Table:
         none = pa.table({"u": pa.array([], pa.int64()), "v": pa.array([], pa.int64())})
@@ -136,6 +155,7 @@ def block_linker(percent: int) -> Callable:
         # A slice of the known shingles at a time bounds the matrices.
         members = [np.searchsorted(known, x) for x in one]
         us, vs = [], []
+        joined = Joined()
         for start in range(0, right.num_rows, 512):
             part = right.slice(start, 512)
             others, other_groups = (part.column(name).to_numpy() for name in ("node", "component"))
@@ -157,8 +177,13 @@ def block_linker(percent: int) -> Callable:
                 shared += a @ b.T
             near = is_near(shared, sizes[:, None], np.array(other_sizes)[None, :], percent)
             near &= groups[:, None] != other_groups[None, :]
-            for i, j in zip(*np.nonzero(near), strict=True):
-                us.append(nodes[i]), vs.append(others[j])
+            at, to = np.nonzero(near)
+            # Members of one component are linked already, so one link between two components says as much as many.
+            pairs = np.stack([groups[at], other_groups[to]])
+            _, first = np.unique(pairs, axis=1, return_index=True) if len(at) else (None, [])
+            for i, j in zip(at[first].tolist(), to[first].tolist(), strict=True):
+                if joined.join(groups[i], other_groups[j]):
+                    us.append(nodes[i]), vs.append(others[j])
         if not us:
             return none
         return pa.table({"u": pa.array(us, pa.int64()), "v": pa.array(vs, pa.int64())})
@@ -173,7 +198,7 @@ def near_duplicates(
     bands: int = 30,
     rows: int = 4,
     seed: int = 3,
-    block: int = 128,
+    block: int = 1 << 18,
     id_column: str = "doc_id",
     text_column: str = "text",
 ) -> DataFrame:
@@ -205,7 +230,7 @@ def near_duplicates(
     members = stored(_bucket_members(chosen), "bucket-members")
     links, sets = _star_links(members, chosen, source, shingle, percent, bands * rows)
     components = connected_components(links)
-    more = _block_links(members, components, sets, percent, block)
+    more = _block_links(members, components, chosen.select("node", "n_shingles"), sets, percent, block)
     components = connected_components(links.unionByName(more))
     groups = (
         chosen.select("digest", "node")
@@ -282,34 +307,47 @@ def _star_links(
 
 
 def _block_links(
-    members: DataFrame, components: DataFrame, sets: DataFrame, percent: int, block: int
+    members: DataFrame, components: DataFrame, sizes: DataFrame, sets: DataFrame, percent: int, block: int
 ) -> DataFrame:
-    """Links that hubs did not find: in buckets of three or more, of every member outside the largest component."""
+    """Links that hubs did not find: in buckets of three or more, of every member outside the largest component.
+
+    Blocks are cut by what they hold, about ``block`` shingles on the left and four times as many on the right, and a member
+    counts for 2,048 at least, as the matrices have a row for it. So tasks need the same memory for long texts and short ones.
+    """
     placed = stored(
         members.where("n > 2")
         .select("bucket", "node")
         .join(components, "node", "left")
-        .select("bucket", "node", F.coalesce("component", "node").alias("component")),
+        .join(sizes, "node")
+        .select(
+            "bucket",
+            "node",
+            F.coalesce("component", "node").alias("component"),
+            F.greatest("n_shingles", F.lit(2048)).alias("weight"),
+        ),
         "placed-members",
         few=True,
     )
-    sizes = placed.groupBy("bucket", "component").agg(F.count("*").alias("size"))
+    parts = placed.groupBy("bucket", "component").agg(F.count("*").alias("size"), F.sum("weight").alias("weight"))
     open_ = (
-        sizes.groupBy("bucket")
+        parts.groupBy("bucket")
         .agg(
             F.count("*").alias("components"),
-            F.sum("size").alias("n"),
-            F.max(F.struct("size", "component")).alias("largest"),
+            F.sum("weight").alias("weight"),
+            F.max(F.struct("size", "component", "weight")).alias("largest"),
         )
         .where("components > 1")
-        .select("bucket", "n", F.col("largest.size").alias("held"), F.col("largest.component").alias("largest"))
+        .select(
+            "bucket",
+            F.col("largest.component").alias("largest"),
+            F.ceil((F.col("weight") - F.col("largest.weight")) / block).cast("int").alias("left_blocks"),
+            F.ceil(F.col("weight") / (4 * block)).cast("int").alias("right_blocks"),
+        )
     )
     rows = stored(
         placed.join(stored(open_, "open-buckets", few=True), "bucket")
         .join(sets, "node")
         .withColumn("outside", F.col("component") != F.col("largest"))
-        .withColumn("left_blocks", F.ceil((F.col("n") - F.col("held")) / block).cast("int"))
-        .withColumn("right_blocks", F.ceil(F.col("n") / (4 * block)).cast("int"))
         .select("bucket", "node", "component", "outside", "left_blocks", "right_blocks", "shingles"),
         "open-members",
     )
