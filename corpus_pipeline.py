@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stockroom.llm.near_duplicates import near_duplicates
@@ -32,8 +32,8 @@ def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -
     small_batches(spark)
     kept = near_duplicates(docs).where("kept and doc_id is not null").select("doc_id").distinct()
     rows = docs.select(packed(docs), "doc_id", F.xxhash64("text").alias("order")).join(kept, "doc_id", "left_semi")
-    place = F.row_number().over(Window.partitionBy("doc_id").orderBy("order", F.xxhash64(ROW)))
-    chosen = rows.withColumn("place", place).where("place = 1")
+    # A minimum, so that of an id's many rows each task hands on one.
+    chosen = rows.groupBy("doc_id").agg(F.min_by(ROW, F.struct("order", F.xxhash64(ROW))).alias(ROW))
     return chosen.select(*unpacked(docs, {})).unionByName(docs.where("doc_id is null"))
 
 
