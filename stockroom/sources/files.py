@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from stockroom.sources.records import scan_records
 
 BROKEN_LINE = "broken_line"
 
@@ -24,16 +25,22 @@ def scan_delimited(
     The header has to name the schema's columns in their order, or the read fails. A quote inside a quoted field is
     doubled. A row with too few or too many fields, or with a value that its column cannot hold, fails the read; with
     ``keep_broken`` its text is kept in ``broken_line``, which is NULL for all other rows. All columns are read, so that
-    no bad value stays unnoticed. Files are split by byte range, unless fields may have line breaks (``multi_line``).
+    no bad value stays unnoticed. Files are split by byte range, also if fields may have line breaks (``multi_line``); they
+    are read twice then.
     """
     schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
-    reader = _reader(spark, sep, multi_line).option("enforceSchema", False)
+    names = [field.name for field in schema.fields]
+    options = {"mode": "FAILFAST"}
     if keep_broken:
         schema = T.StructType([*schema.fields, T.StructField(BROKEN_LINE, T.StringType())])
-        reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", BROKEN_LINE)
+        options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": BROKEN_LINE}
+    if multi_line:
+        options |= {"sep": sep, "escape": '"', "multiLine": "true"}
+        records = scan_records(spark, path, names, sep)
+        fields = F.from_csv("record", schema.simpleString(), options).alias("fields")
+        rows = records.select(fields).select("fields.*")
     else:
-        reader = reader.option("mode", "FAILFAST")
-    rows = reader.schema(schema).csv(path)
+        rows = _reader(spark, sep, False).option("enforceSchema", False).options(**options).schema(schema).csv(path)
     # Holds for every row, and needs all its columns.
     rows = rows.where(F.bit_count(F.xxhash64(*[F.col(f"`{f.name}`") for f in schema.fields])) >= 0)
     if not empty_as_text:
