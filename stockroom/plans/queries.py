@@ -75,7 +75,6 @@ from stockroom.streaming import (
     load_into,
     office_state,
     running_office_totals,
-    running_state,
 )
 from stockroom.streaming.admission import EVERY_SECOND, UNTIL_DRAINED
 from stockroom.streaming.loading import BATCH_COLUMNS
@@ -629,11 +628,11 @@ def office_stock_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @check("STR5 AGG7", OFFICE_TOTALS_SQL)
 def office_stock_running(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Totals in Spark's state store, written by change."""
-    state = running_state(f"{fresh_database(spark)}.office_running").create(spark)
+    """Totals in Spark's state store, which adds them up over the batches."""
+    checkpoint = fresh_dir(spark, "checkpoint")
     rows = _folder_stream(spark, staging(spark, sf_dir), "is_stock", batches=2)
-    running_office_totals(rows, state, fresh_dir(spark, "checkpoint"), UNTIL_DRAINED).awaitTermination()
-    return latest_totals(spark, state)
+    running_office_totals(rows, checkpoint, UNTIL_DRAINED).awaitTermination()
+    return latest_totals(spark, checkpoint)
 
 
 @check("AGG6 AGG7 AGG9 AGG10 JOB6 SNK4", f"{DAILY_REPORT_SQL} group by 1")

@@ -6,7 +6,7 @@ import datetime as dt
 import json
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from stockroom.functions import year_month
@@ -49,19 +49,37 @@ def drop_partitions(spark: SparkSession, table: str, drop: Callable[[dict[str, s
 def replace_partitions(rows: DataFrame, table: str) -> None:
     """Overwrite the partitions of ``table`` that ``rows`` has rows of, and no others.
 
-    The files are written by path, with the overwrite mode as an option of this write, and then made known to the
-    catalog: a table insert takes the mode from the session, where other writes would see it.
+    The files are written by path, with the overwrite mode as an option of this write: a table insert takes the mode from
+    the session, where other writes would see it. The write itself tells which partitions it has met, and only these are
+    made known to the catalog, so what the table holds besides is not listed.
     """
     spark = rows.sparkSession
     described = json.loads(spark.sql(f"DESCRIBE TABLE EXTENDED {table} AS JSON").first()[0])
+    keys = described["partition_columns"]
+    met = Observation()
+    texts = [F.col(f"`{key}`").cast("string").alias(f"p{at}") for at, key in enumerate(keys)]
     rows = rows.select(*[F.col(f"`{name}`") for name in spark.table(table).columns])
-    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-        *described["partition_columns"]
-    ).parquet(described["location"])
-    spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
+    rows = rows.observe(met, F.collect_set(F.struct(*texts)).alias("partitions"))
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(
+        described["location"]
+    )
+    add_partitions(spark, table, [dict(zip(keys, values, strict=True)) for values in met.get["partitions"]])
     spark.catalog.refreshTable(table)
 
 
+def add_partitions(spark: SparkSession, table: str, partitions: list[dict[str, str | None]]) -> None:
+    """Make partitions known to the catalog, if they are not."""
+
+    def clause(part: dict[str, str | None]) -> str:
+        # Empty text and NULL are one partition.
+        values = {key: value.replace("\\", "\\\\").replace("'", "\\'") if value else None for key, value in part.items()}
+        return ", ".join(f"`{key}` = " + ("NULL" if value is None else f"'{value}'") for key, value in values.items())
+
+    clauses = [f"PARTITION ({clause(part)})" for part in partitions]
+    for start in range(0, len(clauses), 500):
+        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {' '.join(clauses[start : start + 500])}")
+
+
 def expire_months(spark: SparkSession, table: str, time: str, days: int, as_of: dt.date) -> int:
     """Remove rows whose day is more than ``days`` days before ``as_of``; return the number of months dropped whole.
 

@@ -10,7 +10,6 @@ from stockroom.streaming.totals import (
     latest_totals,
     office_state,
     running_office_totals,
-    running_state,
 )
 
 __all__ = [
@@ -28,5 +27,4 @@ __all__ = [
     "load_into",
     "office_state",
     "running_office_totals",
-    "running_state",
 ]

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import datetime as dt
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -47,30 +46,33 @@ def add_office_totals(
     state.add(office_totals(rows), run_id, batch_id)
 
 
-def running_state(table: str) -> MergeableState:
-    """State of :func:`running_office_totals`: of several totals of an office the newest counts."""
-    newest = "STRUCT<started: TIMESTAMP, batch: BIGINT, is_stock_count: BIGINT, total: BIGINT>"
-    return MergeableState(table, {"office_id": "BIGINT"}, {"newest": (newest, "max")})
+#: A state row holds what the aggregates of :func:`office_totals` have added up, in their order.
+TOTALS = "struct<is_stock_count:bigint,total:bigint>"
 
 
 def running_office_totals(
-    staging: DataFrame, state: MergeableState, checkpoint: str, trigger: Mapping[str, object] = EVERY_SECOND
+    staging: DataFrame, checkpoint: str, trigger: Mapping[str, object] = EVERY_SECOND
 ) -> StreamingQuery:
-    """Totals in Spark's own state store: each batch adds the offices it changed, with their new totals.
+    """Totals that Spark keeps itself: the stream's state is a row for each office, below its checkpoint.
 
-    The state store grows with the number of offices only. Read the totals with :func:`latest_totals`. A stream that
-    starts over with a new checkpoint supersedes the totals of the one before, office by office.
+    Read them with :func:`latest_totals`. A batch that is run again, or goes on after a restart, adds nothing twice, as state
+    and offsets are committed together. A stream with a new checkpoint starts over.
     """
-    started = F.lit(dt.datetime.now(dt.timezone.utc))
-
-    def handle(rows: DataFrame, run_id: str, batch_id: int) -> None:
-        totals = [F.lit(batch_id).cast("bigint").alias("batch"), "is_stock_count", "total"]
-        newest = F.struct(started.alias("started"), *totals).alias("newest")
-        state.add(rows.select("office_id", newest), run_id, batch_id)
-
-    return for_each_batch(office_totals(staging), handle, checkpoint, trigger, output_mode="update")
+    return (
+        office_totals(staging)
+        .writeStream.format("noop")
+        .outputMode("update")
+        .option("checkpointLocation", checkpoint)
+        .trigger(**trigger)
+        .start()
+    )
 
 
-def latest_totals(spark: SparkSession, state: MergeableState) -> DataFrame:
-    """The newest totals of every office."""
-    return state.current(spark).select("office_id", "newest.is_stock_count", "newest.total")
+def latest_totals(spark: SparkSession, checkpoint: str, batch_id: int | None = None) -> DataFrame:
+    """The totals of every office, as of the last committed batch or an earlier one that Spark still keeps."""
+    state = spark.read.format("statestore")
+    if batch_id is not None:
+        state = state.option("batchId", batch_id)
+    # By position: the names of the aggregates' buffers repeat.
+    totals = F.col("value").cast(TOTALS).alias("totals")
+    return state.load(checkpoint).select("key.office_id", totals).select("office_id", "totals.*")
