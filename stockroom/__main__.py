@@ -64,6 +64,7 @@ def arguments() -> argparse.ArgumentParser:
         compact.add_argument("--discard", action="store_true", help="also delete what was combined")
     job("stock-totals", "totals per office", "state", "out")
     typed = job("type-items", "raw items as typed ones, by day", "items", "typed")
+    typed.add_argument("--checkpoint", help="type only batches that no earlier run with it has typed")
     job("export-reports", "the reports as record arrays", "reports", "out")
     records = job("import-records", "merge record arrays into the counts by day", "records", "target")
     records.add_argument("--rejected", help="table for rows without a key")
@@ -75,7 +76,8 @@ def arguments() -> argparse.ArgumentParser:
         command.add_argument("--as-of", type=dt.datetime.fromisoformat)
         if name == "state-report":
             command.add_argument("--target", required=True)
-    job("import-reports", "merge the reports into the counts by day", "reports", "target")
+    merge = job("import-reports", "merge the reports into the counts by day", "reports", "target")
+    merge.add_argument("--checkpoint", help="merge only reports that no earlier run with it has merged")
     report = job("quality-report", "the daily quality report", "items", "out")
     report.add_argument("--approximate", action="store_true", help="estimate the numbers of different ids")
     for command in (report, typed):
@@ -166,6 +168,9 @@ def run(spark: SparkSession, options: argparse.Namespace) -> None:
             if options.job == "state-report":
                 jobs.create_state_counts_by_day(spark, options.target)
                 print(jobs.import_reports(spark, options.reports, options.target))
+        case "import-reports" if options.checkpoint:
+            jobs.create_state_counts_by_day(spark, options.target)
+            print(jobs.import_new_reports(spark, options.reports, options.target, options.checkpoint))
         case "import-reports":
             jobs.create_state_counts_by_day(spark, options.target)
             print(jobs.import_reports(spark, options.reports, options.target))
@@ -178,6 +183,9 @@ def run(spark: SparkSession, options: argparse.Namespace) -> None:
                 create_table(spark, options.rejected, columns, partition_by=[BATCH_KEY], if_not_exists=True)
             records = spark.read.parquet(options.records)
             print(jobs.import_records(spark, records, options.target, options.rejected))
+        case "type-items" if options.checkpoint:
+            jobs.create_typed_items(spark, options.typed, by_batch=True)
+            print(jobs.type_new_items(spark, options.items, options.typed, options.checkpoint))
         case "type-items":
             jobs.create_typed_items(spark, options.typed)
             print(jobs.type_items(spark, options.items, options.typed, options.last_days, options.as_of))

@@ -49,10 +49,11 @@ def _typed_columns() -> Mapping[str, Column]:
     }
 
 
-def typed_items(items: DataFrame) -> DataFrame:
-    """Raw text fields in their own types; text that does not convert becomes NULL (see :func:`lost_values`)."""
+def typed_items(items: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Raw text fields in their own types; text that does not convert becomes NULL (see :func:`lost_values`). Of other
+    columns those to ``keep`` follow as they are."""
     typed = _typed_columns()
-    return items.select(*[typed.get(name, F.col(name)).alias(name) for name in ITEM_COLUMNS])
+    return items.select(*[typed.get(name, F.col(name)).alias(name) for name in ITEM_COLUMNS], *keep)
 
 
 def lost_values(items: DataFrame, columns: Sequence[str] | None = None) -> list[Column]:

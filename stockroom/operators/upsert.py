@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
-from dataclasses import dataclass
+from collections.abc import Iterable, Sequence
+from dataclasses import astuple, dataclass
 from functools import reduce
 from operator import and_
 
@@ -35,6 +35,11 @@ class UpsertReport:
     def applied(self) -> int:
         return self.inserted + self.updated
 
+    @classmethod
+    def total(cls, reports: Iterable[UpsertReport]) -> UpsertReport:
+        """Several upserts as one."""
+        return cls(*map(sum, zip((0,) * 7, *map(astuple, reports), strict=True)))
+
 
 def has_whole_key(keys: Sequence[str]) -> Column:
     """True for rows without a NULL in their key. The negation selects the rows an upsert leaves out."""

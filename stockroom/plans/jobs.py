@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable, Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -46,7 +46,7 @@ from stockroom.streaming import (
     for_each_batch,
     keep_daily_report,
 )
-from stockroom.streaming.admission import EVERY_SECOND
+from stockroom.streaming.admission import EVERY_SECOND, UNTIL_DRAINED
 from stockroom.streaming.loading import BATCH_COLUMNS, overwrite_batch
 
 # The partition column of typed items.
@@ -129,10 +129,13 @@ def create_raw_items(spark: SparkSession, table: str) -> None:
     raw_items(table).create(spark)
 
 
-def create_typed_items(spark: SparkSession, table: str) -> None:
-    """The table of typed items, partitioned by day, if it is missing."""
+def create_typed_items(spark: SparkSession, table: str, by_batch: bool = False) -> None:
+    """The table of typed items, partitioned by day, if it is missing; for :func:`type_new_items` also by loaded batch."""
     columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in ITEM_TYPED.fields)
-    create_table(spark, table, f"{columns}, {DAY_PARTITION} DATE", partition_by=[DAY_PARTITION], if_not_exists=True)
+    columns, partitions = f"{columns}, {DAY_PARTITION} DATE", [DAY_PARTITION]
+    if by_batch:
+        columns, partitions = batch_table_columns(columns), [*partitions, *BATCH_COLUMNS]
+    create_table(spark, table, columns, partition_by=partitions, if_not_exists=True)
 
 
 def type_items(
@@ -151,6 +154,39 @@ def type_items(
     return raw.agg(*lost_values(raw)).first().asDict()
 
 
+def type_new_items(spark: SparkSession, items_table: str, typed_table: str, checkpoint: str) -> dict[str, int]:
+    """Turn the raw items loaded since the last run into typed ones; return how many there were (``rows``), and how many
+    values of each column do not convert.
+
+    A stream over the loaded batches tells which are new; each of them is read whole and replaces what the typed table, made
+    with :func:`create_typed_items` by batch, has of it. So a batch that is loaded or typed again changes nothing, and older
+    batches are not read. Loaded batches may be discarded once they have been typed.
+    """
+    parts = raw_items(items_table).parts
+    counts: dict[str, int] = {"rows": 0}
+
+    def handle(rows: DataFrame, run_id: str, batch_id: int) -> None:
+        session = rows.sparkSession
+        loaded: dict[str, list[int]] = {}
+        for row in rows.distinct().collect():
+            loaded.setdefault(row["run_id"], []).append(row["batch_id"])
+        session.catalog.refreshTable(parts)
+        fresh = F.lit(False)
+        for run, batches in loaded.items():
+            fresh |= (F.col("run_id") == run) & F.col("batch_id").isin(batches)
+        raw = session.table(parts).where(fresh)
+        lost = Observation()
+        raw = raw.observe(lost, F.count("*").alias("rows"), *lost_values(raw))
+        typed = typed_items(raw, BATCH_COLUMNS).withColumn(DAY_PARTITION, F.col("dt").cast("date"))
+        replace_partitions(typed.hint("rebalance", DAY_PARTITION), typed_table)
+        for name, count in lost.get.items():
+            counts[name] = counts.get(name, 0) + count
+
+    stream = spark.readStream.table(parts).select(*BATCH_COLUMNS)
+    for_each_batch(stream, handle, checkpoint, UNTIL_DRAINED).awaitTermination()
+    return counts
+
+
 def create_quarantine(spark: SparkSession, table: str) -> None:
     """A table for the text of broken messages, if it is missing."""
     columns = batch_table_columns(f"{BROKEN_MESSAGE} STRING")
@@ -195,10 +231,16 @@ def ingest_stock(
 
 def report_state_counts(
     spark: SparkSession, items_table: str, reports_table: str, as_of: dt.datetime | None = None
-) -> None:
-    """Count the items of every state and append the counts, with one load time, to the reports."""
+) -> bool:
+    """Count the items of every state and append the counts, with one load time, to the reports.
+
+    A report that is there already, with the load time ``as_of``, is not made again; returns whether one was made.
+    """
+    if as_of is not None and not spark.table(reports_table).where(F.col("dt") == F.lit(as_of)).isEmpty():
+        return False
     items = scan_table(spark, items_table, ITEM_COLUMNS)
     append_rows(spark, reports_table, state_counts(items, as_of, stamped=True, ordered=False))
+    return True
 
 
 def import_reports(spark: SparkSession, reports_table: str, target: str) -> UpsertReport:
@@ -207,6 +249,19 @@ def import_reports(spark: SparkSession, reports_table: str, target: str) -> Upse
     return guarded_upsert(spark, _by_day(reports), target)
 
 
+def import_new_reports(spark: SparkSession, reports_table: str, target: str, checkpoint: str) -> UpsertReport:
+    """Merge the reports written since the last run. The checkpoint keeps which files of the table have been merged, so no
+    earlier report is read again; one whose merge was lost on the way is merged again, which changes nothing."""
+    merged: list[UpsertReport] = []
+
+    def handle(rows: DataFrame, run_id: str, batch_id: int) -> None:
+        merged.append(guarded_upsert(rows.sparkSession, _by_day(rows), target))
+
+    reports = spark.readStream.table(reports_table).select("state_id", "qty", "dt")
+    for_each_batch(reports, handle, checkpoint, UNTIL_DRAINED).awaitTermination()
+    return UpsertReport.total(merged)
+
+
 def export_reports(spark: SparkSession, reports_table: str, max_records: int = 1000) -> DataFrame:
     """The reports as JSON record arrays that :func:`import_records` takes."""
     reports = _by_day(scan_table(spark, reports_table, ["state_id", "qty", "dt"]))

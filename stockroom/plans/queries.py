@@ -507,6 +507,26 @@ def imported_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(target).select("dt_date", F.rtrim("state_id").alias("state_id"), "qty", "dt_load")
 
 
+@check(
+    "SRC6 SNK10 FLT3 AGG5 JOB4 JOB5",
+    f"""select date '2024-08-06' as dt_date, state_id, qty, timestamp '2024-08-06 09:00:00' as dt_load,
+               count(*) over () as first_read, count(*) over () as second_read, cast(0 as bigint) as third_read
+        from ({STATE_COUNTS_SQL})""",
+)
+def incremental_report_import(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two reports, the second of them asked for twice, each merged when it is there; how many rows every import read."""
+    reports = _reports(spark, sf_dir)
+    database = reports.split(".")[0]
+    target, checkpoint = f"{database}.qty_by_state", fresh_dir(spark, "checkpoint")
+    jobs.create_state_counts_by_day(spark, target)
+    read = [jobs.import_new_reports(spark, reports, target, checkpoint).received]
+    for _ in range(2):
+        jobs.report_state_counts(spark, f"{database}.items", reports, dt.datetime(2024, 8, 6, 9))
+        read.append(jobs.import_new_reports(spark, reports, target, checkpoint).received)
+    counts = [F.lit(n).cast("bigint").alias(f"{name}_read") for n, name in zip(read, ("first", "second", "third"))]
+    return spark.table(target).select("dt_date", F.rtrim("state_id").alias("state_id"), "qty", "dt_load", *counts)
+
+
 # The load time is a made-up minute of the day, from the seconds of the last event; too few seconds give none.
 UPSERT_SQL = """
 with counts as (select cast(ts as date) as dt_date, event_type as state_id, count(*) as qty, max(ts) as last
@@ -669,6 +689,29 @@ def daily_report_sketched(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.join(exact, "dt_day").select("dt_day", _close("shk"), _close("tare"), *CONDITIONS)
 
 
+@check(
+    "SNK4 SNK7 FN6 FN9 AGG8 AGG9 STR2 JOB6",
+    f"""select r.*, (select count(*) from events where event_type <> 'view') as first_rows,
+               (select count(*) from events where event_type = 'view') as second_rows, cast(0 as bigint) as third_rows
+        from ({DAILY_REPORT_SQL} group by 1) r""",
+)
+def incremental_typed_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The daily report of typed items; loaded batches are typed when they are there, and none of them twice."""
+    database = fresh_database(spark)
+    loaded, typed = jobs.raw_items(f"{database}.raw").create(spark), f"{database}.typed"
+    jobs.create_typed_items(spark, typed, by_batch=True)
+    checkpoint, rows = fresh_dir(spark, "checkpoint"), raw_items(spark, sf_dir)
+    # Views have the state FOS.
+    batches = [rows.where(F.col("state_id") != "FOS"), rows.where(F.col("state_id") == "FOS")]
+    read = []
+    for number, batch in enumerate(batches):
+        loaded.add(batch, "run", number)
+        read.append(jobs.type_new_items(spark, f"{database}.raw", typed, checkpoint)["rows"])
+    read.append(jobs.type_new_items(spark, f"{database}.raw", typed, checkpoint)["rows"])
+    counts = [F.lit(n).cast("bigint").alias(f"{name}_rows") for n, name in zip(read, ("first", "second", "third"))]
+    return jobs.quality_report(spark, typed).select("*", *counts)
+
+
 @check("SNK8 LIM1 STR2 SNK4", "select event_id, ts, value from events")
 def buffered_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Messages admitted in three batches."""
