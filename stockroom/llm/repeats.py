@@ -1,7 +1,7 @@
 """Repeated passages: units of text are hashed, counted over all documents, and only their earliest occurrence stays.
 
-A unit is a line, or a sentence of a line. What is removed are runs of repeated units that are long enough to be a
-passage; single short sentences that happen to recur stay. On request repeated whole lines go as well, however short.
+Lines are units, and every later occurrence of a line goes, however short it is. Within lines sentences are units, too: a run
+of repeated sentences that is long enough to be a passage goes, while single short sentences that happen to recur stay.
 """
 
 from __future__ import annotations
@@ -220,9 +220,9 @@ def cutter(least_words: int, least_run: int, whole_lines: bool) -> Callable:
 def remove_repeats(
     documents: DataFrame,
     least_words: int = 3,
-    least_run: int = 30,
+    least_run: int = 20,
     id_column: str = "doc_id",
-    whole_lines: bool = False,
+    whole_lines: bool = True,
 ) -> DataFrame:
     """The documents with ``text`` shortened and ``removed``, the spans taken out as ``start:end`` of the original text.
 
@@ -231,8 +231,8 @@ def remove_repeats(
     consecutive repeated units is removed if it has ``least_run`` words or more; the earliest occurrence of a unit is none
     of these and stays. Offsets are code points of the text as it was, the end exclusive.
 
-    With ``whole_lines`` a line that repeats an earlier whole line goes too, with its line break, if it has any word; spans
-    that meet are given as one. A repeated paragraph is a row of such lines. Lines without words stay.
+    A line that repeats an earlier whole line goes with its line break, if it has any word (``whole_lines``); spans that meet
+    are given as one. A repeated paragraph is a row of such lines. Lines without words stay.
 
     A NULL text stays NULL, an empty one empty. Rows with one id are of one rank: they don't take units from each other. A
     row without an id ranks first. An empty table gives no rows. Other columns are kept, unless named like a result.
@@ -268,47 +268,63 @@ def remove_repeats(
     )
 
 
-def repeats_sql(least_words: int = 3, least_run: int = 30) -> str:
-    """SQL that gives the same columns doc_id, text and removed from the table ``documents``, if ids are unique."""
+def repeats_sql(least_words: int = 3, least_run: int = 20) -> str:
+    """SQL that gives the same columns doc_id, text and removed, with whole lines, from the table ``documents``, if ids are
+    unique."""
     upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
     words = rf"regexp_extract_all(translate(part, '{upper}', '{lower}'), '[^\x20\x09-\x0D]+')"
+    before = "partition by doc_id order by nth rows between unbounded preceding and 1 preceding"
     return rf"""
 with cut as (
-  select doc_id, regexp_extract_all(text, '[^\n]*?(?:[.!?] |\n)|[^\n]+') as parts from documents where text is not null
+  select doc_id, 'unit' as kind, regexp_extract_all(text, '[^\n]*?(?:[.!?] |\n)|[^\n]+') as parts
+  from documents where text is not null
+  union all
+  select doc_id, 'line', regexp_extract_all(text, '[^\n]*\n|[^\n]+') from documents where text is not null
 ),
-placed as (select doc_id, unnest(range(len(parts))) as nth, unnest(parts) as part from cut),
+placed as (select doc_id, kind, unnest(range(len(parts))) as nth, unnest(parts) as part from cut),
 units as (
-  select doc_id, nth, part, array_to_string({words}, ' ') as said, len({words}) as n_words,
-    coalesce(sum(length(part)) over (partition by doc_id order by nth rows between unbounded preceding and 1 preceding), 0)
-      as start
+  select doc_id, kind, nth, part, array_to_string({words}, ' ') as said, len({words}) as n_words,
+    coalesce(sum(length(part)) over ({before.replace('doc_id', 'doc_id, kind', 1)}), 0) as start
   from placed
 ),
 counted as (
-  select *, row_number() over (partition by doc_id order by nth) as unit_no,
-    min(doc_id) over (partition by said) as first_id,
-    row_number() over (partition by doc_id, said order by nth) as time
-  from units where n_words >= {least_words}
+  select *, row_number() over (partition by doc_id, kind order by nth) as unit_no,
+    min(doc_id) over (partition by kind, said) as first_id,
+    row_number() over (partition by doc_id, kind, said order by nth) as time
+  from units where n_words >= case when kind = 'line' then 1 else {least_words} end
 ),
+again as (select * from counted where first_id < doc_id or time > 1),
 runs as (
   select doc_id, min(nth) as low, max(nth) as high
-  from (select *, unit_no - row_number() over (partition by doc_id order by nth) as run
-        from counted where first_id < doc_id or time > 1)
+  from (select *, unit_no - row_number() over (partition by doc_id order by nth) as run from again where kind = 'unit')
   group by doc_id, run
 ),
+found as (
+  select r.doc_id, min(u.start) as start, max(u.start + length(u.part)) as stop
+  from runs r join units u on u.doc_id = r.doc_id and u.kind = 'unit' and u.nth between r.low and r.high
+  group by r.doc_id, r.low, r.high having sum(u.n_words) >= {least_run}
+  union all
+  select doc_id, start, start + length(part) from again where kind = 'line'
+),
+ordered as (
+  select *, row_number() over (partition by doc_id order by start, stop) as nth from found
+),
+grouped as (
+  select *, sum(case when start <= reached then 0 else 1 end) over (partition by doc_id order by nth) as island
+  from (select *, max(stop) over ({before}) as reached from ordered)
+),
 removed as (
-  select r.doc_id, r.low, r.high, min(u.start) as start, max(u.start + length(u.part)) as stop
-  from runs r join units u on u.doc_id = r.doc_id and u.nth between r.low and r.high
-  group by all having sum(u.n_words) >= {least_run}
+  select doc_id, min(start) as start, max(stop) as stop, row_number() over (partition by doc_id order by min(start)) as nth
+  from grouped group by doc_id, island
 ),
 kept as (
-  select doc_id, string_agg(part, '' order by nth) as text from units u
-  where not exists (select 1 from removed r where r.doc_id = u.doc_id and u.nth between r.low and r.high)
-  group by doc_id
-),
-spans as (
-  select doc_id, string_agg(cast(start as bigint) || ':' || cast(stop as bigint), ',' order by start) as removed
-  from removed group by doc_id
+  select r.doc_id, string_agg(substr(d.text, cast(r.last + 1 as bigint), cast(r.start - r.last as bigint)), '' order by r.nth)
+      || substr(any_value(d.text), cast(max(r.stop) + 1 as bigint)) as text,
+    string_agg(cast(r.start as bigint) || ':' || cast(r.stop as bigint), ',' order by r.nth) as removed
+  from (select *, coalesce(lag(stop) over (partition by doc_id order by nth), 0) as last from removed) r
+  join documents d on d.doc_id = r.doc_id
+  group by r.doc_id
 )
-select d.doc_id, case when d.text is not null then coalesce(k.text, '') end as text, coalesce(s.removed, '') as removed
-from documents d left join kept k using (doc_id) left join spans s using (doc_id)
+select d.doc_id, case when k.doc_id is null then d.text else k.text end as text, coalesce(k.removed, '') as removed
+from documents d left join kept k on k.doc_id = d.doc_id
 """

@@ -61,7 +61,9 @@ def expected(rows):
 
 
 def answers(documents):
-    return Counter((r["doc_id"], r["text"], r["removed"]) for r in remove_repeats(documents).collect())
+    """Runs of repeated sentences alone."""
+    found = remove_repeats(documents, least_run=30, whole_lines=False).collect()
+    return Counter((r["doc_id"], r["text"], r["removed"]) for r in found)
 
 
 def test_equals_brute_force(texts, prose):
@@ -188,5 +190,38 @@ def test_whole_lines_and_runs_together(texts, prose):
     found = {r["doc_id"]: (r["text"], r["removed"]) for r in remove_repeats(texts(rows), whole_lines=True).collect()}
     assert found[1] == (rows[0][1], "") and found[3] == (rows[2][1], "")
     assert found[2] == ("Mine. kept", f"6:{6 + len(passage) + 1 + 11}")
-    plain = {r["doc_id"]: r["text"] for r in remove_repeats(texts(rows)).collect()}
+    plain = {r["doc_id"]: r["text"] for r in remove_repeats(texts(rows), least_run=30, whole_lines=False).collect()}
     assert plain[2] == "Mine. SHORT line\nkept"
+
+
+def line_spans(pairs):
+    """By id the spans of lines that an earlier place has."""
+    seen, spans = set(), {}
+    for doc_id, text in sorted(pairs):
+        at, spans[doc_id] = 0, []
+        for line in re.findall(r"[^\n]*\n|[^\n]+", text or ""):
+            if words_of(line) and words_of(line) in seen:
+                spans[doc_id].append((at, at + len(line)))
+            seen.add(words_of(line))
+            at += len(line)
+    return spans
+
+
+def test_query_removes_lines_and_runs(spark, texts, prose):
+    header, inner = "Home News Contact\n", "Begin here. " + prose(7, 44) + " "
+    rows = [header + prose(i, 30) + "\n" + (inner if i % 3 == 0 else "") + f"Tail {i}.\n" for i in range(30)]
+    rows += ["", "\n\n", header, header * 3, "same six words in two texts", "Same six words in two texts\nmore"]
+    pairs = list(enumerate(rows))
+    runs = remove_repeats(texts(pairs), least_run=20, whole_lines=False).collect()
+    spans = line_spans(pairs)
+    for row in runs:
+        own = [tuple(map(int, span.split(":"))) for span in row["removed"].split(",") if span]
+        spans[row["doc_id"]] += own
+    found = {r["doc_id"]: (r["text"], r["removed"]) for r in remove_repeats(texts(pairs)).collect()}
+    for doc_id, text in pairs:
+        gone = {at for start, end in spans[doc_id] for at in range(start, end)}
+        assert found[doc_id][0] == "".join(c for at, c in enumerate(text) if at not in gone)
+        listed = [tuple(map(int, span.split(":"))) for span in found[doc_id][1].split(",") if span]
+        assert {at for start, end in listed for at in range(start, end)} == gone
+        assert all(a[1] < b[0] for a, b in zip(listed, listed[1:]))
+    assert found[34][0] == rows[34] and found[35][0] == "more"
