@@ -7,7 +7,7 @@ driver. Places are code points, the end exclusive.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -32,6 +32,11 @@ LOOSE = {
     "card": r"(?<![0-9A-Za-z])(?:[0-9]{13,19}+|[0-9]{4}(?:[ -][0-9]{4}){2}[ -][0-9]{1,7}+)(?![0-9A-Za-z])",
     "phone": r"(?<![0-9A-Za-z+().-])(?:\+[0-9]{1,3}[ .-]?)?\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}(?![0-9])",
 }
+#: Card numbers that end a row of numbers, and numbers with a plus that begin one.
+ROWS_OF_NUMBERS = {
+    "card": r"(?<![0-9A-Za-z])(?:[0-9]{4}[ -][0-9]{6}[ -][0-9]{5}|[0-9]{4}(?:[ -][0-9]{4}){3})(?![ -]?[0-9A-Za-z])",
+    "phone": r"\+[0-9]{1,3}[ .-](?:\(?[0-9]{2,4}\)?[ .-]){1,2}[0-9]{3,4}(?![0-9])",
+}
 #: What must stand in a text for a pattern to be tried.
 NEEDED = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": "[0-9][ -]?[0-9]", "phone": r"\+[0-9]"}
 NEEDED_LOOSE = {"email": r"[(\[]at[)\]]", "card": "[0-9]{4}[ -]?[0-9]{4}", "phone": "[0-9]{3}[ .-][0-9]{4}"}
@@ -63,26 +68,64 @@ CONTEXT = 32
 SPAN = "struct<kind:int,start:int,end:int,base:boolean,votes:array<int>,surface:int>"
 
 
-def prefix_sums(numbers: Column) -> Column:
-    """Running totals, the own number included; blocks keep the work near the array's length."""
+#: Characters of a text that are cut off at once, to get at places in it without counting from its start.
+CHUNK = 256
+
+
+def bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is worked out once, however often ``body`` uses it, in functions of array elements too."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def running(numbers: Column, first: int, merge: Callable[[Column, Column], Column]) -> Column:
+    """Of an array of integers at each place the merge of all up to there. Totals of blocks keep the work near the array's
+    length."""
     block = 64
-    size = F.size(numbers)
 
-    def total(array: Column, start: Column, count: Column) -> Column:
-        return F.aggregate(F.slice(array, start, count), F.lit(0), lambda sum_, x: sum_ + x)
+    def merged(array: Column, start: Column, count: Column, before: Column) -> Column:
+        return F.aggregate(F.slice(array, start, count), before, merge)
+
+    def places(array: Column) -> Column:
+        blocks = F.sequence(F.lit(0), F.floor((F.size(array) - 1) / block).cast("int"))
+        totals = F.transform(blocks, lambda at: merged(array, at * block + 1, F.lit(block), F.lit(first)))
+        offsets = bound(totals, lambda all_: F.transform(all_, lambda _, at: merged(all_, F.lit(1), at, F.lit(first))))
+
+        def of_block(at: Column) -> Column:
+            return F.floor(at / block).cast("int")
+
+        return bound(
+            offsets,
+            lambda before: F.transform(
+                array,
+                lambda _, at: merged(array, of_block(at) * block + 1, at % block + 1, F.get(before, of_block(at))),
+            ),
+        )
 
-    blocks = F.transform(
-        F.sequence(F.lit(0), F.floor((size - 1) / block).cast("int")),
-        lambda at: total(numbers, at * block + 1, F.lit(block)),
+    return bound(
+        numbers, lambda array: F.when(F.size(array) > 0, places(array)).otherwise(F.array().cast("array<int>"))
     )
-    return F.when(
-        size > 0,
-        F.transform(
-            numbers,
-            lambda _, at: total(blocks, F.lit(1), F.floor(at / block).cast("int"))
-            + total(numbers, F.floor(at / block).cast("int") * block + 1, at % block + 1),
-        ),
-    ).otherwise(F.array().cast("array<int>"))
+
+
+def prefix_sums(numbers: Column) -> Column:
+    """Running totals, the own number included."""
+    return running(numbers, 0, lambda sum_, x: sum_ + x)
+
+
+def prefix_maxima(numbers: Column) -> Column:
+    """At each place the greatest number up to there; numbers are not negative."""
+    return running(numbers, -1, lambda most, x: F.greatest(most, x))
+
+
+def chunks_of(text: Column) -> Column:
+    """The text in pieces of so many code points."""
+    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{CHUNK}}}"), F.lit(0))
+
+
+def between(chunks: Column, start: Column, end: Column) -> Column:
+    """What stands from ``start`` to before ``end``, which is not before it."""
+    first = F.floor(start / CHUNK).cast("int")
+    joined = F.array_join(F.slice(chunks, first + 1, F.floor(end / CHUNK).cast("int") - first + 1), "")
+    return F.substr(joined, start - first * CHUNK + 1, end - start)
 
 
 def _digits(text: Column) -> Column:
@@ -182,10 +225,9 @@ def _matches(text: str, kind: str, pattern: str, needed: str, name: str) -> tupl
 def _spans(text: str, kind: str, name: str, is_base: bool) -> Column:
     """The spans of one pattern with votes; ``base`` marks those that count as they are."""
 
-    def span(pair: Column) -> Column:
-        found, start = pair[f"{name}_found"], pair[f"{name}_starts"]
+    def span(found: Column, start: Column, chunks: Column) -> Column:
         base = is_valid(kind, found) if is_base else F.lit(False)
-        before = F.lower(F.substr(text, F.greatest(start - CONTEXT, F.lit(0)) + 1, F.least(start, F.lit(CONTEXT))))
+        before = F.lower(between(chunks, F.greatest(start - CONTEXT, F.lit(0)), start))
         return F.struct(
             F.lit(KINDS.index(kind)).alias("kind"),
             start.alias("start"),
@@ -195,7 +237,37 @@ def _spans(text: str, kind: str, name: str, is_base: bool) -> Column:
             _surface(found).alias("surface"),
         )
 
-    return F.transform(F.arrays_zip(f"{name}_found", f"{name}_starts"), span).cast(f"array<{SPAN}>")
+    spans = bound(
+        chunks_of(F.col(text)),
+        lambda chunks: F.zip_with(f"{name}_found", f"{name}_starts", lambda found, start: span(found, start, chunks)),
+    ).cast(f"array<{SPAN}>")
+    return F.when(F.size(f"{name}_found") > 0, spans).otherwise(F.array().cast(f"array<{SPAN}>"))
+
+
+def _apart(spans: Column, bases: Column) -> Column:
+    """The spans that touch none of the bases. In one order of a span's ends and the bases' starts, the greatest end of the
+    bases that begin before a span ends tells whether one of them reaches into it."""
+    marks = F.concat(
+        F.transform(
+            bases,
+            lambda s: F.struct(
+                s["start"].alias("at"), F.lit(1).alias("is_base"), s["end"].alias("reach"), F.lit(None).cast(SPAN).alias("span")
+            ),
+        ),
+        F.transform(
+            spans,
+            lambda s: F.struct(s["end"].alias("at"), F.lit(0).alias("is_base"), F.lit(-1).alias("reach"), s.alias("span")),
+        ),
+    )
+    reached = bound(
+        F.array_sort(marks),
+        lambda all_: F.zip_with(
+            all_,
+            prefix_maxima(F.transform(all_, lambda mark: mark["reach"])),
+            lambda mark, most: F.struct(mark["span"].alias("span"), (most <= mark["span"]["start"]).alias("apart")),
+        ),
+    )
+    return F.transform(F.filter(reached, lambda mark: mark["apart"]), lambda mark: mark["span"])
 
 
 def candidate_spans(documents: DataFrame, text: str = "text") -> DataFrame:
@@ -207,18 +279,15 @@ def candidate_spans(documents: DataFrame, text: str = "text") -> DataFrame:
     rows = documents.withColumn("pii_text", F.coalesce(F.col(f"`{text}`"), F.lit("")))
     parts = [(kind, BASE[kind], NEEDED[kind], f"base_{kind}", True) for kind in KINDS]
     parts += [(kind, LOOSE[kind], NEEDED_LOOSE[kind], f"loose_{kind}", False) for kind in LOOSE]
+    parts += [(kind, ROWS_OF_NUMBERS[kind], NEEDED[kind], f"row_{kind}", False) for kind in ROWS_OF_NUMBERS]
     steps = [_matches("pii_text", kind, pattern, needed, name) for kind, pattern, needed, name, _ in parts]
     for step in range(3):
         rows = rows.withColumns({key: value for columns_of in steps for key, value in columns_of[step].items()})
     spans = F.concat(*[_spans("pii_text", kind, name, is_base) for kind, _, _, name, is_base in parts])
     rows = rows.withColumn("pii_all", spans)
     rows = rows.withColumn("pii_base", _in_order(F.filter("pii_all", lambda span: span["base"])))
-    others = F.filter(
-        "pii_all",
-        lambda span: ~span["base"]
-        & ~F.exists("pii_base", lambda base: (base["start"] < span["end"]) & (span["start"] < base["end"])),
-    )
-    return rows.select(*[F.col(f"`{c}`") for c in columns], "pii_base", _in_order(F.array_distinct(others)).alias("pii_others"))
+    others = _apart(F.filter("pii_all", lambda span: ~span["base"]), F.col("pii_base"))
+    return rows.select(*[F.col(f"`{c}`") for c in columns], "pii_base", _once(_in_order(others)).alias("pii_others"))
 
 
 def _in_order(spans: Column) -> Column:
@@ -232,6 +301,13 @@ def _in_order(spans: Column) -> Column:
     )
 
 
+def _once(spans: Column) -> Column:
+    """Sorted spans, those that repeat the one before left out."""
+    return bound(
+        spans, lambda all_: F.filter(all_, lambda span, at: (at == 0) | ~span.eqNullSafe(F.get(all_, at - 1)))
+    )
+
+
 @dataclass(frozen=True)
 class SpanModel:
     """Weights of the final classifier, by kind: of the votes (for, against) and of the surface codes."""
@@ -391,21 +467,17 @@ def redact(documents: DataFrame, text: str = "text") -> DataFrame:
     model = fit_span_model(vote_counts(found))
     names = F.array(*[F.lit(f"<{kind}>") for kind in KINDS])
     # Spans in order of start; one that begins before an earlier one's end belongs to it.
-    reached = F.transform(
-        "pii_spans",
-        lambda s, at: F.struct(
-            s["kind"].alias("kind"),
-            s["start"].alias("start"),
-            s["end"].alias("end"),
-            F.coalesce(F.array_max(F.transform(F.slice("pii_spans", 1, at), lambda x: x["end"])), F.lit(0)).alias("so"),
-        ),
+    reached = F.concat(
+        F.array(F.lit(0)), bound(F.col("pii_spans"), lambda all_: prefix_maxima(F.transform(all_, lambda s: s["end"])))
     )
-    pieces = F.transform(
-        "pii_reached",
-        lambda s: F.when(
-            s["start"] >= s["so"],
-            F.concat(F.substr("text", s["so"] + 1, s["start"] - s["so"]), F.get(names, s["kind"])),
-        ).otherwise(F.lit("")),
+
+    def piece(chunks: Column, span: Column, so: Column) -> Column:
+        own = F.concat(between(chunks, so, span["start"]), F.get(names, span["kind"]))
+        return F.when(span.isNotNull() & (span["start"] >= so), own).otherwise(F.lit(""))
+
+    pieces = bound(
+        chunks_of(F.col("text")),
+        lambda chunks: F.zip_with("pii_spans", "pii_reached", lambda span, so: piece(chunks, span, so)),
     )
     last = F.coalesce(F.array_max(F.transform("pii_spans", lambda s: s["end"])), F.lit(0))
     clean = F.concat(F.concat_ws("", pieces), F.substr("text", last + 1, F.length("text")))

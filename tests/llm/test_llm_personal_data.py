@@ -132,3 +132,29 @@ def test_repeated_rows_empty_tables_and_clashing_columns(texts):
     assert find_personal_data(texts([])).count() == 0 and redact(texts([])).count() == 0
     plan = find_personal_data(rows)._jdf.queryExecution().toString() + redact(rows)._jdf.queryExecution().toString()
     assert not re.search("Python|Arrow|Pandas|CartesianProduct|NestedLoop", plan)
+
+
+def test_numbers_beside_other_numbers_are_found(texts):
+    rows = ["pay with card 2024 4111 1111 1111 1111", "call phone +44 20 7946 0958 2024 12 now"]
+    found = [row["spans"] for row in find_personal_data(texts(rows)).orderBy("doc_id").collect()]
+    assert found == ["card:19:38", "phone:11:27"]
+    masked = [row["text"] for row in redact(texts(rows)).orderBy("doc_id").collect()]
+    assert masked == ["pay with card 2024 <card>", "call phone <phone> 2024 12 now"]
+
+
+def test_many_matches_take_time_in_proportion(texts):
+    """A text of 50,000 matches; when time grew with the square of their number, 2,000 of them took most of a minute."""
+    import time
+
+    row = "écrire à user{0}@mail.example.com or call +1 555 {1:03d} {2:04d} from 10.0.{3}.7,\n"
+    text = "".join(row.format(at, at % 900 + 100, at % 10_000, at % 256) for at in range(17_000))
+    started = time.time()
+    found = find_personal_data(texts([text])).first()
+    assert (found["n_email"], found["n_ip"], found["n_phone"]) == (17_000, 17_000, 17_000)
+    first, last = found["spans"].split(",")[0], found["spans"].split(",")[-1]
+    assert first == "email:9:31" and last.startswith("ip:")
+    kind, start, end = last.split(":")
+    assert text[int(start) : int(end)] == "10.0.103.7"
+    masked = redact(texts([text])).first()["text"]
+    assert masked == "écrire à <email> or call <phone> from <ip>,\n" * 17_000
+    assert time.time() - started < 100
