@@ -14,7 +14,7 @@ from stockroom.schemas import REPORTS, STATE_COUNTS_BY_DAY
 from stockroom.session import build_session
 from stockroom.sinks import create_layers, create_table
 from stockroom.sources import Topic, folder_topic, kafka_topic
-from stockroom.streaming import Admission, DailyReportState, office_state
+from stockroom.streaming import Admission, DailyReportState, create_accounts, office_state
 from stockroom.streaming.admission import EVERY_SECOND, UNTIL_DRAINED
 
 
@@ -52,6 +52,7 @@ def arguments() -> argparse.ArgumentParser:
         command.add_argument("--compact-every", type=int, default=100, help="batches between compactions, 0 for none")
     for command in (load, ingest):
         command.add_argument("--quarantine", help="table for broken messages")
+        command.add_argument("--accounts", help="table for what became of every batch")
     ingest.add_argument("--min-rows", type=int, default=usual.min_rows, help="messages a batch waits for")
     ingest.add_argument("--max-seconds", type=int, default=usual.max_seconds, help="how long it waits at most")
     ingest.add_argument("--every-seconds", type=int, default=usual.every_seconds, help="how often it looks")
@@ -117,6 +118,8 @@ def run(spark: SparkSession, options: argparse.Namespace) -> None:
             jobs.create_raw_items(spark, options.table)
             if options.quarantine:
                 jobs.create_quarantine(spark, options.quarantine)
+            if options.accounts:
+                create_accounts(spark, options.accounts)
             trigger = UNTIL_DRAINED if options.until_drained else EVERY_SECOND
             topic = _admission(options).limit(_topic(options))
             jobs.load_items(
@@ -127,6 +130,7 @@ def run(spark: SparkSession, options: argparse.Namespace) -> None:
                 trigger,
                 options.quarantine,
                 options.compact_every or None,
+                options.accounts,
             ).awaitTermination()
         case "keep-report":
             report = DailyReportState(options.state, options.ids).create(spark)
@@ -140,6 +144,8 @@ def run(spark: SparkSession, options: argparse.Namespace) -> None:
         case "ingest-stock":
             jobs.staged_rows(options.staging).create(spark)
             state = office_state(options.state).create(spark)
+            if options.accounts:
+                create_accounts(spark, options.accounts)
             trigger = UNTIL_DRAINED if options.until_drained else None
             jobs.ingest_stock(
                 spark,
@@ -151,6 +157,7 @@ def run(spark: SparkSession, options: argparse.Namespace) -> None:
                 trigger,
                 options.quarantine,
                 options.compact_every or None,
+                options.accounts,
             ).awaitTermination()
         case "compact-stock" | "compact-items" | "compact-staging":
             if options.job == "compact-stock":

@@ -43,7 +43,9 @@ from stockroom.streaming import (
     add_office_totals,
     batch_table_columns,
     compact_now_and_then,
+    counted,
     for_each_batch,
+    keep_account,
     keep_daily_report,
 )
 from stockroom.streaming.admission import EVERY_SECOND, UNTIL_DRAINED
@@ -74,26 +76,30 @@ def load_items(
     trigger: Mapping[str, object] = EVERY_SECOND,
     quarantine: str | None = None,
     compact_every: int | None = None,
+    accounts: str | None = None,
 ) -> StreamingQuery:
     """Stream item messages into a table of raw items, parsed and cleaned on the executors.
 
     A broken message becomes a row of NULLs; with a ``quarantine`` table (see :func:`create_quarantine`) its text goes
-    there instead. With ``compact_every`` the table is compacted after every so many batches.
+    there instead. With ``accounts`` (see :func:`stockroom.streaming.create_accounts`) that table gets a row for every batch:
+    what it brought, what was loaded, and what is broken. With ``compact_every`` the table is compacted after every so many
+    batches.
     """
     target = raw_items(table)
     after_batch = compact_now_and_then(target, every=compact_every)
 
     def handle(rows: DataFrame, run_id: str, batch_id: int) -> None:
+        rows = blank_missing_tare_type(rows)
         if quarantine is None:
-            overwrite_batch(blank_missing_tare_type(rows), target.parts, run_id, batch_id)
+            rows, seen = counted(rows)
+            overwrite_batch(rows, target.parts, run_id, batch_id)
+            counts = (seen.get["rows"], seen.get["rows"], 0)
         else:
-            _with_quarantine(
-                blank_missing_tare_type(rows),
-                lambda whole: overwrite_batch(whole, target.parts, run_id, batch_id),
-                quarantine,
-                run_id,
-                batch_id,
+            counts = _with_quarantine(
+                rows, lambda whole: overwrite_batch(whole, target.parts, run_id, batch_id), quarantine, run_id, batch_id
             )
+        if accounts:
+            keep_account(rows.sparkSession, accounts, run_id, batch_id, *counts)
         after_batch(rows.sparkSession, batch_id)
 
     parse = parse_items if quarantine is None else parse_with_quarantine
@@ -102,14 +108,18 @@ def load_items(
 
 def _with_quarantine(
     rows: DataFrame, store: Callable[[DataFrame], None], quarantine: str, run_id: str, batch_id: int
-) -> None:
-    """Keep the text of broken messages in the quarantine, and hand the other rows on."""
+) -> tuple[int, int, int]:
+    """Keep the text of broken messages in the quarantine, and hand the other rows on. Returns how many rows there were, how
+    many were handed on and stored, and how many are broken."""
     # Kept, so that the batch is fetched and parsed once for both tables.
     rows = rows.persist()
     try:
         is_broken = F.col(BROKEN_MESSAGE).isNotNull()
-        overwrite_batch(rows.where(is_broken), quarantine, run_id, batch_id)
-        store(rows.where(~is_broken).drop(BROKEN_MESSAGE))
+        broken, seen_broken = counted(rows.where(is_broken))
+        overwrite_batch(broken, quarantine, run_id, batch_id)
+        whole, seen_whole = counted(rows.where(~is_broken).drop(BROKEN_MESSAGE))
+        store(whole)
+        return rows.count(), seen_whole.get["rows"], seen_broken.get["rows"]
     finally:
         rows.unpersist()
 
@@ -203,11 +213,13 @@ def ingest_stock(
     trigger: Mapping[str, object] | None = None,
     quarantine: str | None = None,
     compact_every: int | None = None,
+    accounts: str | None = None,
 ) -> StreamingQuery:
     """Buffered ingest of staging rows, which also keeps the totals per office current.
 
     A message that is no staging row, or has a value of another type, is no stock: its text goes to the quarantine table,
-    which is ``<staging_table>_broken`` unless named, and nothing of it is counted.
+    which is ``<staging_table>_broken`` unless named, and nothing of it is counted. ``accounts`` are kept as by
+    :func:`load_items`.
     """
     staged = staged_rows(staging_table)
     quarantine = quarantine or staged.beside("_broken")
@@ -215,13 +227,15 @@ def ingest_stock(
     after_batch = compact_now_and_then(staged, state, every=compact_every)
 
     def handle(rows: DataFrame, run_id: str, batch_id: int) -> None:
-        _with_quarantine(
+        counts = _with_quarantine(
             rows,
             lambda whole: add_office_totals(whole, state, run_id, batch_id, staged.parts),
             quarantine,
             run_id,
             batch_id,
         )
+        if accounts:
+            keep_account(rows.sparkSession, accounts, run_id, batch_id, *counts)
         after_batch(rows.sparkSession, batch_id)
 
     messages = admission.apply(topic).stream(spark)

@@ -66,6 +66,8 @@ from stockroom.sinks import (
 from stockroom.sinks.publish import as_messages
 from stockroom.sources import folder_topic, read_back, scan_delimited, scan_delimited_inferred, scan_table
 from stockroom.streaming import (
+    accounts,
+    create_accounts,
     Admission,
     DailyReportState,
     batch_table_columns,
@@ -712,6 +714,42 @@ def incremental_typed_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jobs.quality_report(spark, typed).select("*", *counts)
 
 
+@check(
+    "SNK2 SNK4 FN2 STR2 STR3 JOB2",
+    """select count(*) as rows_read, count(*) filter (where event_id % 10 <> 0) as loaded,
+              count(*) filter (where event_id % 10 = 0) as broken, count(*) filter (where event_id % 10 <> 0) as in_table,
+              cast(0 as bigint) as open_batches
+       from events""",
+)
+def accounted_item_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Item messages of which some are cut short; the accounts of all batches, beside the rows that are in the table."""
+    database = fresh_database(spark)
+    rows = raw_items(spark, sf_dir)
+    messages = as_messages(rows).select(F.col("value").cast("string").alias("value"))
+    number = F.get_json_object("value", "$.shk_id").cast("bigint")
+    cut = F.when(number % 10 == 0, F.expr("left(value, length(value) - 1)")).otherwise(F.col("value"))
+    kinds = messages.select(cut.cast("binary").alias("value"), (number % 3).alias("kind"))
+    path = spread_over_files(spark, kinds, "kind", "topic")
+    topic = Admission(max_files=files_per_batch(spark, path, 3)).apply(folder_topic(path))
+    jobs.create_raw_items(spark, f"{database}.raw")
+    jobs.create_quarantine(spark, f"{database}.broken")
+    create_accounts(spark, f"{database}.accounts")
+    jobs.load_items(
+        spark,
+        topic,
+        f"{database}.raw",
+        fresh_dir(spark, "checkpoint"),
+        UNTIL_DRAINED,
+        f"{database}.broken",
+        accounts=f"{database}.accounts",
+    ).awaitTermination()
+    sums = accounts(spark, f"{database}.accounts").agg(
+        *[F.sum(name).alias(name) for name in ("rows_read", "loaded", "broken")],
+        F.count_if("open").alias("open_batches"),
+    )
+    return sums.withColumn("in_table", F.lit(spark.table(f"{database}.raw").count()).cast("bigint"))
+
+
 @check("SNK8 LIM1 STR2 SNK4", "select event_id, ts, value from events")
 def buffered_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Messages admitted in three batches."""

@@ -1,5 +1,6 @@
 """Structured Streaming jobs: replay-safe loading and incremental state."""
 
+from stockroom.streaming.accounts import accounts, counted, create_accounts, keep_account
 from stockroom.streaming.admission import Admission
 from stockroom.streaming.daily import DailyReportState, keep_daily_report
 from stockroom.streaming.loading import batch_table_columns, for_each_batch, load_into
@@ -13,6 +14,10 @@ from stockroom.streaming.totals import (
 )
 
 __all__ = [
+    "accounts",
+    "counted",
+    "create_accounts",
+    "keep_account",
     "Admission",
     "BatchedRows",
     "DailyReportState",

@@ -13,6 +13,9 @@ from stockroom.plans import jobs
 from stockroom.schemas import ITEM_COLUMNS, REPORTS
 from stockroom.sinks import append_rows, create_table, replace_partitions
 from stockroom.sinks.partitions import partition_values
+from stockroom.sources import folder_topic
+from stockroom.streaming import Admission, accounts, create_accounts, keep_account
+from stockroom.streaming.admission import UNTIL_DRAINED
 
 
 @pytest.fixture
@@ -124,3 +127,33 @@ def test_replaced_partitions_are_the_only_ones_made_known(spark, database, tmp_p
     assert len(partition_values(spark, table)) == 4
     replace_partitions(spark.createDataFrame([], schema), table)
     assert spark.table(table).where(F.col("d").isNull()).count() == 1
+
+
+@pytest.mark.parametrize("with_quarantine", [True, False])
+def test_accounts_of_a_load(spark, database, tmp_path, monkeypatch, with_quarantine):
+    topic = folder_topic(str(tmp_path / "topic"))
+    whole = [(f'{{"shk_id": {at}}}',) for at in range(5)]
+    for messages in (whole, [("{bad",), ("",), *whole[:2]]):
+        topic.append(spark.createDataFrame(messages, "value STRING").select(F.col("value").cast("binary")).coalesce(1))
+    topic = Admission(max_files=1).apply(topic)
+    jobs.create_raw_items(spark, f"{database}.raw")
+    create_accounts(spark, f"{database}.accounts")
+    quarantine = f"{database}.broken" if with_quarantine else None
+    if quarantine:
+        jobs.create_quarantine(spark, quarantine)
+    places = f"{database}.raw", str(tmp_path / "cp"), UNTIL_DRAINED, quarantine
+
+    def lost_after_the_account(*args):
+        keep_account(*args)
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(jobs, "keep_account", lost_after_the_account)
+    with pytest.raises(Exception, match="lost"):
+        jobs.load_items(spark, topic, *places, accounts=f"{database}.accounts").awaitTermination()
+    monkeypatch.undo()
+    for _ in range(2):
+        jobs.load_items(spark, topic, *places, accounts=f"{database}.accounts").awaitTermination()
+    found = accounts(spark, f"{database}.accounts")
+    expected = [(0, 5, 5, 0, False), (1, 4, 2, 2, False)] if quarantine else [(0, 5, 5, 0, False), (1, 4, 4, 0, False)]
+    assert rows_of(found, "batch_id", "rows_read", "loaded", "broken", "open") == expected
+    assert spark.table(f"{database}.raw").count() == sum(row[2] for row in expected)
