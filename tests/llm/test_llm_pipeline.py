@@ -96,7 +96,7 @@ def test_stages_take_empty_tables_nulls_and_more_columns(spark, tables):
 def test_queries_are_registered():
     names = list(entry_points.queries())
     assert "pipeline" in names
-    for number in range(1, 11):
+    for number in range(1, 14):
         assert sum(name.startswith(f"op{number}_") for name in names) == 1
 
 
