@@ -6,6 +6,7 @@ is its key, and the documents, range-sorted by key, are laid end to end and cut
 
 from __future__ import annotations
 
+import json
 import os
 import zlib
 from collections.abc import Callable, Iterator
@@ -39,7 +40,10 @@ class WordIds(dict):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(definition)
-        self.tokenizer.encode_special_tokens = True
+        # A text that has the string of one of these is encoded whole, as the library does it.
+        added = json.loads(definition)["added_tokens"]
+        self.added = [token["content"] for token in added]
+        self.added_lower = [token["content"].lower() for token in added if token["normalized"]]
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.parts: dict[str, bytes] = {"": b""}
         # The printable character that byte-level tokenizers write for each byte.
@@ -72,7 +76,14 @@ class WordIds(dict):
             found = self.parts[word] = np.array(ids, self.dtype).tobytes()
         return found
 
+    def has_added(self, text: str) -> bool:
+        """Whether it has the string of an added token, such as a special one."""
+        lowered = text.lower() if self.added_lower else ""
+        return any(token in text for token in self.added) or any(token in lowered for token in self.added_lower)
+
     def ids(self, text: str) -> np.ndarray:
+        if self.has_added(text):
+            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype)
         found = np.frombuffer(b"".join(map(self.__getitem__, text.replace("\n", " ").split(" "))), self.dtype)
         if len(self) > CACHE_WORDS:
             self.clear()

@@ -54,7 +54,6 @@ def check(found, wanted, length=2048):
 def test_packs_every_id_once(texts, prose):
     rows = TRICKY + [prose(i, 10 + 40 * (i % 9)) for i in range(60)] + [prose(1, 9000)] + [prose(2)] * 40
     tokenizer = Tokenizer.from_str(DEFINITION)
-    tokenizer.encode_special_tokens = True
     wanted = {i: [*tokenizer.encode(t or "", add_special_tokens=False).ids, 1] for i, t in enumerate(rows)}
     check(pack_documents(texts(rows), DEFINITION).collect(), wanted)
     short = pack_documents(texts(rows), DEFINITION, length=16).collect()
@@ -105,3 +104,11 @@ def test_null_ids_repeated_rows_and_empty_tables(texts, prose):
     sizes = {row["doc_id"]: row["doc_tokens"] for row in found}
     assert totals[1] == 2 * sizes[1] and totals[None] == sizes[None]
     assert pack_documents(texts([]), DEFINITION).count() == 0
+
+
+def test_strings_of_special_tokens_are_these_tokens():
+    with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as file:
+        words = word_ids(file.read())
+    assert words.ids("a <|endoftext|> b").tolist() == [320, 49407, 321]
+    for text in ("x<|startoftext|>y", "<|endoftext|>", "<|ENDOFTEXT|> z", "tail <|endoftext|"):
+        assert words.ids(text).tolist() == words.tokenizer.encode(text, add_special_tokens=False).ids
