@@ -7,6 +7,7 @@ from stockroom.operators.distinct import (
     sketch_state,
     sketch_totals,
 )
+from stockroom.operators.identifiers import IdDictionary
 from stockroom.operators.items import (
     blank_missing_tare_type,
     lost_values,
@@ -16,11 +17,15 @@ from stockroom.operators.items import (
 )
 from stockroom.operators.records import expand_records, record_arrays
 from stockroom.operators.rollup import RollupRule, age_rollup
+from stockroom.operators.stored_rollup import StoredRollup, ThinningReport
 from stockroom.operators.totals import office_totals, state_counts
 from stockroom.operators.upsert import UpsertReport, guarded_merge, guarded_upsert
 
 __all__ = [
+    "IdDictionary",
     "RollupRule",
+    "StoredRollup",
+    "ThinningReport",
     "UpsertReport",
     "age_rollup",
     "bitmap_state",

@@ -24,6 +24,18 @@ class RollupRule:
             raise ValueError("a rule needs a step for age 0")
 
 
+def step_at(rule: RollupRule, age: Column) -> Column:
+    """The step, in seconds, of a point of this age; a point of the future has that of age 0."""
+    oldest_first = sorted(rule.retention, reverse=True)
+    widths = [F.when(age >= bound, F.lit(width)) for bound, width in oldest_first]
+    return F.coalesce(*widths, F.lit(oldest_first[-1][1]))
+
+
+def by_rule(rules: Sequence[RollupRule], metric: str, choose: Callable[[RollupRule], Column]) -> Column:
+    """What the first rule says that fits the metric's name."""
+    return F.coalesce(*[F.when(F.col(metric).rlike(rule.pattern), choose(rule)) for rule in rules])
+
+
 def age_rollup(
     points: DataFrame,
     rules: Sequence[RollupRule],
@@ -40,19 +52,11 @@ def age_rollup(
     """
     seconds = F.unix_seconds(F.col(time).cast("timestamp"))
     age = F.unix_seconds(as_of.cast("timestamp")) - seconds
-
-    def step(rule: RollupRule) -> Column:
-        oldest_first = sorted(rule.retention, reverse=True)
-        widths = [F.when(age >= bound, F.lit(width)) for bound, width in oldest_first]
-        return F.coalesce(*widths, F.lit(oldest_first[-1][1]))
-
-    def by_rule(choose: Callable[[RollupRule], Column]) -> Column:
-        return F.coalesce(*[F.when(F.col(metric).rlike(rule.pattern), choose(rule)) for rule in rules])
-
+    step = by_rule(rules, metric, lambda rule: step_at(rule, age))
     placed = points.select(
         F.col(metric).alias("metric"),
-        (seconds - F.pmod(seconds, by_rule(step))).alias("bucket"),
-        by_rule(lambda rule: F.lit(rule.function)).alias("function"),
+        (seconds - F.pmod(seconds, step)).alias("bucket"),
+        by_rule(rules, metric, lambda rule: F.lit(rule.function)).alias("function"),
         F.col(value).alias("value"),
         F.col(order).alias("order"),
     )

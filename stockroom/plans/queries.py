@@ -21,7 +21,9 @@ from stockroom.functions import (
     year_month,
 )
 from stockroom.operators import (
+    IdDictionary,
     RollupRule,
+    StoredRollup,
     age_rollup,
     bitmap_state,
     bitmap_totals,
@@ -211,6 +213,29 @@ def bitmap_distinct_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shk.join(tare, "dt_day").select("dt_day", "qty_shk", "qty_tare")
 
 
+@check(
+    "AGG10",
+    """select date_trunc('day', ts) as dt_day, count(distinct props) as qty_props,
+              count(distinct event_id * 1000003) as qty_sparse
+       from events group by 1""",
+)
+def numbered_distinct_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bitmaps of text ids and of ids that are far apart, which are numbered in two batches first."""
+    events = table(spark, sf_dir, "events").select(
+        start_of_day("ts").alias("dt_day"), "event_type", "props", (F.col("event_id") * 1000003).alias("sparse")
+    )
+    ids = IdDictionary(f"{fresh_database(spark)}.ids").create(spark)
+    is_view = F.coalesce(F.col("event_type") == "view", F.lit(False))
+    for number, batch in enumerate((events.where(is_view), events.where(~is_view))):
+        ids.add(batch, ["props", "sparse"], "run", number)
+
+    def totals(column: str) -> DataFrame:
+        state = bitmap_state(ids.numbered(events, ["dt_day"], column), ["dt_day"], "number")
+        return bitmap_totals(state, ["dt_day"], f"qty_{column}")
+
+    return totals("props").join(totals("sparse"), "dt_day")
+
+
 @check("AGG10", "select date_trunc('day', ts) as dt_day, true as shk_close from events group by 1")
 def sketch_distinct_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sketches per day and type, united per day, next to exact counts."""
@@ -240,6 +265,34 @@ def age_rollup_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return age_rollup(table(spark, sf_dir, "events"), rules, as_of, metric="event_type", order="event_id")
 
 
+@check(
+    "AGG11 SNK12 SNK13",
+    """with x as (select event_type as metric, value, event_id as id, cast(floor(epoch(ts)) as bigint) as e,
+                         cast(epoch(timestamp '2024-01-30 23:59:59') as bigint) as n from events),
+            y as (select *, case when metric = 'click' then case when n - e >= 86400 then 60 else 3600 end
+                                 when n - e >= 864000 then 7200 when n - e >= 86400 then 3600
+                                 when n - e >= 3600 then 300 else 60 end as p from x)
+       select metric, e - e % p as bucket,
+              case when metric = 'click' then arg_min(value, id) else max(value) end as value
+       from y group by metric, e - e % p""",
+)
+def stored_rollup_thinned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events come in three lots, and are thinned in the table after each; those of odd users come one lot late."""
+    rules = (
+        RollupRule("click", "any", ((0, 3600), (86400, 60))),
+        RollupRule("", "max", ((0, 60), (3600, 300), (86400, 3600), (864000, 7200))),
+    )
+    series = StoredRollup(f"{fresh_database(spark)}.series", rules).create(spark)
+    ends = [dt.datetime(2024, 1, day, 23, 59, 59) for day in (10, 20, 30)]
+    lot = F.when(F.col("ts") <= F.lit(ends[0]), 0).when(F.col("ts") <= F.lit(ends[1]), 1).otherwise(2)
+    late = F.least(lot + F.pmod("user_id", F.lit(2)), F.lit(2))
+    events = table(spark, sf_dir, "events").withColumn("lot", F.coalesce(late, lot))
+    for number, end in enumerate(ends):
+        series.add(events.where(F.col("lot") == number), end, metric="event_type", order="event_id")
+        series.thin(spark, end)
+    return series.read(spark, ends[-1])
+
+
 # Parsing and cleaning
 
 
