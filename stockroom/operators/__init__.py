@@ -20,6 +20,7 @@ from stockroom.operators.rollup import RollupRule, age_rollup
 from stockroom.operators.stored_rollup import StoredRollup, ThinningReport
 from stockroom.operators.totals import office_totals, state_counts
 from stockroom.operators.upsert import UpsertReport, guarded_merge, guarded_upsert
+from stockroom.operators.variants import loose_records, observed_fields, typed_records
 
 __all__ = [
     "IdDictionary",
@@ -35,7 +36,9 @@ __all__ = [
     "expand_records",
     "guarded_merge",
     "guarded_upsert",
+    "loose_records",
     "lost_values",
+    "observed_fields",
     "office_totals",
     "parse_items",
     "parse_with_quarantine",
@@ -44,4 +47,5 @@ __all__ = [
     "sketch_totals",
     "state_counts",
     "typed_items",
+    "typed_records",
 ]

@@ -31,7 +31,9 @@ from stockroom.operators import (
     daily_report,
     expand_records,
     guarded_upsert,
+    loose_records,
     lost_values,
+    observed_fields,
     office_totals,
     parse_items,
     parse_with_quarantine,
@@ -40,6 +42,7 @@ from stockroom.operators import (
     sketch_totals,
     state_counts,
     typed_items,
+    typed_records,
 )
 from stockroom.operators.daily_report import CONDITIONS
 from stockroom.plans import jobs
@@ -471,6 +474,58 @@ def recordset_expand(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _loose_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as messages whose fields differ by type: purchases carry a price, errors a user that is no number."""
+    kind, user = F.col("event_type"), F.col("user_id").cast("string")
+    record = F.to_json(
+        F.struct(
+            F.col("event_id").alias("shk_id"),
+            datetime_text("ts").alias("dt"),
+            F.when(kind != "error", user.cast("bigint")).alias("office_id"),
+            kind.alias("state"),
+            F.when(kind == "purchase", F.col("event_id").cast("decimal(38,3)") + F.lit("1e30").cast("decimal(38,3)")).alias(
+                "price"
+            ),
+        )
+    )
+    strange = F.when(kind == "error", F.concat(F.expr("left(record, length(record) - 1)"), F.lit(',"office_id":"none"}')))
+    rows = table(spark, sf_dir, "events").withColumn("record", record)
+    return rows.select(F.coalesce(strange, F.col("record")).cast("binary").alias("value"))
+
+
+@check(
+    "FN9 SRC2 FN2",
+    """select event_id as shk_id, ts as dt, case when event_type <> 'error' then user_id end as office_id,
+              '"' || event_type || '"' as state, case when event_type = 'error' then 'office_id' else '' end as lost,
+              case when event_type = 'purchase' then cast(cast(event_id as hugeint) + cast('1' || repeat('0', 30) as hugeint)
+                   as varchar) end as price
+       from events""",
+)
+def loose_messages_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages read back without a schema: three fields are typed, the others stay, and no number loses a digit."""
+    topic = folder_topic(fresh_dir(spark, "topic"))
+    topic.append(_loose_messages(spark, sf_dir))
+    typed = typed_records(
+        loose_records(topic.read(spark), "value"), "shk_id bigint, dt timestamp_ntz, office_id bigint"
+    )
+    price = F.col("unknown")["price"].cast("decimal(38,0)").cast("string").alias("price")
+    lost = F.array_join("lost", ",").alias("lost")
+    return typed.select("shk_id", "dt", "office_id", F.col("unknown")["state"].alias("state"), lost, price)
+
+
+@check(
+    "FN9 SRC2",
+    """with f as (select unnest(['shk_id', 'dt', 'state']) as name, 1 as n from events
+                  union all select 'office_id', 1 from events
+                  union all select 'price', 1 from events where event_type = 'purchase')
+       select name, count(*) as records from f group by name""",
+)
+def loose_message_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many messages have each field, whatever its type."""
+    met = observed_fields(loose_records(_loose_messages(spark, sf_dir), "value"))
+    return met.groupBy("name").agg(F.sum("records").alias("records"))
+
+
 @check("SNK1 SNK2 SRC2 JOB1 JOB7", "select event_id, user_id, event_type, ts from events")
 def publish_then_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     topic = folder_topic(fresh_dir(spark, "topic"))
