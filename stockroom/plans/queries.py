@@ -431,6 +431,20 @@ def sorted_layout_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_table(spark, name)
 
 
+@check(
+    "SRT1 SNK6 SRC5",
+    """select l_orderkey, l_linenumber, l_partkey, l_shipdate from lineitem
+       where l_partkey = (select min(l_partkey) from lineitem)""",
+)
+def lookup_beside_sort_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of one part in a table that is sorted by order; files without the part are skipped by their filters."""
+    name = f"{fresh_database(spark)}.lines"
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_shipdate")
+    create_table_as(spark, name, lines, sort_key=["l_orderkey"], lookup={"l_partkey": 1_000_000})
+    part = lines.agg(F.min("l_partkey")).first()[0]
+    return scan_table(spark, name).where(F.col("l_partkey") == part)
+
+
 @check(
     "SNK7 SNK11 SNK6 SNK3 SRC7",
     """select event_id as shk_id, user_id as office_id, event_type = 'purchase' as is_stock, ts as dt_load from events

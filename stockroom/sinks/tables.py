@@ -6,7 +6,7 @@ files by it, so that Parquet's row-group statistics can skip data.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,19 +33,38 @@ def create_table(
     sort_key: Sequence[str] = (),
     partition_by: Sequence[str] = (),
     if_not_exists: bool = False,
+    lookup: Mapping[str, int] | None = None,
 ) -> None:
-    """An empty table with the given column list (SQL types) and layout."""
+    """An empty table with the given column list (SQL types) and layout.
+
+    ``lookup`` names columns by which single rows are looked for beside the sort key, with how many different values a
+    file may hold. Every file then carries a Bloom filter of such a column (about ten bits a value), so that a search for a
+    value skips row groups that lack it, however the rows are sorted. More values than stated only make it skip less.
+    """
+    options = {}
+    for name, values in (lookup or {}).items():
+        # The file format's option names.
+        options[f"parquet.bloom.filter.enabled#{name}"] = "true"
+        options[f"parquet.bloom.filter.expected.ndv#{name}"] = str(int(values))
+    listed = ", ".join(f"'{key}' = '{value}'" for key, value in options.items())
     spark.sql(
         f"CREATE TABLE {'IF NOT EXISTS ' if if_not_exists else ''}{table} ({columns}) USING parquet"
+        + (f" OPTIONS ({listed})" if options else "")
         + (f" PARTITIONED BY ({', '.join(partition_by)})" if partition_by else "")
         + (f" TBLPROPERTIES ('{SORT_KEY}' = '{','.join(sort_key)}')" if sort_key else "")
     )
 
 
-def create_table_as(spark: SparkSession, table: str, rows: DataFrame, sort_key: Sequence[str] = ()) -> None:
+def create_table_as(
+    spark: SparkSession,
+    table: str,
+    rows: DataFrame,
+    sort_key: Sequence[str] = (),
+    lookup: Mapping[str, int] | None = None,
+) -> None:
     """A new table holding ``rows``, with their columns and the given layout."""
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
-    create_table(spark, table, columns, sort_key)
+    create_table(spark, table, columns, sort_key, lookup=lookup)
     append_rows(spark, table, rows)
 
 

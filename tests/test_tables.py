@@ -13,6 +13,7 @@ from stockroom.sinks import (
     append_rows,
     create_layers,
     create_table,
+    create_table_as,
     expire_months,
     insert_literals,
     replace_partitions,
@@ -199,3 +200,28 @@ def test_shared_folder_comes_from_the_session(spark, monkeypatch):
 def test_jdbc_append_needs_a_driver(spark):
     with pytest.raises(Exception, match="(?i)driver"):
         append_jdbc(spark.range(1), "jdbc:none://nowhere/db", "t")
+
+
+def scanned_rows(rows):
+    """How many rows the scan of a table hands on, from the metrics of the plan that ran."""
+    rows.collect()
+    leaves = rows._jdf.queryExecution().executedPlan().collectLeaves()
+    plans = [leaves.apply(i) for i in range(leaves.size())]
+    return sum(plan.metrics().apply("numOutputRows").value() for plan in plans)
+
+
+def test_point_lookup_beside_the_sort_key(spark, database):
+    # Every file holds the whole range of the second key, so only its filter can tell which file has a value.
+    rows = spark.range(0, 80_000, numPartitions=8).select(
+        F.col("id").alias("shk_id"), (F.col("id") * 7919 % 80_000).alias("tare_id")
+    )
+    found = {}
+    for name, lookup in (("plain", None), ("filtered", {"tare_id": 10_000})):
+        create_table_as(spark, f"{database}.{name}", rows, sort_key=["shk_id"], lookup=lookup)
+        with_key = spark.table(f"{database}.{name}").where("tare_id = 40001")
+        assert [row["shk_id"] * 7919 % 80_000 for row in with_key.collect()] == [40001]
+        found[name] = scanned_rows(with_key)
+        append_rows(spark, f"{database}.{name}", rows.where("tare_id < 10"))
+    assert found["plain"] == 80_000 and found["filtered"] <= 30_000
+    again = spark.table(f"{database}.filtered").where("tare_id = 3")
+    assert again.count() == 2
