@@ -1,16 +1,19 @@
 """Document fingerprints by Order MinHash, in DataFrame functions only.
 
 A text is cut into units (words, long ones into pieces); the k-mers of its units are numbered by their occurrence, so that
-a repeated k-mer counts each time. There are as many hash orders as slots; a slot selects the numbered k-mers that are
-minimal under its order and the ones after it, puts them back into text order and hashes that tuple. Two texts share a slot if they share the selected
-k-mers and have them in the same order, so the share of equal slots falls with their edit distance.
+a repeated k-mer counts each time. Every slot has a hash order of its own and selects minimal numbered k-mers under it, puts
+them back into text order and hashes that tuple. Two texts share a slot if they share the selected k-mers and have them in
+the same order, so the share of equal slots falls with their edit distance.
+
+The numbered k-mers are split into as many parts as a tuple has members, by a hash that no order uses, and a slot selects the
+minimum of each part: so many different k-mers, found by plain minima in one pass.
 """
 
 from __future__ import annotations
 
 import math
 import random
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -21,6 +24,11 @@ from stockroom.llm.registry import stored
 UNIT = r"[^\x20\x09-\x0D]{1,16}"
 #: A k-mer is packed into one long: the upper bits of its hash, and its place in the lower bits.
 PLACE_BITS, HASH_BITS = 28, 35
+#: An order multiplies 31 bits of a numbered k-mer's hash by an odd number and compares the lower 32 bits of the product,
+#: which tell the k-mer as well. Their product with the factor always fits into a long.
+NUMBERED_BITS, ORDER_BITS = 31, 32
+#: The lower bits of a numbered k-mer's hash, which tell its part.
+PART_BITS = 20
 
 
 def numbered_kmers(units: Column, k: int) -> Column:
@@ -66,11 +74,11 @@ def fingerprint_slots(
 ) -> DataFrame:
     """One row per combination of ``keys``, which must tell the rows apart, with ``slot_values`` as array of longs.
 
-    The k-mers become rows that are reduced at once to one minimum per hash order, so no array is searched repeatedly. A
-    slot's tuple has the minima of ``size`` neighbouring orders.
+    The k-mers become rows that are reduced at once to one minimum per part and order, so no array is searched repeatedly.
+    A text with k-mers in some parts only has shorter tuples; one without k-mers has the same value in all slots.
     """
     draw = random.Random(seed)
-    masks = [draw.getrandbits(HASH_BITS) for _ in range(slots)]
+    factors = [draw.getrandbits(ORDER_BITS) | 1 for _ in range(slots)]
     rows = (
         texts.withColumn("fp_units", F.regexp_extract_all(text, F.lit(UNIT), F.lit(0)))
         .select(*keys, numbered_kmers(F.col("fp_units"), k).alias("fp_kmers"))
@@ -78,39 +86,40 @@ def fingerprint_slots(
         .withColumn("fp_times", occurrences(F.col("fp_kmers"), F.col("fp_starts")))
         .select(*keys, F.inline_outer(F.arrays_zip("fp_kmers", "fp_times")))
     )
-    place = F.col("fp_kmers").bitwiseAND(F.lit((1 << PLACE_BITS) - 1))
-    numbered = F.shiftrightunsigned(
-        F.xxhash64(F.shiftright("fp_kmers", PLACE_BITS), F.col("fp_times")), 64 - HASH_BITS
-    )
-    rows = rows.select(
+    whole = F.when(F.col("fp_kmers").isNotNull(), F.xxhash64(F.shiftright("fp_kmers", PLACE_BITS), F.col("fp_times")))
+    numbered = rows.select(
+        *keys,
+        whole.alias("fp_hash"),
+        F.col("fp_kmers").bitwiseAND(F.lit((1 << PLACE_BITS) - 1)).alias("fp_place"),
+    ).select(
         *keys,
-        F.when(F.col("fp_kmers").isNotNull(), F.shiftleft(numbered, PLACE_BITS).bitwiseOR(place)).alias("fp_entry"),
+        F.shiftrightunsigned("fp_hash", 64 - NUMBERED_BITS).alias("fp_kmer"),
+        (F.col("fp_hash").bitwiseAND(F.lit((1 << PART_BITS) - 1)) % F.lit(size)).alias("fp_part"),
+        "fp_place",
     )
-    minima = [
-        F.min(F.col("fp_entry").bitwiseXOR(F.lit(mask << PLACE_BITS))).alias(f"fp_{order}")
-        for order, mask in enumerate(masks)
+    minima = []
+    for order, factor in enumerate(factors):
+        key = (F.col("fp_kmer") * F.lit(factor)).bitwiseAND(F.lit((1 << ORDER_BITS) - 1))
+        minima.append(F.min(F.shiftleft(key, PLACE_BITS).bitwiseOR(F.col("fp_place"))).alias(f"fp_{order}"))
+    parts = numbered.groupBy(*keys, "fp_part").agg(*minima)
+    # The place goes to the upper bits, so that sorting a tuple puts it into text order.
+    by_place = [
+        F.shiftleft(F.col(f"fp_{order}").bitwiseAND(F.lit((1 << PLACE_BITS) - 1)), ORDER_BITS).bitwiseOR(
+            F.shiftright(f"fp_{order}", PLACE_BITS)
+        )
+        for order in range(slots)
     ]
-    reduced = rows.groupBy(*keys).agg(*minima)
-
-    def slot_value(slot: int) -> Column:
-        chosen = [
-            F.struct(
-                F.col(f"fp_{order}").bitwiseAND(F.lit((1 << PLACE_BITS) - 1)).alias("place"),
-                F.shiftright(f"fp_{order}", PLACE_BITS).bitwiseXOR(F.lit(masks[order])).alias("kmer"),
-            )
-            for order in ((slot + i) % slots for i in range(size))
-        ]
-        first, last = (chosen[0], chosen[-1])
-        if size == 1:
-            return F.hash(first["kmer"])
-        if size == 2:
-            forward = first["place"] <= last["place"]
-            return F.when(forward, F.hash(first["kmer"], last["kmer"])).otherwise(F.hash(last["kmer"], first["kmer"]))
-        ordered = F.array_sort(F.array(*chosen))
-        return F.hash(F.transform(ordered, lambda entry: entry["kmer"]))
-
-    values = [slot_value(slot).cast("long").bitwiseAND(F.lit(0xFFFFFFFF)) for slot in range(slots)]
-    return reduced.select(*keys, F.array(*values).alias("slot_values"))
+    selected = parts.select(*keys, F.array(*by_place).alias("fp_selected"))
+    # At most ``size`` arrays of fixed length.
+    gathered = selected.groupBy(*keys).agg(F.collect_list("fp_selected").alias("fp_parts"))
+
+    def slot_value(order: Column) -> Column:
+        in_text_order = F.sort_array(F.transform("fp_parts", lambda chosen: F.get(chosen, order)))
+        kmers = F.transform(in_text_order, lambda entry: entry.bitwiseAND(F.lit((1 << ORDER_BITS) - 1)))
+        return F.xxhash64(kmers).bitwiseAND(F.lit(0xFFFFFFFF))
+
+    values = F.transform(F.sequence(F.lit(0), F.lit(slots - 1)), slot_value)
+    return gathered.select(*keys, values.alias("slot_values"))
 
 
 def likeness(one: Column, other: Column) -> Column:
@@ -132,42 +141,53 @@ def edited_and_next(
     one comes the first). Documents are dealt to ranges of ids, each with its successor's first document beside it, so
     one shuffle by range serves neighbours and fingerprints.
 
-    A NULL text counts as empty, and empty texts are alike. Rows with one id follow each other by the hash of their text;
-    a NULL id comes first. Repeated rows each give a row. A single document is its own successor. An empty table gives no
-    rows. Further columns are ignored.
+    A NULL text counts as empty, and empty texts are alike. Rows with one id follow each other by the hash of their text,
+    and an id with very many rows is cut into ranges of that hash; a NULL id comes first. Repeated rows each give a row. A
+    single document is its own successor. An empty table gives no rows. Long texts are fingerprinted whole; their k-mers
+    are rows, of which a task holds one at a time. Further columns are ignored.
     """
     spark = documents.sparkSession
-    rows = documents.select(F.col(id_column).alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
+    rows = documents.select(
+        F.col(id_column).alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text")
+    ).withColumns({"id_key": F.coalesce("doc_id", F.lit(-(1 << 63))), "text_key": F.xxhash64("text")})
     ranges = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     quantiles = [i / ranges for i in range(1, ranges)]
     # As many bounds as a few times the shuffle partitions, whatever the number of documents.
-    bounds = rows.select(F.percentile_approx("doc_id", quantiles, 20 * ranges)).first()[0] or []
+    bounds = rows.select(F.percentile_approx("id_key", quantiles, 20 * ranges)).first()[0] or []
     steps = [1 << i for i in reversed(range(max(1, math.ceil(math.log2(len(bounds) + 1)))))]
     known = F.array(*[F.lit(int(bound)) for bound in bounds]) if bounds else F.array().cast("array<bigint>")
-    # How many bounds are not above the id, by halving.
-    range_of = F.aggregate(
-        F.array(*[F.lit(step) for step in steps]),
-        F.lit(0),
-        lambda low, step: low
-        + F.when(F.coalesce(F.get(known, low + step - F.lit(1)) <= F.col("doc_id"), F.lit(False)), step).otherwise(0),
-    )
-    dealt = rows.withColumn("range", range_of)
-    # One row for each range: its first id.
-    firsts = dealt.groupBy("range").agg(F.min(F.coalesce("doc_id", F.lit(-(1 << 63)))).alias("first_id")).collect()
-    firsts = sorted((row["range"], row["first_id"]) for row in firsts)
-    before = [(firsts[i - 1][0], firsts[i][0], firsts[i][1]) for i in range(len(firsts))]
-    successors = F.broadcast(spark.createDataFrame(before, "to_range int, range int, first_id bigint"))
+
+    def bounds_where(fits: Callable[[Column], Column]) -> Column:
+        """How many bounds, in their order, fit, by halving."""
+        return F.aggregate(
+            F.array(*[F.lit(step) for step in steps]),
+            F.lit(0),
+            lambda low, step: low
+            + F.when(F.coalesce(fits(F.get(known, low + step - F.lit(1))), F.lit(False)), step).otherwise(0),
+        )
+
+    # An id that is several bounds has several ranges, and its rows are dealt to them in order of their text's hash.
+    upper = bounds_where(lambda bound: bound <= F.col("id_key"))
+    dealt = rows.withColumns({"below": bounds_where(lambda bound: bound < F.col("id_key")), "upper": upper})
+    share = F.col("text_key").cast("double") / F.lit(2.0**64) + F.lit(0.5)
+    own = F.least(F.floor(share * (F.col("upper") - F.col("below"))).cast("int"), F.col("upper") - F.col("below") - 1)
+    dealt = dealt.withColumn(
+        "range", F.when(F.col("upper") - F.col("below") < 2, F.col("upper")).otherwise(F.col("below") + 1 + own)
+    ).drop("below", "upper")
+    # One row for each range: where it begins.
+    firsts = dealt.groupBy("range").agg(F.min(F.struct("id_key", "text_key")).alias("first")).collect()
+    firsts = sorted((row["range"], row["first"]["id_key"], row["first"]["text_key"]) for row in firsts)
+    before = [(firsts[i - 1][0], *firsts[i]) for i in range(len(firsts))]
+    successors = F.broadcast(spark.createDataFrame(before, "to_range int, range int, id_key bigint, text_key bigint"))
     found = (
-        dealt.withColumn("first_id", F.coalesce("doc_id", F.lit(-(1 << 63))))
-        .join(successors, ["range", "first_id"])
-        .select("to_range", "doc_id", "text")
-        .withColumn("place", F.row_number().over(Window.partitionBy("to_range").orderBy(F.xxhash64("text"))))
-        .where("place = 1")
-        .select(F.col("to_range").alias("range"), "doc_id", "text", F.lit(True).alias("beside"))
+        dealt.join(successors, ["range", "id_key", "text_key"])
+        .groupBy("to_range", "id_key", "text_key")
+        .agg(F.first("doc_id").alias("doc_id"), F.min("text").alias("text"))
+        .select(F.col("to_range").alias("range"), "doc_id", "id_key", "text_key", "text", F.lit(True).alias("beside"))
     )
-    order = Window.partitionBy("range").orderBy("beside", "doc_id", F.xxhash64("text"))
+    order = Window.partitionBy("range").orderBy("beside", "id_key", "text_key")
     neighbours = (
-        dealt.select("range", "doc_id", "text", F.lit(False).alias("beside"))
+        dealt.select("range", "doc_id", "id_key", "text_key", "text", F.lit(False).alias("beside"))
         .unionByName(stored(found, "next-documents"))
         .withColumns({"place": F.row_number().over(order), "following": F.lead("text").over(order)})
         .withColumn("n_chars", F.length("text").cast("long"))
