@@ -155,53 +155,104 @@ def _train(
     return weights
 
 
-def estimate_prior(scores_positive: np.ndarray, scores_unlabelled: np.ndarray) -> float:
-    """The share of positives among unlabelled texts, from a classifier that tells positive from unlabelled.
+#: Scores are counted by their logit, in steps of this width; there are some 1,200 at most.
+LOGIT_STEP = 0.05
+#: Samples are drawn by a hash of so many values.
+DRAWS = 1_000_000
 
-    Above any score there are at least as many unlabelled texts as the positives among them, so the share is at most the
-    ratio of both tails; the smallest ratio, allowing for the sampling error of each tail, is the estimate.
-    """
-    n_p, n_u = len(scores_positive), len(scores_unlabelled)
-    levels = np.quantile(scores_positive, np.linspace(0, 0.9, 91))
-    tail_p = np.array([(scores_positive >= level).mean() for level in levels])
-    tail_u = np.array([(scores_unlabelled >= level).mean() for level in levels])
-    error = np.sqrt(np.log(20.0) / 2) * (n_p**-0.5 + n_u**-0.5)
-    best = np.argmin((tail_u + error) / tail_p)
-    return float(np.clip(tail_u[best] / tail_p[best], 0.01, 0.99))
 
+def logit_bins(scores: np.ndarray) -> np.ndarray:
+    safe = np.clip(scores, 1e-13, 1 - 1e-13)
+    return np.floor(np.log(safe / (1 - safe)) / LOGIT_STEP).astype(np.int64)
 
-def fit_quality(positive: np.ndarray, unlabelled: np.ndarray, hidden: int = 16, epochs: int = 40, seed: int = 1) -> QualityModel:
-    """Estimate the prior on the half of the rows that its classifier has not seen, then minimise the risk on all."""
-    mean, width = unlabelled.mean(axis=0), unlabelled.std(axis=0)
-    width = np.where(width > 1e-6, width, 1).astype(np.float32)
 
-    def standard(rows: np.ndarray) -> np.ndarray:
-        return np.clip((rows - mean) / width, -8, 8).astype(np.float32)
+def estimate_prior(positive: np.ndarray, unlabelled: np.ndarray) -> float:
+    """The share of positives among unlabelled texts, from counts of both by bin of the score, lowest bin first.
 
-    p, u = standard(positive), standard(unlabelled)
-    prior = 0.5
-    if len(p) >= 4 and len(u) >= 4:
-        sides = QualityModel(mean, width, _train(p[::2], u[::2], None, hidden, max(4, epochs // 4), seed), 0.5)
-        prior = estimate_prior(sides.scores(positive[1::2]), sides.scores(unlabelled[1::2]))
-    return QualityModel(mean, width, _train(p, u, prior, hidden, epochs, seed), prior)
+    Above any score there are at least as many unlabelled texts as the positives among them, so the share is at most the
+    ratio of both tails; the smallest ratio, allowing for the sampling error of each tail, is the estimate. Levels above
+    which there is less than a tenth of the positives are left out.
+    """
+    tail_p, tail_u = (counts[::-1].cumsum()[::-1] / max(counts.sum(), 1) for counts in (positive, unlabelled))
+    error = np.sqrt(np.log(20.0) / 2) * (max(positive.sum(), 1) ** -0.5 + max(unlabelled.sum(), 1) ** -0.5)
+    ratio = np.where(tail_p >= 0.1, (tail_u + error) / np.maximum(tail_p, 0.1), np.inf)
+    best = np.argmin(ratio)
+    return float(np.clip(tail_u[best] / max(tail_p[best], 1e-9), 0.01, 0.99))
 
 
 def in_held_out(doc_id: Column) -> Column:
-    """A third of the ids, by their checksum."""
-    return F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1
+    """A third of the ids, by their checksum; a NULL id is not among them."""
+    return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
-def _collected(rows: DataFrame, text: str) -> np.ndarray:
-    """Features of a sample, whose size the caller bounds."""
+def _collected(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Features of a sample, whose size the caller bounds, and whether each row is of its first half."""
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = features(batch.column(0))
-            yield pa.RecordBatch.from_arrays([pa.array([x.tobytes() for x in found], pa.binary())], names=["row"])
+            found = features(batch.column("text"))
+            raw = pa.array([x.tobytes() for x in found], pa.binary())
+            yield pa.RecordBatch.from_arrays([raw, batch.column("first_half")], names=["row", "first_half"])
 
-    raw = rows.select(text).mapInArrow(extract, "row binary").collect()
+    raw = rows.select("text", "first_half").mapInArrow(extract, "row binary, first_half boolean").collect()
     # Sorted, so that the fit does not depend on the order in which tasks end.
-    return np.array([np.frombuffer(row["row"], np.float32) for row in sorted(raw)])
+    raw = sorted(raw)
+    found = np.array([np.frombuffer(row["row"], np.float32) for row in raw])
+    return found, np.array([row["first_half"] for row in raw], dtype=bool)
+
+
+def feature_scale(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Mean and width of every feature over all texts. Tasks send sums, which are added as exact decimals."""
+
+    def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        count, total, squares = 0, 0.0, 0.0
+        for batch in batches:
+            if batch.num_rows:
+                found = features(batch.column("text")).astype(float)
+                count, total, squares = count + len(found), total + found.sum(axis=0), squares + (found**2).sum(axis=0)
+        if count:
+            places = pa.array(range(len(total)), pa.int32())
+            columns = [places, pa.array([count] * len(total), pa.int64()), pa.array(total), pa.array(squares)]
+            yield pa.RecordBatch.from_arrays(columns, names=["place", "n", "total", "squares"])
+
+    sums = (
+        texts.select("text")
+        .mapInArrow(add_up, "place int, n long, total double, squares double")
+        .groupBy("place")
+        .agg(F.sum("n").alias("n"), *[F.sum(F.col(x).cast("decimal(38,10)")).alias(x) for x in ("total", "squares")])
+    )
+    rows = sorted(sums.collect())
+    count = np.array([row["n"] for row in rows], float)
+    mean = np.array([float(row["total"]) for row in rows]) / count
+    variance = np.array([float(row["squares"]) for row in rows]) / count - mean**2
+    width = np.sqrt(np.maximum(variance, 0))
+    return mean.astype(np.float32), np.where(width > 1e-6, width, 1).astype(np.float32)
+
+
+def tail_counts(texts: DataFrame, trusted: DataFrame, sides: QualityModel) -> tuple[np.ndarray, np.ndarray]:
+    """How many trusted positives, and how many of all texts, have a score in each bin.
+
+    Texts that ``sides`` has learnt from (``taught_positive``, ``taught_unlabelled``) are left out of the respective count.
+    Rows are counted by id and bin before ids meet the trusted ones, so texts are not moved and no id is hot.
+    """
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bins = pa.array(logit_bins(sides.scores(features(batch.column("text")))), pa.int64())
+            rest = [batch.column(x) for x in ("doc_id", "taught_positive", "taught_unlabelled")]
+            yield pa.RecordBatch.from_arrays([*rest, bins], names=["doc_id", "for_p", "for_u", "bin"])
+
+    placed = texts.select("doc_id", "text", "taught_positive", "taught_unlabelled").mapInArrow(
+        place, "doc_id string, for_p boolean, for_u boolean, bin long"
+    )
+    by_id = placed.groupBy("doc_id", "bin").agg(F.count_if(~F.col("for_p")).alias("p"), F.count_if(~F.col("for_u")).alias("u"))
+    known = by_id.join(trusted.withColumn("is_trusted", F.lit(True)), "doc_id", "left")
+    counts = known.groupBy("bin").agg(
+        F.sum(F.when(F.col("is_trusted"), F.col("p")).otherwise(0)).alias("p"), F.sum("u").alias("u")
+    )
+    # As many rows as there are bins.
+    rows = sorted(counts.collect())
+    return np.array([row["p"] for row in rows], np.int64), np.array([row["u"] for row in rows], np.int64)
 
 
 def scorer(model: QualityModel) -> Callable:
@@ -224,27 +275,57 @@ def fit_on_tables(
 ) -> QualityModel | None:
     """Learn from documents labelled 1 outside the held-out third, and from documents without regard to labels.
 
-    The fit uses samples of about these sizes, drawn by hashes of ids; with less data it uses all. Without positives or
-    documents there is no model.
+    The gradient steps use samples of about these sizes, drawn by hashes of id and text; with less data they use all. Rows
+    that repeat an id and text teach once. The features' scale is that of all documents. The share of positives is
+    estimated on all documents and all trusted ones, but for those from which the classifier it needs has learnt, which are
+    half of the samples. Without positives or documents there is no model.
     """
-    texts = documents.select(F.col(id_column).alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
+    hidden, epochs, seed = 16, 40, 1
+    texts = documents.select(
+        F.col(id_column).cast("string").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text")
+    ).withColumn("draw", F.pmod(F.xxhash64(F.coalesce(F.col("doc_id"), F.lit("")), "text", F.lit(17)), F.lit(DRAWS)))
     trusted = (
         labels.where((F.col("quality") == 1) & F.col("doc_id").isNotNull() & ~in_held_out(F.col("doc_id")))
-        .select("doc_id")
+        .select(F.col("doc_id").cast("string").alias("doc_id"))
         .distinct()
     )
-    draw = F.pmod(F.xxhash64(F.coalesce(F.col("doc_id"), F.lit(-1)), F.lit(17)), F.lit(1_000_000))
+    by_id = texts.groupBy("doc_id").agg(F.count("*").alias("n"))
+    counts = by_id.join(trusted.withColumn("is_trusted", F.lit(True)), "doc_id", "left").agg(
+        F.sum("n").alias("all"), F.sum(F.when(F.col("is_trusted"), F.col("n"))).alias("trusted")
+    )
+    sizes = counts.first()
+    if not sizes["all"] or not sizes["trusted"]:
+        return None
+    cut_p = int(DRAWS * min(1.0, most_positives / sizes["trusted"]))
+    cut_u = int(DRAWS * min(1.0, most_unlabelled / sizes["all"]))
+    half = F.col("draw") % 2 == 0
+    texts = texts.withColumns(
+        {
+            "first_half": half,
+            "taught_positive": half & (F.col("draw") < cut_p),
+            "taught_unlabelled": half & (F.col("draw") < cut_u),
+        }
+    )
 
-    def drawn(rows: DataFrame, most: int) -> DataFrame:
-        count = rows.count()
-        return rows.where(draw < int(1_000_000 * min(1.0, most / max(count, 1))))
+    def drawn(cut: int) -> DataFrame:
+        return texts.where(F.col("draw") < cut).dropDuplicates(["doc_id", "text"])
 
-    # The ids of the sample, of which there are about ``most_positives``, go to all tasks.
-    positive = _collected(texts.join(F.broadcast(drawn(trusted, most_positives)), "doc_id", "left_semi"), "text")
-    unlabelled = _collected(drawn(texts, most_unlabelled), "text")
+    positive, first_p = _collected(drawn(cut_p).join(trusted, "doc_id", "left_semi"))
+    unlabelled, first_u = _collected(drawn(cut_u))
     if not len(positive) or not len(unlabelled):
         return None
-    return fit_quality(positive, unlabelled)
+    mean, width = feature_scale(texts)
+
+    def standard(rows: np.ndarray) -> np.ndarray:
+        return np.clip((rows - mean) / width, -8, 8).astype(np.float32)
+
+    p, u, prior = standard(positive), standard(unlabelled), 0.5
+    if first_p.any() and first_u.any():
+        told_apart = _train(p[first_p], u[first_u], None, hidden, max(4, epochs // 4), seed)
+        in_p, in_u = tail_counts(texts, trusted, QualityModel(mean, width, told_apart, 0.5))
+        if in_p.sum() and in_u.sum():
+            prior = estimate_prior(in_p, in_u)
+    return QualityModel(mean, width, _train(p, u, prior, hidden, epochs, seed), prior)
 
 
 def score_quality(
@@ -256,9 +337,10 @@ def score_quality(
 ) -> DataFrame:
     """The documents with ``score`` (0 to 1, higher: good text is likelier) and ``predicted`` (1 from 0.5 on).
 
-    Scores see the whole text and nothing else. A NULL text is scored as an empty one, and those are scored like any text.
-    If nothing can be learnt, all scores are 0.5. Labels that are NULL or name no document teach nothing; repeated rows and
-    labels count once per row. An empty table gives no rows; other columns are kept, unless named like a result.
+    Scores see the whole text, long ones some bytes at a time, and nothing else. A NULL text is scored as an empty one, and
+    those are scored like any text. If nothing can be learnt, all scores are 0.5. Labels that are NULL or name no document
+    teach nothing, and repeated labels count once. Rows that repeat an id and text are one in the samples. An empty table
+    gives no rows; other columns are kept, unless named like a result.
     """
     model = fit_on_tables(documents, labels, most_positives, most_unlabelled, id_column)
     rows = documents.select(packed(documents), F.coalesce(F.col("text"), F.lit("")).alias("text"))

@@ -9,7 +9,17 @@ import pytest
 from pyspark.sql import functions as F
 
 from stockroom.llm import quality
-from stockroom.llm.quality import estimate_prior, features, fit_quality, in_held_out, score_quality
+from stockroom.llm.quality import (
+    QualityModel,
+    estimate_prior,
+    feature_scale,
+    features,
+    fit_on_tables,
+    in_held_out,
+    logit_bins,
+    score_quality,
+    tail_counts,
+)
 
 
 @pytest.fixture
@@ -46,20 +56,81 @@ def test_labels_of_the_held_out_third_and_negative_labels_teach_nothing(corpus):
     assert one == other
 
 
+def counts(*scores):
+    """Each group's number of scores by bin, with the same bins."""
+    bins = [logit_bins(group) for group in scores]
+    low = min(x.min() for x in bins)
+    size = max(x.max() for x in bins) - low + 1
+    return [np.bincount(x - low, minlength=size) for x in bins]
+
+
 def test_prior_of_a_known_mixture():
     draw = np.random.default_rng(1)
+
+    def scores(values):
+        return 1 / (1 + np.exp(-values))
+
     positive = draw.normal(2, 1, 4000)
     for share in (0.3, 0.6, 0.9):
         unlabelled = np.where(draw.random(8000) < share, draw.normal(2, 1, 8000), draw.normal(-2, 1, 8000))
-        assert abs(estimate_prior(positive, unlabelled) - share) < 0.06
+        assert abs(estimate_prior(*counts(scores(positive), scores(unlabelled))) - share) < 0.06
 
 
 def test_risk_stays_at_zero_or_above():
     # With texts drawn from one class, what is unlabelled and what is positive cannot be told apart.
     draw = np.random.default_rng(2)
     rows = draw.normal(0, 1, (600, 12)).astype(np.float32)
-    model = fit_quality(rows[:300], rows[300:])
-    assert model.prior > 0.8 and (model.scores(rows) >= 0.5).mean() > 0.9
+    p, u = rows[:300], rows[300:]
+    mean, width = u.mean(axis=0), u.std(axis=0)
+    standard_p, standard_u = (np.clip((x - mean) / width, -8, 8).astype(np.float32) for x in (p, u))
+    sides = QualityModel(mean, width, quality._train(standard_p[::2], standard_u[::2], None, 16, 10, 1), 0.5)
+    prior = estimate_prior(*counts(sides.scores(p[1::2]), sides.scores(u[1::2])))
+    model = QualityModel(mean, width, quality._train(standard_p, standard_u, prior, 16, 40, 1), prior)
+    assert prior > 0.8 and (model.scores(rows) >= 0.5).mean() > 0.9
+
+
+def test_statistics_are_those_of_all_documents(spark, corpus, prose):
+    documents, _, _ = corpus
+    rows = [row["text"] for row in documents.collect()]
+    found = features(pa.array(rows)).astype(float)
+    mean, width = feature_scale(documents)
+    assert np.allclose(mean, found.mean(axis=0), atol=1e-6)
+    wide = found.std(axis=0)
+    assert np.allclose(width, np.where(wide > 1e-6, wide, 1), atol=1e-5)
+    weights = [np.random.default_rng(1).normal(0, 0.3, shape) for shape in ((found.shape[1], 4), 4, 4, ())]
+    sides = QualityModel(mean, width, weights, 0.5)
+    number = F.col("doc_id")
+    texts = documents.select(
+        number.cast("string").alias("doc_id"),
+        "text",
+        (number % 7 == 0).alias("taught_positive"),
+        (number % 5 == 0).alias("taught_unlabelled"),
+    )
+    trusted = texts.where("cast(doc_id as int) % 3 = 0").select("doc_id")
+    in_p, in_u = tail_counts(texts, trusted, sides)
+    ids = np.array([row["doc_id"] for row in documents.collect()])
+    bins = logit_bins(sides.scores(found.astype(np.float32)))
+    for got, wanted in ((in_p, (ids % 3 == 0) & (ids % 7 != 0)), (in_u, ids % 5 != 0)):
+        assert got.sum() == wanted.sum()
+        assert [n for n in got if n] == [n for n in np.unique(bins[wanted], return_counts=True)[1] if n]
+
+
+def test_rows_that_share_an_id_are_drawn_one_by_one(corpus, texts, prose, monkeypatch):
+    documents, labels, _ = corpus
+    sizes = []
+    whole = quality._collected
+
+    def noted(rows):
+        found = whole(rows)
+        sizes.append(len(found[0]))
+        return found
+
+    monkeypatch.setattr(quality, "_collected", noted)
+    many = documents.unionByName(texts([(1, f"{prose(i, 20)} {i}") for i in range(1500)] + [(None, "same")] * 500))
+    model = fit_on_tables(many, labels, 300, 400)
+    assert model is not None and 0 < model.prior < 1
+    # One in 6.5 of 2,600 rows, of which 500 are one; never all rows of an id, nor none.
+    assert 250 < sizes[1] < 450 and 50 < sizes[0] < 400
 
 
 def test_gradients_equal_differences():
