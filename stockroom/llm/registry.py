@@ -54,15 +54,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stored(rows: DataFrame, label: str, few: bool = False) -> DataFrame:
+def stored(rows: DataFrame, label: str, few: bool = False, gathered: bool = False) -> DataFrame:
     """The rows, written once to the shared folder and read from there, so that no later loss recomputes them.
 
     ``few`` is for rows that are little beside the documents, such as links: an eighth of the usual files hold them.
+    ``gathered`` is for such rows if they take much work: all tasks share it, and then the rows move to so many files. On
+    a local disk Hadoop starts helper processes for each file, and an executor's memory counts twice while one starts.
     """
     spark = rows.sparkSession
     path = fresh_dir(spark, label)
-    if few:
-        rows = rows.coalesce(max(1, int(spark.conf.get("spark.sql.shuffle.partitions")) // 8))
+    files = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")) // 8)
+    if gathered:
+        rows = rows.repartition(files)
+    elif few:
+        rows = rows.coalesce(files)
     rows.write.parquet(path)
     return spark.read.schema(rows.schema).parquet(path)
 

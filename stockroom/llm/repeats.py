@@ -248,6 +248,7 @@ def remove_repeats(
         .where("first_id < last_id")
         .select("one", "other", "first_id"),
         "repeated-units",
+        gathered=True,
     )
     later = (
         units.where("not again").join(several, ["one", "other"]).where("doc_id > first_id").drop("first_id")

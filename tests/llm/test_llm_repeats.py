@@ -3,6 +3,7 @@ from __future__ import annotations
 import os
 import re
 from collections import Counter
+from pathlib import Path
 
 import duckdb
 import pyarrow as pa
@@ -225,3 +226,20 @@ def test_query_removes_lines_and_runs(spark, texts, prose):
         assert {at for start, end in listed for at in range(start, end)} == gone
         assert all(a[1] < b[0] for a, b in zip(listed, listed[1:]))
     assert found[34][0] == rows[34] and found[35][0] == "more"
+
+
+def test_a_fixed_share_of_files_holds_the_repeated_units(spark, texts, prose):
+    # As on large tables: so much in each partition that Spark joins none of them.
+    shared, before = Path(spark.conf.get("spark.checkpoint.dir")), spark.conf.get("spark.sql.shuffle.partitions")
+    known = set(shared.glob("repeated-units-*"))
+    said = [prose(seed, 60) for seed in range(40)]
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", 32)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        found = {r["doc_id"]: r["text"] for r in remove_repeats(texts(said + said)).collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    (folder,) = set(shared.glob("repeated-units-*")) - known
+    assert len(list(folder.glob("*.parquet"))) <= 32 // 8
+    assert [found[at] for at in range(80)] == said + [""] * 40
