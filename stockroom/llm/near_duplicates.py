@@ -227,7 +227,7 @@ def near_duplicates(
         ),
         "representatives",
     )
-    members = stored(_bucket_members(chosen), "bucket-members")
+    members = stored(_bucket_members(chosen), "bucket-members", gathered=True)
     links, sets = _star_links(members, chosen, source, shingle, percent, bands * rows)
     components = connected_components(links)
     more = _block_links(members, components, chosen.select("node", "n_shingles"), sets, percent, block)
@@ -303,7 +303,7 @@ def _star_links(
         .select("a", "b", "shingles_a", "shingles_b")
         .mapInArrow(confirmer(percent), "a long, b long")
     )
-    return stored(linked.select(F.col("a").alias("u"), F.col("b").alias("v")), "star-links"), sets
+    return stored(linked.select(F.col("a").alias("u"), F.col("b").alias("v")), "star-links", gathered=True), sets
 
 
 def _block_links(
@@ -369,8 +369,8 @@ def _block_links(
         F.pmod(own, F.col("right_blocks")).cast("int").alias("right_block"),
     )
     key = ["bucket", "left_block", "right_block"]
-    found = left.groupBy(*key).cogroup(right.groupBy(*key)).applyInArrow(block_linker(percent), "u long, v long")
-    return stored(found, "block-links")
+    # Not stored: the components write their links themselves.
+    return left.groupBy(*key).cogroup(right.groupBy(*key)).applyInArrow(block_linker(percent), "u long, v long")
 
 
 def near_duplicates_sql(shingle: int, percent: int) -> str:

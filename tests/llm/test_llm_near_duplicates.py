@@ -4,6 +4,7 @@ import os
 import random
 import re
 from collections import Counter
+from pathlib import Path
 
 import duckdb
 import numpy as np
@@ -190,3 +191,23 @@ def test_blocks_return_fewer_links_than_members():
         one, other = groups[u // 2 * 2], groups[v // 2 * 2]
         groups = {k: min(one, other) if g in (one, other) else g for k, g in groups.items()}
     assert set(groups.values()) == {0}
+
+
+def test_a_fixed_share_of_files_holds_members_and_links(spark, texts, prose):
+    # As on large tables: so much in each partition that Spark joins none of them.
+    shared, before = Path(spark.conf.get("spark.checkpoint.dir")), spark.conf.get("spark.sql.shuffle.partitions")
+    labels = ["bucket-members", "star-links", "block-links"]
+    known = {folder for label in labels for folder in shared.glob(f"{label}-*")}
+    draw = random.Random(9)
+    rows = list(enumerate(edited(prose(seed, 150), draw, 2) for seed in range(20) for _ in range(4)))
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", 32)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        found = answers(texts(rows), 3, 85)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    new = {folder for label in labels for folder in shared.glob(f"{label}-*")} - known
+    assert {folder.name.rsplit("-", 1)[0] for folder in new} == {"bucket-members", "star-links"}
+    assert all(len(list(folder.glob("*.parquet"))) <= 32 // 8 for folder in new)
+    assert found == expected(rows, 3, 85)
