@@ -262,7 +262,8 @@ def pack_documents(
     ``tokenizer`` is the definition's text. A document is its ids followed by ``end_id``; documents are cut freely. Only
     the last sequences of a stretch of the curve are shorter than ``length``, and these are powers of two, so nothing is
     padded. The ids are stored once; documents then move once, to their place on the curve. Documents with one key, such
-    as copies, are told apart by id, so they spread over stretches too.
+    as copies, are told apart by id, so they spread over stretches too. The pieces, small beside the documents, are
+    rebalanced by sequence, so that Spark's advisory size and not the number of stretches says how many files hold them.
 
     A NULL or empty text is ``end_id`` alone. Rows with a repeated id are separate documents; a NULL id is kept. An empty
     table gives no rows; further columns are ignored.
@@ -294,4 +295,6 @@ def pack_documents(
 
     small = Tokenizer.from_str(tokenizer).get_vocab_size() <= 1 << 16
     ddl = ", ".join(f"`{field.name}` long" for field in PIECES)
-    return along.select("doc_id", "ids").mapInArrow(packer(length, "<u2" if small else "<u4"), ddl)
+    pieces = along.select("doc_id", "ids").mapInArrow(packer(length, "<u2" if small else "<u4"), ddl)
+    # Tasks number their sequences by their own place. A caller's coalesce would give several one place but for this.
+    return pieces.hint("rebalance", "sequence_id")

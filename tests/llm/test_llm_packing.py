@@ -60,6 +60,24 @@ def test_packs_every_id_once(texts, prose):
     check(short, wanted, 16)
 
 
+def test_few_files_hold_the_pieces_of_many_stretches(spark, texts, prose, tmp_path):
+    rows = [prose(i, 30 + i) for i in range(120)]
+    tokenizer = Tokenizer.from_str(DEFINITION)
+    wanted = {i: [*tokenizer.encode(t, add_special_tokens=False).ids, 1] for i, t in enumerate(rows)}
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", 32)
+        pack_documents(texts(rows), DEFINITION).write.parquet(str(tmp_path / "pieces"))
+        joined = pack_documents(texts(rows), DEFINITION).coalesce(1).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    found = spark.read.parquet(str(tmp_path / "pieces")).collect()
+    check(found, wanted)
+    assert len({row["sequence_id"] >> 32 for row in found}) > 20
+    assert len(list((tmp_path / "pieces").glob("*.parquet"))) <= 4
+    check(joined, wanted)
+
+
 def test_word_cache_starts_anew(monkeypatch, prose):
     monkeypatch.setattr("stockroom.llm.packing.CACHE_WORDS", 5)
     words, tokenizer = word_ids(DEFINITION), Tokenizer.from_str(DEFINITION)
