@@ -10,7 +10,7 @@ from stockroom.llm.near_duplicates import near_duplicates
 from stockroom.llm.packing import pack_documents
 from stockroom.llm.personal_data import redact
 from stockroom.llm.quality import score_quality
-from stockroom.llm.registry import ROW, Check, packed, small_batches, stored, table, unpacked
+from stockroom.llm.registry import ROW, Check, in_fewer_files, packed, small_batches, stored, table, unpacked
 from stockroom.llm.repeats import remove_repeats
 
 #: The vocabulary's file; the driver reads it.
@@ -34,7 +34,7 @@ def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -
     rows = docs.select(packed(docs), "doc_id", F.xxhash64("text").alias("order")).join(kept, "doc_id", "left_semi")
     # A minimum, so that of an id's many rows each task hands on one.
     chosen = rows.groupBy("doc_id").agg(F.min_by(ROW, F.struct("order", F.xxhash64(ROW))).alias(ROW))
-    return chosen.select(*unpacked(docs, {})).unionByName(docs.where("doc_id is null"))
+    return in_fewer_files(chosen, 4).select(*unpacked(docs, {})).unionByName(docs.where("doc_id is null"))
 
 
 def remove_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stockroom.llm.components import connected_components
-from stockroom.llm.registry import stored
+from stockroom.llm.registry import in_fewer_files, stored
 from stockroom.llm.shingles import mixed, shingle_sets
 
 SIGNED = "doc_id long, n_shingles long, digest binary, bands array<long>, signature binary"
@@ -218,15 +218,13 @@ def near_duplicates(
     signed = stored(source.mapInArrow(signer(shingle, bands, rows, seed), SIGNED), "signatures")
     # One representative of each set, with its bands and signature, which all its copies share.
     alike = signed.where("digest is not null and doc_id is not null")
-    chosen = stored(
-        alike.groupBy("digest").agg(
-            F.min("doc_id").alias("node"),
-            F.first("n_shingles").alias("n_shingles"),
-            F.first("bands").alias("bands"),
-            F.first("signature").alias("signature"),
-        ),
-        "representatives",
+    chosen = alike.groupBy("digest").agg(
+        F.min("doc_id").alias("node"),
+        F.first("n_shingles").alias("n_shingles"),
+        F.first("bands").alias("bands"),
+        F.first("signature").alias("signature"),
     )
+    chosen = stored(in_fewer_files(chosen, 8), "representatives")
     members = stored(_bucket_members(chosen), "bucket-members", gathered=True)
     links, sets = _star_links(members, chosen, source, shingle, percent, bands * rows)
     components = connected_components(links)
@@ -289,14 +287,14 @@ def _star_links(
     )
     wanted = members.select("node").distinct().join(chosen.select("node", "digest"), "node")
     texts = source.join(wanted.select(F.col("node").alias("doc_id")).distinct(), "doc_id", "left_semi")
-    sets = stored(
+    sets = (
         texts.mapInArrow(set_maker(shingle), "doc_id long, digest binary, shingles binary")
         .join(wanted, "digest")
         .where("doc_id = node")
         .dropDuplicates(["node", "digest"])
-        .select("node", "shingles"),
-        "shingle-sets",
+        .select("node", "shingles")
     )
+    sets = stored(in_fewer_files(sets, 4), "shingle-sets")
     linked = (
         likely.join(sets.toDF("a", "shingles_a"), "a")
         .join(sets.toDF("b", "shingles_b"), "b")

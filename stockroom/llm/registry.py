@@ -72,6 +72,14 @@ def stored(rows: DataFrame, label: str, few: bool = False, gathered: bool = Fals
     return spark.read.schema(rows.schema).parquet(path)
 
 
+def in_fewer_files(rows: DataFrame, share: int) -> DataFrame:
+    """For rows that take little work where they are written: one in ``share`` of the usual files holds them, but no fewer
+    tasks write them than there are cores. Many short tasks that each begin a file are where helper processes crowd."""
+    spark = rows.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return rows.coalesce(max(spark.sparkContext.defaultParallelism, parts // share))
+
+
 def discard(spark: SparkSession, *paths: str) -> None:
     """Delete folders that :func:`stored` or a table has written, when nothing reads them any more."""
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()

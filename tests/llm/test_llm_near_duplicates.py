@@ -211,3 +211,23 @@ def test_a_fixed_share_of_files_holds_members_and_links(spark, texts, prose):
     assert {folder.name.rsplit("-", 1)[0] for folder in new} == {"bucket-members", "star-links"}
     assert all(len(list(folder.glob("*.parquet"))) <= 32 // 8 for folder in new)
     assert found == expected(rows, 3, 85)
+
+
+def test_no_more_files_than_cores_hold_representatives_and_sets(spark, texts, prose):
+    # As on large tables: so much in each partition that Spark joins none of them.
+    shared, before = Path(spark.conf.get("spark.checkpoint.dir")), spark.conf.get("spark.sql.shuffle.partitions")
+    cores = spark.sparkContext.defaultParallelism
+    known = {folder for label in ("representatives", "shingle-sets") for folder in shared.glob(f"{label}-*")}
+    draw = random.Random(10)
+    rows = list(enumerate(edited(prose(seed, 150), draw, 2) for seed in range(20) for _ in range(4)))
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", 4 * cores)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        found = answers(texts(rows), 3, 85)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    new = {folder for label in ("representatives", "shingle-sets") for folder in shared.glob(f"{label}-*")} - known
+    assert len(new) == 2
+    assert all(len(list(folder.glob("*.parquet"))) <= cores for folder in new)
+    assert found == expected(rows, 3, 85)

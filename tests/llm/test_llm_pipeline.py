@@ -118,3 +118,23 @@ def test_short_repeated_lines_and_inner_passages_go(spark, tables):
     docs = spark.createDataFrame([(i, t, "en", None, len(t)) for i, t in enumerate(texts)], _schema(spark, folder))
     kept = {r["doc_id"]: r["text"] for r in corpus_pipeline.remove_repeated_passages(spark, docs, folder).collect()}
     assert kept == {0: texts[0], 1: "Other. Tail."}
+
+
+def test_a_share_of_files_holds_what_near_dedup_keeps(spark, tables, prose, tmp_path):
+    # As on large tables: so much in each partition that Spark joins none of them.
+    folder, _ = tables
+    rows = [(i, prose(i // 2, 60)) for i in range(160)] + [(None, prose(1, 60))] * 2
+    docs = spark.createDataFrame([(i, t, "en", None, len(t)) for i, t in rows], _schema(spark, folder))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", 32)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        kept = corpus_pipeline.keep_one_of_near_copies(spark, docs, folder)
+        kept.where("doc_id is not null").write.parquet(str(tmp_path / "kept"))
+        unnamed = kept.where("doc_id is null").count()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert len(list((tmp_path / "kept").glob("*.parquet"))) <= max(spark.sparkContext.defaultParallelism, 32 // 4)
+    found = {row["doc_id"]: row["text"] for row in spark.read.parquet(str(tmp_path / "kept")).collect()}
+    assert found == {i: prose(i // 2, 60) for i in range(0, 160, 2)} and unnamed == 2
